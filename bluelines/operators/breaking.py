@@ -33,7 +33,8 @@ def inner_breaks(bps: F.Column, dm: F.Column, um: F.Column, gap: float = MIN_END
 
 def break_lines(work: DataFrame, bps: DataFrame, gap: float = MIN_END_DISTANCE) -> DataFrame:
     """Pieces of the working segments: one row per piece with ``segmented_stream_id``,
-    ``piece_index`` (0 = the shortened original), start and end measure; all other columns of
+    ``piece_index`` (0 = the shortened original), ``parent_stream_id`` (key of the segment it was
+    cut from), start and end measure; all other columns of
     ``work`` are carried. ``bps`` comes from ``breakpoints`` (the caller decides on broadcast)."""
     dm, um = F.col("downstream_route_measure"), F.col("upstream_route_measure")
     inner = inner_breaks(F.col("bps"), dm, um, gap)
@@ -41,9 +42,10 @@ def break_lines(work: DataFrame, bps: DataFrame, gap: float = MIN_END_DISTANCE)
     ends = F.concat(inner, F.array(um))
     keep = [c for c in work.columns if c not in ("downstream_route_measure", "upstream_route_measure")]
     exploded = (work.join(bps, "blue_line_key", "left")
-                .select(*keep, F.posexplode(F.arrays_zip(starts.alias("s"), ends.alias("e"))).alias("piece_index", "se")))
+                .select(*keep, piece_key(F.col("blue_line_key"), dm).alias("parent_stream_id"),
+                        F.posexplode(F.arrays_zip(starts.alias("s"), ends.alias("e"))).alias("piece_index", "se")))
     return exploded.select(
         piece_key(F.col("blue_line_key"), F.col("se")["s"]).alias("segmented_stream_id"),
-        *keep, "piece_index",
+        *keep, "piece_index", "parent_stream_id",
         F.col("se")["s"].alias("downstream_route_measure"),
         F.col("se")["e"].alias("upstream_route_measure"))

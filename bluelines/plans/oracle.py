@@ -176,3 +176,274 @@ def with_ctes(*ctes: str) -> str:
 
 BASE = (SEGMENTS, POINTS)
 CHAIN = (SEGMENTS, POINTS, WORK, BREAK)
+
+# ---- per-query SQL --------------------------------------------------------------------------
+LIST_COLS = ("linear_feature_id, notation_id_list, primary_notation_type, secondary_notation_types, "
+             "fwa_watershed_code, blue_line_key, round(downstream_route_measure, 6) AS downstream_route_measure, "
+             "round(upstream_route_measure, 6) AS upstream_route_measure")
+
+LISTS = (SEGMENTS, POINTS, WORK, BREAK, MAIN, SIDE)
+ALL_LIST = f"SELECT {LIST_COLS} FROM main_list UNION ALL SELECT {LIST_COLS} FROM side_list"
+
+SRC_POINTS = """
+points_src AS (SELECT notation_id, notation_type, notation_description, blue_line_key, x, y FROM points)"""
+
+PAIRS = """
+vpairs AS (
+  SELECT v1.linear_feature_id, v1.seq AS i, v1.x AS ax, v1.y AS ay, v1.m AS am, v2.x AS bx, v2.y AS b_y, v2.m AS bm
+  FROM vertices v1 JOIN vertices v2 ON v1.linear_feature_id = v2.linear_feature_id AND v2.seq = v1.seq + 1)"""
+
+SNAP = """
+cand AS (
+  SELECT p.notation_id, s.linear_feature_id, s.blue_line_key, s.downstream_route_measure AS dm, s.length_metre,
+    s.wscode, s.localcode, s.watershed_group_code, v.i, p.x AS px, p.y AS py, v.ax, v.ay, v.bx - v.ax AS dx, v.b_y - v.ay AS dy
+  FROM points_src p JOIN segments s ON p.blue_line_key = s.blue_line_key
+  JOIN vpairs v ON v.linear_feature_id = s.linear_feature_id),
+cand_t AS (
+  SELECT *, dx*dx + dy*dy AS l2,
+    CASE WHEN dx*dx + dy*dy = 0 THEN 0.0
+         ELSE least(greatest(((px - ax)*dx + (py - ay)*dy) / (dx*dx + dy*dy), 0.0), 1.0) END AS t
+  FROM cand),
+cand_d AS (
+  SELECT *, sqrt(pow(px - (ax + t*dx), 2) + pow(py - (ay + t*dy), 2)) AS dist, sqrt(l2) AS len FROM cand_t),
+per_line AS (
+  SELECT notation_id, linear_feature_id, blue_line_key, dm, length_metre, wscode, localcode, watershed_group_code,
+    arg_min(i, (dist, i)) AS bi, min(dist) AS dist, sum(len) AS total FROM cand_d GROUP BY ALL),
+per_line2 AS (
+  SELECT l.*, c.t AS bt, c.len AS blen,
+    (SELECT coalesce(sum(c2.len), 0.0) FROM cand_d c2 WHERE c2.notation_id = l.notation_id
+       AND c2.linear_feature_id = l.linear_feature_id AND c2.i < l.bi) AS before
+  FROM per_line l JOIN cand_d c ON c.notation_id = l.notation_id AND c.linear_feature_id = l.linear_feature_id AND c.i = l.bi),
+snapped AS (
+  SELECT DISTINCT ON (notation_id) notation_id, linear_feature_id, blue_line_key,
+    (CASE WHEN total > 0 THEN (before + bt*blen) / total ELSE 0.0 END) * length_metre + dm AS downstream_route_measure,
+    wscode, localcode, watershed_group_code, dist AS distance_to_stream
+  FROM per_line2 ORDER BY notation_id, dist, linear_feature_id)"""
+
+LOCATE = """
+loc AS (
+  SELECT DISTINCT ON (p.notation_id) p.notation_id, p.downstream_route_measure AS pm, s.linear_feature_id
+  FROM snapped p JOIN segments s ON p.blue_line_key = s.blue_line_key
+   AND s.downstream_route_measure <= p.downstream_route_measure AND p.downstream_route_measure <= s.upstream_route_measure
+  ORDER BY p.notation_id, s.downstream_route_measure, s.linear_feature_id),
+loc_pair AS (
+  SELECT DISTINCT ON (l.notation_id) l.notation_id, l.pm, v.*
+  FROM loc l JOIN vpairs v ON v.linear_feature_id = l.linear_feature_id AND v.am <= l.pm AND l.pm <= v.bm
+  ORDER BY l.notation_id, v.i)"""
+
+CLIP = """
+all_pieces AS (
+  SELECT segmented_stream_id, linear_feature_id, downstream_route_measure AS m0, upstream_route_measure AS m1 FROM main_list
+  UNION ALL
+  SELECT segmented_stream_id, linear_feature_id, downstream_route_measure, upstream_route_measure FROM side_list),
+ends AS (
+  SELECT DISTINCT ON (p.segmented_stream_id, e.which) p.segmented_stream_id, e.which, e.m, v.*
+  FROM all_pieces p CROSS JOIN LATERAL (VALUES (0, p.m0), (2, p.m1)) AS e(which, m)
+  JOIN vpairs v ON v.linear_feature_id = p.linear_feature_id AND v.am <= e.m AND e.m <= v.bm
+  ORDER BY p.segmented_stream_id, e.which, v.i),
+clip_pts AS (
+  SELECT segmented_stream_id, which, m,
+    ax + (CASE WHEN bm - am = 0 THEN 0.0 ELSE (m - am) / (bm - am) END) * (bx - ax) AS x,
+    ay + (CASE WHEN bm - am = 0 THEN 0.0 ELSE (m - am) / (bm - am) END) * (b_y - ay) AS y
+  FROM ends
+  UNION ALL
+  SELECT p.segmented_stream_id, 1, v.m, v.x, v.y FROM all_pieces p
+  JOIN vertices v ON v.linear_feature_id = p.linear_feature_id AND v.m > p.m0 AND v.m < p.m1)"""
+
+AQUIFER_LINK = """
+aquifer_link AS (
+  SELECT CAST(a.p_partkey AS INTEGER) AS aquifer_id, n.notation_id, n.notation_description
+  FROM points n JOIN part a ON CAST(a.p_partkey AS INTEGER) = TRY_CAST(split_part(n.notation_description, ' - ', 1) AS INTEGER)
+  WHERE regexp_matches(n.notation_description, '^[0-9]+ -.*$'))"""
+
+
+def _width(table: str, src: str, col: str, limit: int) -> str:
+    return (f"SELECT '{table}' AS table_name, '{col}' AS column_name, {limit} AS width_limit, "
+            f"CAST(coalesce(max(length({col})), 0) AS INTEGER) AS max_length, "
+            f"CAST(count(*) FILTER (WHERE length({col}) > {limit}) AS BIGINT) AS n_over FROM {src}")
+
+
+def _dup(name: str, src: str, key: str) -> str:
+    return (f"SELECT '{name}' AS table_name, CAST(sum(c) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_keys, "
+            f"CAST(count(*) FILTER (WHERE c > 1) AS BIGINT) AS n_duplicated_keys "
+            f"FROM (SELECT {key}, count(*) AS c FROM {src} GROUP BY {key})")
+
+
+# Text and integer columns of every input table, in table order (the fingerprinted columns).
+FINGERPRINT_COLUMNS = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"],
+    "events": ["event_id", "user_id", "event_type", "props"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "embeddings": ["vec_id", "label"],
+    "pages": ["page_id", "url", "html"],
+    "benchmark": ["item_id", "text"],
+    "labels": ["doc_id", "quality", "toxic"],
+    "conversations": ["conv_id", "turn", "role", "text"],
+}
+
+
+def _row_hash(cols: list[str]) -> str:
+    return "md5(concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in cols) + "))"
+
+
+def _hash_value(cols: list[str]) -> str:
+    return f"CAST(('0x' || substr({_row_hash(cols)}, 1, 15))::BIGINT AS DECIMAL(38,0))"
+
+
+def _fingerprint(src: str, cols: list[str], group: str | None = None) -> str:
+    g = f"{group}, " if group else ""
+    by = f" GROUP BY {group}" if group else ""
+    return (f"SELECT {g}CAST(count(*) AS BIGINT) AS n_rows, CAST(sum({_hash_value(cols)}) AS DECIMAL(38,0)) AS hash_sum "
+            f"FROM {src}{by}")
+
+
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+OBJECTS = """
+objects AS (SELECT *, 'orders/' || o_orderpriority || '.parquet' AS path FROM orders),
+previous AS (SELECT * FROM objects WHERE NOT (o_orderstatus = 'P' AND o_orderpriority IN ('1-URGENT', '2-HIGH'))),"""
+CHANGE = OBJECTS + f"""
+cur AS (SELECT path, n_rows || ':' || CAST(hash_sum AS VARCHAR) AS etag FROM ({_fingerprint('objects', ORDER_COLS, 'path')})),
+state AS (SELECT path, 'prod' AS env, n_rows || ':' || CAST(hash_sum AS VARCHAR) AS etag
+          FROM ({_fingerprint('previous', ORDER_COLS, 'path')})),
+envs AS (SELECT * FROM (VALUES ('prod'), ('test')) AS e(env)),
+status AS (
+  SELECT c.path, e.env, c.etag AS current_etag, s.etag AS cached_etag,
+    (s.etag IS NULL OR s.etag <> c.etag) AS has_changed
+  FROM cur c CROSS JOIN envs e LEFT JOIN state s ON s.path = c.path AND s.env = e.env)"""
+
+URL_PATH = ("CASE WHEN starts_with(replace(coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), ''), '/en', ''), '/') "
+            "THEN substring(replace(coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), ''), '/en', ''), 2) "
+            "ELSE replace(coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), ''), '/en', '') END")
+
+AFTER = """
+o4 AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders),
+bef AS (SELECT * FROM o4 WHERE o_orderpriority <> '5-LOW'),
+aft AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN '1-URGENT*' ELSE o_orderpriority END AS o_orderpriority
+  FROM o4 WHERE o_orderstatus <> 'P'
+  UNION ALL
+  SELECT o_orderkey, o_custkey + 1, o_orderstatus, o_orderpriority FROM o4
+  WHERE o_orderstatus = 'P' AND o_orderpriority = '3-MEDIUM')"""
+
+LINE_ORDER = "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
+LINE_COLS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag"
+
+ORACLE = {
+    "points_src": with_ctes(SEGMENTS, POINTS) +
+        " SELECT notation_id, notation_type, notation_description, blue_line_key, round(x, 6) AS x, round(y, 6) AS y FROM points",
+    "segments_src": with_ctes(SEGMENTS) +
+        " SELECT linear_feature_id, blue_line_key, watershed_key, round(downstream_route_measure, 6) AS downstream_route_measure,"
+        " round(upstream_route_measure, 6) AS upstream_route_measure, round(length_metre, 6) AS length_metre, wscode, localcode,"
+        " fwa_watershed_code, watershed_group_code FROM segments",
+    "group_list": with_ctes(SEGMENTS, POINTS) + " SELECT DISTINCT watershed_group_code FROM points ORDER BY 1",
+    "output_contract": with_ctes(*LISTS, f"all_list AS ({ALL_LIST})", AQUIFER_LINK) + " " + " UNION ALL ".join(
+        [_width("streams", "all_list", c, n) for c, n in
+         [("notation_id_list", 200), ("primary_notation_type", 12), ("secondary_notation_types", 30),
+          ("fwa_watershed_code", 150)]] +
+        [_width("aquifers", "aquifer_link", c, n) for c, n in [("notation_id", 10), ("notation_description", 140)]]),
+    "key_check": with_ctes(SEGMENTS, POINTS, WORK, BREAK) + " " + " UNION ALL ".join([
+        _dup("segments", "segments", "linear_feature_id"), _dup("notations", "points", "notation_id"),
+        _dup("pieces", "pieces", "segmented_stream_id"), _dup("lineitem", "lineitem", "l_orderkey, l_linenumber")]),
+    "override_rules": with_ctes(SEGMENTS, POINTS) +
+        " SELECT notation_id, CASE WHEN localcode = '300.432687.380566.184025' THEN '300.432687.380566.173400'"
+        " ELSE localcode END AS localcode FROM points",
+    "segment_key": with_ctes(SEGMENTS) +
+        f" SELECT linear_feature_id, {ssid('blue_line_key', 'downstream_route_measure')} AS segmented_stream_id FROM segments",
+    "code_descendant": with_ctes(SEGMENTS, POINTS) +
+        " SELECT a.notation_id, CAST(count(*) AS BIGINT) AS n_segments FROM points a JOIN segments b"
+        " ON starts_with(b.wscode || '.', a.wscode || '.') GROUP BY a.notation_id",
+    "insert_ignore": f"""WITH
+target AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORDER}) AS rn
+           FROM lineitem WHERE l_returnflag = 'R') WHERE rn = 1),
+inc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORDER}) AS rn
+        FROM lineitem) WHERE rn = 1)
+SELECT {LINE_COLS} FROM target
+UNION ALL
+SELECT {LINE_COLS} FROM inc i WHERE NOT EXISTS
+  (SELECT 1 FROM target t WHERE t.l_orderkey = i.l_orderkey AND t.l_linenumber = i.l_linenumber)""",
+    "first_per_key": "SELECT DISTINCT ON (o_custkey) o_custkey, o_orderkey, round(o_totalprice, 6) AS o_totalprice,"
+                     " o_orderpriority FROM orders ORDER BY o_custkey, o_orderdate, o_orderkey",
+    "upstream_pairs": with_ctes(SEGMENTS, POINTS) +
+        f" SELECT a.notation_id, b.linear_feature_id FROM points a JOIN segments b ON {d_up('a', 'b')}",
+    "upstream_segments": with_ctes(SEGMENTS, POINTS) +
+        f" SELECT DISTINCT b.linear_feature_id FROM points a JOIN segments b ON {d_up('a', 'b')}",
+    "downstream_points": with_ctes(SEGMENTS, POINTS) +
+        f" SELECT a.linear_feature_id, b.notation_id, row_number() OVER (PARTITION BY a.linear_feature_id ORDER BY {ORDER})"
+        f" AS position FROM segments a JOIN points b ON {d_up('b', 'a')}",
+    "point_on_segment": with_ctes(SEGMENTS, POINTS) +
+        " SELECT a.notation_id, b.linear_feature_id FROM points a JOIN segments b ON a.blue_line_key = b.blue_line_key"
+        " AND a.downstream_route_measure >= b.downstream_route_measure AND a.downstream_route_measure < b.upstream_route_measure",
+    "side_channel_candidates": with_ctes(SEGMENTS, POINTS) +
+        " SELECT a.notation_id, b.linear_feature_id FROM points a JOIN segments b ON a.wscode = b.wscode"
+        " AND b.localcode IS NULL AND b.blue_line_key <> b.watershed_key",
+    "work_segments": with_ctes(SEGMENTS, POINTS, WORK) +
+        " SELECT linear_feature_id, blue_line_key, watershed_key, round(downstream_route_measure, 6) AS downstream_route_measure,"
+        " round(upstream_route_measure, 6) AS upstream_route_measure, watershed_group_code, segmented_stream_id FROM streams0",
+    "break_segments": with_ctes(SEGMENTS, POINTS, WORK, BREAK) +
+        " SELECT segmented_stream_id, linear_feature_id, blue_line_key, round(downstream_route_measure, 6) AS downstream_route_measure,"
+        " round(upstream_route_measure, 6) AS upstream_route_measure FROM pieces",
+    "next_break": with_ctes(SEGMENTS, POINTS, WORK, BREAK) +
+        " SELECT segmented_stream_id, linear_feature_id, round(downstream_route_measure, 6) AS downstream_route_measure,"
+        " round(upstream_route_measure, 6) AS upstream_route_measure FROM new_measures",
+    "point_id_list": with_ctes(SEGMENTS, POINTS, WORK, BREAK, MAIN) +
+        " SELECT segmented_stream_id, notation_id_list FROM main_list",
+    "primary_type": with_ctes(SEGMENTS, POINTS, WORK, BREAK, MAIN) +
+        " SELECT segmented_stream_id, primary_notation_type FROM main_list",
+    "run_collapse": "SELECT user_id, event_id, event_type FROM (SELECT user_id, event_id, event_type,"
+                    " lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events)"
+                    " WHERE prev IS NULL OR prev <> event_type",
+    "stream_list": with_ctes(SEGMENTS, POINTS, WORK, BREAK, MAIN) + f" SELECT {LIST_COLS} FROM main_list",
+    "start_of_route": with_ctes(*LISTS) +
+        " SELECT notation_id, watershed_group_code, bool_or(start_of_stream_ind) AS start_of_stream_ind"
+        " FROM start_of_stream GROUP BY notation_id, watershed_group_code",
+    "multi_point_codes": with_ctes(*LISTS) + " SELECT wscode FROM multi_codes",
+    "side_channels": with_ctes(*LISTS) + f" SELECT {LIST_COLS} FROM side_list",
+    "stream_list_all": with_ctes(*LISTS) + " " + ALL_LIST,
+    "nearest_segment": with_ctes(SEGMENTS, POINTS, SRC_POINTS, VERTICES, PAIRS, SNAP) +
+        " SELECT notation_id, linear_feature_id, round(distance_to_stream, 6) AS distance_to_stream FROM snapped",
+    "snap_measure": with_ctes(SEGMENTS, POINTS, SRC_POINTS, VERTICES, PAIRS, SNAP) +
+        " SELECT notation_id, linear_feature_id, blue_line_key, round(downstream_route_measure, 6) AS downstream_route_measure,"
+        " wscode, localcode, watershed_group_code FROM snapped",
+    "locate_along": with_ctes(SEGMENTS, POINTS, SRC_POINTS, VERTICES, PAIRS, SNAP, LOCATE) +
+        " SELECT notation_id,"
+        " round(ax + (CASE WHEN bm - am = 0 THEN 0.0 ELSE (pm - am) / (bm - am) END) * (bx - ax), 6) AS x,"
+        " round(ay + (CASE WHEN bm - am = 0 THEN 0.0 ELSE (pm - am) / (bm - am) END) * (b_y - ay), 6) AS y FROM loc_pair",
+    "clip_lines": with_ctes(*LISTS, VERTICES, PAIRS, CLIP) +
+        " SELECT segmented_stream_id, CAST(row_number() OVER (PARTITION BY segmented_stream_id ORDER BY which, m) - 1 AS INTEGER)"
+        " AS vertex_index, round(x, 6) AS x, round(y, 6) AS y FROM clip_pts",
+    "attr_link": with_ctes(SEGMENTS, POINTS, AQUIFER_LINK) + " SELECT * FROM aquifer_link ORDER BY aquifer_id, notation_description",
+    "table_fingerprint": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, n_rows, hash_sum FROM ({_fingerprint(t, cols)})"
+        for t, cols in FINGERPRINT_COLUMNS.items()),
+    "change_status": "WITH " + CHANGE + " SELECT * FROM status",
+    "change_sync": "WITH " + CHANGE + """,
+test AS (SELECT path, 'test' AS env, etag FROM state WHERE path < 'orders/4'),
+synced AS (
+  SELECT path, env, etag FROM test
+  UNION ALL SELECT path, 'prod' AS env, etag FROM cur)
+SELECT * FROM synced WHERE NOT (path = 'orders/3-MEDIUM.parquet' AND env = 'test')""",
+    "change_route": "WITH " + CHANGE + """
+SELECT o.o_orderkey, o.path,
+  CASE WHEN s.has_changed THEN 'CHANGES' ELSE 'NO_CHANGES' END AS port, 'orders.parquet' AS source_file
+FROM objects o JOIN status s ON s.path = o.path AND s.env = 'prod'""",
+    "url_to_path": f"""SELECT page_id, object_path,
+  regexp_replace(object_path, '^(.*[^/.][^/]*)\\.[^./]*$', '\\1') || '.prod.filechange' AS cache_key
+FROM (SELECT page_id, {URL_PATH} AS object_path FROM pages)""",
+    "snapshot_diff": "WITH " + AFTER.strip("\n") + f"""
+SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey,
+  CASE WHEN b.o_orderkey IS NULL THEN 'added' WHEN a.o_orderkey IS NULL THEN 'removed' ELSE 'changed' END AS change
+FROM bef b FULL OUTER JOIN aft a ON b.o_orderkey = a.o_orderkey
+WHERE b.o_orderkey IS NULL OR a.o_orderkey IS NULL
+   OR {_row_hash(['b.o_custkey', 'b.o_orderstatus', 'b.o_orderpriority'])} <> {_row_hash(['a.o_custkey', 'a.o_orderstatus', 'a.o_orderpriority'])}""",
+    "sink_refresh": with_ctes(*LISTS) + " " + ALL_LIST,
+    "sink_by_group": with_ctes(*LISTS) + " " + ALL_LIST,
+    "gated_run": with_ctes(*LISTS) + " " + ALL_LIST,
+    "ingest_available_now": "SELECT event_id, user_id, event_type, round(value, 6) AS value FROM events",
+}

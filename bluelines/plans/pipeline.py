@@ -25,7 +25,7 @@ from bluelines.sources import fixtures
 from bluelines.sources.tables import Tables
 
 PIECE_ATTRS = ["linear_feature_id", "segmented_stream_id", "blue_line_key", "fwa_watershed_code",
-               "downstream_route_measure", "upstream_route_measure"]
+               "downstream_route_measure", "upstream_route_measure", "watershed_group_code"]
 
 OUTPUT_COLS = ["linear_feature_id", "notation_id_list", "primary_notation_type", "secondary_notation_types",
                "fwa_watershed_code", "blue_line_key", "downstream_route_measure", "upstream_route_measure"]
@@ -93,7 +93,8 @@ class Network:
     def stream_list(self) -> DataFrame:
         """Per piece with a local code: the ordered list of the points downstream of it."""
         agg = self.main_pairs().groupBy(*PIECE_ATTRS).agg(lists.collect_ordered())
-        return agg.select("segmented_stream_id", *OUTPUT_COLS[:1], *lists.list_columns(), *OUTPUT_COLS[4:])
+        return agg.select("segmented_stream_id", *OUTPUT_COLS[:1], *lists.list_columns(), *OUTPUT_COLS[4:],
+                          "watershed_group_code")
 
     # ---- side channels ------------------------------------------------------------------
     @cached_property
@@ -119,7 +120,8 @@ class Network:
     @cached_property
     def side_list(self) -> DataFrame:
         agg = self.side_pairs().groupBy(*PIECE_ATTRS).agg(lists.collect_ordered(distinct=True))
-        return agg.select("segmented_stream_id", *OUTPUT_COLS[:1], *lists.list_columns(), *OUTPUT_COLS[4:])
+        return agg.select("segmented_stream_id", *OUTPUT_COLS[:1], *lists.list_columns(), *OUTPUT_COLS[4:],
+                          "watershed_group_code")
 
     @cached_property
     def stream_list_all(self) -> DataFrame:
@@ -132,4 +134,9 @@ class Network:
 
     @cached_property
     def snapped(self) -> DataFrame:
-        return snapping.nearest_segment(bounded_broadcast(self.points_src), self.lines)
+        """Points snapped to the nearest segment of their line (materialised: small, reused)."""
+        return materialize(snapping.nearest_segment(bounded_broadcast(self.points_src), self.lines))
+
+    @cached_property
+    def snapped_points(self) -> DataFrame:
+        return self.snapped.select("notation_id", "blue_line_key", "downstream_route_measure")
