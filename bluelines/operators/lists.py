@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bluelines.functions.lists import LIST_SEPARATOR, secondary_types, type_priority
+from bluelines.functions.lists import LIST_SEPARATOR, collapse_runs, cut_label, type_priority
 
 
 def point_order() -> list:
@@ -40,10 +40,17 @@ def collect_ordered(distinct: bool = False) -> F.Column:
     return F.array_sort(c).alias("pts")
 
 
-def list_columns(pts: str = "pts") -> list:
-    """Output columns from an ordered point list."""
-    ids = F.transform(F.col(pts), lambda p: p["notation_id"])
-    types = F.transform(F.col(pts), lambda p: p["notation_type"])
-    return [F.array_join(ids, LIST_SEPARATOR).alias("notation_id_list"),
-            F.get(types, 0).alias("primary_notation_type"),
-            secondary_types(types).alias("secondary_notation_types")]
+def with_list_columns(df: DataFrame, pts: str = "pts") -> DataFrame:
+    """Replace the ordered point list ``pts`` by the output columns (id list, primary type,
+    secondary types). Intermediate arrays are separate projections, so each is computed once."""
+    d = df.withColumns({
+        "_ids": F.transform(F.col(pts), lambda p: p["notation_id"]),
+        "_types": F.transform(F.col(pts), lambda p: p["notation_type"])}).drop(pts)
+    d = d.withColumn("_rest", F.slice("_types", 2, F.greatest(F.size("_types") - 1, F.lit(0))))
+    d = d.withColumn("_runs", collapse_runs(F.col("_rest")))
+    d = d.withColumn("_sec", F.array_join("_runs", LIST_SEPARATOR))
+    return d.withColumns({
+        "notation_id_list": F.array_join("_ids", LIST_SEPARATOR),
+        "primary_notation_type": F.get(F.col("_types"), 0),
+        "secondary_notation_types": F.when(F.size("_runs") > 0, cut_label(F.col("_sec"))),
+    }).drop("_ids", "_types", "_rest", "_runs", "_sec")

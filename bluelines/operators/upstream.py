@@ -61,7 +61,7 @@ def keyed_points(points: DataFrame, extra: list[str] | None = None) -> DataFrame
     """Points renamed with ``p_`` and exploded to their two join tags."""
     cols = [c for c in POINT_COLS + (extra or []) if c in points.columns]
     renamed = points.select(*[F.col(c).alias(P + c) for c in cols])
-    return renamed.withColumn("_k", F.explode(point_keys(F.col(P + "blue_line_key"), F.col(P + "wscode"))))
+    return renamed.withColumn("_pk", F.explode(point_keys(F.col(P + "blue_line_key"), F.col(P + "wscode"))))
 
 
 def keyed_lines(lines: DataFrame) -> DataFrame:
@@ -104,7 +104,7 @@ def same_code_residual() -> Column:
 def line_point_pairs(lines: DataFrame, kpoints: DataFrame, residual: Column) -> DataFrame:
     """All (line row, point) pairs for which ``residual`` holds; ``kpoints`` from ``keyed_points``
     (already marked for broadcast by the caller)."""
-    return keyed_lines(lines).join(kpoints, "_k").where(residual)
+    return keyed_lines(lines).join(kpoints, (F.col("_k") == F.col("_pk")) & residual).drop("_pk")
 
 
 def upstream_pairs(lines: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
@@ -116,8 +116,9 @@ def work_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLER
     """Segments to work on: upstream of a point, holding a point, or an unplaceable side channel
     with a point's code (a disjunctive join written as one tagged equi join).
 
-    The result is one row per segment (de-duplicated by ``linear_feature_id``).
+    A left-semi join: each tagged row stops at its first matching point, so no pair is built;
+    the few tagged rows of one segment are then de-duplicated (partial aggregation first).
     """
-    hit = line_point_pairs(segments, kpoints,
-                           upstream_residual(tolerance) | on_segment_residual() | side_candidate_residual())
-    return hit.select(*segments.columns).dropDuplicates(["linear_feature_id"])
+    cond = upstream_residual(tolerance) | on_segment_residual() | side_candidate_residual()
+    hit = keyed_lines(segments).join(kpoints, (F.col("_k") == F.col("_pk")) & cond, "left_semi")
+    return hit.drop("_k").dropDuplicates(["linear_feature_id"])

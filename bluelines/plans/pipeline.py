@@ -45,12 +45,12 @@ class Network:
     @cached_property
     def segments(self) -> DataFrame:
         """The network (materialised: read by every stage)."""
-        return materialize(fixtures.network(self.tables))
+        return materialize(fixtures.network(self.tables), "network")
 
     @cached_property
     def points(self) -> DataFrame:
         """Snapped points with their list rank (materialised: small, read many times)."""
-        return materialize(lists.rank_points(fixtures.points(self.segments)))
+        return materialize(lists.rank_points(fixtures.points(self.segments)), "points")
 
     @cached_property
     def points_b(self) -> DataFrame:
@@ -60,7 +60,7 @@ class Network:
     def kpoints(self) -> DataFrame:
         """Points exploded to their join tags, broadcast behind a row-count check."""
         kp = upstream.keyed_points(self.points, extra=["prank"])
-        return bounded_broadcast(materialize(kp))
+        return bounded_broadcast(materialize(kp, "keyed-points"))
 
     @cached_property
     def vertices(self) -> DataFrame:
@@ -78,23 +78,28 @@ class Network:
 
     @cached_property
     def breakpoints(self) -> DataFrame:
-        return bounded_broadcast(materialize(breaking.breakpoints(self.points)))
+        return bounded_broadcast(materialize(breaking.breakpoints(self.points), "breakpoints"))
 
     @cached_property
     def pieces(self) -> DataFrame:
         """Work segments cut at the points (materialised: read by both list builders)."""
-        return materialize(breaking.break_lines(self.work, self.breakpoints))
+        return materialize(breaking.break_lines(self.work, self.breakpoints), "pieces")
 
     def main_pairs(self) -> DataFrame:
-        main = self.pieces.where(F.col("localcode").isNotNull())
+        # the small piece table is shuffled by line id once; pairing (broadcast join) and the
+        # list aggregation by line then run in the same stage, so the pairs are never shuffled
+        main = self.pieces.where(F.col("localcode").isNotNull()).repartition("linear_feature_id")
         return upstream.upstream_pairs(main, self.kpoints, self.tolerance)
 
+    @staticmethod
+    def _lists(pairs: DataFrame, distinct: bool) -> DataFrame:
+        agg = pairs.groupBy(*PIECE_ATTRS).agg(lists.collect_ordered(distinct))
+        return lists.with_list_columns(agg).select("segmented_stream_id", *OUTPUT_COLS, "watershed_group_code")
+
     @cached_property
     def stream_list(self) -> DataFrame:
         """Per piece with a local code: the ordered list of the points downstream of it."""
-        agg = self.main_pairs().groupBy(*PIECE_ATTRS).agg(lists.collect_ordered())
-        return agg.select("segmented_stream_id", *OUTPUT_COLS[:1], *lists.list_columns(), *OUTPUT_COLS[4:],
-                          "watershed_group_code")
+        return self._lists(self.main_pairs(), distinct=False)
 
     # ---- side channels ------------------------------------------------------------------
     @cached_property
@@ -115,13 +120,13 @@ class Network:
 
     def side_pairs(self) -> DataFrame:
         res = upstream.upstream_residual(self.tolerance) | upstream.same_code_residual()
-        return upstream.line_point_pairs(self.side_pieces, self.kpoints, res).drop("_k")
+        side = self.side_pieces.repartition("linear_feature_id")
+        return upstream.line_point_pairs(side, self.kpoints, res).drop("_k")
 
     @cached_property
     def side_list(self) -> DataFrame:
-        agg = self.side_pairs().groupBy(*PIECE_ATTRS).agg(lists.collect_ordered(distinct=True))
-        return agg.select("segmented_stream_id", *OUTPUT_COLS[:1], *lists.list_columns(), *OUTPUT_COLS[4:],
-                          "watershed_group_code")
+        """Per side-channel piece: its list; a point reached through both tags counts once."""
+        return self._lists(self.side_pairs(), distinct=True)
 
     @cached_property
     def stream_list_all(self) -> DataFrame:
@@ -130,12 +135,12 @@ class Network:
     # ---- snapping -----------------------------------------------------------------------
     @cached_property
     def points_src(self) -> DataFrame:
-        return materialize(fixtures.points_src(self.segments))
+        return materialize(fixtures.points_src(self.segments), "points-src")
 
     @cached_property
     def snapped(self) -> DataFrame:
         """Points snapped to the nearest segment of their line (materialised: small, reused)."""
-        return materialize(snapping.nearest_segment(bounded_broadcast(self.points_src), self.lines))
+        return materialize(snapping.nearest_segment(bounded_broadcast(self.points_src), self.lines), "snapped")
 
     @cached_property
     def snapped_points(self) -> DataFrame:

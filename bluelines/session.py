@@ -17,6 +17,9 @@ ENGINE_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     # Hash joins on equality keys; the upstream rewrite never needs a nested loop.
     "spark.sql.join.preferSortMergeJoin": "true",
+    # Per-piece lists are built with collect_list; keep the hash-based aggregation for many keys
+    # per task instead of falling back to sorting all input rows after 128 keys.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 
@@ -78,7 +81,13 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base}/bluelines-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage: write ``df`` once as Parquet below the shared checkpoint folder and read it back.
+
+    The written table survives the loss of executors, is computed exactly once (an RDD checkpoint
+    of an uncached plan computes it twice), and later reads get column pruning, filter pushdown
+    and real size statistics.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
