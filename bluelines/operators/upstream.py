@@ -112,6 +112,13 @@ def upstream_pairs(lines: DataFrame, kpoints: DataFrame, tolerance: float = TOLE
     return line_point_pairs(lines, kpoints, upstream_residual(tolerance)).drop("_k")
 
 
+def upstream_lines(lines: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """Line rows with at least one point downstream (a semi join: ``select distinct`` over the
+    pair join without building the pairs)."""
+    cond = (F.col("_k") == F.col("_pk")) & upstream_residual(tolerance)
+    return keyed_lines(lines).join(kpoints, cond, "left_semi").drop("_k").dropDuplicates(["linear_feature_id"])
+
+
 def work_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """Segments to work on: upstream of a point, holding a point, or an unplaceable side channel
     with a point's code (a disjunctive join written as one tagged equi join).

@@ -133,8 +133,9 @@ def q_first_per_key(spark, d):
 
 
 # ---- upstream / downstream ----------------------------------------------------------------
-def _segment_pairs(n: Network) -> DataFrame:
-    return upstream.upstream_pairs(n.segments, n.kpoints)
+def _segment_pairs(n: Network, by_line: bool = False) -> DataFrame:
+    seg = n.segments.repartition("linear_feature_id") if by_line else n.segments
+    return upstream.upstream_pairs(seg, n.kpoints)
 
 
 def q_upstream_pairs(spark, d):
@@ -143,14 +144,13 @@ def q_upstream_pairs(spark, d):
 
 def q_upstream_segments(spark, d):
     n = network(spark, d)
-    hit = _segment_pairs(n).select("linear_feature_id")
-    return n.segments.join(hit, "linear_feature_id", "left_semi").select("linear_feature_id")
+    return upstream.upstream_lines(n.segments, n.kpoints).select("linear_feature_id")
 
 
 def q_downstream_points(spark, d):
     """Per segment, the points below it in list order with their position (1 = first)."""
     n = network(spark, d)
-    agg = _segment_pairs(n).groupBy("linear_feature_id").agg(lists.collect_ordered())
+    agg = _segment_pairs(n, by_line=True).groupBy("linear_feature_id").agg(lists.collect_ordered())
     return agg.select("linear_feature_id", F.posexplode("pts").alias("pos", "p")).select(
         "linear_feature_id", F.col("p.notation_id").alias("notation_id"),
         (F.col("pos") + 1).cast("bigint").alias("position"))

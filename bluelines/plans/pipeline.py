@@ -34,23 +34,32 @@ OUTPUT_COLS = ["linear_feature_id", "notation_id_list", "primary_notation_type",
 class Network:
     """All stages of the job over one data folder; every stage is built once, lazily."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, tolerance: float = upstream.TOLERANCE):
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, tolerance: float = upstream.TOLERANCE,
+                 segments: DataFrame | None = None, points: DataFrame | None = None,
+                 points_src: DataFrame | None = None, vertices: DataFrame | None = None):
+        """Over the fixture network of ``sf_dir``, or over given tables: ``segments``
+        (``schemas.SEGMENTS``), snapped ``points`` (``schemas.NOTATIONS``), raw ``points_src`` and
+        line ``vertices`` (linear_feature_id, seq, x, y, m)."""
         apply_defaults(spark)
         self.spark = spark
         self.sf_dir = sf_dir
-        self.tables = Tables(spark, sf_dir)
+        self.tables = Tables(spark, sf_dir) if sf_dir else None
         self.tolerance = tolerance
+        self._given = {"segments": segments, "points": points, "points_src": points_src, "vertices": vertices}
 
     # ---- inputs -------------------------------------------------------------------------
     @cached_property
     def segments(self) -> DataFrame:
         """The network (materialised: read by every stage)."""
-        return materialize(fixtures.network(self.tables), "network")
+        seg = self._given["segments"]
+        return materialize(fixtures.network(self.tables) if seg is None else seg, "network")
 
     @cached_property
     def points(self) -> DataFrame:
         """Snapped points with their list rank (materialised: small, read many times)."""
-        return materialize(lists.rank_points(fixtures.points(self.segments)), "points")
+        pts = self._given["points"]
+        pts = fixtures.points(self.segments) if pts is None else pts
+        return materialize(lists.rank_points(pts), "points")
 
     @cached_property
     def points_b(self) -> DataFrame:
@@ -64,7 +73,8 @@ class Network:
 
     @cached_property
     def vertices(self) -> DataFrame:
-        return fixtures.vertices(self.segments)
+        v = self._given["vertices"]
+        return fixtures.vertices(self.segments) if v is None else v
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -130,12 +140,14 @@ class Network:
 
     @cached_property
     def stream_list_all(self) -> DataFrame:
-        return self.stream_list.unionByName(self.side_list)
+        """Main and side-channel lists (materialised: the output, read by sinks and geometry)."""
+        return materialize(self.stream_list.unionByName(self.side_list), "stream-list")
 
     # ---- snapping -----------------------------------------------------------------------
     @cached_property
     def points_src(self) -> DataFrame:
-        return materialize(fixtures.points_src(self.segments), "points-src")
+        src = self._given["points_src"]
+        return materialize(fixtures.points_src(self.segments) if src is None else src, "points-src")
 
     @cached_property
     def snapped(self) -> DataFrame:
