@@ -45,19 +45,20 @@ def fingerprint(df: DataFrame, group: list[str] | None = None, cols: list[str] |
     return agg.withColumn("etag", F.concat_ws(":", F.col("n_rows").cast("string"), F.col("hash_sum").cast("string")))
 
 
-def change_status(current: DataFrame, state: DataFrame, envs: DataFrame) -> DataFrame:
-    """``current(path, etag)``, ``state(path, env, etag)``, ``envs(env)`` ->
+def change_status(current: DataFrame, state: DataFrame, envs: list[str]) -> DataFrame:
+    """``current(path, etag)``, ``state(path, env, etag)``, target environments ->
     ``(path, env, current_etag, cached_etag, has_changed)``.
 
     No cached fingerprint counts as changed (first run); otherwise changed when they differ.
-    ``envs`` is tiny (target environments) and broadcast."""
-    cur = current.select("path", F.col("etag").alias("current_etag")).join(F.broadcast(envs))
+    Each object row is expanded to its environments (a generator, no join)."""
+    cur = current.select("path", F.col("etag").alias("current_etag"),
+                         F.explode(F.array(*[F.lit(e) for e in envs])).alias("env"))
     cached = state.select("path", "env", F.col("etag").alias("cached_etag"))
     j = cur.join(cached, ["path", "env"], "left")
     return j.withColumn("has_changed", ~F.col("current_etag").eqNullSafe(F.col("cached_etag")))
 
 
-def sync_state(state: DataFrame, current: DataFrame, env: str, changed_only: DataFrame | None = None) -> DataFrame:
+def sync_state(state: DataFrame, current: DataFrame, env: str) -> DataFrame:
     """State after a successful run for ``env``: fingerprints of the current objects replace the
     cached ones; objects that no longer exist lose their cache entry; other envs are untouched."""
     others = state.where(F.col("env") != env)
@@ -74,7 +75,7 @@ def route_rows(rows: DataFrame, status: DataFrame, path_col: str = "path") -> Da
     """Tag every row ``TRUE``/``FALSE`` from its object's status and route it to port ``CHANGES`` or
     ``NO_CHANGES``; rows with no or another tag are discarded; helper columns are dropped.
 
-    ``status(path, has_changed)`` has one row per object (small, broadcast)."""
+    ``status(path, has_changed)`` has one row per object (bounded by the object listing, broadcast)."""
     tag = F.when(F.col("has_changed"), F.lit("TRUE")).when(~F.col("has_changed"), F.lit("FALSE"))
     tagged = rows.join(F.broadcast(status.select(F.col("path").alias(path_col), "has_changed")), path_col, "left") \
                  .withColumn("change_detected", tag)

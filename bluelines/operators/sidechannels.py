@@ -36,6 +36,7 @@ def line_positions(points: DataFrame, pieces: DataFrame) -> DataFrame:
     own = points.select("notation_id", "linear_feature_id", "blue_line_key", "downstream_route_measure").join(
         first, "linear_feature_id")
     k = points.groupBy("blue_line_key").agg(F.count(F.lit(1)).alias("k"))
+    # ``own`` has at most one row per point (the point table's size is checked before broadcast)
     below = (pieces.select("blue_line_key", "watershed_group_code", F.col("downstream_route_measure").alias("dm"))
              .join(F.broadcast(own.select("notation_id", "blue_line_key", "watershed_group_code", "seg_dm")),
                    ["blue_line_key", "watershed_group_code"])
@@ -63,7 +64,8 @@ def multi_point_codes(points: DataFrame) -> DataFrame:
 
 def side_pieces(pieces: DataFrame, starts: DataFrame, multi: DataFrame) -> DataFrame:
     """Channel pieces (no local code, not the main flow line) of the groups with a start point,
-    minus codes with several points. ``starts``/``multi`` are small (broadcast)."""
+    minus codes with several points. ``starts``/``multi`` have at most one row per point, so their
+    size is bounded by the (checked) point table and they are broadcast."""
     groups = starts.where(F.col("start_of_stream_ind")).select("watershed_group_code").distinct()
     return (pieces.where(F.col("localcode").isNull() & (F.col("blue_line_key") != F.col("watershed_key")))
             .join(F.broadcast(groups), "watershed_group_code", "left_semi")

@@ -256,6 +256,21 @@ def q_clip_lines(spark, d):
                                                           round6("x").alias("x"), round6("y").alias("y"))
 
 
+def snapped_network(spark: SparkSession, d: str) -> Network:
+    """The whole job as the reference runs it: raw points snapped to the nearest segment of their
+    line, the code override applied, then work segments, breaking and lists on those points."""
+    key = ("snapped", spark.sparkContext.applicationId, d)
+    if key not in _NETWORKS:
+        base = network(spark, d)
+        notations = override_codes(base.snapped).select(*[f.name for f in schemas.NOTATIONS.fields])
+        _NETWORKS[key] = Network(spark, segments=base.segments, points=notations)
+    return _NETWORKS[key]
+
+
+def q_full_run(spark, d):
+    return _out(snapped_network(spark, d).stream_list_all)
+
+
 def q_attr_link(spark, d):
     n = network(spark, d)
     aq = fixtures.aquifers(n.tables)
@@ -283,8 +298,7 @@ def _change_inputs(spark, d):
     o = orders_objects(Tables(spark, d).orders)
     current = changes.fingerprint(o, ["path"])
     state = changes.fingerprint(orders_previous(o), ["path"]).select("path", F.lit("prod").alias("env"), "etag")
-    envs = spark.createDataFrame([(e,) for e in ENVS], "env string")
-    return o, current, state, envs
+    return o, current, state, ENVS
 
 
 def q_table_fingerprint(spark, d):
@@ -418,6 +432,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snap_measure": q_snap_measure,
     "locate_along": q_locate_along,
     "clip_lines": q_clip_lines,
+    "full_run": q_full_run,
     "attr_link": q_attr_link,
     "table_fingerprint": q_table_fingerprint,
     "change_status": q_change_status,

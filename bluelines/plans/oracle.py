@@ -250,6 +250,14 @@ clip_pts AS (
   SELECT p.segmented_stream_id, 1, v.m, v.x, v.y FROM all_pieces p
   JOIN vertices v ON v.linear_feature_id = p.linear_feature_id AND v.m > p.m0 AND v.m < p.m1)"""
 
+SNAPPED_POINTS = """
+points AS (
+  SELECT s.notation_id, f.notation_type, f.notation_description, s.linear_feature_id, s.blue_line_key,
+    s.downstream_route_measure, s.wscode,
+    CASE WHEN s.localcode = '300.432687.380566.184025' THEN '300.432687.380566.173400' ELSE s.localcode END AS localcode,
+    s.watershed_group_code
+  FROM snapped s JOIN points_src f ON f.notation_id = s.notation_id)"""
+
 AQUIFER_LINK = """
 aquifer_link AS (
   SELECT CAST(a.p_partkey AS INTEGER) AS aquifer_id, n.notation_id, n.notation_description
@@ -418,6 +426,9 @@ SELECT {LINE_COLS} FROM inc i WHERE NOT EXISTS
     "clip_lines": with_ctes(*LISTS, VERTICES, PAIRS, CLIP) +
         " SELECT segmented_stream_id, CAST(row_number() OVER (PARTITION BY segmented_stream_id ORDER BY which, m) - 1 AS INTEGER)"
         " AS vertex_index, round(x, 6) AS x, round(y, 6) AS y FROM clip_pts",
+    "full_run": with_ctes(SEGMENTS, POINTS.replace("points AS (", "fixture_points AS (", 1),
+                          SRC_POINTS.replace("FROM points)", "FROM fixture_points)"), VERTICES, PAIRS, SNAP, SNAPPED_POINTS,
+                          WORK, BREAK, MAIN, SIDE) + " " + ALL_LIST,
     "attr_link": with_ctes(SEGMENTS, POINTS, AQUIFER_LINK) + " SELECT * FROM aquifer_link ORDER BY aquifer_id, notation_description",
     "table_fingerprint": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, n_rows, hash_sum FROM ({_fingerprint(t, cols)})"

@@ -24,12 +24,14 @@ def write_by_group(df: DataFrame, path: str, group_col: str = "watershed_group_c
                    compression: str = "zstd") -> None:
     """Replace only the groups present in ``df``; other groups' files stay (dynamic overwrite).
 
-    Rows are clustered by group before the write so each task writes few files."""
+    Rows are clustered by group before the write so each task writes few files; the ``rebalance``
+    hint lets AQE split a group that holds a large share of the rows over several tasks instead of
+    one (a plain ``repartition(group)`` would send a hot group to a single task)."""
     spark = df.sparkSession
     old = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        (df.repartition(group_col).write.mode("overwrite").partitionBy(group_col)
+        (df.hint("rebalance", group_col).write.mode("overwrite").partitionBy(group_col)
          .option("compression", compression).parquet(path))
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)

@@ -64,7 +64,7 @@ def test_sync_then_status_is_unchanged(spark):
     o = catalogue.orders_objects(catalogue.Tables(spark, SF_SMALL).orders)
     current = changes.fingerprint(o, ["path"])
     state = spark.createDataFrame([], schemas.CHANGE_STATE)
-    envs = spark.createDataFrame([("prod",)], "env string")
+    envs = ["prod"]
     first = changes.change_status(current, state, envs)
     assert first.where("has_changed").count() == first.count() > 0          # no cache: changed
     synced = changes.sync_state(state, current, "prod")
