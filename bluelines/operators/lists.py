@@ -54,3 +54,46 @@ def with_list_columns(df: DataFrame, pts: str = "pts") -> DataFrame:
         "primary_notation_type": F.get(F.col("_types"), 0),
         "secondary_notation_types": F.when(F.size("_runs") > 0, cut_label(F.col("_sec"))),
     }).drop("_ids", "_types", "_rest", "_runs", "_sec")
+
+
+def shared_lists(main: DataFrame, kpoints: DataFrame, attrs: list[str], tolerance: float) -> DataFrame:
+    """Ordered point lists of line pieces, with the part inherited from ancestor codes computed
+    once per distinct code instead of once per piece.
+
+    The points downstream of a piece are (a) points on its own flow line below it, (b) points on
+    its own code below its local code, and (c) points on every ancestor code that its stream enters
+    above. (a) and (b) depend on the piece and are paired directly (few per piece); (c) depends only
+    on the piece's code, so it is built per distinct code and joined back on the code (a hot code
+    is split by AQE's skew join). The parts are disjoint; ``array_sort`` on the point rank merges
+    them. Returns ``attrs`` + ``pts`` for pieces with at least one point.
+    """
+    from bluelines.operators import upstream  # local import: upstream imports nothing from here
+
+    # (a) + (b): every piece kept (left join), pairs aggregated where the pieces already are
+    direct = (upstream.keyed_lines(main, "direct")
+              .join(kpoints, (F.col("_k") == F.col("_pk")) & upstream.upstream_residual(tolerance), "left")
+              .groupBy(*attrs, "wscode")
+              .agg(F.collect_list(F.when(F.col("p_prank").isNotNull(), point_entry())).alias("direct")))
+    # (c): once per distinct code of the pieces, sorted once per code
+    inherited_entry = F.struct(F.col("p_prank").alias("prank"), F.col("p_notation_id").alias("notation_id"),
+                               F.col("p_notation_type").alias("notation_type"),
+                               F.col("p_blue_line_key").alias("pblk"))
+    by_code = (upstream.keyed_lines(main.select("wscode").distinct(), "ancestors")
+               .join(kpoints, (F.col("_k") == F.col("_pk")) & upstream.ancestor_condition())
+               .groupBy("wscode").agg(F.array_sort(F.collect_list(inherited_entry)).alias("_inh"))
+               .select("wscode",
+                       F.transform("_inh", lambda e: F.struct(e["prank"].alias("prank"),
+                                                              e["notation_id"].alias("notation_id"),
+                                                              e["notation_type"].alias("notation_type"))).alias("inherited"),
+                       F.transform("_inh", lambda e: e["pblk"]).alias("inherited_lines")))
+    j = direct.join(by_code, "wscode", "left")
+    blk = F.col("blue_line_key")
+    # a point of an ancestor code on the piece's own flow line is not inherited (it is paired
+    # directly); the element-wise filter runs only where such a point exists
+    inh = (F.when(F.array_contains("inherited_lines", blk),
+                  F.filter("inherited", lambda e, i: F.get(F.col("inherited_lines"), i) != blk))
+            .otherwise(F.col("inherited")))
+    pts = (F.when(F.col("inherited").isNull(), F.array_sort("direct"))
+            .when(F.size("direct") == 0, inh)
+            .otherwise(F.array_sort(F.concat(F.col("direct"), inh))))
+    return j.select(*attrs, pts.alias("pts")).where(F.size("pts") > 0)

@@ -58,18 +58,47 @@ def point_keys(blk: Column, w: Column) -> Column:
 
 
 def keyed_points(points: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Points renamed with ``p_`` and exploded to their two join tags."""
+    """Points renamed with ``p_`` and exploded to their two join tags; ``p_ld`` is the local code
+    with a trailing '.', computed once here instead of once per candidate pair."""
     cols = [c for c in POINT_COLS + (extra or []) if c in points.columns]
-    renamed = points.select(*[F.col(c).alias(P + c) for c in cols])
+    renamed = points.select(*[F.col(c).alias(P + c) for c in cols],
+                            F.concat(F.col("localcode"), F.lit(".")).alias("p_ld"))
     return renamed.withColumn("_pk", F.explode(point_keys(F.col(P + "blue_line_key"), F.col(P + "wscode"))))
 
 
-def keyed_lines(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("_k", F.explode(line_keys(F.col("blue_line_key"), F.col("wscode"))))
+HELPERS = ["_k", "_kb", "_wd", "_pk", "p_ld"]
 
 
-def _kind() -> Column:
-    return F.substring(F.col("_k"), 1, 1)
+def _tag(is_line: bool, key: Column) -> Column:
+    return F.struct(F.lit(is_line).alias("_kb"), key.alias("_k"))
+
+
+def keyed_lines(lines: DataFrame, which: str = "all") -> DataFrame:
+    """Line rows exploded to their tags: ``_k`` the tag, ``_kb`` true for the line tag, ``_wd`` the
+    code with a trailing '.' (per row, not per candidate pair).
+
+    ``which``: ``all`` (line, every prefix of the code), ``direct`` (line and the code itself) or
+    ``ancestors`` (the proper prefixes of the code only; no line tag)."""
+    blk, w = F.col("blue_line_key"), F.col("wscode")
+    line_tag = F.array(_tag(True, F.concat(F.lit("b:"), blk.cast("string"))))
+    if which == "all":
+        tags = F.concat(line_tag, F.transform(prefixes(w), lambda p: _tag(False, F.concat(F.lit("w:"), p))))
+    elif which == "direct":
+        tags = F.concat(line_tag, F.array(_tag(False, F.concat(F.lit("w:"), w))))
+    elif which == "ancestors":
+        pre = prefixes(w)
+        tags = F.transform(F.slice(pre, 1, F.size(pre) - 1), lambda p: _tag(False, F.concat(F.lit("w:"), p)))
+    else:
+        raise ValueError(which)
+    return lines.select("*", F.concat(w, F.lit(".")).alias("_wd"), F.inline(tags))
+
+
+def _by_line() -> Column:
+    return F.col("_kb")
+
+
+def _by_code() -> Column:
+    return ~F.col("_kb")
 
 
 def upstream_residual(tolerance: float = TOLERANCE) -> Column:
@@ -77,46 +106,53 @@ def upstream_residual(tolerance: float = TOLERANCE) -> Column:
     blk, dm, w, lc = F.col("blue_line_key"), F.col("downstream_route_measure"), F.col("wscode"), F.col("localcode")
     pb, pm, pw, pl = (F.col(P + "blue_line_key"), F.col(P + "downstream_route_measure"),
                       F.col(P + "wscode"), F.col(P + "localcode"))
-    by_line = (_kind() == "b") & (dm + F.lit(tolerance) >= pm)
+    by_line = _by_line() & (dm + F.lit(tolerance) >= pm)
     codes = lc.isNotNull() & pl.isNotNull() & (blk != pb)
-    by_code = (_kind() == "w") & codes & (
-        ((w == pw) & (lc >= pl)) |
-        ((w != pw) & ((pl == pw) | ((w > pl) & ~is_within(w, pl)))))
+    by_code = _by_code() & codes & (((w == pw) & (lc >= pl)) | ancestor_condition())
     return F.coalesce(by_line | by_code, F.lit(False))
 
 
+def ancestor_condition() -> Column:
+    """Case 3 of D-UP for a ``w:`` tag: the point's code is a proper prefix of the line's code and
+    the line's stream enters above the point. Depends on the line's code only (not its flow line
+    or measure), so it can be evaluated once per distinct code."""
+    w, pw, pl = F.col("wscode"), F.col(P + "wscode"), F.col(P + "localcode")
+    w_under_l = F.startswith(F.col("_wd"), F.col("p_ld"))  # is_within(w, pl) without allocation
+    return (w != pw) & pl.isNotNull() & ((pl == pw) | ((w > pl) & ~w_under_l))
+
+
 def on_segment_residual() -> Column:
     """The point falls on the piece: same line, ``dm <= meas < um``."""
     pm = F.col(P + "downstream_route_measure")
-    return (_kind() == "b") & (pm >= F.col("downstream_route_measure")) & (pm < F.col("upstream_route_measure"))
+    return _by_line() & (pm >= F.col("downstream_route_measure")) & (pm < F.col("upstream_route_measure"))
 
 
 def side_candidate_residual() -> Column:
     """Side channel with the point's code and no local code (cannot be placed exactly)."""
-    return ((_kind() == "w") & (F.col("wscode") == F.col(P + "wscode")) & F.col("localcode").isNull()
+    return (_by_code() & (F.col("wscode") == F.col(P + "wscode")) & F.col("localcode").isNull()
             & (F.col("blue_line_key") != F.col("watershed_key")))
 
 
 def same_code_residual() -> Column:
-    return (_kind() == "w") & (F.col("wscode") == F.col(P + "wscode"))
+    return _by_code() & (F.col("wscode") == F.col(P + "wscode"))
 
 
 def line_point_pairs(lines: DataFrame, kpoints: DataFrame, residual: Column) -> DataFrame:
     """All (line row, point) pairs for which ``residual`` holds; ``kpoints`` from ``keyed_points``
     (already marked for broadcast by the caller)."""
-    return keyed_lines(lines).join(kpoints, (F.col("_k") == F.col("_pk")) & residual).drop("_pk")
+    return keyed_lines(lines).join(kpoints, (F.col("_k") == F.col("_pk")) & residual).drop(*HELPERS)
 
 
 def upstream_pairs(lines: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """(line row, point) for every line row upstream of the point (D-UP)."""
-    return line_point_pairs(lines, kpoints, upstream_residual(tolerance)).drop("_k")
+    return line_point_pairs(lines, kpoints, upstream_residual(tolerance))
 
 
 def upstream_lines(lines: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """Line rows with at least one point downstream (a semi join: ``select distinct`` over the
     pair join without building the pairs)."""
     cond = (F.col("_k") == F.col("_pk")) & upstream_residual(tolerance)
-    return keyed_lines(lines).join(kpoints, cond, "left_semi").drop("_k").dropDuplicates(["linear_feature_id"])
+    return keyed_lines(lines).join(kpoints, cond, "left_semi").drop(*HELPERS).dropDuplicates(["linear_feature_id"])
 
 
 def work_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
@@ -128,4 +164,4 @@ def work_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLER
     """
     cond = upstream_residual(tolerance) | on_segment_residual() | side_candidate_residual()
     hit = keyed_lines(segments).join(kpoints, (F.col("_k") == F.col("_pk")) & cond, "left_semi")
-    return hit.drop("_k").dropDuplicates(["linear_feature_id"])
+    return hit.drop(*HELPERS).dropDuplicates(["linear_feature_id"])

@@ -108,7 +108,15 @@ class Network:
 
     @cached_property
     def stream_list(self) -> DataFrame:
-        """Per piece with a local code: the ordered list of the points downstream of it."""
+        """Per piece with a local code: the ordered list of the points downstream of it; the part
+        inherited from ancestor codes is built once per code (``lists.shared_lists``)."""
+        main = self.pieces.where(F.col("localcode").isNotNull()).repartition("linear_feature_id")
+        agg = lists.shared_lists(main, self.kpoints, PIECE_ATTRS, self.tolerance)
+        return lists.with_list_columns(agg).select("segmented_stream_id", *OUTPUT_COLS, "watershed_group_code")
+
+    @cached_property
+    def stream_list_direct(self) -> DataFrame:
+        """The same lists from one row per (piece, point) pair (reference for the shared form)."""
         return self._lists(self.main_pairs(), distinct=False)
 
     # ---- side channels ------------------------------------------------------------------

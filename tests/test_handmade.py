@@ -113,3 +113,25 @@ def test_side_channel_list(net):
 def test_multi_point_code_excludes_side_channels(net):
     # '100' holds points 150 m apart, '100.000150' points 50.5 m apart; the sub-tributary's code one
     assert {r.wscode for r in net.multi_codes.collect()} == {"100", "100.000150"}
+
+
+def test_shared_lists_equal_direct_pairs(net):
+    cols = ["segmented_stream_id", "notation_id_list", "primary_notation_type", "secondary_notation_types"]
+    a, b = net.stream_list.select(*cols), net.stream_list_direct.select(*cols)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_point_of_an_ancestor_code_on_the_same_line_counts_once(spark):
+    """A flow line that changes code: the point on its lower code is both 'same line' and
+    'ancestor code' for the upper segment; it must be listed once."""
+    seg = spark.createDataFrame([
+        (71, 7, 7, 0.0, 100.0, 100.0, "200", "200", "200", "DDDD"),
+        (72, 7, 7, 100.0, 200.0, 100.0, "200.000100", "200.000100", "200-000100", "DDDD"),
+        (81, 8, 8, 0.0, 100.0, 100.0, "200.000100", "200.000100.000050", "200-000100", "DDDD"),
+    ], schemas.SEGMENTS)
+    pts = spark.createDataFrame([("NO9", "FR", None, 71, 7, 10.0, "200", "200", "DDDD")], schemas.NOTATIONS)
+    n = Network(spark, segments=seg, points=pts)
+    got = {(r.linear_feature_id, r.notation_id_list) for r in n.stream_list.collect()}
+    assert (72, "NO9") in got and (81, "NO9") in got
+    direct = {(r.linear_feature_id, r.notation_id_list) for r in n.stream_list_direct.collect()}
+    assert got == direct

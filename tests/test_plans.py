@@ -31,15 +31,24 @@ def test_no_single_partition_exchange(spark, name):
 
 
 def test_lists_do_not_shuffle_pairs(spark):
-    """Pairs are built and aggregated in one stage: the only exchange of the list plan is the
-    repartition of the (small) piece table by line id."""
+    """Pairs are built and aggregated in one stage: the only exchange of the pair-form list plan is
+    the repartition of the (small) piece table by line id."""
     n = catalogue.network(spark, SF_SMALL)
-    p = n.stream_list._jdf.queryExecution().executedPlan().toString()
+    p = n.stream_list_direct._jdf.queryExecution().executedPlan().toString()
     shuffles = p.count("Exchange") - p.count("BroadcastExchange")
     assert shuffles == 1 and "REPARTITION_BY_COL" in p
     assert "BroadcastHashJoin" in p
 
 
+def test_shared_lists_plan(spark):
+    """The shared form pairs pieces only with their own line and code; ancestor lists are joined
+    on the code with a hash join, never a product."""
+    n = catalogue.network(spark, SF_SMALL)
+    p = n.stream_list._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+    assert "SinglePartition" not in p
+
+
 def test_scan_prunes_columns(spark):
     """Only the needed columns reach the Parquet scan of lineitem in the network build."""
     n = catalogue.network(spark, SF_SMALL)
