@@ -45,6 +45,26 @@ def fingerprint(df: DataFrame, group: list[str] | None = None, cols: list[str] |
     return agg.withColumn("etag", F.concat_ws(":", F.col("n_rows").cast("string"), F.col("hash_sum").cast("string")))
 
 
+def list_objects(spark, root: str, pattern: str = "*") -> DataFrame:
+    """Objects below a folder or prefix with their size and time, as a table (``binaryFile`` source
+    with the content column pruned, so no file is read). ``etag`` is a fingerprint of the
+    object's metadata: name, length and modification time."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+             .option("recursiveFileLookup", "true").load(root)
+             .select("path", "length", "modificationTime"))
+    name = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
+    return files.select("path", name.alias("object_name"), "length", "modificationTime",
+                        F.md5(F.concat_ws("|", name, F.col("length").cast("string"),
+                                          F.col("modificationTime").cast("string"))).alias("etag"))
+
+
+def objects_exist(expected: DataFrame, listing: DataFrame, name_col: str = "object_name") -> DataFrame:
+    """Existence test of expected object names against a listing (left join, one row per name)."""
+    found = listing.select(F.col("object_name").alias(name_col), F.lit(True).alias("_found"), "length")
+    return (expected.join(found, name_col, "left")
+            .select(*expected.columns, F.coalesce("_found", F.lit(False)).alias("exists"), "length"))
+
+
 def change_status(current: DataFrame, state: DataFrame, envs: list[str]) -> DataFrame:
     """``current(path, etag)``, ``state(path, env, etag)``, target environments ->
     ``(path, env, current_etag, cached_etag, has_changed)``.

@@ -310,6 +310,16 @@ def q_table_fingerprint(spark, d):
     return out
 
 
+def q_object_listing(spark, d):
+    """Listing of the input folder as a table and an existence test of every input table's file
+    plus one that is not there; file metadata only, no content is read."""
+    listing = changes.list_objects(spark, d, "*.parquet")
+    expected = spark.createDataFrame([(t, f"{t}.parquet") for t in (*TABLES, "retired")],
+                                     "table_name string, object_name string")
+    return changes.objects_exist(expected, listing).select("table_name", "object_name", "exists",
+                                                            F.col("length").isNotNull().alias("has_length"))
+
+
 def q_change_status(spark, d):
     _, current, state, envs = _change_inputs(spark, d)
     return changes.change_status(current, state, envs)
@@ -435,6 +445,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "full_run": q_full_run,
     "attr_link": q_attr_link,
     "table_fingerprint": q_table_fingerprint,
+    "object_listing": q_object_listing,
     "change_status": q_change_status,
     "change_sync": q_change_sync,
     "change_route": q_change_route,

@@ -433,6 +433,11 @@ SELECT {LINE_COLS} FROM inc i WHERE NOT EXISTS
     "table_fingerprint": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, n_rows, hash_sum FROM ({_fingerprint(t, cols)})"
         for t, cols in FINGERPRINT_COLUMNS.items()),
+    "object_listing": "WITH expected AS (SELECT * FROM (VALUES " + ", ".join(
+        f"('{t}', '{t}.parquet')" for t in list(FINGERPRINT_COLUMNS) + ["retired"]) + """) AS e(table_name, object_name)),
+listing AS (SELECT regexp_extract(file, '([^/]+)$', 1) AS object_name FROM glob('/root/testdata/sf0.01/*.parquet'))
+SELECT e.table_name, e.object_name, l.object_name IS NOT NULL AS exists, l.object_name IS NOT NULL AS has_length
+FROM expected e LEFT JOIN listing l ON l.object_name = e.object_name""",
     "change_status": "WITH " + CHANGE + " SELECT * FROM status",
     "change_sync": "WITH " + CHANGE + """,
 test AS (SELECT path, 'test' AS env, etag FROM state WHERE path < 'orders/4'),
