@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bluelines.functions.codes import is_strictly_within, is_within, prefixes
+from bluelines.functions.codes import depth, is_strictly_within, is_within, level_range, prefix
 
 TOLERANCE = 1.0  # metres; pieces start at a rounded measure
 
@@ -48,9 +48,9 @@ def d_up(blk: Column, dm: Column, w: Column, lc: Column,
 
 
 def line_keys(blk: Column, w: Column) -> Column:
-    """Join tags of a line row: its flow line and every prefix of its code."""
+    """Join tags of a line row: its flow line and every prefix of its code (array form)."""
     return F.concat(F.array(F.concat(F.lit("b:"), blk.cast("string"))),
-                    F.transform(prefixes(w), lambda p: F.concat(F.lit("w:"), p)))
+                    F.transform(level_range(1, depth(w)), lambda n: F.concat(F.lit("w:"), prefix(w, n))))
 
 
 def point_keys(blk: Column, w: Column) -> Column:
@@ -69,28 +69,28 @@ def keyed_points(points: DataFrame, extra: list[str] | None = None) -> DataFrame
 HELPERS = ["_k", "_kb", "_wd", "_pk", "p_ld"]
 
 
-def _tag(is_line: bool, key: Column) -> Column:
-    return F.struct(F.lit(is_line).alias("_kb"), key.alias("_k"))
-
-
 def keyed_lines(lines: DataFrame, which: str = "all") -> DataFrame:
     """Line rows exploded to their tags: ``_k`` the tag, ``_kb`` true for the line tag, ``_wd`` the
     code with a trailing '.' (per row, not per candidate pair).
 
     ``which``: ``all`` (line, every prefix of the code), ``direct`` (line and the code itself) or
-    ``ancestors`` (the proper prefixes of the code only; no line tag)."""
+    ``ancestors`` (the proper prefixes of the code only; no line tag). Level 0 is the line tag,
+    level n the first n levels of the code; one row per level, no lambda functions."""
     blk, w = F.col("blue_line_key"), F.col("wscode")
-    line_tag = F.array(_tag(True, F.concat(F.lit("b:"), blk.cast("string"))))
+    d = F.coalesce(depth(w), F.lit(0))
     if which == "all":
-        tags = F.concat(line_tag, F.transform(prefixes(w), lambda p: _tag(False, F.concat(F.lit("w:"), p))))
+        lv = level_range(0, d)
     elif which == "direct":
-        tags = F.concat(line_tag, F.array(_tag(False, F.concat(F.lit("w:"), w))))
+        lv = F.when(d > 0, F.array(F.lit(0), d)).otherwise(F.array(F.lit(0)))
     elif which == "ancestors":
-        pre = prefixes(w)
-        tags = F.transform(F.slice(pre, 1, F.size(pre) - 1), lambda p: _tag(False, F.concat(F.lit("w:"), p)))
+        lv = level_range(1, d - 1)
     else:
         raise ValueError(which)
-    return lines.select("*", F.concat(w, F.lit(".")).alias("_wd"), F.inline(tags))
+    out = lines.select("*", F.concat(w, F.lit(".")).alias("_wd"), F.explode(lv).alias("_lv"))
+    code_tag = F.concat(F.lit("w:"), prefix(w, F.col("_lv")))
+    tag = code_tag if which == "ancestors" else (
+        F.when(F.col("_lv") == 0, F.concat(F.lit("b:"), blk.cast("string"))).otherwise(code_tag))
+    return out.withColumn("_k", tag).withColumn("_kb", F.col("_lv") == 0).drop("_lv")
 
 
 def _by_line() -> Column:

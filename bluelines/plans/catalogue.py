@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bluelines import schemas
+from bluelines.functions.codes import depth, level_range, prefix
 from bluelines.functions.rounding import piece_key
 from bluelines.operators import changes, lists, runs, snapping, upstream
 from bluelines.operators.common import bounded_broadcast, first_per_key, insert_ignore, round6
@@ -108,7 +109,9 @@ def q_code_descendant(spark, d):
     prefix equi join -- a segment's code has at most one prefix per level."""
     n = network(spark, d)
     pts = F.broadcast(n.points.select("notation_id", F.col("wscode").alias("_root")))
-    seg = n.segments.select("linear_feature_id", F.explode(upstream.prefixes(F.col("wscode"))).alias("_root"))
+    w = F.col("wscode")
+    seg = (n.segments.select("linear_feature_id", "wscode", F.explode(level_range(1, depth(w))).alias("_lv"))
+           .select("linear_feature_id", prefix(w, F.col("_lv")).alias("_root")))
     return seg.join(pts, "_root").groupBy("notation_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_segments"))
 
 

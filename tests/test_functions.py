@@ -99,3 +99,12 @@ def test_point_at_measure_and_between(spark):
     assert [(v.x, v.y) for v in at_vertex] == [(10.0, 0.0), (10.0, 10.0)]
     miss = df.select(geometry.between_measures(F.col("g"), F.lit(30.0), F.lit(40.0)).alias("c")).first().c
     assert miss == []
+
+
+def test_prefixes_any_depth(spark):
+    deep = ".".join(["100"] + [f"{i:06d}" for i in range(1, 25)])   # deeper than the format's 21 levels
+    rows = [("100",), ("100.000300",), ("100.000300.0000000042",), (deep,)]
+    got = one(spark, codes.prefixes(F.col("a")), "a string", rows)
+    assert got[:3] == [["100"], ["100", "100.000300"], ["100", "100.000300", "100.000300.0000000042"]]
+    assert len(got[3]) == 25 and got[3][-1] == deep
+    assert one(spark, codes.level_range(F.lit(1), F.col("n")), "n int", [(0,), (2,)]) == [[], [1, 2]]
