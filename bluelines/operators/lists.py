@@ -70,9 +70,10 @@ def shared_lists(main: DataFrame, kpoints: DataFrame, attrs: list[str], toleranc
     from bluelines.operators import upstream  # local import: upstream imports nothing from here
 
     # (a) + (b): every piece kept (left join), pairs aggregated where the pieces already are
+    keys = list(dict.fromkeys([*attrs, "blue_line_key", "wscode", "localcode"]))
     direct = (upstream.keyed_lines(main, "direct")
               .join(kpoints, (F.col("_k") == F.col("_pk")) & upstream.upstream_residual(tolerance), "left")
-              .groupBy(*attrs, "wscode")
+              .groupBy(*keys)
               .agg(F.collect_list(F.when(F.col("p_prank").isNotNull(), point_entry())).alias("direct")))
     # (c): once per distinct code of the pieces, sorted once per code
     inherited_entry = F.struct(F.col("p_prank").alias("prank"), F.col("p_notation_id").alias("notation_id"),
@@ -93,7 +94,8 @@ def shared_lists(main: DataFrame, kpoints: DataFrame, attrs: list[str], toleranc
     inh = (F.when(F.array_contains("inherited_lines", blk),
                   F.filter("inherited", lambda e, i: F.get(F.col("inherited_lines"), i) != blk))
             .otherwise(F.col("inherited")))
-    pts = (F.when(F.col("inherited").isNull(), F.array_sort("direct"))
+    # a line without a local code inherits nothing (D-UP needs both local codes)
+    pts = (F.when(F.col("inherited").isNull() | F.col("localcode").isNull(), F.array_sort("direct"))
             .when(F.size("direct") == 0, inh)
             .otherwise(F.array_sort(F.concat(F.col("direct"), inh))))
     return j.select(*attrs, pts.alias("pts")).where(F.size("pts") > 0)

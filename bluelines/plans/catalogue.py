@@ -136,13 +136,17 @@ def q_first_per_key(spark, d):
 
 
 # ---- upstream / downstream ----------------------------------------------------------------
-def _segment_pairs(n: Network, by_line: bool = False) -> DataFrame:
-    seg = n.segments.repartition("linear_feature_id") if by_line else n.segments
-    return upstream.upstream_pairs(seg, n.kpoints)
+def _segment_lists(n: Network) -> DataFrame:
+    """Per segment, the ordered points downstream (shared per code, see ``lists.shared_lists``)."""
+    seg = n.segments.repartition("linear_feature_id")
+    return lists.shared_lists(seg, n.kpoints, ["linear_feature_id"], upstream.TOLERANCE)
 
 
 def q_upstream_pairs(spark, d):
-    return _segment_pairs(network(spark, d)).select(F.col("p_notation_id").alias("notation_id"), "linear_feature_id")
+    """Every (point, segment upstream of it) pair: the per-segment lists, one row per element."""
+    return _segment_lists(network(spark, d)).select(
+        F.explode("pts").alias("p"), "linear_feature_id").select(F.col("p.notation_id").alias("notation_id"),
+                                                                 "linear_feature_id")
 
 
 def q_upstream_segments(spark, d):
@@ -152,8 +156,7 @@ def q_upstream_segments(spark, d):
 
 def q_downstream_points(spark, d):
     """Per segment, the points below it in list order with their position (1 = first)."""
-    n = network(spark, d)
-    agg = _segment_pairs(n, by_line=True).groupBy("linear_feature_id").agg(lists.collect_ordered())
+    agg = _segment_lists(network(spark, d))
     return agg.select("linear_feature_id", F.posexplode("pts").alias("pos", "p")).select(
         "linear_feature_id", F.col("p.notation_id").alias("notation_id"),
         (F.col("pos") + 1).cast("bigint").alias("position"))
