@@ -47,9 +47,13 @@ def line_positions(points: DataFrame, pieces: DataFrame) -> DataFrame:
                     "downstream_route_measure", F.coalesce("pos", F.lit(0)).cast("bigint").alias("pos"), "k"))
 
 
-def start_of_route(positions: DataFrame) -> DataFrame:
-    """``(notation_id, watershed_group_code, start_of_stream_ind)``."""
-    flag = ((F.col("pos") * F.col("k") + 1 <= START_PIECES)
+def start_of_route(positions: DataFrame, count_points: bool = True) -> DataFrame:
+    """``(notation_id, watershed_group_code, start_of_stream_ind)``.
+
+    ``count_points=True`` numbers pieces over points x pieces, as the reference does (with ``k``
+    points on a line the "first three" shrink); ``False`` counts distinct pieces."""
+    k = F.col("k") if count_points else F.lit(1)
+    flag = ((F.col("pos") * k + 1 <= START_PIECES)
             | (F.col("downstream_route_measure") < START_MEASURE))
     return positions.select("notation_id", "watershed_group_code", flag.alias("start_of_stream_ind"))
 
@@ -62,11 +66,22 @@ def multi_point_codes(points: DataFrame) -> DataFrame:
             .where(F.col("spread") > SEPARATION).select("wscode"))
 
 
-def side_pieces(pieces: DataFrame, starts: DataFrame, multi: DataFrame) -> DataFrame:
+def side_pieces(pieces: DataFrame, starts: DataFrame, multi: DataFrame, points: DataFrame | None = None,
+                correlated: bool = False) -> DataFrame:
     """Channel pieces (no local code, not the main flow line) of the groups with a start point,
     minus codes with several points. ``starts``/``multi`` have at most one row per point, so their
-    size is bounded by the (checked) point table and they are broadcast."""
-    groups = starts.where(F.col("start_of_stream_ind")).select("watershed_group_code").distinct()
-    return (pieces.where(F.col("localcode").isNull() & (F.col("blue_line_key") != F.col("watershed_key")))
-            .join(F.broadcast(groups), "watershed_group_code", "left_semi")
-            .join(F.broadcast(multi), "wscode", "left_anti"))
+    size is bounded by the (checked) point table and they are broadcast.
+
+    As written in the reference one start point admits every channel of its group
+    (``correlated=False``); ``correlated=True`` also requires the channel's code to be the start
+    point's code (``points`` gives the codes)."""
+    ok = starts.where(F.col("start_of_stream_ind"))
+    channels = pieces.where(F.col("localcode").isNull() & (F.col("blue_line_key") != F.col("watershed_key")))
+    if correlated:
+        keys = ok.join(points.select("notation_id", "wscode"), "notation_id").select(
+            "watershed_group_code", "wscode").distinct()
+        channels = channels.join(F.broadcast(keys), ["watershed_group_code", "wscode"], "left_semi")
+    else:
+        groups = ok.select("watershed_group_code").distinct()
+        channels = channels.join(F.broadcast(groups), "watershed_group_code", "left_semi")
+    return channels.join(F.broadcast(multi), "wscode", "left_anti")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from bluelines import schemas
 from bluelines.functions.codes import depth, level_range, prefix
 from bluelines.functions.rounding import piece_key
-from bluelines.operators import changes, lists, runs, snapping, upstream
+from bluelines.operators import changes, checks, lists, runs, snapping, upstream
 from bluelines.operators.common import bounded_broadcast, first_per_key, insert_ignore, round6
 from bluelines.operators.links import link_by_text_key
 from bluelines.plans import sinks
@@ -104,6 +104,21 @@ def q_segment_key(spark, d):
                     piece_key(F.col("blue_line_key"), F.col("downstream_route_measure")).alias("segmented_stream_id"))
 
 
+def q_input_report(spark, d):
+    """Points that would drop out or sort oddly (no segment on their line, no key, NULL/unknown
+    type, duplicate id), over the raw points: the fixture's points with lines whose key is taken
+    from the order's customer instead (so some lines do not exist) and types from the order status."""
+    n = network(spark, d)
+    src = n.points_src.join(F.broadcast(n.points.select("notation_id", "linear_feature_id")), "notation_id")
+    orders = Tables(spark, d).orders.select(F.col("o_orderkey").alias("_ok"), "o_custkey", "o_orderstatus")
+    raw = (src.join(orders, F.col("blue_line_key") == F.col("_ok"))
+           .select("notation_id",
+                   F.when(F.col("o_orderstatus") == "P", F.lit("XX")).otherwise(F.col("notation_type")).alias("notation_type"),
+                   F.when(F.col("o_custkey") % 5 == 0, F.col("o_custkey") * 1000 + 7).otherwise(F.col("blue_line_key"))
+                    .alias("blue_line_key")))
+    return checks.point_problems(raw, n.segments)
+
+
 def q_code_descendant(spark, d):
     """Per point: how many segments have a code at or below the point's code (``<@``), as a
     prefix equi join -- a segment's code has at most one prefix per level."""
@@ -424,6 +439,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "output_contract": q_output_contract,
     "key_check": q_key_check,
     "override_rules": q_override_rules,
+    "input_report": q_input_report,
     "segment_key": q_segment_key,
     "code_descendant": q_code_descendant,
     "insert_ignore": q_insert_ignore,

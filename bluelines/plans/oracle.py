@@ -362,6 +362,17 @@ ORACLE = {
     "override_rules": with_ctes(SEGMENTS, POINTS) +
         " SELECT notation_id, CASE WHEN localcode = '300.432687.380566.184025' THEN '300.432687.380566.173400'"
         " ELSE localcode END AS localcode FROM points",
+    "input_report": with_ctes(SEGMENTS, POINTS) + """,
+raw AS (
+  SELECT p.notation_id, CASE WHEN o.o_orderstatus = 'P' THEN 'XX' ELSE p.notation_type END AS notation_type,
+    CASE WHEN o.o_custkey % 5 = 0 THEN o.o_custkey * 1000 + 7 ELSE p.blue_line_key END AS blue_line_key
+  FROM points p JOIN orders o ON o.o_orderkey = p.blue_line_key)
+SELECT notation_id, 'no segment on line' AS problem FROM raw r
+WHERE blue_line_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM segments s WHERE s.blue_line_key = r.blue_line_key)
+UNION ALL SELECT notation_id, 'no line key' FROM raw WHERE blue_line_key IS NULL
+UNION ALL SELECT notation_id, CASE WHEN notation_type IS NULL THEN 'null type' ELSE 'unknown type' END FROM raw
+  WHERE notation_type IS NULL OR notation_type NOT IN ('FR', 'FR-EXC', 'OR', 'PWS', 'AR')
+UNION ALL SELECT notation_id, 'duplicate id' FROM raw GROUP BY notation_id HAVING count(*) > 1""",
     "segment_key": with_ctes(SEGMENTS) +
         f" SELECT linear_feature_id, {ssid('blue_line_key', 'downstream_route_measure')} AS segmented_stream_id FROM segments",
     "code_descendant": with_ctes(SEGMENTS, POINTS) +

@@ -36,10 +36,14 @@ class Network:
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, tolerance: float = upstream.TOLERANCE,
                  segments: DataFrame | None = None, points: DataFrame | None = None,
-                 points_src: DataFrame | None = None, vertices: DataFrame | None = None):
+                 points_src: DataFrame | None = None, vertices: DataFrame | None = None,
+                 side_correlated: bool = False, side_count_points: bool = True):
         """Over the fixture network of ``sf_dir``, or over given tables: ``segments``
         (``schemas.SEGMENTS``), snapped ``points`` (``schemas.NOTATIONS``), raw ``points_src`` and
-        line ``vertices`` (linear_feature_id, seq, x, y, m)."""
+        line ``vertices`` (linear_feature_id, seq, x, y, m). The two side-channel options keep the
+        reference's behaviour by default (see ``operators/sidechannels.py``)."""
+        self.side_correlated = side_correlated
+        self.side_count_points = side_count_points
         apply_defaults(spark)
         self.spark = spark
         self.sf_dir = sf_dir
@@ -126,7 +130,7 @@ class Network:
 
     @cached_property
     def starts(self) -> DataFrame:
-        return sidechannels.start_of_route(self.positions)
+        return sidechannels.start_of_route(self.positions, self.side_count_points)
 
     @cached_property
     def multi_codes(self) -> DataFrame:
@@ -134,7 +138,8 @@ class Network:
 
     @cached_property
     def side_pieces(self) -> DataFrame:
-        return sidechannels.side_pieces(self.pieces, self.starts, self.multi_codes)
+        return sidechannels.side_pieces(self.pieces, self.starts, self.multi_codes, self.points,
+                                        correlated=self.side_correlated)
 
     def side_pairs(self) -> DataFrame:
         res = upstream.upstream_residual(self.tolerance) | upstream.same_code_residual()

@@ -135,3 +135,32 @@ def test_point_of_an_ancestor_code_on_the_same_line_counts_once(spark):
     assert (72, "NO9") in got and (81, "NO9") in got
     direct = {(r.linear_feature_id, r.notation_id_list) for r in n.stream_list_direct.collect()}
     assert got == direct
+
+
+def test_side_channel_option_correlated(spark):
+    """B-4: a start point admits every channel of its group unless ``side_correlated``, which also
+    needs the channel's code to be a start point's code."""
+    seg = spark.createDataFrame(SEGMENTS + [
+        (32, 9, 5, 0.0, 40.0, 40.0, "100.000150.000120", None, "100-000150-000120", "AAAA")], schemas.SEGMENTS)
+    pts = spark.createDataFrame(POINTS, schemas.NOTATIONS)
+    loose = Network(spark, segments=seg, points=pts)
+    strict = Network(spark, segments=seg, points=pts, side_correlated=True)
+    # group AAAA has start points (on code '100'); channel 32 has NO7's code, which is in BBBB
+    assert {r.linear_feature_id for r in loose.side_pieces.collect()} == {31, 32}
+    assert {r.linear_feature_id for r in strict.side_pieces.collect()} == {31}
+
+
+def test_side_channel_option_count_points(spark):
+    """B-5: pieces are numbered over points x pieces (the reference), or as distinct pieces."""
+    seg = spark.createDataFrame([
+        (i, 1, 1, 100.0 * (i - 1), 100.0 * i, 100.0, "300", "300" if i == 1 else f"300.{100 * (i - 1):06d}", "300", "EEEE")
+        for i in range(1, 5)], schemas.SEGMENTS)
+    pts = spark.createDataFrame([
+        ("A", "FR", None, 3, 1, 260.0, "300", "300.000200", "EEEE"),
+        ("B", "OR", None, 4, 1, 360.0, "300", "300.000300", "EEEE")], schemas.NOTATIONS)
+    # pieces in work: 200-260, 260-300, 300-360, 360-400; B's segment starts at position 2
+    by_points = {r.notation_id: r.start_of_stream_ind for r in Network(spark, segments=seg, points=pts).starts.collect()}
+    by_pieces = {r.notation_id: r.start_of_stream_ind for r in
+                 Network(spark, segments=seg, points=pts, side_count_points=False).starts.collect()}
+    assert by_points == {"A": True, "B": False}     # 2 * 2 + 1 = 5 > 3
+    assert by_pieces == {"A": True, "B": True}      # 2 + 1 = 3
