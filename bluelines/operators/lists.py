@@ -65,13 +65,16 @@ def shared_lists(main: DataFrame, kpoints: DataFrame, attrs: list[str], toleranc
     above. (a) and (b) depend on the piece and are paired directly (few per piece); (c) depends only
     on the piece's code, so it is built per distinct code and joined back on the code (a hot code
     is split by AQE's skew join). The parts are disjoint; ``array_sort`` on the point rank merges
-    them. Returns ``attrs`` + ``pts`` for pieces with at least one point.
+    them. Returns ``attrs`` + ``pts`` for pieces with at least one point. ``attrs`` must start
+    with ``linear_feature_id``.
     """
     from bluelines.operators import upstream  # local import: upstream imports nothing from here
 
     # (a) + (b): every piece kept (left join), pairs aggregated where the pieces already are
     keys = list(dict.fromkeys([*attrs, "blue_line_key", "wscode", "localcode"]))
-    direct = (upstream.keyed_lines(main, "direct")
+    # the small line table is shuffled by line id once; pairing and aggregating by line then need
+    # no further exchange (the pairs themselves are never shuffled)
+    direct = (upstream.keyed_lines(main.repartition("linear_feature_id"), "direct")
               .join(kpoints, (F.col("_k") == F.col("_pk")) & upstream.upstream_residual(tolerance), "left")
               .groupBy(*keys)
               .agg(F.collect_list(F.when(F.col("p_prank").isNotNull(), point_entry())).alias("direct")))

@@ -152,7 +152,8 @@ def upstream_lines(lines: DataFrame, kpoints: DataFrame, tolerance: float = TOLE
     """Line rows with at least one point downstream (a semi join: ``select distinct`` over the
     pair join without building the pairs)."""
     cond = (F.col("_k") == F.col("_pk")) & upstream_residual(tolerance)
-    return keyed_lines(lines).join(kpoints, cond, "left_semi").drop(*HELPERS).dropDuplicates(["linear_feature_id"])
+    # the tagged rows of one line are exact duplicates once the tags are dropped: a hash distinct
+    return keyed_lines(lines).join(kpoints, cond, "left_semi").drop(*HELPERS).distinct()
 
 
 def work_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
@@ -160,8 +161,9 @@ def work_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLER
     with a point's code (a disjunctive join written as one tagged equi join).
 
     A left-semi join: each tagged row stops at its first matching point, so no pair is built;
-    the few tagged rows of one segment are then de-duplicated (partial aggregation first).
+    the few tagged rows of one segment are exact duplicates once the tags are dropped, so a hash
+    ``distinct`` (partial aggregation first) keeps one row per segment.
     """
     cond = upstream_residual(tolerance) | on_segment_residual() | side_candidate_residual()
     hit = keyed_lines(segments).join(kpoints, (F.col("_k") == F.col("_pk")) & cond, "left_semi")
-    return hit.drop(*HELPERS).dropDuplicates(["linear_feature_id"])
+    return hit.drop(*HELPERS).distinct()

@@ -82,13 +82,22 @@ class Network:
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Segments with their geometry array (one row per segment)."""
-        return self.segments.join(fixtures.line_geometry(self.vertices), "linear_feature_id")
+        """Segments with their geometry array, one row per segment (materialised: read by snapping,
+        locating and clipping)."""
+        geo = fixtures.line_geometry(self.vertices)
+        cols = ["linear_feature_id", "blue_line_key", "downstream_route_measure", "upstream_route_measure",
+                "length_metre", "wscode", "localcode", "watershed_group_code"]
+        return materialize(self.segments.select(*cols).join(geo, "linear_feature_id"), "lines")
 
     # ---- main path ----------------------------------------------------------------------
+    WORK_COLS = ["linear_feature_id", "blue_line_key", "watershed_key", "downstream_route_measure",
+                 "upstream_route_measure", "wscode", "localcode", "fwa_watershed_code", "watershed_group_code"]
+
     @cached_property
     def work(self) -> DataFrame:
-        return upstream.work_lines(self.segments, self.kpoints, self.tolerance)
+        """Segments upstream of a point, holding one, or unplaceable channels with a point's code;
+        only the columns the later stages read."""
+        return upstream.work_lines(self.segments.select(*self.WORK_COLS), self.kpoints, self.tolerance)
 
     @cached_property
     def breakpoints(self) -> DataFrame:
@@ -114,7 +123,7 @@ class Network:
     def stream_list(self) -> DataFrame:
         """Per piece with a local code: the ordered list of the points downstream of it; the part
         inherited from ancestor codes is built once per code (``lists.shared_lists``)."""
-        main = self.pieces.where(F.col("localcode").isNotNull()).repartition("linear_feature_id")
+        main = self.pieces.where(F.col("localcode").isNotNull())
         agg = lists.shared_lists(main, self.kpoints, PIECE_ATTRS, self.tolerance)
         return lists.with_list_columns(agg).select("segmented_stream_id", *OUTPUT_COLS, "watershed_group_code")
 

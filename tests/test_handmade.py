@@ -164,3 +164,14 @@ def test_side_channel_option_count_points(spark):
                  Network(spark, segments=seg, points=pts, side_count_points=False).starts.collect()}
     assert by_points == {"A": True, "B": False}     # 2 * 2 + 1 = 5 > 3
     assert by_pieces == {"A": True, "B": True}      # 2 + 1 = 3
+
+
+def test_input_report(spark):
+    from bluelines.operators.checks import point_problems
+    seg = spark.createDataFrame(SEGMENTS, schemas.SEGMENTS)
+    src = spark.createDataFrame([
+        ("NO1", "FR", 1), ("NO2", "XX", 1), ("NO3", None, 2), ("NO4", "OR", 77), ("NO5", "AR", None),
+        ("NO6", "PWS", 2), ("NO6", "PWS", 2)], "notation_id string, notation_type string, blue_line_key bigint")
+    got = sorted((r.notation_id, r.problem) for r in point_problems(src, seg).collect())
+    assert got == [("NO2", "unknown type"), ("NO3", "null type"), ("NO4", "no segment on line"),
+                   ("NO5", "no line key"), ("NO6", "duplicate id")]
