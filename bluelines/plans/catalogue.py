@@ -411,6 +411,20 @@ def q_sink_by_group(spark, d):
     return sinks.read_output(spark, path).select(*OUTPUT_COLS)
 
 
+# Fixed parameter of the per-group read: the work group to publish.
+GROUP = "W001"
+
+
+def q_group_output(spark, d):
+    """One work group's output, read from the per-group layout with an equality filter on the
+    partition column (partition pruning: only that group's files are listed and read)."""
+    n = network(spark, d)
+    path = work_path(spark, "streams-by-group")
+    out = n.stream_list_all.select(*_out(n.stream_list_all).columns, "watershed_group_code")
+    sinks.write_by_group(out, path)
+    return sinks.read_group(spark, path, GROUP).select(*OUTPUT_COLS)
+
+
 def q_gated_run(spark, d):
     n = network(spark, d)
     _, current, state, envs = _change_inputs(spark, d)
@@ -474,6 +488,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_diff": q_snapshot_diff,
     "sink_refresh": q_sink_refresh,
     "sink_by_group": q_sink_by_group,
+    "group_output": q_group_output,
     "gated_run": q_gated_run,
     "ingest_available_now": q_ingest_available_now,
 }

@@ -135,7 +135,7 @@ main_ordered AS (
 main_list AS (
   SELECT s.segmented_stream_id, s.linear_feature_id, n.notation_id_list, n.primary_notation_type,
     n.secondary_notation_types, s.fwa_watershed_code, s.blue_line_key,
-    s.downstream_route_measure, s.upstream_route_measure
+    s.downstream_route_measure, s.upstream_route_measure, s.watershed_group_code
   FROM main_streams s JOIN main_secondary n ON s.segmented_stream_id = n.segmented_stream_id)"""
 
 SIDE = f"""
@@ -166,7 +166,7 @@ side_ordered AS (
 side_list AS (
   SELECT s.segmented_stream_id, s.linear_feature_id, n.notation_id_list, n.primary_notation_type,
     n.secondary_notation_types, s.fwa_watershed_code, s.blue_line_key,
-    s.downstream_route_measure, s.upstream_route_measure
+    s.downstream_route_measure, s.upstream_route_measure, s.watershed_group_code
   FROM side_streams s JOIN side_secondary n ON s.segmented_stream_id = n.segmented_stream_id)"""
 
 
@@ -472,5 +472,7 @@ WHERE b.o_orderkey IS NULL OR a.o_orderkey IS NULL
     "sink_refresh": with_ctes(*LISTS) + " " + ALL_LIST,
     "sink_by_group": with_ctes(*LISTS) + " " + ALL_LIST,
     "gated_run": with_ctes(*LISTS) + " " + ALL_LIST,
+    "group_output": with_ctes(*LISTS) + f" SELECT {LIST_COLS} FROM main_list WHERE watershed_group_code = 'W001'"
+                    f" UNION ALL SELECT {LIST_COLS} FROM side_list WHERE watershed_group_code = 'W001'",
     "ingest_available_now": "SELECT event_id, user_id, event_type, round(value, 6) AS value FROM events",
 }

@@ -65,10 +65,6 @@ class Network:
         pts = fixtures.points(self.segments) if pts is None else pts
         return materialize(lists.rank_points(pts), "points")
 
-    @cached_property
-    def points_b(self) -> DataFrame:
-        return bounded_broadcast(self.points)
-
     @cached_property
     def kpoints(self) -> DataFrame:
         """Points exploded to their join tags, broadcast behind a row-count check."""

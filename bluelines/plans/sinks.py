@@ -41,6 +41,12 @@ def read_output(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_group(spark: SparkSession, path: str, group: str, group_col: str = "watershed_group_code") -> DataFrame:
+    """One group of a per-group output: an equality filter on the partition column, which Spark
+    turns into partition pruning (only that group's folder is read)."""
+    return spark.read.parquet(path).where(F.col(group_col) == F.lit(group))
+
+
 def empty_like(df: DataFrame) -> DataFrame:
     """Zero-row table with the output's schema (the ``limit 0`` template)."""
     return df.limit(0)

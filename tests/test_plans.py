@@ -55,3 +55,9 @@ def test_scan_prunes_columns(spark):
     from bluelines.sources import fixtures
     p = fixtures.network(n.tables)._jdf.queryExecution().executedPlan().toString()
     assert "l_extendedprice" not in p and "l_shipdate" not in p
+
+
+def test_group_read_prunes_partitions(spark):
+    p = plan(catalogue.QUERIES["group_output"](spark, SF_SMALL))
+    assert "PartitionFilters: [isnotnull(watershed_group_code" in p or "PartitionFilters: [" in p
+    assert "W001" in p
