@@ -43,8 +43,10 @@ def read_output(spark: SparkSession, path: str) -> DataFrame:
 
 def read_group(spark: SparkSession, path: str, group: str, group_col: str = "watershed_group_code") -> DataFrame:
     """One group of a per-group output: an equality filter on the partition column, which Spark
-    turns into partition pruning (only that group's folder is read)."""
-    return spark.read.parquet(path).where(F.col(group_col) == F.lit(group))
+    turns into partition pruning (only that group's folder is read). The group is a bound
+    parameter (``:grp``), never pasted into the SQL text."""
+    return spark.sql(f"SELECT * FROM {{out}} WHERE {group_col} = :grp", args={"grp": group},
+                     out=spark.read.parquet(path))
 
 
 def empty_like(df: DataFrame) -> DataFrame:
