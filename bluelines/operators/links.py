@@ -21,7 +21,9 @@ def text_key(desc: F.Column) -> F.Column:
 
 
 def link_by_text_key(points: DataFrame, polygons: DataFrame, key_col: str = "aquifer_id") -> DataFrame:
-    """``(aquifer_id, notation_id, notation_description)`` plus the polygon table's other columns."""
+    """``(aquifer_id, notation_id, notation_description)`` plus the polygon table's other columns;
+    a polygon ``geom`` is wrapped as a multipolygon (an array of polygons)."""
     keyed = points.select("notation_id", "notation_description",
                           text_key(F.col("notation_description")).alias(key_col)).where(F.col(key_col).isNotNull())
-    return polygons.join(keyed, key_col)
+    out = polygons.join(keyed, key_col)
+    return out.withColumn("geom", F.array(F.col("geom"))) if "geom" in polygons.columns else out

@@ -292,10 +292,16 @@ def q_full_run(spark, d):
 
 
 def q_attr_link(spark, d):
+    """Points linked to aquifers through the number in their text, ordered as published (a range-
+    partitioned sort, not one task); the multipolygon is summarised by its polygon count and its
+    largest x, so the carried geometry is checked too."""
     n = network(spark, d)
     aq = fixtures.aquifers(n.tables)
-    return link_by_text_key(bounded_broadcast(n.points_src), aq).select("aquifer_id", "notation_id",
-                                                                          "notation_description")
+    linked = link_by_text_key(bounded_broadcast(n.points_src), aq)
+    xs = F.flatten(F.transform(F.flatten("geom"), lambda ring: F.transform(ring, lambda p: p["x"])))
+    return (linked.select("aquifer_id", "notation_id", "notation_description",
+                          F.size("geom").alias("n_polygons"), round6(F.array_max(xs)).alias("x_max"))
+            .orderBy("aquifer_id", "notation_description"))
 
 
 # ---- change detection ---------------------------------------------------------------------

@@ -260,7 +260,8 @@ points AS (
 
 AQUIFER_LINK = """
 aquifer_link AS (
-  SELECT CAST(a.p_partkey AS INTEGER) AS aquifer_id, n.notation_id, n.notation_description
+  SELECT CAST(a.p_partkey AS INTEGER) AS aquifer_id, n.notation_id, n.notation_description,
+    1 AS n_polygons, round(CAST(a.p_partkey AS DOUBLE) + CAST(a.p_size AS DOUBLE), 6) AS x_max
   FROM points n JOIN part a ON CAST(a.p_partkey AS INTEGER) = TRY_CAST(split_part(n.notation_description, ' - ', 1) AS INTEGER)
   WHERE regexp_matches(n.notation_description, '^[0-9]+ -.*$'))"""
 

@@ -139,5 +139,13 @@ def line_geometry(vert: DataFrame) -> DataFrame:
 
 
 def aquifers(t: Tables) -> DataFrame:
-    """Polygon table of the text-key link: the part table stands in (``aquifer_id`` = part key)."""
-    return t.part.select(F.col("p_partkey").cast("int").alias("aquifer_id"), F.col("p_name").alias("aquifer_name"))
+    """Polygon table of the text-key link: the part table stands in (``aquifer_id`` = part key).
+
+    ``geom`` is one polygon (``array`` of rings of ``struct<x,y>``): a square of side ``p_size``
+    at ``x = p_partkey``. It is carried through, never computed on, like the reference's polygons."""
+    k, s = F.col("p_partkey").cast("double"), F.col("p_size").cast("double")
+    corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    zero = F.lit(0.0)
+    ring = F.array(corner(k, zero), corner(k + s, zero), corner(k + s, s), corner(k, s), corner(k, zero))
+    return t.part.select(F.col("p_partkey").cast("int").alias("aquifer_id"), F.col("p_name").alias("aquifer_name"),
+                         F.array(ring).alias("geom"))
