@@ -56,18 +56,10 @@ def with_list_columns(df: DataFrame, pts: str = "pts") -> DataFrame:
     }).drop("_ids", "_types", "_rest", "_runs", "_sec")
 
 
-def shared_lists(main: DataFrame, kpoints: DataFrame, attrs: list[str], tolerance: float) -> DataFrame:
-    """Ordered point lists of line pieces, with the part inherited from ancestor codes computed
-    once per distinct code instead of once per piece.
-
-    The points downstream of a piece are (a) points on its own flow line below it, (b) points on
-    its own code below its local code, and (c) points on every ancestor code that its stream enters
-    above. (a) and (b) depend on the piece and are paired directly (few per piece); (c) depends only
-    on the piece's code, so it is built per distinct code and joined back on the code (a hot code
-    is split by AQE's skew join). The parts are disjoint; ``array_sort`` on the point rank merges
-    them. Returns ``attrs`` + ``pts`` for pieces with at least one point. ``attrs`` must start
-    with ``linear_feature_id``.
-    """
+def _shared_parts(main: DataFrame, kpoints: DataFrame, attrs: list[str], tolerance: float) -> DataFrame:
+    """Per piece: ``direct`` (points on its own line or code, unsorted), and from its code the
+    sorted ``inherited`` list, the flow lines of its points, and the inherited list's output
+    columns computed once per code (``inh_ids``, ``inh_primary``, ``inh_secondary``)."""
     from bluelines.operators import upstream  # local import: upstream imports nothing from here
 
     # (a) + (b): every piece kept (left join), pairs aggregated where the pieces already are
@@ -82,7 +74,10 @@ def shared_lists(main: DataFrame, kpoints: DataFrame, attrs: list[str], toleranc
     inherited_entry = F.struct(F.col("p_prank").alias("prank"), F.col("p_notation_id").alias("notation_id"),
                                F.col("p_notation_type").alias("notation_type"),
                                F.col("p_blue_line_key").alias("pblk"))
-    by_code = (upstream.keyed_lines(main.select("wscode").distinct(), "ancestors")
+    # the distinct codes are few bytes but fan out to many pairs: spread them over the cluster
+    # explicitly (size-based coalescing would put them, and all their pairs, in one task)
+    codes = main.select("wscode").distinct().repartition(main.sparkSession.sparkContext.defaultParallelism, "wscode")
+    by_code = (upstream.keyed_lines(codes, "ancestors")
                .join(kpoints, (F.col("_k") == F.col("_pk")) & upstream.ancestor_condition())
                .groupBy("wscode").agg(F.array_sort(F.collect_list(inherited_entry)).alias("_inh"))
                .select("wscode",
@@ -90,7 +85,14 @@ def shared_lists(main: DataFrame, kpoints: DataFrame, attrs: list[str], toleranc
                                                               e["notation_id"].alias("notation_id"),
                                                               e["notation_type"].alias("notation_type"))).alias("inherited"),
                        F.transform("_inh", lambda e: e["pblk"]).alias("inherited_lines")))
-    j = direct.join(by_code, "wscode", "left")
+    by_code = with_list_columns(by_code.withColumn("_pts", F.col("inherited")), "_pts").withColumnsRenamed({
+        "notation_id_list": "inh_ids", "primary_notation_type": "inh_primary",
+        "secondary_notation_types": "inh_secondary"})
+    return direct.join(by_code, "wscode", "left")
+
+
+def _merged(j: DataFrame) -> F.Column:
+    """The full ordered list of a piece from its parts."""
     blk = F.col("blue_line_key")
     # a point of an ancestor code on the piece's own flow line is not inherited (it is paired
     # directly); the element-wise filter runs only where such a point exists
@@ -98,7 +100,44 @@ def shared_lists(main: DataFrame, kpoints: DataFrame, attrs: list[str], toleranc
                   F.filter("inherited", lambda e, i: F.get(F.col("inherited_lines"), i) != blk))
             .otherwise(F.col("inherited")))
     # a line without a local code inherits nothing (D-UP needs both local codes)
-    pts = (F.when(F.col("inherited").isNull() | F.col("localcode").isNull(), F.array_sort("direct"))
-            .when(F.size("direct") == 0, inh)
-            .otherwise(F.array_sort(F.concat(F.col("direct"), inh))))
-    return j.select(*attrs, pts.alias("pts")).where(F.size("pts") > 0)
+    return (F.when(F.col("inherited").isNull() | F.col("localcode").isNull(), F.array_sort("direct"))
+             .when(F.size("direct") == 0, inh)
+             .otherwise(F.array_sort(F.concat(F.col("direct"), inh))))
+
+
+def _inherit_only() -> F.Column:
+    """The piece's list is exactly its code's inherited list."""
+    return (F.col("inherited").isNotNull() & F.col("localcode").isNotNull() & (F.size("direct") == 0)
+            & ~F.array_contains("inherited_lines", F.col("blue_line_key")))
+
+
+def shared_lists(main: DataFrame, kpoints: DataFrame, attrs: list[str], tolerance: float) -> DataFrame:
+    """Ordered point lists of line pieces, with the part inherited from ancestor codes computed
+    once per distinct code instead of once per piece.
+
+    The points downstream of a piece are (a) points on its own flow line below it, (b) points on
+    its own code below its local code, and (c) points on every ancestor code that its stream enters
+    above. (a) and (b) depend on the piece and are paired directly (few per piece); (c) depends only
+    on the piece's code, so it is built per distinct code and joined back on the code (a hot code
+    is split by AQE's skew join). The parts are disjoint; ``array_sort`` on the point rank merges
+    them. Returns ``attrs`` + ``pts`` for pieces with at least one point. ``attrs`` must start
+    with ``linear_feature_id``.
+    """
+    j = _shared_parts(main, kpoints, attrs, tolerance)
+    return j.select(*attrs, _merged(j).alias("pts")).where(F.size("pts") > 0)
+
+
+def shared_list_columns(main: DataFrame, kpoints: DataFrame, attrs: list[str], tolerance: float) -> DataFrame:
+    """``attrs`` + the output columns (id list, primary type, secondary types) of every piece with
+    at least one point downstream. A piece whose list is exactly its code's inherited list (the
+    common case) takes the columns computed once per code; only the others merge arrays and build
+    their strings element by element."""
+    j = _shared_parts(main, kpoints, attrs, tolerance)
+    fast = _inherit_only()
+    d = j.select(*attrs, fast.alias("_fast"), "inh_ids", "inh_primary", "inh_secondary",
+                 F.when(fast, F.lit(None)).otherwise(_merged(j)).alias("pts"))
+    d = with_list_columns(d.where(F.col("_fast") | (F.size("pts") > 0)))
+    return d.select(*attrs, *[F.when(F.col("_fast"), F.col(inh)).otherwise(F.col(out)).alias(out)
+                              for inh, out in [("inh_ids", "notation_id_list"),
+                                               ("inh_primary", "primary_notation_type"),
+                                               ("inh_secondary", "secondary_notation_types")]])

@@ -120,8 +120,8 @@ class Network:
         """Per piece with a local code: the ordered list of the points downstream of it; the part
         inherited from ancestor codes is built once per code (``lists.shared_lists``)."""
         main = self.pieces.where(F.col("localcode").isNotNull())
-        agg = lists.shared_lists(main, self.kpoints, PIECE_ATTRS, self.tolerance)
-        return lists.with_list_columns(agg).select("segmented_stream_id", *OUTPUT_COLS, "watershed_group_code")
+        out = lists.shared_list_columns(main, self.kpoints, PIECE_ATTRS, self.tolerance)
+        return out.select("segmented_stream_id", *OUTPUT_COLS, "watershed_group_code")
 
     @cached_property
     def stream_list_direct(self) -> DataFrame:

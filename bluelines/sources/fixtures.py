@@ -67,7 +67,10 @@ def network(t: Tables) -> DataFrame:
                      .otherwise(F.concat_ws(".", "wscode", dm_label)).alias("localcode"),
                     F.regexp_replace("wscode", r"\.", "-").alias("fwa_watershed_code"),
                     F.concat(F.lit("W"), F.lpad(F.col("nk").cast("string"), 3, "0")).alias("watershed_group_code"),
-                    "priority"))
+                    "priority")
+            # laid out by segment id, as a stored network table is spread over many files (the
+            # last join may broadcast and inherit the partitioning of a single small input file)
+            .repartition("linear_feature_id"))
 
 
 def _notation_type(priority: F.Column) -> F.Column:
