@@ -80,10 +80,15 @@ class Network:
     def lines(self) -> DataFrame:
         """Segments with their geometry array, one row per segment (materialised: read by snapping,
         locating and clipping)."""
-        geo = fixtures.line_geometry(self.vertices)
         cols = ["linear_feature_id", "blue_line_key", "downstream_route_measure", "upstream_route_measure",
                 "length_metre", "wscode", "localcode", "watershed_group_code"]
-        return materialize(self.segments.select(*cols).join(geo, "linear_feature_id"), "lines")
+        if self._given["vertices"] is None:
+            # fixture: the vertices derive from the segment row, so the array is built in place
+            lines = fixtures.segment_geometry(self.segments).select(*cols, "geom")
+        else:
+            # a vertex table: regroup its rows into one ordered array per segment
+            lines = self.segments.select(*cols).join(fixtures.line_geometry(self.vertices), "linear_feature_id")
+        return materialize(lines, "lines")
 
     # ---- main path ----------------------------------------------------------------------
     WORK_COLS = ["linear_feature_id", "blue_line_key", "watershed_key", "downstream_route_measure",

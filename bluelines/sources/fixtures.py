@@ -116,17 +116,25 @@ def points_src(seg: DataFrame) -> DataFrame:
     return points(seg).select("notation_id", "notation_type", "notation_description", "blue_line_key", "x", "y")
 
 
+def _vertex(seq: int) -> F.Column:
+    """Vertex ``seq`` (0, 1, 2) of a fixture segment: along x at the measure, a bump in y in the middle."""
+    pos = F.col("downstream_route_measure") + F.lit(seq) * (F.col("length_metre") / 2)
+    bump = (F.col("linear_feature_id") % 10) if seq == 1 else F.lit(0)
+    y = ((F.col("blue_line_key") % 7) * 10 + bump).cast("double")
+    return F.struct(pos.alias("x"), y.alias("y"), pos.alias("m"))
+
+
 def vertices(seg: DataFrame) -> DataFrame:
     """Line geometry as rows: three vertices per segment with x, y and measure m."""
-    half = F.col("length_metre") / 2
-    v = seg.select("linear_feature_id", "blue_line_key", "downstream_route_measure", "length_metre",
-                   F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("seq"))
-    pos = F.col("downstream_route_measure") + F.col("seq") * half
-    bump = F.when(F.col("seq") == 1, F.col("linear_feature_id") % 10).otherwise(F.lit(0))
-    return v.select("linear_feature_id", "blue_line_key", "seq",
-                    pos.alias("x"),
-                    ((F.col("blue_line_key") % 7) * 10 + bump).cast("double").alias("y"),
-                    pos.alias("m"))
+    v = seg.select("linear_feature_id", "blue_line_key",
+                   F.posexplode(F.array(*[_vertex(i) for i in range(3)])).alias("seq", "v"))
+    return v.select("linear_feature_id", "blue_line_key", "seq", "v.x", "v.y", "v.m")
+
+
+def segment_geometry(seg: DataFrame) -> DataFrame:
+    """The segments with the same geometry as an ``array<struct<x,y,m>>`` column ``geom`` on each
+    row (no regrouping of vertex rows)."""
+    return seg.withColumn("geom", F.array(*[_vertex(i) for i in range(3)]))
 
 
 def line_geometry(vert: DataFrame) -> DataFrame:
