@@ -106,15 +106,18 @@ def q_segment_key(spark, d):
 
 def q_input_report(spark, d):
     """Points that would drop out or sort oddly (no segment on their line, no key, NULL/unknown
-    type, duplicate id), over the raw points: the fixture's points with lines whose key is taken
-    from the order's customer instead (so some lines do not exist) and types from the order status."""
+    type, duplicate id), over the raw points: the fixture's points, where low-priority orders carry a
+    line key made from the customer instead (such lines do not exist) and pending orders an
+    unknown type."""
     n = network(spark, d)
     src = n.points_src.join(F.broadcast(n.points.select("notation_id", "linear_feature_id")), "notation_id")
-    orders = Tables(spark, d).orders.select(F.col("o_orderkey").alias("_ok"), "o_custkey", "o_orderstatus")
+    orders = Tables(spark, d).orders.select(F.col("o_orderkey").alias("_ok"), "o_custkey", "o_orderstatus",
+                                            "o_orderpriority")
     raw = (src.join(orders, F.col("blue_line_key") == F.col("_ok"))
            .select("notation_id",
                    F.when(F.col("o_orderstatus") == "P", F.lit("XX")).otherwise(F.col("notation_type")).alias("notation_type"),
-                   F.when(F.col("o_custkey") % 5 == 0, F.col("o_custkey") * 1000 + 7).otherwise(F.col("blue_line_key"))
+                   F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_custkey") * 1000 + 7)
+                    .otherwise(F.col("blue_line_key"))
                     .alias("blue_line_key")))
     return checks.point_problems(raw, n.segments)
 

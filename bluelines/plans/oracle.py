@@ -11,8 +11,10 @@ from __future__ import annotations
 # ---- fixture views (same rules as sources/fixtures.py) ------------------------------------
 SEGMENTS = """
 segments AS (
-  WITH li AS (SELECT l_orderkey AS ok, l_linenumber AS ln, min(l_quantity) AS q FROM lineitem GROUP BY 1, 2),
-  m AS (SELECT ok, ln,
+  WITH li AS (SELECT l_orderkey AS ok, l_linenumber AS ln, min(l_quantity) AS q,
+                max(CASE WHEN l_returnflag = 'R' AND l_discount = 0.10 AND l_tax >= 0.07 THEN 1 ELSE 0 END) AS mark
+              FROM lineitem GROUP BY 1, 2),
+  m AS (SELECT ok, ln, mark,
           coalesce(sum(q*10) OVER (PARTITION BY ok ORDER BY ln ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS dm,
           sum(q*10) OVER (PARTITION BY ok ORDER BY ln ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS um FROM li),
   o AS (SELECT o_orderkey AS ok, o_orderpriority AS pr, n_nationkey AS nk,
@@ -27,7 +29,8 @@ segments AS (
     CASE WHEN m.ok % 17 = 0 THEN NULL WHEN m.dm = 0 THEN o.ws
          ELSE o.ws || '.' || lpad(CAST(CAST(m.dm AS INTEGER) AS VARCHAR), 6, '0') END AS localcode,
     replace(o.ws, '.', '-') AS fwa_watershed_code,
-    'W' || lpad(CAST(o.nk AS VARCHAR), 3, '0') AS watershed_group_code, o.pr AS priority
+    'W' || lpad(CAST(o.nk AS VARCHAR), 3, '0') AS watershed_group_code, o.pr AS priority,
+    m.mark = 1 AS has_notation
   FROM m JOIN o ON m.ok = o.ok JOIN k ON k.ws = o.ws)"""
 
 POINTS = """
@@ -42,8 +45,7 @@ points AS (
     wscode, localcode, watershed_group_code,
     downstream_route_measure + 0.37*length_metre AS x, CAST((blue_line_key % 7)*10 + 2 AS DOUBLE) AS y
   FROM segments
-  WHERE (blue_line_key % 400 IN (0, 1) OR blue_line_key % 50 = 7) AND linear_feature_id % 10 IN (3, 5)
-    AND localcode IS NOT NULL)"""
+  WHERE has_notation AND localcode IS NOT NULL)"""
 
 VERTICES = """
 vertices AS (
@@ -366,7 +368,7 @@ ORACLE = {
     "input_report": with_ctes(SEGMENTS, POINTS) + """,
 raw AS (
   SELECT p.notation_id, CASE WHEN o.o_orderstatus = 'P' THEN 'XX' ELSE p.notation_type END AS notation_type,
-    CASE WHEN o.o_custkey % 5 = 0 THEN o.o_custkey * 1000 + 7 ELSE p.blue_line_key END AS blue_line_key
+    CASE WHEN o.o_orderpriority = '5-LOW' THEN o.o_custkey * 1000 + 7 ELSE p.blue_line_key END AS blue_line_key
   FROM points p JOIN orders o ON o.o_orderkey = p.blue_line_key)
 SELECT notation_id, 'no segment on line' AS problem FROM raw r
 WHERE blue_line_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM segments s WHERE s.blue_line_key = r.blue_line_key)

@@ -10,7 +10,9 @@ written as plain SQL in ``plans/oracle.py`` for the independent check):
   customer stream; ``watershed_key`` is the lowest order key sharing the code;
 * the local code of a segment is the code plus its start measure; every 17th line has no
   local codes (side channels that cannot be placed exactly);
-* notation points sit on some segments, 37 % along them, typed from the order priority.
+* a notation point sits on a segment whose line item was returned (``R``) at the top discount
+  (0.10) with a tax of 0.07 or more -- about 0.4 % of the segments -- 37 % along it, typed from
+  the order priority.
 
 Everything here is lazy DataFrame code; nothing is collected.
 """
@@ -22,6 +24,18 @@ from pyspark.sql import functions as F
 
 from bluelines.sources.tables import Tables
 
+# Fixed values of the fixture: the line items that mark a notation point (returned, at the top
+# discount, with one of the two top tax rates of the line-item table).
+NOTATION_FLAG = "R"
+NOTATION_DISCOUNT = 0.10
+NOTATION_TAX_MIN = 0.07
+
+
+def _marks_notation() -> F.Column:
+    return ((F.col("l_returnflag") == NOTATION_FLAG) & (F.col("l_discount") == NOTATION_DISCOUNT)
+            & (F.col("l_tax") >= NOTATION_TAX_MIN)).cast("int")
+
+
 # Fixed values of the fixture: notation types by the first character of the order priority.
 TYPE_BY_PRIORITY = {"1": "FR", "2": "FR-EXC", "3": "OR", "4": "PWS"}
 OTHER_TYPE = "AR"
@@ -30,10 +44,11 @@ OTHER_TYPE = "AR"
 def network(t: Tables) -> DataFrame:
     """Segments of the fixture network (schema ``schemas.SEGMENTS`` plus ``priority``)."""
     li = (t.lineitem
-          .select(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"), "l_quantity")
+          .select(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"), "l_quantity",
+                  _marks_notation().alias("mark"))
           # one shuffle by line serves both the de-duplication of line numbers and the measure window
           .repartition("ok")
-          .groupBy("ok", "ln").agg(F.min("l_quantity").alias("q")))
+          .groupBy("ok", "ln").agg(F.min("l_quantity").alias("q"), F.max("mark").alias("mark")))
     # running length along the line; a line has at most a handful of segments
     run = Window.partitionBy("ok").orderBy("ln").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     m = (li.withColumn("um", F.sum(F.col("q") * 10).over(run))
@@ -67,7 +82,7 @@ def network(t: Tables) -> DataFrame:
                      .otherwise(F.concat_ws(".", "wscode", dm_label)).alias("localcode"),
                     F.regexp_replace("wscode", r"\.", "-").alias("fwa_watershed_code"),
                     F.concat(F.lit("W"), F.lpad(F.col("nk").cast("string"), 3, "0")).alias("watershed_group_code"),
-                    "priority")
+                    "priority", (F.col("mark") == 1).alias("has_notation"))
             # laid out by segment id, as a stored network table is spread over many files (the
             # last join may broadcast and inherit the partitioning of a single small input file)
             .repartition("linear_feature_id"))
@@ -90,10 +105,8 @@ def _description(blk: F.Column) -> F.Column:
 
 
 def point_segments(seg: DataFrame) -> DataFrame:
-    """The segments that carry a notation point (a sparse, data-proportional subset)."""
-    blk = F.col("blue_line_key")
-    on_line = (blk % 400).isin(0, 1) | (blk % 50 == 7)
-    return seg.where(on_line & (F.col("linear_feature_id") % 10).isin(3, 5) & F.col("localcode").isNotNull())
+    """The segments that carry a notation point (marked from their line items, with a local code)."""
+    return seg.where(F.col("has_notation") & F.col("localcode").isNotNull())
 
 
 def points(seg: DataFrame) -> DataFrame:
