@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after counting it; above the bound it stays a shuffle join.
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast only after counting it; above the bound it stays a shuffle join
+    (AQE then handles skew on the join keys).
 
-    ``df`` should be materialised (checkpointed) so that the count does not recompute it.
+    ``df`` should be materialised so that the count does not recompute it.
     """
+    limit = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if n <= limit else df
 
 
 def first_per_key(df: DataFrame, key: list[str], order: list) -> DataFrame:

@@ -175,3 +175,20 @@ def test_input_report(spark):
     got = sorted((r.notation_id, r.problem) for r in point_problems(src, seg).collect())
     assert got == [("NO2", "unknown type"), ("NO3", "null type"), ("NO4", "no segment on line"),
                    ("NO5", "no line key"), ("NO6", "duplicate id")]
+
+
+def test_above_the_broadcast_bound_lists_are_the_same(spark, monkeypatch):
+    """With the point table over the broadcast bound every point join is a shuffle join; the
+    lists must not change."""
+    from bluelines.operators import common
+    cols = ["segmented_stream_id", "notation_id_list", "primary_notation_type", "secondary_notation_types"]
+    seg = spark.createDataFrame(SEGMENTS, schemas.SEGMENTS)
+    pts = spark.createDataFrame(POINTS, schemas.NOTATIONS)
+    want = Network(spark, segments=seg, points=pts).stream_list_all.select(*cols)
+    monkeypatch.setattr(common, "BROADCAST_MAX_ROWS", 0)
+    shuffled = Network(spark, segments=seg, points=pts).stream_list.select(*cols)
+    plan = shuffled._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan
+    side = Network(spark, segments=seg, points=pts).side_list.select(*cols)
+    got = shuffled.unionByName(side)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
