@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from bluelines.operators import breaking, lists, sidechannels, snapping, upstream
 from bluelines.operators.common import bounded_broadcast
-from bluelines.session import apply_defaults, materialize
+from bluelines.session import apply_defaults, materialize, remove_paths
 from bluelines.sources import fixtures
 from bluelines.sources.tables import Tables
 
@@ -50,26 +50,38 @@ class Network:
         self.tables = Tables(spark, sf_dir) if sf_dir else None
         self.tolerance = tolerance
         self._given = {"segments": segments, "points": points, "points_src": points_src, "vertices": vertices}
+        self.written: list[str] = []
+
+    def release(self) -> int:
+        """Delete the intermediate tables this job wrote below the checkpoint folder. Call it once
+        the outputs are written or consumed: DataFrames of this object read those tables."""
+        n = remove_paths(self.spark, self.written)
+        self.written.clear()
+        # forget the stages that read them; using the object again recomputes them
+        for name, attr in type(self).__dict__.items():
+            if isinstance(attr, cached_property):
+                self.__dict__.pop(name, None)
+        return n
 
     # ---- inputs -------------------------------------------------------------------------
     @cached_property
     def segments(self) -> DataFrame:
         """The network (materialised: read by every stage)."""
         seg = self._given["segments"]
-        return materialize(fixtures.network(self.tables) if seg is None else seg, "network")
+        return materialize(fixtures.network(self.tables) if seg is None else seg, "network", self.written)
 
     @cached_property
     def points(self) -> DataFrame:
         """Snapped points with their list rank (materialised: small, read many times)."""
         pts = self._given["points"]
         pts = fixtures.points(self.segments) if pts is None else pts
-        return materialize(lists.rank_points(pts), "points")
+        return materialize(lists.rank_points(pts), "points", self.written)
 
     @cached_property
     def kpoints(self) -> DataFrame:
         """Points exploded to their join tags, broadcast behind a row-count check."""
         kp = upstream.keyed_points(self.points, extra=["prank"])
-        return bounded_broadcast(materialize(kp, "keyed-points"))
+        return bounded_broadcast(materialize(kp, "keyed-points", self.written))
 
     @cached_property
     def vertices(self) -> DataFrame:
@@ -88,7 +100,7 @@ class Network:
         else:
             # a vertex table: regroup its rows into one ordered array per segment
             lines = self.segments.select(*cols).join(fixtures.line_geometry(self.vertices), "linear_feature_id")
-        return materialize(lines, "lines")
+        return materialize(lines, "lines", self.written)
 
     # ---- main path ----------------------------------------------------------------------
     WORK_COLS = ["linear_feature_id", "blue_line_key", "watershed_key", "downstream_route_measure",
@@ -102,12 +114,12 @@ class Network:
 
     @cached_property
     def breakpoints(self) -> DataFrame:
-        return bounded_broadcast(materialize(breaking.breakpoints(self.points), "breakpoints"))
+        return bounded_broadcast(materialize(breaking.breakpoints(self.points), "breakpoints", self.written))
 
     @cached_property
     def pieces(self) -> DataFrame:
         """Work segments cut at the points (materialised: read by both list builders)."""
-        return materialize(breaking.break_lines(self.work, self.breakpoints), "pieces")
+        return materialize(breaking.break_lines(self.work, self.breakpoints), "pieces", self.written)
 
     def main_pairs(self) -> DataFrame:
         # the small piece table is shuffled by line id once; pairing (broadcast join) and the
@@ -164,18 +176,18 @@ class Network:
     @cached_property
     def stream_list_all(self) -> DataFrame:
         """Main and side-channel lists (materialised: the output, read by sinks and geometry)."""
-        return materialize(self.stream_list.unionByName(self.side_list), "stream-list")
+        return materialize(self.stream_list.unionByName(self.side_list), "stream-list", self.written)
 
     # ---- snapping -----------------------------------------------------------------------
     @cached_property
     def points_src(self) -> DataFrame:
         src = self._given["points_src"]
-        return materialize(fixtures.points_src(self.segments) if src is None else src, "points-src")
+        return materialize(fixtures.points_src(self.segments) if src is None else src, "points-src", self.written)
 
     @cached_property
     def snapped(self) -> DataFrame:
         """Points snapped to the nearest segment of their line (materialised: small, reused)."""
-        return materialize(snapping.nearest_segment(bounded_broadcast(self.points_src), self.lines), "snapped")
+        return materialize(snapping.nearest_segment(bounded_broadcast(self.points_src), self.lines), "snapped", self.written)
 
     @cached_property
     def snapped_points(self) -> DataFrame:

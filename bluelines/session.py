@@ -81,13 +81,30 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base}/bluelines-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", written: list[str] | None = None) -> DataFrame:
     """Cut lineage: write ``df`` once as Parquet below the shared checkpoint folder and read it back.
 
     The written table survives the loss of executors, is computed exactly once (an RDD checkpoint
     of an uncached plan computes it twice), and later reads get column pruning, filter pushdown
-    and real size statistics.
+    and real size statistics. The folder is appended to ``written`` (for ``remove_paths``).
     """
     path = work_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
+    if written is not None:
+        written.append(path)
     return df.sparkSession.read.parquet(path)
+
+
+def remove_paths(spark: SparkSession, paths: list[str]) -> int:
+    """Delete written folders through the Hadoop file system of each path (shared storage on a
+    cluster); returns how many existed. DataFrames that read them must not be used afterwards."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            fs.delete(hp, True)
+            n += 1
+    return n

@@ -192,3 +192,17 @@ def test_above_the_broadcast_bound_lists_are_the_same(spark, monkeypatch):
     side = Network(spark, segments=seg, points=pts).side_list.select(*cols)
     got = shuffled.unionByName(side)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_release_removes_written_tables(spark):
+    import os
+    seg = spark.createDataFrame(SEGMENTS, schemas.SEGMENTS)
+    pts = spark.createDataFrame(POINTS, schemas.NOTATIONS)
+    n = Network(spark, segments=seg, points=pts)
+    before = sorted(tuple(r) for r in n.stream_list_all.collect())
+    paths = list(n.written)
+    assert paths and all(os.path.exists(p.replace("file:", "")) for p in paths)
+    assert n.release() == len(paths)
+    assert not any(os.path.exists(p.replace("file:", "")) for p in paths)
+    assert sorted(tuple(r) for r in n.stream_list_all.collect()) == before   # recomputed
+    n.release()
