@@ -2,13 +2,15 @@
 
 One Spark application replaces the reference's per-group loop of database sessions: all work
 groups are processed in one job, and groups only lay out the output files. Reused intermediate
-tables (network, points, pieces) are checkpointed to the shared checkpoint folder, which cuts
-lineage and survives the loss of executors.
-
-Shuffles in the main path: building the network (fixture only), de-duplicating the work
-segments by ``linear_feature_id``. Breaking, pairing and list aggregation then run map-side:
-breakpoints and points are broadcast (after a row-count check) and the list aggregation groups
-by keys the pieces are already partitioned on.
+tables (network, points, pieces, lists) are written as Parquet below the shared checkpoint
+folder and read back, which cuts lineage and survives the loss of executors; ``release()``
+deletes them when the job is done.
+
+Shuffles in the main path: building the network (fixture only); the distinct of the work
+segments (a hash aggregate over the semi-join hits); the piece table by line id; the distinct
+codes of the pieces; and the join of per-piece direct lists with per-code inherited lists on
+the code. Breaking and pairing run map-side: breakpoints and points are broadcast after a
+row-count check, and no (piece, point) pair is ever shuffled.
 """
 
 from __future__ import annotations
