@@ -20,7 +20,8 @@ def nearest_segment(points_src: DataFrame, lines: DataFrame) -> DataFrame:
     (marked for broadcast by the caller). ``lines``: linear_feature_id, blue_line_key,
     downstream_route_measure, length_metre, wscode, localcode, watershed_group_code, geom.
     Ties on distance go to the smaller ``linear_feature_id``. Points whose line key has no
-    segment drop out (inner join).
+    segment drop out (inner join). A notation id that occurs more than once yields one row, its
+    nearest candidate (``distinct on (notation_id) ... order by distance``).
     """
     cand = lines.join(points_src.withColumnRenamed("blue_line_key", "_pblk"),
                       F.col("blue_line_key") == F.col("_pblk"))
@@ -28,14 +29,19 @@ def nearest_segment(points_src: DataFrame, lines: DataFrame) -> DataFrame:
     cand = cand.withColumn("_cp", cp)
     frac = F.when(F.col("_cp.total") > 0, F.col("_cp.along") / F.col("_cp.total")).otherwise(F.lit(0.0))
     snapped = F.struct(
+        F.col("notation_type"), F.col("notation_description"),
         F.col("linear_feature_id"), F.col("blue_line_key"),
         (frac * F.col("length_metre") + F.col("downstream_route_measure")).alias("downstream_route_measure"),
         F.col("wscode"), F.col("localcode"), F.col("watershed_group_code"),
         F.col("_cp.dist").alias("distance_to_stream"))
-    best = F.min_by(snapped, F.struct(F.col("_cp.dist"), F.col("linear_feature_id"))).alias("_nn")
-    keys = ["notation_id", "notation_type", "notation_description"]
-    return (cand.groupBy(*keys).agg(best)
-            .select(*keys, "_nn.linear_feature_id", "_nn.blue_line_key", "_nn.downstream_route_measure",
+    # one row per notation id (a repeated id keeps its nearest candidate), ties by segment id,
+    # then by the point's own fields so that the choice is deterministic
+    order = F.struct(F.col("_cp.dist"), F.col("linear_feature_id"), F.col("notation_type"),
+                     F.col("notation_description"))
+    best = F.min_by(snapped, order).alias("_nn")
+    return (cand.groupBy("notation_id").agg(best)
+            .select("notation_id", "_nn.notation_type", "_nn.notation_description",
+                    "_nn.linear_feature_id", "_nn.blue_line_key", "_nn.downstream_route_measure",
                     "_nn.wscode", "_nn.localcode", "_nn.distance_to_stream", "_nn.watershed_group_code"))
 
 

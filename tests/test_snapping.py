@@ -58,3 +58,15 @@ def test_clip_pieces(spark, net):
                  for r in snapping.clip_pieces(pieces, net.lines).collect())
     assert got == [("10.10000", 0, 10.0, 0.0), ("10.10000", 1, 20.0, 0.0),
                    ("10.2500", 0, 2.5, 0.0), ("10.2500", 1, 7.5, 0.0)]
+
+
+def test_repeated_id_keeps_its_nearest_row(spark):
+    seg = spark.createDataFrame(SEGS, schemas.SEGMENTS)
+    vert = spark.createDataFrame(VERTS, "linear_feature_id bigint, seq int, x double, y double, m double")
+    src = spark.createDataFrame([("E", "FR", "far", 10, 15.0, 4.0), ("E", "OR", "near", 10, 5.0, 1.0)],
+                                schemas.POINTS_SRC)
+    n = Network(spark, segments=seg, points_src=src, vertices=vert,
+                points=spark.createDataFrame([], schemas.NOTATIONS))
+    got = [(r.notation_id, r.notation_type, r.linear_feature_id, round(r.distance_to_stream, 9))
+           for r in n.snapped.collect()]
+    assert got == [("E", "OR", 1, 1.0)]
