@@ -10,7 +10,6 @@ target are skipped.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bluelines.operators.common import first_per_key
