@@ -49,18 +49,27 @@ def closest_point(geom: Column, px: Column, py: Column) -> Column:
                     total.alias("total"), best["x"].alias("x"), best["y"].alias("y"))
 
 
-def _interpolate(p: Column, m: Column) -> Column:
-    dm = p["b"]["m"] - p["a"]["m"]
-    t = F.when(dm == 0, F.lit(0.0)).otherwise((m - p["a"]["m"]) / dm)
-    return F.struct((p["a"]["x"] + t * (p["b"]["x"] - p["a"]["x"])).alias("x"),
-                    (p["a"]["y"] + t * (p["b"]["y"] - p["a"]["y"])).alias("y"),
+def _interpolate(a: Column, b: Column, m: Column) -> Column:
+    """The point at measure ``m`` on the vertex pair ``a``-``b`` (``a`` itself when they share m)."""
+    dm = b["m"] - a["m"]
+    t = F.when(dm == 0, F.lit(0.0)).otherwise((m - a["m"]) / dm)
+    return F.struct((a["x"] + t * (b["x"] - a["x"])).alias("x"),
+                    (a["y"] + t * (b["y"] - a["y"])).alias("y"),
                     m.alias("m"))
 
 
+def _first_pair_holding(geom: Column, m: Column) -> Column:
+    """Index of the first vertex pair ``i, i+1`` with ``m_i <= m <= m_i+1``; NULL when none does.
+    One lambda over indices (no pair structs are built)."""
+    idx = F.filter(F.sequence(F.lit(0), F.size(geom) - 2),
+                   lambda i: (F.get(geom, i)["m"] <= m) & (m <= F.get(geom, i + 1)["m"]))
+    return F.get(idx, 0)
+
+
 def point_at_measure(geom: Column, m: Column) -> Column:
     """The point of a measured line at measure ``m`` (first vertex pair whose range holds it); NULL outside."""
-    hit = F.filter(_pairs(geom), lambda p: (p["a"]["m"] <= m) & (m <= p["b"]["m"]))
-    return F.when(F.size(hit) > 0, _interpolate(F.get(hit, 0), m))
+    i = _first_pair_holding(geom, m)
+    return F.when(i.isNotNull(), _interpolate(F.get(geom, i), F.get(geom, i + 1), m))
 
 
 def between_measures(geom: Column, m0: Column, m1: Column) -> Column:
@@ -72,8 +81,9 @@ def between_measures(geom: Column, m0: Column, m1: Column) -> Column:
     start = point_at_measure(geom, m0)
     end = point_at_measure(geom, m1)
     inner = F.filter(geom, lambda p: (p["m"] > m0) & (p["m"] < m1))
-    out = F.concat(F.array(start), inner, F.array(end))
-    return F.filter(out, lambda p: p.isNotNull())
+    none = F.slice(inner, 1, 0)  # an empty array of the vertex type
+    return F.concat(F.when(start.isNull(), none).otherwise(F.array(start)), inner,
+                    F.when(end.isNull(), none).otherwise(F.array(end)))
 
 
 def force2d(p: Column) -> Column:
