@@ -68,9 +68,13 @@ class Network:
     # ---- inputs -------------------------------------------------------------------------
     @cached_property
     def segments(self) -> DataFrame:
-        """The network (materialised: read by every stage)."""
+        """The network. A given table is used as it is (its lineage is a scan, and copying the
+        largest input would cost a full write); the fixture network, derived from several tables
+        by joins and a window, is materialised once because every stage reads it."""
         seg = self._given["segments"]
-        return materialize(fixtures.network(self.tables) if seg is None else seg, "network", self.written)
+        if seg is not None:
+            return seg
+        return materialize(fixtures.network(self.tables), "network", self.written)
 
     @cached_property
     def points(self) -> DataFrame:
