@@ -75,8 +75,11 @@ def _shared_parts(main: DataFrame, kpoints: DataFrame, attrs: list[str], toleran
                                F.col("p_notation_type").alias("notation_type"),
                                F.col("p_blue_line_key").alias("pblk"))
     # the distinct codes are few bytes but fan out to many pairs: spread them over the cluster
-    # explicitly (size-based coalescing would put them, and all their pairs, in one task)
-    codes = main.select("wscode").distinct().repartition(main.sparkSession.sparkContext.defaultParallelism, "wscode")
+    # explicitly. The repartition comes first: a user repartition on top of the distinct would be
+    # dropped as redundant when the partition counts agree, and the distinct's own exchange may be
+    # coalesced by size into one task. Shuffled is one code string per piece.
+    n = main.sparkSession.sparkContext.defaultParallelism
+    codes = main.select("wscode").repartition(n, "wscode").distinct()
     by_code = (upstream.keyed_lines(codes, "ancestors")
                .join(kpoints, (F.col("_k") == F.col("_pk")) & upstream.ancestor_condition())
                .groupBy("wscode").agg(F.array_sort(F.collect_list(inherited_entry)).alias("_inh"))
