@@ -61,3 +61,12 @@ def test_group_read_prunes_partitions(spark):
     p = plan(catalogue.QUERIES["group_output"](spark, SF_SMALL))
     assert "PartitionFilters: [isnotnull(watershed_group_code" in p or "PartitionFilters: [" in p
     assert "W001" in p
+
+
+def test_fan_out_repartition_survives(spark):
+    """The explicit repartition of the distinct codes stays in the plan even when the shuffle
+    partition count equals the default parallelism (as in this test session)."""
+    assert spark.conf.get("spark.sql.shuffle.partitions") == str(spark.sparkContext.defaultParallelism)
+    n = catalogue.network(spark, SF_SMALL)
+    p = n.stream_list._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in p
