@@ -35,7 +35,11 @@ def cut_label(s: Column, width: int = SECONDARY_WIDTH, keep: int = SECONDARY_KEE
 
 
 def secondary_types(types: Column) -> Column:
-    """Types after the first, adjacent repeats removed, joined and cut; NULL when there are none."""
+    """Types after the first, adjacent repeats removed, joined and cut; NULL when there are none.
+
+    A single-expression form for ad-hoc use: the sliced array is an expression inside the run
+    filter's lambda, so long arrays cost more than linear time. The pipeline computes the same
+    result in separate projections (``operators.lists.with_list_columns``)."""
     rest = collapse_runs(F.slice(types, 2, F.greatest(F.size(types) - 1, F.lit(0))))
     joined = F.array_join(rest, LIST_SEPARATOR)
     return F.when(F.size(rest) > 0, cut_label(joined))
