@@ -1,0 +1,73 @@
+import re
+
+from helpers import documents, words
+
+from bluelines.llm import near_dedup
+
+
+def sets_of(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w)} if 0 < len(w) < 5 else {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+
+
+def brute(rows):
+    sets, ids = [sets_of(t) for _, t in rows], [i for i, _ in rows]
+    comp = {i: i for i in ids if i is not None}
+    def find(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+    for x in range(len(rows)):
+        for y in range(x):
+            a, b = sets[x], sets[y]
+            if a and b and ids[x] is not None and ids[y] is not None and 100 * len(a & b) >= 75 * len(a | b):
+                p, q = sorted((find(ids[x]), find(ids[y])))
+                comp[q] = p
+    return sorted(((i, len(s), None if i is None else find(i), i is None or find(i) == i) for i, s in zip(ids, sets)), key=repr)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.select("doc_id", "n_shingles", "component_id", "kept").collect()), key=repr)
+
+
+def edited(text, places, seed):
+    import random
+    r, w = random.Random(seed), text.split()
+    for p in r.sample(range(len(w)), places):
+        w[p] = f"edit{seed}x{p}"
+    return " ".join(w)
+
+
+def test_matches_brute_force(spark):
+    base, passage = words(120, 1), words(70, 2)
+    rows = [(i, words(30 + i % 50, 100 + i)) for i in range(60)]
+    rows += [(100 + i, edited(base, i % 8, i)) for i in range(60)]  # near copies around the threshold
+    rows += [(200 + i, words(40, 900 + i) + " " + passage) for i in range(40)]  # a shared passage, no link
+    rows += [(300 + i, words(80, 5).upper() if i % 2 else words(80, 5)) for i in range(30)]  # exact copies, ties
+    rows += [(400, None), (401, ""), (402, " \t\n"), (403, "one two"), (404, "One  two\n"), (405, "one\x0btwo three"),
+             (406, "é ü"), (407, "é ü"), (408, "a b c d e f"), (None, base), (410, words(60000, 6)), (411, words(60000, 6) + " end")]
+    docs = documents(spark, rows, extra=("rep", "component"))
+    assert rows_of(near_dedup.near_duplicates(docs)) == brute(rows)
+
+
+def test_block_grid_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 7)
+    base = words(60, 3)
+    rows = [(i, edited(base, 1 + i % 4, i)) for i in range(80)]
+    assert rows_of(near_dedup.near_duplicates(documents(spark, rows))) == brute(rows)
+
+
+def test_repeated_rows_and_ids(spark):
+    rows = [(1, words(20, 1)), (1, words(20, 1)), (1, words(20, 2)), (5, words(20, 2)), (6, words(20, 3))]
+    got = rows_of(near_dedup.near_duplicates(documents(spark, rows)))
+    assert [(r[0], r[2], r[3]) for r in got] == [(1, 1, True)] * 3 + [(5, 1, False), (6, 6, True)]
+
+
+def test_empty_table(spark):
+    assert rows_of(near_dedup.near_duplicates(documents(spark, []))) == []
+    assert near_dedup.keep_first(documents(spark, [])).columns == documents(spark, []).columns
+
+
+def test_posterior_bounds():
+    least = near_dedup.least_matches()
+    assert len(least) == 8 and all(least[:-1] <= least[1:]) and 0 < least[-1] < 96
