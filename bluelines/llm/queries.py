@@ -5,16 +5,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bluelines.llm import near_dedup
+from bluelines.llm import near_dedup, token_index
 from bluelines.llm.common import table
+from bluelines.session import work_path
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, folder = table(spark, sf_dir, "documents"), work_path(spark, "tokens")
+    buckets = token_index.write(docs, folder, tokenizer_file())
+    return token_index.read(spark, folder, docs.select("doc_id"), buckets)
+
+
 QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op5_token_index": op5_token_index,
 }
 
 ORACLE = {
@@ -22,12 +36,12 @@ ORACLE = {
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), x -> x <> '') AS words
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
   FROM documents),
 s AS MATERIALIZED (
   SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN []
     WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
-    ELSE list_transform(range(1, len(words) - 3), i -> array_to_string(words[i:i + 4], ' ')) END) AS items
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS items
   FROM w),
 x AS MATERIALIZED (SELECT doc_id, unnest(items) AS item FROM s),
 shared AS MATERIALIZED (
