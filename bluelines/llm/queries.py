@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bluelines.llm import langid, near_dedup, token_index
+from bluelines.llm import decontaminate, langid, near_dedup, token_index
 from bluelines.llm.common import table
 from bluelines.session import work_path
 
@@ -26,6 +26,10 @@ def op5_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index.read(spark, folder, docs.select("doc_id"), buckets)
 
 
+def op8_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,7 @@ def op10_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op5_token_index": op5_token_index,
+    "op8_pigeonhole_decontamination": op8_pigeonhole_decontamination,
     "op10_compression_langid": op10_compression_langid,
 }
 
