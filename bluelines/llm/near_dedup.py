@@ -11,9 +11,11 @@ similarity of their full sets is at least ``THRESHOLD``.
    pair is dropped when the posterior chance of reaching the threshold falls below ``MISS``;
    survivors are verified on full sets, and verified links give components.
 4. Band groups that still hold more than one component are cut into blocks of ``BLOCK`` members; each
-   pair of blocks is compared in one task, on signatures, which emits only surviving pairs across
-   components. Those are verified too, so every banded candidate pair is either pruned by its
-   posterior, verified, or already connected: nothing is capped, and no group meets in one task.
+   pair of blocks is one task's work. A first pass over signatures names the members that have pairs
+   across components whose posterior survives; a second pass gets the full sets of just those,
+   verifies, and returns only links that join components. A pair that shares several bands is taken
+   up in the first. So every banded candidate pair is either pruned by its posterior, verified, or
+   already connected: nothing is capped, no pairs are shuffled, and no group meets in one task.
 
 A pair at the threshold shares no band with chance (1 - 0.75**4)**32 = 5e-6.
 
@@ -40,7 +42,7 @@ THRESHOLD = 0.75
 ROWS, BANDS = 4, 32
 BATCH = 16  # minhashes compared before each look at the posterior
 MISS = 1e-7  # posterior chance of a link at which a pair is given up
-BLOCK = 512
+BLOCK = 1024
 ID_BROADCAST_ROWS = 500_000  # ids (8 bytes each) sent to all executors at most; more are joined by shuffle
 SIGNATURES = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sig binary"
 
@@ -114,20 +116,50 @@ def _verify(batches):
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def _compare_blocks(key, part):
-    """One pair of blocks of one band group: the surviving pairs across components."""
-    side, ids, comps = (part[c].to_numpy() for c in ("side", "id", "comp"))
+def _cross_pairs(part):
+    """For each member of one pair of blocks, the members of other components that it must be compared
+    with here: those whose first common band is this one and whose signatures survive. Yields
+    (member, others); ``comp`` may be changed by the caller meanwhile, to join components."""
+    side, ids, comp = (part[c].to_numpy() for c in ("side", "id", "comp"))
+    comp = comp.copy()
     sigs = np.frombuffer(b"".join(part["sig"].to_pylist()), "<u2").reshape(len(ids), -1)
+    keys = np.array(part["bands"].to_pylist(), np.int64)
+    band = part["band"][0].as_py()
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     same = not len(right)
-    right = left if same else right
-    out_a, out_b = [], []
     for i in left:
-        other = right[(comps[right] != comps[i]) & ((ids[right] > ids[i]) if same else (ids[right] != ids[i]))]
+        other = left[ids[left] > ids[i]] if same else right[ids[right] != ids[i]]
+        other = other[comp[other] != comp[i]]
+        other = other[(keys[other] == keys[i]).argmax(1) == band]
         if len(other):
-            good = other[survives(sigs[other] == sigs[i])]
-            out_a += [max(ids[i], x) for x in ids[good]]
-            out_b += [min(ids[i], x) for x in ids[good]]
+            other = other[survives(sigs[other] == sigs[i])]
+            if len(other):
+                yield ids, comp, i, other
+
+
+def _open_members(key, part):
+    """The members of one pair of blocks that have something left to verify there."""
+    found: set[int] = set()
+    for ids, _, i, other in _cross_pairs(part):
+        found.update((int(i), *other.tolist()))
+    return part.take(pa.array(sorted(found), pa.int64())).select(["key", "i", "j", "side", "id"])
+
+
+def _block_links(key, part):
+    """Verified links across the components of one pair of blocks, as many as join them: members that
+    a link has connected are not compared again."""
+    items = [np.frombuffer(x, np.uint64) for x in part["items"].to_pylist()]
+    out_a, out_b = [], []
+    for ids, comp, i, other in _cross_pairs(part):
+        sizes = np.array([len(items[o]) for o in other])
+        pool = np.concatenate([items[o] for o in other])
+        at = np.minimum(np.searchsorted(items[i], pool), len(items[i]) - 1)
+        common = np.add.reduceat((items[i][at] == pool).astype(np.int64), np.cumsum(sizes) - sizes)
+        for o in other[100 * common >= 100 * THRESHOLD * (len(items[i]) + sizes - common)]:
+            if comp[o] != comp[i]:
+                comp[comp == comp[o]] = comp[i]
+                out_a.append(ids[i])
+                out_b.append(ids[o])
     return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
 
@@ -136,13 +168,18 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return src.mapInArrow(_sign, SIGNATURES)
 
 
-def _linked(docs, pairs, name, written):
-    """The pairs whose full sets reach the threshold. The texts of the documents in question are read
-    again; their ids are sent to the scan while they are few, and joined by shuffle beyond that."""
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), f"{name}-ids", written)
+def _item_sets(docs, ids, name, written):
+    """Full sets (id, items) of the documents in ``ids``, whose texts are read again; the ids are sent to
+    the scan while they are few, and joined by shuffle beyond that."""
+    ids = materialize(ids, f"{name}-ids", written)
     few = ids.count() <= ID_BROADCAST_ROWS
     texts = docs.join(F.broadcast(ids) if few else ids, docs.doc_id == ids.id, "left_semi")
-    sets = materialize(texts.select("doc_id", "text").mapInArrow(_sets, "id long, items binary"), f"{name}-sets", written)
+    return materialize(texts.select("doc_id", "text").mapInArrow(_sets, "id long, items binary"), f"{name}-sets", written)
+
+
+def _linked(docs, pairs, name, written):
+    """The pairs whose full sets reach the threshold."""
+    sets = _item_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), name, written)
     x = sets.select(F.col("id").alias("a"), F.col("items").alias("items_a"))
     y = sets.select(F.col("id").alias("b"), F.col("items").alias("items_b"))
     joined = pairs.hint("merge").join(x.hint("merge"), "a").hint("merge").join(y.hint("merge"), "b")
@@ -161,7 +198,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = materialize(member.select("doc_id", "set_a", "set_b", "rep"), "copies", written)
     stands = full.join(member.select("doc_id", "set_a", "set_b").distinct(), ["doc_id", "set_a", "set_b"], "left_anti")
     stands = stands.select(F.col("doc_id").alias("id"), "bands", "sig")
-    bands = stands.select("id", F.explode("bands").alias("key"))
+    bands = stands.select("id", F.posexplode("bands").alias("band", "key"))
     groups = bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).where("top > hub").select("key", "hub")
     banded = materialize(bands.join(groups, "key"), "banded", written)
 
@@ -175,18 +212,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = _linked(docs, first, "first", written)
 
     comp = materialize(components(links, "first", written), "first-components", written)
-    open_rows = banded.join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
+    open_rows = banded.join(comp, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("comp"))
     groups = open_rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("size"))
     groups = groups.where("high > low").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    open_rows = open_rows.join(groups, "key").join(sigs, "id")
+    open_rows = open_rows.join(groups, "key").join(stands.select("id", "bands", "sig"), "id")
     own = F.pmod(F.xxhash64("id"), "blocks").cast("int")
     cells = open_rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = cells.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                         (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "comp", "sig").distinct()
-    second = cells.groupBy("key", "i", "j").applyInArrow(_compare_blocks, "a long, b long").distinct()
-    second = materialize(second, "second-pairs", written)
-    if not second.isEmpty():
-        links = links.unionByName(_linked(docs, second, "second", written))
+    cells = cells.select("key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                         (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "comp", "bands", "sig")
+    place = ["key", "i", "j", "side", "id"]
+    left = cells.groupBy("key", "i", "j").applyInArrow(_open_members, "key long, i int, j int, side int, id long")
+    left = materialize(left.distinct(), "open", written)
+    if not left.isEmpty():
+        sets = _item_sets(docs, left.select("id").distinct(), "open", written)
+        second = cells.join(left, place, "left_semi").join(sets, "id")
+        second = second.groupBy("key", "i", "j").applyInArrow(_block_links, "a long, b long")
+        links = links.unionByName(materialize(second, "open-links", written))
 
     links = links.unionByName(member.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     comp = materialize(components(links, "all", written), "all-components", written)
