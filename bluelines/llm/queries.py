@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bluelines.llm import decontaminate, langid, near_dedup, token_index
+import corpus_pipeline
+from bluelines.llm import decontaminate, langid, mixing, near_dedup, token_index
 from bluelines.llm.common import table
 from bluelines.session import work_path
 
@@ -14,15 +15,9 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-def tokenizer_file() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 def op5_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, folder = table(spark, sf_dir, "documents"), work_path(spark, "tokens")
-    buckets = token_index.write(docs, folder, tokenizer_file())
+    buckets = token_index.write(docs, folder, corpus_pipeline.tokenizer_file())
     return token_index.read(spark, folder, docs.select("doc_id"), buckets)
 
 
@@ -30,14 +25,20 @@ def op8_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op10_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op5_token_index": op5_token_index,
     "op8_pigeonhole_decontamination": op8_pigeonhole_decontamination,
+    "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_compression_langid": op10_compression_langid,
 }
 

@@ -8,8 +8,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from bluelines.llm import files, mphf, token_index
-from bluelines.llm.queries import op5_token_index, tokenizer_file
+from bluelines.llm.queries import op5_token_index
 from bluelines.session import work_path
+from corpus_pipeline import tokenizer_file
 
 
 @pytest.fixture(scope="module")
