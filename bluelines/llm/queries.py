@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from bluelines.llm import decontaminate, langid, mixing, near_dedup, token_index
+from bluelines.llm import decontaminate, langid, mixing, near_dedup, token_index, topk
 from bluelines.llm.common import table
 from bluelines.session import work_path
 
@@ -15,6 +15,10 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op5_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, folder = table(spark, sf_dir, "documents"), work_path(spark, "tokens")
     buckets = token_index.write(docs, folder, corpus_pipeline.tokenizer_file())
@@ -36,6 +40,7 @@ def op10_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op4_segment_topk": op4_segment_topk,
     "op5_token_index": op5_token_index,
     "op8_pigeonhole_decontamination": op8_pigeonhole_decontamination,
     "op9_pivotal_mixing": op9_pivotal_mixing,
@@ -43,6 +48,18 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op4_segment_topk": r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+""",
     "op2_minhash_near_dedup": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
