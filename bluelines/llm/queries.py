@@ -6,11 +6,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from bluelines.llm import decontaminate, langid, mixing, near_dedup, token_index, topk
+from bluelines.llm import decontaminate, langid, mixing, near_dedup, token_index, topk, urls
 from bluelines.llm.common import table
 from bluelines.session import work_path
 
 
+def op1_url_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ def op10_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
+    "op1_url_language_model": op1_url_language_model,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op4_segment_topk": op4_segment_topk,
     "op5_token_index": op5_token_index,
