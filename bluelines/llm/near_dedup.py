@@ -168,12 +168,16 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return src.mapInArrow(_sign, SIGNATURES)
 
 
-def _item_sets(docs, ids, name, written):
-    """Full sets (id, items) of the documents in ``ids``, whose texts are read again; the ids are sent to
-    the scan while they are few, and joined by shuffle beyond that."""
-    ids = materialize(ids, f"{name}-ids", written)
+def _only(df, ids, col="id"):
+    """The rows of ``df`` whose ``col`` is in the written table ``ids``: sent to the scan while it is small, so
+    that the wide rows of ``df`` stay where they are, and joined by shuffle beyond that."""
     few = ids.count() <= ID_BROADCAST_ROWS
-    texts = docs.join(F.broadcast(ids) if few else ids, docs.doc_id == ids.id, "left_semi")
+    return df.join(F.broadcast(ids) if few else ids, df[col] == ids["id"], "left_semi")
+
+
+def _item_sets(docs, ids, name, written):
+    """Full sets (id, items) of the documents in ``ids``, whose texts are read again."""
+    texts = _only(docs, materialize(ids, f"{name}-ids", written), "doc_id")
     return materialize(texts.select("doc_id", "text").mapInArrow(_sets, "id long, items binary"), f"{name}-sets", written)
 
 
@@ -196,8 +200,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = materialize(classes, "classes", written)
     member = full.join(classes.where("copies > 1"), ["set_a", "set_b", "n_shingles"]).where("doc_id != rep")
     member = materialize(member.select("doc_id", "set_a", "set_b", "rep"), "copies", written)
-    stands = full.join(member.select("doc_id", "set_a", "set_b").distinct(), ["doc_id", "set_a", "set_b"], "left_anti")
-    stands = stands.select(F.col("doc_id").alias("id"), "bands", "sig")
+    gone = member.select("doc_id", "set_a", "set_b").distinct()
+    gone = F.broadcast(gone) if gone.count() <= ID_BROADCAST_ROWS else gone
+    stands = full.join(gone, ["doc_id", "set_a", "set_b"], "left_anti").select(F.col("doc_id").alias("id"), "bands", "sig")
     bands = stands.select("id", F.posexplode("bands").alias("band", "key"))
     groups = bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).where("top > hub").select("key", "hub")
     banded = materialize(bands.join(groups, "key"), "banded", written)
@@ -205,7 +210,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = banded.where("id != hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("n"))
     first = first.groupBy("id").agg(F.max(F.struct("n", (-F.col("hub")).alias("h"))).alias("best"))
     first = first.select(F.col("id").alias("a"), (-F.col("best.h")).alias("b"))
-    sigs = stands.select("id", "sig")
+    ids = materialize(first.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "first-signed", written)
+    sigs = _only(stands, ids).select("id", "sig")
     first = first.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
     first = first.join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
     first = materialize(first.select("a", "b", "sig_a", "sig_b").mapInArrow(_prune, "a long, b long").distinct(), "first-pairs", written)
@@ -215,17 +221,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_rows = banded.join(comp, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("comp"))
     groups = open_rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("size"))
     groups = groups.where("high > low").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    open_rows = open_rows.join(groups, "key").join(stands.select("id", "bands", "sig"), "id")
     own = F.pmod(F.xxhash64("id"), "blocks").cast("int")
-    cells = open_rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = cells.select("key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                         (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "comp", "bands", "sig")
-    place = ["key", "i", "j", "side", "id"]
-    left = cells.groupBy("key", "i", "j").applyInArrow(_open_members, "key long, i int, j int, side int, id long")
+    cells = open_rows.join(groups, "key").withColumn("own", own)
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = materialize(cells.select("key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                                     (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "comp"), "cells", written)
+    payload = _only(stands, materialize(cells.select("id").distinct(), "cell-ids", written))
+    left = cells.join(payload, "id").groupBy("key", "i", "j").applyInArrow(_open_members, "key long, i int, j int, side int, id long")
     left = materialize(left.distinct(), "open", written)
     if not left.isEmpty():
         sets = _item_sets(docs, left.select("id").distinct(), "open", written)
-        second = cells.join(left, place, "left_semi").join(sets, "id")
+        second = cells.join(left, ["key", "i", "j", "side", "id"], "left_semi").join(_only(payload, sets.select("id")), "id").join(sets, "id")
         second = second.groupBy("key", "i", "j").applyInArrow(_block_links, "a long, b long")
         links = links.unionByName(materialize(second, "open-links", written))
 
@@ -239,5 +245,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_first(docs: DataFrame, written: list[str] | None = None) -> DataFrame:
     """``docs`` with one document of each group; documents with a null id stay. Of rows that repeat a
     kept id all stay (they are one document)."""
-    gone = near_duplicates(docs, written=written).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = near_duplicates(docs, written=written).where("not kept").select(F.col("doc_id").alias("gone id")).distinct()
+    gone = materialize(gone, "gone", written)
+    few = gone.count() <= ID_BROADCAST_ROWS
+    return docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == gone["gone id"], "left_anti").select(*[docs[c] for c in docs.columns])
