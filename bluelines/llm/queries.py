@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from bluelines.llm import decontaminate, langid, mixing, near_dedup, token_index, topk, urls
+from bluelines.llm import decontaminate, langid, mixing, near_dedup, token_index, topk, toxicity, urls
 from bluelines.llm.common import table
 from bluelines.session import work_path
 
@@ -29,6 +29,10 @@ def op5_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index.read(spark, folder, docs.select("doc_id"), buckets)
 
 
+def op6_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op4_segment_topk": op4_segment_topk,
     "op5_token_index": op5_token_index,
+    "op6_toxic_segments": op6_toxic_segments,
     "op8_pigeonhole_decontamination": op8_pigeonhole_decontamination,
     "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_compression_langid": op10_compression_langid,
