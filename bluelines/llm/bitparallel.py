@@ -35,6 +35,18 @@ def best_occurrence(masks: dict[str, int], m: int, text: str) -> tuple[int, int]
     return best, end
 
 
+def _common(a: str, b: str) -> int:
+    """Length of the common prefix, by halving on slices."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
 def _whole_distance(a: str, b: str) -> int:
     """Edit distance with full-height columns, for patterns ``b`` too short for a band."""
     masks, m = positions(b), len(b)
@@ -61,12 +73,10 @@ def banded_distance(a: str, b: str, limit: int) -> int:
         a, b = b, a
     if len(a) - len(b) > limit:
         return limit + 1
-    start, last = 0, len(b)
-    while start < last and a[start] == b[start]:  # common ends cost nothing
-        start += 1
-    while last > start and a[last - len(b) - 1 + len(a)] == b[last - 1]:
-        last -= 1
-    a, b = a[start:last + len(a) - len(b)], b[start:last]
+    start = _common(a, b)  # common ends cost nothing
+    a, b = a[start:], b[start:]
+    end = _common(a[::-1], b[::-1])
+    a, b = a[:len(a) - end], b[:len(b) - end]
     if not b or len(b) <= 2 * limit:
         return min(_whole_distance(a, b) if b else len(a), limit + 1)
     masks, width = positions(b), 2 * limit + 1
@@ -80,6 +90,8 @@ def banded_distance(a: str, b: str, limit: int) -> int:
         right_down = diagonal & up
         if k < len(b) - limit:
             score += not diagonal & lowest
+            if score > 3 * limit + 1:  # the goal lies at most 2 * limit diagonals away
+                return limit + 1
         else:
             score += bool(right_up & last_row) - bool(right_down & last_row)
             last_row >>= 1

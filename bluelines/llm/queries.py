@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from bluelines.llm import decontaminate, langid, mixing, near_dedup, token_index, topk, toxicity, urls
+from bluelines.llm import decontaminate, langid, line_dedup, mixing, near_dedup, token_index, topk, toxicity, urls
 from bluelines.llm.common import table
 from bluelines.session import work_path
 
@@ -33,6 +33,10 @@ def op6_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op4_segment_topk": op4_segment_topk,
     "op5_token_index": op5_token_index,
     "op6_toxic_segments": op6_toxic_segments,
+    "op7_line_edit_join": op7_line_edit_join,
     "op8_pigeonhole_decontamination": op8_pigeonhole_decontamination,
     "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_compression_langid": op10_compression_langid,
