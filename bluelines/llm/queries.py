@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from bluelines.llm import decontaminate, langid, line_dedup, mixing, near_dedup, token_index, topk, toxicity, urls
+from bluelines.llm import decontaminate, html_text, langid, line_dedup, mixing, near_dedup, token_index, topk, toxicity, urls
 from bluelines.llm.common import table
 from bluelines.session import work_path
 
@@ -19,6 +19,10 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_recurrent_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
@@ -53,6 +57,7 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_url_language_model": op1_url_language_model,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_recurrent_html_text": op3_recurrent_html_text,
     "op4_segment_topk": op4_segment_topk,
     "op5_token_index": op5_token_index,
     "op6_toxic_segments": op6_toxic_segments,
