@@ -17,10 +17,6 @@ def _pairs(geom: Column) -> Column:
         lambda i: F.struct(i.alias("i"), F.get(geom, i).alias("a"), F.get(geom, i + 1).alias("b")))
 
 
-def _seg_len(p: Column) -> Column:
-    return F.sqrt((p["b"]["x"] - p["a"]["x"]) ** 2 + (p["b"]["y"] - p["a"]["y"]) ** 2)
-
-
 def closest_point(geom: Column, px: Column, py: Column) -> Column:
     """Distance from a point to a line, and where along the line the closest point lies.
 

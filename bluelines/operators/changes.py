@@ -15,54 +15,81 @@ from pyspark.sql import types as T
 # Fixed values of the cache naming rule: '<path without its last extension>.<env>.filechange'.
 CACHE_SUFFIX = ".filechange"
 
-FINGERPRINT_TYPES = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.BooleanType)
-
-
-def fingerprint_columns(df: DataFrame) -> list[str]:
-    """Columns whose text form is engine-independent (text and integers)."""
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, FINGERPRINT_TYPES)]
-
-
-def row_hash(cols: list[str]) -> Column:
-    """md5 of the row's text form (``|``-separated; NULLs skipped)."""
-    return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in cols]))
-
-
-def hash_value(h: Column) -> Column:
-    """The first 60 bits of an md5 as an exact number, so that sums are order-free and exact."""
-    return F.conv(F.substring(h, 1, 15), 16, 10).cast("decimal(38,0)")
+def canonical_text(value: Column, kind: T.DataType) -> Column:
+    """A text form of a value that is the same in any engine and differs for different values: doubles
+    as exact hexadecimal, dates and timestamps as days and microseconds, arrays and structs element
+    by element (each element with its length, so that nothing runs together)."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        x = value.cast("double")
+        exact = F.replace(F.format_string("%a", x), F.lit(".0p"), F.lit("p"))
+        return (F.when(F.isnan(x), F.lit("nan")).when(x == float("inf"), F.lit("inf"))
+                 .when(x == float("-inf"), F.lit("-inf")).otherwise(exact))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("string")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(value.cast("timestamp")).cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.lower(F.hex(value))
+    if isinstance(kind, T.ArrayType):
+        return F.array_join(F.transform(value, lambda x: sized_text(x, kind.elementType)), "")
+    if isinstance(kind, T.StructType):
+        return F.concat(*[sized_text(value[f.name], f.dataType) for f in kind.fields]) if kind.fields else F.lit("")
+    if isinstance(kind, T.MapType):
+        pair = T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])
+        return canonical_text(F.array_sort(F.map_entries(value)), T.ArrayType(pair))
+    return value.cast("string")
+
+
+def sized_text(value: Column, kind: T.DataType) -> Column:
+    """``<bytes>:<text>``, or ``N`` for NULL: neither a separator within a text nor a NULL that moves to
+    another column can give two rows the same form."""
+    text = canonical_text(value, kind)
+    return F.when(value.isNull(), F.lit("N")).otherwise(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text))
+
+
+def row_hash(df: DataFrame, cols: list[str]) -> Column:
+    """md5 of a row's canonical form over ``cols``, whatever their types."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return F.md5(F.concat(*[sized_text(df[c], kinds[c]) for c in cols]) if cols else F.lit(""))
+
+
+def hash_half(h: Column, half: int) -> Column:
+    """One half (64 bits) of an md5 as an exact number, so that sums are order-free and exact."""
+    return F.conv(F.substring(h, 1 + 16 * half, 16), 16, 10).cast("decimal(38,0)")
 
 
 def fingerprint(df: DataFrame, group: list[str] | None = None, cols: list[str] | None = None) -> DataFrame:
-    """Fingerprint per group (or of the whole table): ``n_rows``, ``hash_sum`` and ``etag``.
+    """Fingerprint per group (or of the whole table) over all columns: ``n_rows``, ``hash_high``,
+    ``hash_low`` and ``etag``.
 
-    A sum of row hashes does not depend on row order or partitioning, so it is computed with a
+    Sums of row hashes do not depend on row order or partitioning, so they are computed with a
     plain aggregation (partial sums per task), never by sorting or collecting rows."""
     group = group or []
-    cols = cols or [c for c in fingerprint_columns(df) if c not in group]
-    agg = (df.select(*group, hash_value(row_hash(cols)).alias("_h"))
-           .groupBy(*group).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("_h").cast("decimal(38,0)").alias("hash_sum")))
-    return agg.withColumn("etag", F.concat_ws(":", F.col("n_rows").cast("string"), F.col("hash_sum").cast("string")))
-
-
-def list_objects(spark, root: str, pattern: str = "*") -> DataFrame:
-    """Objects below a folder or prefix with their size and time, as a table (``binaryFile`` source
-    with the content column pruned, so no file is read). ``etag`` is a fingerprint of the
-    object's metadata: name, length and modification time."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-             .option("recursiveFileLookup", "true").load(root)
-             .select("path", "length", "modificationTime"))
-    name = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
-    return files.select("path", name.alias("object_name"), "length", "modificationTime",
-                        F.md5(F.concat_ws("|", name, F.col("length").cast("string"),
-                                          F.col("modificationTime").cast("string"))).alias("etag"))
+    cols = cols or [c for c in df.columns if c not in group]
+    halves = df.select(*group, row_hash(df, cols).alias("_h"))
+    agg = halves.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.coalesce(F.sum(hash_half(F.col("_h"), 0)), F.lit(0)).cast("decimal(38,0)").alias("hash_high"),
+        F.coalesce(F.sum(hash_half(F.col("_h"), 1)), F.lit(0)).cast("decimal(38,0)").alias("hash_low"))
+    return agg.withColumn("etag", F.concat_ws(":", *[F.col(c).cast("string") for c in ("n_rows", "hash_high", "hash_low")]))
+
+
+def list_objects(tables: dict[str, DataFrame]) -> DataFrame:
+    """The objects (files) that hold the rows of some file-based tables: table, name of the file, rows in
+    it. Only file metadata columns are read; one aggregation per table."""
+    out = None
+    for name, df in tables.items():
+        one = (df.select(F.lit(name).alias("table_name"), F.col("_metadata.file_name").alias("object_name"))
+               .groupBy("table_name", "object_name").agg(F.count(F.lit(1)).alias("n_rows")))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def objects_exist(expected: DataFrame, listing: DataFrame, name_col: str = "object_name") -> DataFrame:
     """Existence test of expected object names against a listing (left join, one row per name)."""
-    found = listing.select(F.col("object_name").alias(name_col), F.lit(True).alias("_found"), "length")
+    found = listing.groupBy(F.col("object_name").alias(name_col)).agg(F.sum("n_rows").alias("n_rows"))
     return (expected.join(found, name_col, "left")
-            .select(*expected.columns, F.coalesce("_found", F.lit(False)).alias("exists"), "length"))
+            .select(*expected.columns, F.col("n_rows").isNotNull().alias("exists"), "n_rows"))
 
 
 def change_status(current: DataFrame, state: DataFrame, envs: list[str]) -> DataFrame:
@@ -95,9 +122,9 @@ def route_rows(rows: DataFrame, status: DataFrame, path_col: str = "path") -> Da
     """Tag every row ``TRUE``/``FALSE`` from its object's status and route it to port ``CHANGES`` or
     ``NO_CHANGES``; rows with no or another tag are discarded; helper columns are dropped.
 
-    ``status(path, has_changed)`` has one row per object (bounded by the object listing, broadcast)."""
+    ``status(path, has_changed)`` has one row per object; Spark broadcasts it while it is small."""
     tag = F.when(F.col("has_changed"), F.lit("TRUE")).when(~F.col("has_changed"), F.lit("FALSE"))
-    tagged = rows.join(F.broadcast(status.select(F.col("path").alias(path_col), "has_changed")), path_col, "left") \
+    tagged = rows.join(status.select(F.col("path").alias(path_col), "has_changed"), path_col, "left") \
                  .withColumn("change_detected", tag)
     port = (F.when(F.col("change_detected") == "TRUE", F.lit("CHANGES"))
              .when(F.col("change_detected") == "FALSE", F.lit("NO_CHANGES")))
@@ -123,9 +150,9 @@ def cache_key(path: Column, env: Column | str) -> Column:
 def snapshot_diff(before: DataFrame, after: DataFrame, key: list[str], cols: list[str] | None = None) -> DataFrame:
     """Row-level difference of two snapshots: ``(key..., change)`` with change in
     ``added`` / ``removed`` / ``changed``; equal rows are omitted. One full outer join on the key."""
-    cols = cols or [c for c in fingerprint_columns(before) if c not in key]
-    b = before.select(*key, row_hash(cols).alias("_hb"))
-    a = after.select(*key, row_hash(cols).alias("_ha"))
+    cols = cols or [c for c in before.columns if c not in key]
+    b = before.select(*key, row_hash(before, cols).alias("_hb"))
+    a = after.select(*key, row_hash(after, cols).alias("_ha"))
     j = b.join(a, key, "full_outer")
     change = (F.when(F.col("_hb").isNull(), F.lit("added"))
                .when(F.col("_ha").isNull(), F.lit("removed"))

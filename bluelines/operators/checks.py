@@ -1,8 +1,8 @@
 """Input reports: rows that the job would silently drop or mis-order, listed instead.
 
 The reference drops points whose line key has no segment (inner join) and loses a list step
-for a NULL type; these reports make both visible. The point table is small: it is the broadcast
-side everywhere, and the segment table is only probed for the line keys the points use.
+for a NULL type; these reports make both visible. The segment table is only probed for the line keys
+the points use.
 """
 
 from __future__ import annotations
@@ -16,12 +16,12 @@ from bluelines.functions.lists import TYPE_PRIORITY
 def point_problems(points_src: DataFrame, segments: DataFrame) -> DataFrame:
     """``(notation_id, problem)`` for every point with: no line key, no segment on its line,
     a NULL or unknown type, or an id used more than once."""
-    pts = F.broadcast(points_src.select("notation_id", "notation_type", "blue_line_key"))
+    pts = points_src.select("notation_id", "notation_type", "blue_line_key")
     lines_with_segments = (segments.select("blue_line_key")
-                           .join(F.broadcast(points_src.select("blue_line_key").distinct()), "blue_line_key",
+                           .join(points_src.select("blue_line_key").distinct(), "blue_line_key",
                                  "left_semi").distinct())
     no_segment = (pts.where(F.col("blue_line_key").isNotNull())
-                  .join(F.broadcast(lines_with_segments), "blue_line_key", "left_anti")
+                  .join(lines_with_segments, "blue_line_key", "left_anti")
                   .select("notation_id", F.lit("no segment on line").alias("problem")))
     no_key = pts.where(F.col("blue_line_key").isNull()).select(
         "notation_id", F.lit("no line key").alias("problem"))

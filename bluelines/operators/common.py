@@ -5,22 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side (rows) we broadcast. Points number in the thousands in practice; the bound
-# keeps a broadcast far below executor memory even with wide rows (~1 KiB each).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only after counting it; above the bound it stays a shuffle join
-    (AQE then handles skew on the join keys).
-
-    ``df`` should be materialised so that the count does not recompute it.
-    """
-    limit = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    n = df.count()
-    return F.broadcast(df) if n <= limit else df
-
-
 def first_per_key(df: DataFrame, key: list[str], order: list) -> DataFrame:
     """First row per key under an explicit order (``distinct on (key) ... order by key, order``).
 

@@ -74,11 +74,9 @@ def _shared_parts(main: DataFrame, kpoints: DataFrame, attrs: list[str], toleran
     inherited_entry = F.struct(F.col("p_prank").alias("prank"), F.col("p_notation_id").alias("notation_id"),
                                F.col("p_notation_type").alias("notation_type"),
                                F.col("p_blue_line_key").alias("pblk"))
-    # the distinct codes are few bytes but fan out to many pairs: spread them over the cluster
-    # explicitly. The repartition comes first: a user repartition on top of the distinct would be
-    # dropped as redundant when the partition counts agree, and the distinct's own exchange may be
-    # coalesced by size into one task. Shuffled is one code string per piece.
-    n = main.sparkSession.sparkContext.defaultParallelism
+    # the distinct codes are few bytes but fan out: the repartition spreads them over all shuffle
+    # partitions before the distinct, whose own exchange might be coalesced by size into one task
+    n = int(main.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     codes = main.select("wscode").repartition(n, "wscode").distinct()
     by_code = (upstream.keyed_lines(codes, "ancestors")
                .join(kpoints, (F.col("_k") == F.col("_pk")) & upstream.ancestor_condition())

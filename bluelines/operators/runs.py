@@ -3,9 +3,11 @@ before it in the same sequence.
 
 The per-piece type lists are short and use the array form (``functions.lists.collapse_runs``).
 A sequence that may be huge (all events of one user) must not become one task, so it is split
-into time buckets: the ``lag`` runs inside ``(key, bucket)``, and the value before a bucket's
+into buckets along the order: the ``lag`` runs inside ``(key, bucket)``, and the value before a bucket's
 first row is the last value of the previous non-empty bucket of the key, taken from a per-bucket
 summary (``max_by`` with partial aggregation; one row per bucket, far smaller than the rows).
+``quantile_bucket`` cuts a column at its quantiles, so buckets hold about equally many rows however
+the rows crowd in time.
 """
 
 from __future__ import annotations
@@ -31,3 +33,19 @@ def run_starts(df: DataFrame, key: str, order: list[str], value: str, bucket: F.
     d = d.withColumn("_p", prev)
     keep = F.col("_p").isNull() | (F.col("_p") != F.col(value))
     return d.where(keep).drop("_b", "_prev", "_rn", "_carry", "_p")
+
+
+def quantile_bucket(df: DataFrame, order: F.Column, buckets: int) -> F.Column:
+    """Number of the quantile range (0 .. buckets - 1) that ``order`` (a number) falls in. The bounds
+    come from one aggregation (``buckets - 1`` numbers); a row's range is found by halving."""
+    shares = [k / buckets for k in range(1, buckets)]
+    found = df.agg(F.percentile_approx(order, shares, 10_000).alias("q")).first()["q"] if shares else None
+    bounds = sorted(set(found or []))
+
+    def place(low: int, high: int) -> F.Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(order < F.lit(bounds[middle]), place(low, middle)).otherwise(place(middle + 1, high))
+
+    return F.coalesce(place(0, len(bounds)), F.lit(-1))

@@ -10,13 +10,13 @@ Such a channel cannot be placed on its code, so the rules are coarse:
 * the list of a channel piece holds the points downstream of it on its own line, plus every
   point with the same code.
 
-The positions are counts from a broadcast join of the points' own segments against the pieces of
-their line (partial aggregation, so a long line does not become one task), not a window.
+A position is the rank of the point's own segment among the pieces of its line, numbered only on lines
+that hold points; no point meets any piece but that of its own segment.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bluelines.functions.codes import is_within
@@ -31,31 +31,25 @@ EXEMPT_ROOT = "999"
 def line_positions(points: DataFrame, pieces: DataFrame) -> DataFrame:
     """Per point: its segment's group, and ``pos`` = number of pieces of its line (same group)
     that start below its segment; ``k`` = number of points on its line."""
-    first = pieces.where(F.col("piece_index") == 0).select(
-        "linear_feature_id", F.col("downstream_route_measure").alias("seg_dm"), "watershed_group_code")
-    own = points.select("notation_id", "linear_feature_id", "blue_line_key", "downstream_route_measure").join(
-        first, "linear_feature_id")
     k = points.groupBy("blue_line_key").agg(F.count(F.lit(1)).alias("k"))
-    # ``own`` has at most one row per point (the point table's size is checked before broadcast)
-    below = (pieces.select("blue_line_key", "watershed_group_code", F.col("downstream_route_measure").alias("dm"))
-             .join(F.broadcast(own.select("notation_id", "blue_line_key", "watershed_group_code", "seg_dm")),
-                   ["blue_line_key", "watershed_group_code"])
-             .where(F.col("dm") < F.col("seg_dm"))
-             .groupBy("notation_id").agg(F.count(F.lit(1)).alias("pos")))
-    return (own.join(k, "blue_line_key").join(below, "notation_id", "left")
-            .select("notation_id", "linear_feature_id", "blue_line_key", "watershed_group_code",
-                    "downstream_route_measure", F.coalesce("pos", F.lit(0)).cast("bigint").alias("pos"), "k"))
+    along = Window.partitionBy("blue_line_key", "watershed_group_code").orderBy("downstream_route_measure")
+    numbered = (pieces.select("linear_feature_id", "blue_line_key", "watershed_group_code", "downstream_route_measure", "piece_index")
+                .join(k.select("blue_line_key"), "blue_line_key", "left_semi")
+                .withColumn("pos", (F.rank().over(along) - 1).cast("bigint"))
+                .where("piece_index = 0").select("linear_feature_id", "watershed_group_code", "pos"))
+    own = points.select("notation_id", "linear_feature_id", "blue_line_key", "downstream_route_measure")
+    return own.join(numbered, "linear_feature_id").join(k, "blue_line_key").select(
+        "notation_id", "linear_feature_id", "blue_line_key", "watershed_group_code", "downstream_route_measure", "pos", "k")
 
 
 def start_of_route(positions: DataFrame, count_points: bool = True) -> DataFrame:
-    """``(notation_id, watershed_group_code, start_of_stream_ind)``.
+    """``(notation_id, watershed_group_code, near_start)``.
 
     ``count_points=True`` numbers pieces over points x pieces, as the reference does (with ``k``
     points on a line the "first three" shrink); ``False`` counts distinct pieces."""
     k = F.col("k") if count_points else F.lit(1)
-    flag = ((F.col("pos") * k + 1 <= START_PIECES)
-            | (F.col("downstream_route_measure") < START_MEASURE))
-    return positions.select("notation_id", "watershed_group_code", flag.alias("start_of_stream_ind"))
+    flag = (F.col("pos") * k + 1 <= START_PIECES) | (F.col("downstream_route_measure") < START_MEASURE)
+    return positions.select("notation_id", "watershed_group_code", flag.alias("near_start"))
 
 
 def multi_point_codes(points: DataFrame) -> DataFrame:
@@ -69,19 +63,18 @@ def multi_point_codes(points: DataFrame) -> DataFrame:
 def side_pieces(pieces: DataFrame, starts: DataFrame, multi: DataFrame, points: DataFrame | None = None,
                 correlated: bool = False) -> DataFrame:
     """Channel pieces (no local code, not the main flow line) of the groups with a start point,
-    minus codes with several points. ``starts``/``multi`` have at most one row per point, so their
-    size is bounded by the (checked) point table and they are broadcast.
+    minus codes with several points.
 
     As written in the reference one start point admits every channel of its group
     (``correlated=False``); ``correlated=True`` also requires the channel's code to be the start
     point's code (``points`` gives the codes)."""
-    ok = starts.where(F.col("start_of_stream_ind"))
+    ok = starts.where(F.col("near_start"))
     channels = pieces.where(F.col("localcode").isNull() & (F.col("blue_line_key") != F.col("watershed_key")))
     if correlated:
         keys = ok.join(points.select("notation_id", "wscode"), "notation_id").select(
             "watershed_group_code", "wscode").distinct()
-        channels = channels.join(F.broadcast(keys), ["watershed_group_code", "wscode"], "left_semi")
+        channels = channels.join(keys, ["watershed_group_code", "wscode"], "left_semi")
     else:
         groups = ok.select("watershed_group_code").distinct()
-        channels = channels.join(F.broadcast(groups), "watershed_group_code", "left_semi")
-    return channels.join(F.broadcast(multi), "wscode", "left_anti")
+        channels = channels.join(groups, "watershed_group_code", "left_semi")
+    return channels.join(multi, "wscode", "left_anti")

@@ -1,7 +1,7 @@
 """Linear referencing on tables: snap points to the nearest segment of their line, the point on a
 route at a measure, and the cut of a line to a measure range.
 
-Points are few and broadcast behind a row-count check; segment geometry streams. Per-row
+The caller prunes the segments to the lines of the points before their geometry is built. Per-row
 geometry is column expressions over vertex arrays (``functions.geometry``).
 """
 
@@ -16,8 +16,7 @@ from bluelines.functions.geometry import between_measures, closest_point, force2
 def nearest_segment(points_src: DataFrame, lines: DataFrame) -> DataFrame:
     """For every point, the closest segment with the same ``blue_line_key`` and where on it.
 
-    ``points_src``: notation_id, notation_type, notation_description, blue_line_key, x, y
-    (marked for broadcast by the caller). ``lines``: linear_feature_id, blue_line_key,
+    ``points_src``: ``schemas.POINTS_SRC``. ``lines``: linear_feature_id, blue_line_key,
     downstream_route_measure, length_metre, wscode, localcode, watershed_group_code, geom.
     Ties on distance go to the smaller ``linear_feature_id``. Points whose line key has no
     segment drop out (inner join). A notation id that occurs more than once yields one row, its
@@ -29,7 +28,7 @@ def nearest_segment(points_src: DataFrame, lines: DataFrame) -> DataFrame:
     cand = cand.withColumn("_cp", cp)
     frac = F.when(F.col("_cp.total") > 0, F.col("_cp.along") / F.col("_cp.total")).otherwise(F.lit(0.0))
     snapped = F.struct(
-        F.col("notation_type"), F.col("notation_description"),
+        F.col("notation_type"), F.col("notation_description"), F.col("wls_wn_sysid"),
         F.col("linear_feature_id"), F.col("blue_line_key"),
         (frac * F.col("length_metre") + F.col("downstream_route_measure")).alias("downstream_route_measure"),
         F.col("wscode"), F.col("localcode"), F.col("watershed_group_code"),
@@ -42,13 +41,13 @@ def nearest_segment(points_src: DataFrame, lines: DataFrame) -> DataFrame:
     return (cand.groupBy("notation_id").agg(best)
             .select("notation_id", "_nn.notation_type", "_nn.notation_description",
                     "_nn.linear_feature_id", "_nn.blue_line_key", "_nn.downstream_route_measure",
-                    "_nn.wscode", "_nn.localcode", "_nn.distance_to_stream", "_nn.watershed_group_code"))
+                    "_nn.wscode", "_nn.localcode", "_nn.watershed_group_code", "_nn.wls_wn_sysid", "_nn.distance_to_stream"))
 
 
 def locate_along(points: DataFrame, lines: DataFrame) -> DataFrame:
     """The 2-D point on each point's route at its measure (route = all segments of the line key).
 
-    ``points``: notation_id, blue_line_key, downstream_route_measure (broadcast by the caller).
+    ``points``: notation_id, blue_line_key, downstream_route_measure.
     The segment whose measure range holds the measure is used; at a shared end the lower one.
     """
     pm = F.col("_pm")
@@ -62,13 +61,21 @@ def locate_along(points: DataFrame, lines: DataFrame) -> DataFrame:
                                                          F.col("_pt.y").alias("y"))
 
 
+def with_location(snapped: DataFrame, lines: DataFrame) -> DataFrame:
+    """The snapped points with ``geom``, the point of their route at their measure."""
+    at = locate_along(snapped, lines).select("notation_id", F.struct("x", "y").alias("geom"))
+    return snapped.join(at, "notation_id", "left")
+
+
+def with_geometry(pieces: DataFrame, lines: DataFrame) -> DataFrame:
+    """``pieces`` with ``geom``: its segment's line cut to the piece's measure range, in two dimensions
+    (empty where the range misses the line, null without a line)."""
+    part = between_measures(F.col("_line"), F.col("downstream_route_measure"), F.col("upstream_route_measure"))
+    j = pieces.join(lines.select("linear_feature_id", F.col("geom").alias("_line")), "linear_feature_id", "left")
+    return j.withColumn("geom", F.transform(part, force2d)).drop("_line")
+
+
 def clip_pieces(pieces: DataFrame, lines: DataFrame) -> DataFrame:
-    """Geometry of every piece: its segment's line cut to the piece's measure range, one row per
-    vertex (``segmented_stream_id, vertex_index, x, y``). Pieces whose cut is empty drop out."""
-    j = pieces.select("segmented_stream_id", "linear_feature_id",
-                      F.col("downstream_route_measure").alias("_m0"),
-                      F.col("upstream_route_measure").alias("_m1")).join(
-        lines.select("linear_feature_id", "geom"), "linear_feature_id")
-    part = between_measures(F.col("geom"), F.col("_m0"), F.col("_m1"))
-    return j.select("segmented_stream_id", F.posexplode(part).alias("vertex_index", "v")).select(
+    """The same geometry as rows, one per vertex (``segmented_stream_id, vertex_index, x, y``)."""
+    return with_geometry(pieces, lines).select("segmented_stream_id", F.posexplode("geom").alias("vertex_index", "v")).select(
         "segmented_stream_id", "vertex_index", F.col("v.x").alias("x"), F.col("v.y").alias("y"))

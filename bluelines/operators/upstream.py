@@ -17,8 +17,9 @@ tagged with its join keys -- ``b:<blk>`` and ``w:<prefix>`` for every prefix of
 one per level) -- and every point with ``b:<blk>`` and ``w:<W>``. One equi join on the tag finds
 all candidates (case 1 through ``b:``, cases 2 and 3 through ``w:``), and a residual filter
 decides. The two tag kinds are disjoint, so a pair is produced once per kind that holds.
-The point side is small and broadcast behind a row-count check; the line side streams and
-keeps its partitioning, so later aggregations by line need no extra shuffle.
+While the point side is small Spark broadcasts it by its size in bytes and the line side streams and
+keeps its partitioning, so later aggregations by line need no extra shuffle; beyond that the tags are
+shuffled.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bluelines.functions.codes import depth, is_strictly_within, is_within, level_range, prefix
+from bluelines.functions.rounding import piece_key
+from bluelines.operators.common import first_per_key
 
 TOLERANCE = 1.0  # metres; pieces start at a rounded measure
 
@@ -47,12 +50,6 @@ def d_up(blk: Column, dm: Column, w: Column, lc: Column,
     return F.coalesce(case1 | case2 | case3, F.lit(False))
 
 
-def line_keys(blk: Column, w: Column) -> Column:
-    """Join tags of a line row: its flow line and every prefix of its code (array form)."""
-    return F.concat(F.array(F.concat(F.lit("b:"), blk.cast("string"))),
-                    F.transform(level_range(1, depth(w)), lambda n: F.concat(F.lit("w:"), prefix(w, n))))
-
-
 def point_keys(blk: Column, w: Column) -> Column:
     return F.array(F.concat(F.lit("b:"), blk.cast("string")), F.concat(F.lit("w:"), w))
 
@@ -160,10 +157,11 @@ def work_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLER
     """Segments to work on: upstream of a point, holding a point, or an unplaceable side channel
     with a point's code (a disjunctive join written as one tagged equi join).
 
-    A left-semi join: each tagged row stops at its first matching point, so no pair is built;
-    the few tagged rows of one segment are exact duplicates once the tags are dropped, so a hash
-    ``distinct`` (partial aggregation first) keeps one row per segment.
+    A left-semi join: each tagged row stops at its first matching point, so no pair is built. One row
+    per piece key stays (segments of a line with the same start: the smallest id), which also folds the
+    tagged rows of one segment.
     """
     cond = upstream_residual(tolerance) | on_segment_residual() | side_candidate_residual()
-    hit = keyed_lines(segments).join(kpoints, (F.col("_k") == F.col("_pk")) & cond, "left_semi")
-    return hit.drop(*HELPERS).distinct()
+    hit = keyed_lines(segments).join(kpoints, (F.col("_k") == F.col("_pk")) & cond, "left_semi").drop(*HELPERS)
+    key = piece_key(F.col("blue_line_key"), F.col("downstream_route_measure"))
+    return first_per_key(hit.withColumn("_key", key), ["_key"], ["linear_feature_id"]).drop("_key")

@@ -16,7 +16,7 @@ from bluelines import schemas
 from bluelines.functions.codes import depth, level_range, prefix
 from bluelines.functions.rounding import piece_key
 from bluelines.operators import changes, checks, lists, runs, snapping, upstream
-from bluelines.operators.common import bounded_broadcast, first_per_key, insert_ignore, round6
+from bluelines.operators.common import first_per_key, insert_ignore, round6
 from bluelines.operators.links import link_by_text_key
 from bluelines.plans import sinks
 from bluelines.plans.pipeline import OUTPUT_COLS, Network
@@ -80,6 +80,7 @@ def q_key_check(spark, d):
     return (dup(n.segments, schemas.KEYS["segments"], "segments")
             .unionByName(dup(n.points, schemas.KEYS["notations"], "notations"))
             .unionByName(dup(n.pieces, schemas.KEYS["pieces"], "pieces"))
+            .unionByName(dup(conflict_network(spark, d).pieces, schemas.KEYS["pieces"], "pieces of conflicting segments"))
             .unionByName(dup(t.lineitem, ["l_orderkey", "l_linenumber"], "lineitem")))
 
 
@@ -87,15 +88,42 @@ def q_key_check(spark, d):
 OVERRIDE_RULES = [("300.432687.380566.184025", "300.432687.380566.173400")]
 
 
-def override_codes(points: DataFrame, rules: list[tuple[str, str]] = OVERRIDE_RULES) -> DataFrame:
-    """``update ... set localcode = new where localcode = old`` as a broadcast left join."""
-    r = points.sparkSession.createDataFrame(rules, "old_code string, new_code string")
-    return (points.join(F.broadcast(r), F.col("localcode") == F.col("old_code"), "left")
+def override_codes(points: DataFrame, rules: list[tuple[str, str]] | DataFrame = OVERRIDE_RULES) -> DataFrame:
+    """``update ... set localcode = new where localcode = old`` as a left join with the rule table."""
+    r = points.sparkSession.createDataFrame(rules, "old_code string, new_code string") if isinstance(rules, list) else rules
+    return (points.join(r, F.col("localcode") == F.col("old_code"), "left")
             .withColumn("localcode", F.coalesce("new_code", "localcode")).drop("old_code", "new_code"))
 
 
 def q_override_rules(spark, d):
-    return override_codes(network(spark, d).points).select("notation_id", "localcode")
+    """The reference's rule and one for every point whose id ends in an even digit: its local code is
+    moved to the start of its stream."""
+    pts = network(spark, d).points
+    moved = pts.where(F.col("notation_id").rlike("[02468]$") & F.col("localcode").isNotNull())
+    rules = moved.select(F.col("localcode").alias("old_code"), F.col("wscode").alias("new_code")).distinct()
+    fixed = spark.createDataFrame(OVERRIDE_RULES, rules.schema)
+    return override_codes(pts, rules.unionByName(fixed)).select("notation_id", "localcode")
+
+
+def conflict_network(spark: SparkSession, d: str) -> Network:
+    """The fixture with piece-key conflicts: every fifth line has a second, half as long segment at its
+    start, under another id."""
+    key = ("conflicts", spark.sparkContext.applicationId, d)
+    if key not in _NETWORKS:
+        n = network(spark, d)
+        start = n.segments.where((F.col("blue_line_key") % 5 == 0) & (F.col("downstream_route_measure") == 0))
+        twice = start.withColumns({"linear_feature_id": F.col("linear_feature_id") + 8,
+                                   "upstream_route_measure": F.col("upstream_route_measure") / 2,
+                                   "length_metre": F.col("length_metre") / 2})
+        _NETWORKS[key] = Network(spark, segments=n.segments.unionByName(twice), points=n.points.drop("prank"))
+    return _NETWORKS[key]
+
+
+def q_key_conflicts(spark, d):
+    """Pieces where segments share a start: the first segment per key stays, cuts whose key exists are skipped."""
+    return conflict_network(spark, d).pieces.select(
+        "segmented_stream_id", "linear_feature_id", round6("downstream_route_measure").alias("downstream_route_measure"),
+        round6("upstream_route_measure").alias("upstream_route_measure"))
 
 
 def q_segment_key(spark, d):
@@ -110,7 +138,7 @@ def q_input_report(spark, d):
     line key made from the customer instead (such lines do not exist) and pending orders an
     unknown type."""
     n = network(spark, d)
-    src = n.points_src.join(F.broadcast(n.points.select("notation_id", "linear_feature_id")), "notation_id")
+    src = n.points_src.join(n.points.select("notation_id", "linear_feature_id"), "notation_id")
     orders = Tables(spark, d).orders.select(F.col("o_orderkey").alias("_ok"), "o_custkey", "o_orderstatus",
                                             "o_orderpriority")
     raw = (src.join(orders, F.col("blue_line_key") == F.col("_ok"))
@@ -123,14 +151,15 @@ def q_input_report(spark, d):
 
 
 def q_code_descendant(spark, d):
-    """Per point: how many segments have a code at or below the point's code (``<@``), as a
-    prefix equi join -- a segment's code has at most one prefix per level."""
+    """Per point: how many segments have a code at or below the point's code (``<@``): segments are
+    counted per code, the counts are added up over the code's prefixes (one per level), and the points
+    look their code up once."""
     n = network(spark, d)
-    pts = F.broadcast(n.points.select("notation_id", F.col("wscode").alias("_root")))
     w = F.col("wscode")
-    seg = (n.segments.select("linear_feature_id", "wscode", F.explode(level_range(1, depth(w))).alias("_lv"))
-           .select("linear_feature_id", prefix(w, F.col("_lv")).alias("_root")))
-    return seg.join(pts, "_root").groupBy("notation_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_segments"))
+    per_code = n.segments.groupBy("wscode").agg(F.count(F.lit(1)).alias("n"))
+    above = (per_code.select("wscode", "n", F.explode(level_range(1, depth(w))).alias("_lv"))
+             .groupBy(prefix(w, F.col("_lv")).alias("_root")).agg(F.sum("n").cast("bigint").alias("n_segments")))
+    return n.points.join(above, F.col("wscode") == F.col("_root")).select("notation_id", "n_segments")
 
 
 LINE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -225,10 +254,12 @@ def q_primary_type(spark, d):
 
 def q_run_collapse(spark, d):
     """Events per user ordered by time: the rows where the event type changes (runs of one type
-    collapse to their first row). Split into hourly buckets so a heavy user is not one task."""
-    ev = Tables(spark, d).events
-    r = runs.run_starts(ev.select("event_id", "ts", "user_id", "event_type"), "user_id", ["ts", "event_id"],
-                        "event_type", F.date_trunc("hour", F.col("ts")))
+    collapse to their first row). Split at the quantiles of time, so that neither a heavy user nor
+    a heavy hour is one task."""
+    ev = Tables(spark, d).events.select("event_id", "ts", "user_id", "event_type")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    bucket = runs.quantile_bucket(ev, at, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    r = runs.run_starts(ev, "user_id", ["ts", "event_id"], "event_type", bucket)
     return r.select("user_id", "event_id", "event_type")
 
 
@@ -265,18 +296,39 @@ def q_snap_measure(spark, d):
                     "wscode", "localcode", "watershed_group_code")
 
 
+def q_snapped_table(spark, d):
+    """The snapped point table in full (``schemas.NOTATIONS``), its location as two numbers."""
+    s = sinks.typed(network(spark, d).snapped, schemas.NOTATIONS)
+    return s.select(*[c for c in s.columns if c not in ("geom", "downstream_route_measure", "distance_to_stream")],
+                    round6("downstream_route_measure").alias("downstream_route_measure"),
+                    round6("distance_to_stream").alias("distance_to_stream"),
+                    round6("geom.x").alias("x"), round6("geom.y").alias("y"))
+
+
 def q_locate_along(spark, d):
     n = network(spark, d)
-    pts = bounded_broadcast(n.snapped_points)
-    return snapping.locate_along(pts, n.lines).select("notation_id", round6("x").alias("x"), round6("y").alias("y"))
+    return snapping.locate_along(n.snapped, n.point_lines).select("notation_id", round6("x").alias("x"), round6("y").alias("y"))
 
 
 def q_clip_lines(spark, d):
     n = network(spark, d)
-    pieces = n.stream_list_all.select("segmented_stream_id", "linear_feature_id", "downstream_route_measure",
-                                      "upstream_route_measure")
-    return snapping.clip_pieces(pieces, n.lines).select("segmented_stream_id", "vertex_index",
-                                                          round6("x").alias("x"), round6("y").alias("y"))
+    return snapping.clip_pieces(n.stream_list_all, n.listed_lines).select(
+        "segmented_stream_id", "vertex_index", round6("x").alias("x"), round6("y").alias("y"))
+
+
+def q_stream_export(spark, d):
+    """The published streams by the declared schema, written over the empty template and read back;
+    each geometry is given by its number of vertices and its two ends."""
+    n = network(spark, d)
+    path = work_path(spark, "stream-export")
+    sinks.template(spark, schemas.STREAM_OUTPUT, path)
+    sinks.typed(n.stream_output, schemas.STREAM_OUTPUT).write.mode("append").option("compression", "zstd").parquet(path)
+    out = spark.read.schema(schemas.STREAM_OUTPUT).parquet(path)
+    first, last = F.get("geom", 0), F.element_at("geom", -1)
+    return out.select("linear_feature_id", "notation_id_list", "primary_notation_type", "secondary_notation_types",
+                      "fwa_watershed_code", "blue_line_key", F.size("geom").alias("n_vertices"),
+                      round6(first["x"]).alias("x_first"), round6(first["y"]).alias("y_first"),
+                      round6(last["x"]).alias("x_last"), round6(last["y"]).alias("y_last"))
 
 
 def snapped_network(spark: SparkSession, d: str) -> Network:
@@ -285,7 +337,7 @@ def snapped_network(spark: SparkSession, d: str) -> Network:
     key = ("snapped", spark.sparkContext.applicationId, d)
     if key not in _NETWORKS:
         base = network(spark, d)
-        notations = override_codes(base.snapped).select(*[f.name for f in schemas.NOTATIONS.fields])
+        notations = override_codes(base.snapped).select(*[f.name for f in schemas.PLACED_POINTS.fields])
         _NETWORKS[key] = Network(spark, segments=base.segments, points=notations)
     return _NETWORKS[key]
 
@@ -300,7 +352,7 @@ def q_attr_link(spark, d):
     largest x, so the carried geometry is checked too."""
     n = network(spark, d)
     aq = fixtures.aquifers(n.tables)
-    linked = link_by_text_key(bounded_broadcast(n.points_src), aq)
+    linked = link_by_text_key(n.points_src, aq)
     xs = F.flatten(F.transform(F.flatten("geom"), lambda ring: F.transform(ring, lambda p: p["x"])))
     return (linked.select("aquifer_id", "notation_id", "notation_description",
                           F.size("geom").alias("n_polygons"), round6(F.array_max(xs)).alias("x_max"))
@@ -334,19 +386,19 @@ def q_table_fingerprint(spark, d):
     t = Tables(spark, d)
     out = None
     for name in TABLES:
-        fp = changes.fingerprint(getattr(t, name)).select(F.lit(name).alias("table_name"), "n_rows", "hash_sum")
+        fp = changes.fingerprint(getattr(t, name)).select(F.lit(name).alias("table_name"), "n_rows", "hash_high", "hash_low")
         out = fp if out is None else out.unionByName(fp)
     return out
 
 
 def q_object_listing(spark, d):
-    """Listing of the input folder as a table and an existence test of every input table's file
-    plus one that is not there; file metadata only, no content is read."""
-    listing = changes.list_objects(spark, d, "*.parquet")
-    expected = spark.createDataFrame([(t, f"{t}.parquet") for t in (*TABLES, "retired")],
-                                     "table_name string, object_name string")
-    return changes.objects_exist(expected, listing).select("table_name", "object_name", "exists",
-                                                            F.col("length").isNotNull().alias("has_length"))
+    """The files that hold the rows of the input tables, with their row counts, and an existence test of
+    every input table's file plus one that is not there."""
+    t = Tables(spark, d)
+    listing = changes.list_objects({name: getattr(t, name) for name in TABLES})
+    expected = listing.select("table_name", "object_name").unionByName(
+        spark.createDataFrame([("retired", "retired.parquet")], "table_name string, object_name string"))
+    return changes.objects_exist(expected, listing)
 
 
 def q_change_status(spark, d):
@@ -359,7 +411,7 @@ def q_change_sync(spark, d):
     entry of a retired object goes), 'test' entries kept, then one cached entry removed."""
     _, current, state, _ = _change_inputs(spark, d)
     test = state.where(F.col("path") < "orders/4").withColumn("env", F.lit("test"))
-    stale = spark.createDataFrame([("orders/9-RETIRED.parquet", "prod", "0:0")], "path string, env string, etag string")
+    stale = spark.createDataFrame([("orders/9-RETIRED.parquet", "prod", "0:0:0")], "path string, env string, etag string")
     synced = changes.sync_state(state.unionByName(test).unionByName(stale), current, "prod")
     drop = spark.createDataFrame([("orders/3-MEDIUM.parquet", "test")], "path string, env string")
     return changes.remove_state(synced, drop)
@@ -385,38 +437,70 @@ def q_url_to_path(spark, d):
 
 
 def orders_after(orders: DataFrame) -> DataFrame:
-    """An edited copy of orders: 'P' orders removed, urgent orders' priority text changed,
-    and the removed keys of one priority re-added with another customer."""
+    """An edited copy of orders: 'P' orders removed, urgent orders' priority text changed, the price
+    of some 'F' orders raised by a cent, the date of others moved by a day, and the removed keys of one
+    priority re-added with another customer."""
     keep = orders.where(F.col("o_orderstatus") != "P")
     edited = keep.withColumn("o_orderpriority",
                              F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("1-URGENT*"))
                               .otherwise(F.col("o_orderpriority")))
+    edited = edited.withColumns({
+        "o_totalprice": F.when(F.col("o_orderpriority") == "2-HIGH", F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice")),
+        "o_orderdate": F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"))
+                        .otherwise(F.col("o_orderdate"))})
     readded = orders.where((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "3-MEDIUM")) \
                     .withColumn("o_custkey", F.col("o_custkey") + 1)
     return edited.unionByName(readded)
 
 
 def q_snapshot_diff(spark, d):
-    o = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    o = Tables(spark, d).orders
     b = o.where(F.col("o_orderpriority") != "5-LOW")
     return changes.snapshot_diff(b, orders_after(o), ["o_orderkey"])
 
 
+def q_fingerprint_edits(spark, d):
+    """Whether the fingerprint sees an edit of one column only: a price, a date, one component of an
+    embedding, a NULL that swaps columns with a text; and a copy that is only reordered."""
+    t = Tables(spark, d)
+    orders, vectors = t.orders, t.embeddings
+    texts = orders.select("o_orderkey", F.col("o_orderstatus").alias("a"), F.lit(None).cast("string").alias("b"))
+    cases = [
+        ("price", orders, orders.withColumn("o_totalprice", F.when(F.col("o_orderkey") == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))),
+        ("date", orders, orders.withColumn("o_orderdate", F.when(F.col("o_orderkey") == 1, F.col("o_orderdate") + F.expr("INTERVAL 1 SECOND")).otherwise(F.col("o_orderdate")))),
+        ("embedding", vectors, vectors.withColumn("embedding", F.transform(
+            "embedding", lambda x, i: F.when((i == 3) & (F.col("vec_id") == 1), x + F.lit(1).cast("float")).otherwise(x)))),
+        ("null swap", texts, texts.select("o_orderkey", F.col("b").alias("a"), F.col("a").alias("b"))),
+        ("order of rows", orders, orders.orderBy(F.col("o_orderkey").desc())),
+    ]
+    out = None
+    for name, before, after in cases:
+        x = changes.fingerprint(before).select(F.lit(name).alias("edit"), F.col("etag").alias("x"))
+        one = changes.fingerprint(after).withColumn("edit", F.lit(name)).join(x, "edit").select(
+            "edit", "n_rows", (F.col("etag") != F.col("x")).alias("seen"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ---- sinks, gate, streaming ---------------------------------------------------------------
 def q_sink_refresh(spark, d):
     n = network(spark, d)
     path = work_path(spark, "streams")
-    sinks.write_refresh(sinks.empty_like(_out(n.stream_list_all)), path)   # template first
-    sinks.write_refresh(_out(n.stream_list_all), path)                     # then the full refresh
+    out = _out(n.stream_list_all)
+    sinks.template(spark, out.schema, path)  # the empty table first
+    sinks.write_refresh(out, path)           # then the full refresh
     return sinks.read_output(spark, path)
 
 
 def q_sink_by_group(spark, d):
+    """An earlier run wrote all groups with its own lists; this run refreshes the groups up to 'W012', of
+    which 'W005' has no rows any more: listed groups are replaced or gone, the others keep the earlier rows."""
     n = network(spark, d)
     path = work_path(spark, "streams-by-group")
     out = n.stream_list_all.select(*_out(n.stream_list_all).columns, "watershed_group_code")
-    sinks.write_by_group(out.where(F.col("notation_id_list").isNull()), path)  # an earlier, partial run
-    sinks.write_by_group(out, path)  # the run replaces every group it holds
+    sinks.write_all_groups(out.withColumn("notation_id_list", F.concat(F.lit("earlier;"), F.col("notation_id_list"))), path)
+    groups = [f"W{k:03d}" for k in range(13)]
+    sinks.refresh_groups(out.where(F.col("watershed_group_code") != "W005"), path, groups)
     return sinks.read_output(spark, path).select(*OUTPUT_COLS)
 
 
@@ -435,23 +519,33 @@ def q_group_output(spark, d):
 
 
 def q_gated_run(spark, d):
+    """The gate both ways: 'prod' has a cached fingerprint that differs, so the lists are made anew; 'test'
+    was synced with the current fingerprints, so the previous output (of one group) is returned."""
     n = network(spark, d)
     _, current, state, envs = _change_inputs(spark, d)
-    status = changes.change_status(current, state, envs).where(F.col("env") == "prod")
     path = work_path(spark, "gated")
-    sinks.write_refresh(sinks.empty_like(_out(n.stream_list_all)), path)
-    return sinks.gated(status, lambda: _out(n.stream_list_all), lambda: sinks.read_output(spark, path))
+    out = n.stream_list_all.select(*_out(n.stream_list_all).columns, "watershed_group_code")
+    sinks.write_refresh(out.where(F.col("watershed_group_code") == GROUP).select(*OUTPUT_COLS), path)
+    status = changes.change_status(current, changes.sync_state(state, current, "test"), envs)
+    result = None
+    for env in envs:
+        one = sinks.gated(status.where(F.col("env") == env), lambda: _out(n.stream_list_all), lambda: sinks.read_output(spark, path))
+        one = one.withColumn("env", F.lit(env))
+        result = one if result is None else result.unionByName(one)
+    return result
 
 
 def q_ingest_available_now(spark, d):
     """Events arrive as files in a landing folder (two drops, the second repeating one event
     type); one available-now streaming run loads them into the target, each event id once."""
-    ev = Tables(spark, d).events.select("event_id", "user_id", "event_type", "value")
+    ev = Tables(spark, d).events
     landing, target, ckpt = (work_path(spark, "landing"), work_path(spark, "events"), work_path(spark, "ingest-ckpt"))
     ev.write.mode("append").parquet(landing)
     ev.where(F.col("event_type") == "click").write.mode("append").parquet(landing)
-    ingest_available_now(spark, landing, ev.schema, target, ckpt, ["event_id"], ["user_id", "event_type", "value"])
-    return spark.read.parquet(target).select("event_id", "user_id", "event_type", round6("value").alias("value"))
+    ingest_available_now(spark, landing, ev.schema, target, ckpt, ["event_id"], ["ts", "user_id", "event_type", "value", "props"],
+                         F.floor(F.col("event_id") / 100_000))
+    return spark.read.parquet(target).select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_micros"), "user_id",
+                                             "event_type", round6("value").alias("value"), "props")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -462,6 +556,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "key_check": q_key_check,
     "override_rules": q_override_rules,
     "input_report": q_input_report,
+    "key_conflicts": q_key_conflicts,
     "segment_key": q_segment_key,
     "code_descendant": q_code_descendant,
     "insert_ignore": q_insert_ignore,
@@ -484,8 +579,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_list_all": q_stream_list_all,
     "nearest_segment": q_nearest_segment,
     "snap_measure": q_snap_measure,
+    "snapped_table": q_snapped_table,
     "locate_along": q_locate_along,
     "clip_lines": q_clip_lines,
+    "stream_export": q_stream_export,
     "full_run": q_full_run,
     "attr_link": q_attr_link,
     "table_fingerprint": q_table_fingerprint,
@@ -495,6 +592,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "change_route": q_change_route,
     "url_to_path": q_url_to_path,
     "snapshot_diff": q_snapshot_diff,
+    "fingerprint_edits": q_fingerprint_edits,
     "sink_refresh": q_sink_refresh,
     "sink_by_group": q_sink_by_group,
     "group_output": q_group_output,

@@ -5,10 +5,11 @@
 
 Inputs are Parquet tables: segments (``schemas.SEGMENTS``), vertices (linear_feature_id, seq,
 x, y, m), raw points (``schemas.POINTS_SRC``), aquifers (aquifer_id, geom). The change gate
-compares a fingerprint of the points with the state table (``path, env, etag``); only when it
-differs (or there is none) does the job run: snap, override, break, lists, side channels,
-aquifer link. Outputs are written under ``OUT`` -- ``streams`` partitioned by work group
-(dynamic overwrite), ``aquifers`` -- and the state is saved only after both writes succeeded.
+compares a fingerprint of every column of all four inputs with the state table (``path, env, etag``);
+only when one differs (or there is none) does the job run: snap, override, break, lists, side
+channels, aquifer link. Outputs are written under ``OUT`` by the declared schemas -- ``streams``
+laid out by work group, ``aquifers`` -- and replace the earlier ones as a whole, so groups that no
+longer exist go; the state is saved only after both writes succeeded.
 """
 
 from __future__ import annotations
@@ -20,14 +21,11 @@ from pyspark.sql import functions as F
 
 from bluelines import schemas
 from bluelines.operators import changes
-from bluelines.operators.common import bounded_broadcast
 from bluelines.operators.links import link_by_text_key
 from bluelines.plans import sinks
 from bluelines.plans.catalogue import override_codes
-from bluelines.plans.pipeline import OUTPUT_COLS, Network
-from bluelines.session import apply_defaults
-
-STREAM_COLS = [c for c in OUTPUT_COLS if c not in ("downstream_route_measure", "upstream_route_measure")]
+from bluelines.plans.pipeline import Network
+from bluelines.session import apply_defaults, remove_paths
 
 
 def _read_state(spark: SparkSession, path: str):
@@ -41,36 +39,41 @@ def _read_state(spark: SparkSession, path: str):
 
 def run_job(spark: SparkSession, segments: str, vertices: str, points: str, aquifers: str,
             state: str, out: str, env: str = "prod") -> bool:
-    """Run the job if the points changed; returns whether it ran."""
+    """Run the job if an input changed; returns whether it ran."""
     apply_defaults(spark)
     pts = spark.read.schema(schemas.POINTS_SRC).parquet(points)
-    current = changes.fingerprint(pts.withColumn("path", F.lit(points)), ["path"]).select("path", "etag")
+    seg = spark.read.schema(schemas.SEGMENTS).parquet(segments)
+    vert, aq = spark.read.parquet(vertices), spark.read.parquet(aquifers)
+    current = None
+    for path, df in ((segments, seg), (vertices, vert), (points, pts), (aquifers, aq)):
+        one = changes.fingerprint(df).select(F.lit(path).alias("path"), "etag")
+        current = one if current is None else current.unionByName(one)
+    current = spark.createDataFrame(current.collect(), current.schema)  # four rows, computed once
     old_state = _read_state(spark, state)
     status = changes.change_status(current, old_state, [env])
     if not status.agg(F.max(F.col("has_changed").cast("int")).alias("c")).first()["c"]:
         return False
 
-    seg = spark.read.schema(schemas.SEGMENTS).parquet(segments)
-    vert = spark.read.parquet(vertices)
     base = Network(spark, segments=seg, points_src=pts, vertices=vert,
-                   points=spark.createDataFrame([], schemas.NOTATIONS))
-    notations = override_codes(base.snapped).select(*[f.name for f in schemas.NOTATIONS.fields])
-    net = Network(spark, segments=base.segments, points=notations, vertices=vert)
-
-    streams = net.stream_list_all.select(*STREAM_COLS, "watershed_group_code")
-    sinks.write_by_group(streams, f"{out}/streams")
-    aq = link_by_text_key(bounded_broadcast(base.points_src), spark.read.parquet(aquifers))
-    sinks.write_refresh(aq.select("aquifer_id", "notation_id", "notation_description", "geom")
-                        .orderBy("aquifer_id", "notation_description"), f"{out}/aquifers")
-
-    # the state is replaced only after both outputs are committed; the new state is computed from
-    # the old one, so it is written to a side folder first and then copied over the old folder
-    new_state = changes.sync_state(old_state, current, env)
-    tmp = f"{state}.next"
-    new_state.write.mode("overwrite").parquet(tmp)
-    spark.read.parquet(tmp).write.mode("overwrite").parquet(state)
-    net.release()
-    base.release()
+                   points=spark.createDataFrame([], schemas.PLACED_POINTS))
+    net = None
+    next_state = f"{state}.next"
+    try:
+        notations = override_codes(base.snapped).select(*[f.name for f in schemas.PLACED_POINTS.fields])
+        net = Network(spark, segments=base.segments, points=notations, vertices=vert)
+        streams = sinks.typed(net.stream_output, schemas.STREAM_OUTPUT, ["watershed_group_code"])
+        sinks.write_all_groups(streams, f"{out}/streams")
+        linked = link_by_text_key(base.points_src, aq).orderBy("aquifer_id", "notation_description")
+        sinks.write_refresh(sinks.typed(linked, schemas.AQUIFER_OUTPUT), f"{out}/aquifers")
+        # the state is replaced only after both outputs are committed; the new state is computed from
+        # the old one, so it is written to a side folder first and then copied over the old folder
+        changes.sync_state(old_state, current, env).write.mode("overwrite").parquet(next_state)
+        spark.read.parquet(next_state).write.mode("overwrite").parquet(state)
+    finally:
+        if net is not None:
+            net.release()
+        base.release()
+        remove_paths(spark, [next_state])
     return True
 
 

@@ -6,11 +6,10 @@ tables (network, points, pieces, lists) are written as Parquet below the shared
 folder and read back, which cuts lineage and survives the loss of executors; ``release()``
 deletes them when the job is done.
 
-Shuffles in the main path: building the network (fixture only); the distinct of the work
-segments (a hash aggregate over the semi-join hits); the piece table by line id; the distinct
-codes of the pieces; and the join of per-piece direct lists with per-code inherited lists on
-the code. Breaking and pairing run map-side: breakpoints and points are broadcast after a
-row-count check, and no (piece, point) pair is ever shuffled.
+Shuffles in the main path: building the network (fixture only); one row per key of the work segments and
+of the pieces; the piece table by line id; the distinct codes of the pieces; and the join of per-piece
+direct lists with per-code inherited lists on the code. No join is forced to broadcast: the point tables
+are written first, so Spark knows their bytes and decides.
 """
 
 from __future__ import annotations
@@ -21,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bluelines.operators import breaking, lists, sidechannels, snapping, upstream
-from bluelines.operators.common import bounded_broadcast
 from bluelines.session import apply_defaults, materialize, remove_paths
 from bluelines.sources import fixtures
 from bluelines.sources.tables import Tables
@@ -80,33 +78,43 @@ class Network:
     def points(self) -> DataFrame:
         """Snapped points with their list rank (materialised: small, read many times)."""
         pts = self._given["points"]
-        pts = fixtures.points(self.segments) if pts is None else pts
+        pts = fixtures.points(self.tables, self.segments) if pts is None else pts
         return materialize(lists.rank_points(pts), "points", self.written)
 
     @cached_property
     def kpoints(self) -> DataFrame:
-        """Points exploded to their join tags, broadcast behind a row-count check."""
+        """Points exploded to their join tags."""
         kp = upstream.keyed_points(self.points, extra=["prank"])
-        return bounded_broadcast(materialize(kp, "keyed-points", self.written))
+        return materialize(kp, "keyed-points", self.written)
 
     @cached_property
     def vertices(self) -> DataFrame:
         v = self._given["vertices"]
         return fixtures.vertices(self.segments) if v is None else v
 
-    @cached_property
-    def lines(self) -> DataFrame:
-        """Segments with their geometry array, one row per segment (materialised: read by snapping,
-        locating and clipping)."""
-        cols = ["linear_feature_id", "blue_line_key", "downstream_route_measure", "upstream_route_measure",
-                "length_metre", "wscode", "localcode", "watershed_group_code"]
-        if self._given["vertices"] is None:
-            # fixture: the vertices derive from the segment row, so the array is built in place
-            lines = fixtures.segment_geometry(self.segments).select(*cols, "geom")
+    LINE_COLS = ["linear_feature_id", "blue_line_key", "downstream_route_measure", "upstream_route_measure",
+                 "length_metre", "wscode", "localcode", "watershed_group_code"]
+
+    def _lines(self, wanted: DataFrame, key: str, name: str) -> DataFrame:
+        """Segments whose ``key`` is in ``wanted``, one row each with its vertices in order. The segments,
+        and then the vertices, are cut down to what is asked for before any vertex is grouped."""
+        seg = self.segments.select(*self.LINE_COLS).join(wanted.select(key).distinct(), key, "left_semi")
+        if self._given["vertices"] is None:  # the fixture's vertices derive from the segment row
+            lines = fixtures.segment_geometry(seg).select(*self.LINE_COLS, "geom")
         else:
-            # a vertex table: regroup its rows into one ordered array per segment
-            lines = self.segments.select(*cols).join(fixtures.line_geometry(self.vertices), "linear_feature_id")
-        return materialize(lines, "lines", self.written)
+            vertices = self.vertices.join(seg.select("linear_feature_id"), "linear_feature_id", "left_semi")
+            lines = seg.join(fixtures.line_geometry(vertices), "linear_feature_id")
+        return materialize(lines, name, self.written)
+
+    @cached_property
+    def point_lines(self) -> DataFrame:
+        """The segments of the lines that the raw points name, with geometry."""
+        return self._lines(self.points_src, "blue_line_key", "point-lines")
+
+    @cached_property
+    def listed_lines(self) -> DataFrame:
+        """The segments that occur in the output, with geometry."""
+        return self._lines(self.stream_list_all, "linear_feature_id", "listed-lines")
 
     # ---- main path ----------------------------------------------------------------------
     WORK_COLS = ["linear_feature_id", "blue_line_key", "watershed_key", "downstream_route_measure",
@@ -120,7 +128,7 @@ class Network:
 
     @cached_property
     def breakpoints(self) -> DataFrame:
-        return bounded_broadcast(materialize(breaking.breakpoints(self.points), "breakpoints", self.written))
+        return materialize(breaking.breakpoints(self.points), "breakpoints", self.written)
 
     @cached_property
     def pieces(self) -> DataFrame:
@@ -188,13 +196,15 @@ class Network:
     @cached_property
     def points_src(self) -> DataFrame:
         src = self._given["points_src"]
-        return materialize(fixtures.points_src(self.segments) if src is None else src, "points-src", self.written)
+        return materialize(fixtures.points_src(self.tables, self.segments) if src is None else src, "points-src", self.written)
 
     @cached_property
     def snapped(self) -> DataFrame:
-        """Points snapped to the nearest segment of their line (materialised: small, reused)."""
-        return materialize(snapping.nearest_segment(bounded_broadcast(self.points_src), self.lines), "snapped", self.written)
+        """Points snapped to the nearest segment of their line and located on it (``schemas.NOTATIONS``)."""
+        near = materialize(snapping.nearest_segment(self.points_src, self.point_lines), "nearest", self.written)
+        return materialize(snapping.with_location(near, self.point_lines), "snapped", self.written)
 
     @cached_property
-    def snapped_points(self) -> DataFrame:
-        return self.snapped.select("notation_id", "blue_line_key", "downstream_route_measure")
+    def stream_output(self) -> DataFrame:
+        """The lists of all pieces with the geometry of each piece."""
+        return snapping.with_geometry(self.stream_list_all, self.listed_lines)

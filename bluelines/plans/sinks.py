@@ -11,8 +11,10 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bluelines.schemas import AQUIFER_OUTPUT_WIDTHS, STREAM_OUTPUT_WIDTHS
+from bluelines.session import remove_paths
 
 
 def write_refresh(df: DataFrame, path: str, compression: str = "zstd") -> None:
@@ -27,14 +29,22 @@ def write_by_group(df: DataFrame, path: str, group_col: str = "watershed_group_c
     Rows are clustered by group before the write so each task writes few files; the ``rebalance``
     hint lets AQE split a group that holds a large share of the rows over several tasks instead of
     one (a plain ``repartition(group)`` would send a hot group to a single task)."""
-    spark = df.sparkSession
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (df.hint("rebalance", group_col).write.mode("overwrite").partitionBy(group_col)
-         .option("compression", compression).parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    (df.hint("rebalance", group_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(group_col).option("compression", compression).parquet(path))
+
+
+def refresh_groups(df: DataFrame, path: str, groups: list[str], group_col: str = "watershed_group_code",
+                   compression: str = "zstd") -> None:
+    """Replace the listed groups by their rows in ``df``: a listed group without rows is removed, others stay."""
+    present = {r[0] for r in df.where(F.col(group_col).isin(groups)).select(group_col).distinct().collect()}
+    write_by_group(df.where(F.col(group_col).isin(groups)), path, group_col, compression)
+    remove_paths(df.sparkSession, [f"{path}/{group_col}={g}" for g in groups if g not in present])
+
+
+def write_all_groups(df: DataFrame, path: str, group_col: str = "watershed_group_code", compression: str = "zstd") -> None:
+    """Replace the whole output, laid out by group: groups that ``df`` does not hold are gone afterwards."""
+    (df.hint("rebalance", group_col).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(group_col).option("compression", compression).parquet(path))
 
 
 def read_output(spark: SparkSession, path: str) -> DataFrame:
@@ -49,9 +59,14 @@ def read_group(spark: SparkSession, path: str, group: str, group_col: str = "wat
                      out=spark.read.parquet(path))
 
 
-def empty_like(df: DataFrame) -> DataFrame:
-    """Zero-row table with the output's schema (the ``limit 0`` template)."""
-    return df.limit(0)
+def typed(df: DataFrame, schema: T.StructType, extra: list[str] | None = None) -> DataFrame:
+    """The columns of a declared output, in its order and cast to its types (plus ``extra`` columns)."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *(extra or []))
+
+
+def template(spark: SparkSession, schema: T.StructType, path: str) -> None:
+    """Write the empty table of a declared schema (the ``limit 0`` template)."""
+    write_refresh(spark.createDataFrame([], schema), path)
 
 
 def width_report(df: DataFrame, widths: dict[str, int], table: str) -> DataFrame:

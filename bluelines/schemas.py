@@ -12,8 +12,11 @@ POINTS_SRC = T.StructType([
     T.StructField("blue_line_key", T.LongType(), True),
     T.StructField("x", T.DoubleType(), True),
     T.StructField("y", T.DoubleType(), True),
+    T.StructField("wls_wn_sysid", T.IntegerType(), True),
 ])
 
+POINT_2D = T.StructType([T.StructField("x", T.DoubleType(), True), T.StructField("y", T.DoubleType(), True)])
+
 # Network segments (one row per segment; geometry is kept in a separate vertex table).
 SEGMENTS = T.StructType([
     T.StructField("linear_feature_id", T.LongType(), False),
@@ -28,8 +31,8 @@ SEGMENTS = T.StructType([
     T.StructField("watershed_group_code", T.StringType(), False),
 ])
 
-# Snapped points.
-NOTATIONS = T.StructType([
+# Points placed on the network: what breaking and lists read.
+PLACED_POINTS = T.StructType([
     T.StructField("notation_id", T.StringType(), False),
     T.StructField("notation_type", T.StringType(), False),
     T.StructField("notation_description", T.StringType(), True),
@@ -41,16 +44,11 @@ NOTATIONS = T.StructType([
     T.StructField("watershed_group_code", T.StringType(), False),
 ])
 
-# Working pieces of line (segments cut at points).
-PIECES = T.StructType([
-    T.StructField("segmented_stream_id", T.StringType(), False),
-    T.StructField("linear_feature_id", T.LongType(), False),
-    T.StructField("blue_line_key", T.LongType(), False),
-    T.StructField("watershed_key", T.LongType(), True),
-    T.StructField("downstream_route_measure", T.DoubleType(), False),
-    T.StructField("upstream_route_measure", T.DoubleType(), False),
-    T.StructField("watershed_group_code", T.StringType(), True),
-])
+# The snapped point table in full: placed points, the source's number, how far they were moved, where they are.
+NOTATIONS = T.StructType([*PLACED_POINTS.fields,
+                          T.StructField("wls_wn_sysid", T.IntegerType(), True),
+                          T.StructField("distance_to_stream", T.DoubleType(), True),
+                          T.StructField("geom", POINT_2D, True)])
 
 # Keys that must be unique.
 KEYS = {
@@ -77,13 +75,15 @@ STREAM_OUTPUT = T.StructType([
     T.StructField("primary_notation_type", T.StringType(), True),
     T.StructField("secondary_notation_types", T.StringType(), True),
     T.StructField("fwa_watershed_code", T.StringType(), True),
-    T.StructField("blue_line_key", T.LongType(), True),
+    T.StructField("blue_line_key", T.IntegerType(), True),
+    T.StructField("geom", T.ArrayType(POINT_2D), True),
 ])
 
 AQUIFER_OUTPUT = T.StructType([
     T.StructField("aquifer_id", T.IntegerType(), False),
     T.StructField("notation_id", T.StringType(), False),
     T.StructField("notation_description", T.StringType(), True),
+    T.StructField("geom", T.ArrayType(T.ArrayType(T.ArrayType(POINT_2D))), True),
 ])
 
 # Change-detection state: one fingerprint per object and target environment.

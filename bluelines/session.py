@@ -17,9 +17,6 @@ ENGINE_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     # Hash joins on equality keys; the upstream rewrite never needs a nested loop.
     "spark.sql.join.preferSortMergeJoin": "true",
-    # Per-piece lists are built with collect_list; keep the hash-based aggregation for many keys
-    # per task instead of falling back to sorting all input rows after 128 keys.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 
@@ -52,7 +49,9 @@ def apply_defaults(spark: SparkSession) -> None:
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One process on one machine (a ``local-cluster`` has executors with folders of their own)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -5,14 +5,13 @@ written as plain SQL in ``plans/oracle.py`` for the independent check):
 
 * an order is a flow line (``blue_line_key``), its line items are the segments of the line,
   in line-number order, each ``10 * quantity`` metres long;
-* region / nation / customer give the three levels of the hierarchical code: orders with
-  ``key % 10 = 0`` run on the region stream, ``1, 2`` on the nation stream, the rest on the
-  customer stream; ``watershed_key`` is the lowest order key sharing the code;
-* the local code of a segment is the code plus its start measure; every 17th line has no
-  local codes (side channels that cannot be placed exactly);
-* a notation point sits on a segment whose line item was returned (``R``) at the top discount
-  (0.10) with a tax of 0.07 or more -- about 0.4 % of the segments -- 37 % along it, typed from
-  the order priority.
+* every customer is a stream: its hierarchical code is region, nation and one level per digit of
+  the customer key, so the tree deepens with the data and a stream has as many ancestors as its
+  key has digits; the orders of a customer run on its stream, ``watershed_key`` is the lowest;
+* the local code of a segment is the code plus a label that grows with its start measure; every
+  17th line has no local codes (side channels that cannot be placed exactly);
+* every supplier is a notation point: it lies on the segment of its first line item, 5 to 95 % along it
+  by the last digit of its key, typed from the order priority.
 
 Everything here is lazy DataFrame code; nothing is collected.
 """
@@ -24,18 +23,6 @@ from pyspark.sql import functions as F
 
 from bluelines.sources.tables import Tables
 
-# Fixed values of the fixture: the line items that mark a notation point (returned, at the top
-# discount, with one of the two top tax rates of the line-item table).
-NOTATION_FLAG = "R"
-NOTATION_DISCOUNT = 0.10
-NOTATION_TAX_MIN = 0.07
-
-
-def _marks_notation() -> F.Column:
-    return ((F.col("l_returnflag") == NOTATION_FLAG) & (F.col("l_discount") == NOTATION_DISCOUNT)
-            & (F.col("l_tax") >= NOTATION_TAX_MIN)).cast("int")
-
-
 # Fixed values of the fixture: notation types by the first character of the order priority.
 TYPE_BY_PRIORITY = {"1": "FR", "2": "FR-EXC", "3": "OR", "4": "PWS"}
 OTHER_TYPE = "AR"
@@ -44,11 +31,10 @@ OTHER_TYPE = "AR"
 def network(t: Tables) -> DataFrame:
     """Segments of the fixture network (schema ``schemas.SEGMENTS`` plus ``priority``)."""
     li = (t.lineitem
-          .select(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"), "l_quantity",
-                  _marks_notation().alias("mark"))
+          .select(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"), "l_quantity")
           # one shuffle by line serves both the de-duplication of line numbers and the measure window
           .repartition("ok")
-          .groupBy("ok", "ln").agg(F.min("l_quantity").alias("q"), F.max("mark").alias("mark")))
+          .groupBy("ok", "ln").agg(F.min("l_quantity").alias("q")))
     # running length along the line; a line has at most a handful of segments
     run = Window.partitionBy("ok").orderBy("ln").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     m = (li.withColumn("um", F.sum(F.col("q") * 10).over(run))
@@ -56,19 +42,16 @@ def network(t: Tables) -> DataFrame:
 
     region_code = (F.col("n_regionkey") + 100).cast("string")
     nation_label = F.lpad((F.col("n_nationkey") * 100).cast("string"), 6, "0")
-    customer_label = F.lpad(F.col("c_custkey").cast("string"), 10, "0")
-    level = F.col("o_orderkey") % 10
+    customer_labels = F.regexp_replace(F.col("c_custkey").cast("string"), r"([0-9])", r".$1$1$1$1$1$1")
     o = (t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
          .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
          .join(t.nation.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
          .select(F.col("o_orderkey").alias("ok"), F.col("o_orderpriority").alias("priority"),
                  F.col("n_nationkey").alias("nk"),
-                 F.when(level == 0, region_code)
-                  .when(level < 3, F.concat_ws(".", region_code, nation_label))
-                  .otherwise(F.concat_ws(".", region_code, nation_label, customer_label)).alias("wscode")))
+                 F.concat(region_code, F.lit("."), nation_label, customer_labels).alias("wscode")))
     k = o.groupBy("wscode").agg(F.min("ok").alias("watershed_key"))
 
-    dm_label = F.lpad(F.col("dm").cast("int").cast("string"), 6, "0")
+    dm_label = F.lpad((F.col("dm") * 200).cast("int").cast("string"), 6, "0")
     return (m.join(o, "ok").join(k, "wscode")
             .select((F.col("ok") * 10 + F.col("ln")).alias("linear_feature_id"),
                     F.col("ok").alias("blue_line_key"),
@@ -82,7 +65,7 @@ def network(t: Tables) -> DataFrame:
                      .otherwise(F.concat_ws(".", "wscode", dm_label)).alias("localcode"),
                     F.regexp_replace("wscode", r"\.", "-").alias("fwa_watershed_code"),
                     F.concat(F.lit("W"), F.lpad(F.col("nk").cast("string"), 3, "0")).alias("watershed_group_code"),
-                    "priority", (F.col("mark") == 1).alias("has_notation"))
+                    "priority")
             # laid out by segment id, as a stored network table is spread over many files (the
             # last join may broadcast and inherit the partitioning of a single small input file)
             .repartition("linear_feature_id"))
@@ -104,17 +87,20 @@ def _description(blk: F.Column) -> F.Column:
              .otherwise(F.concat(n, F.lit(" -FR"))))
 
 
-def point_segments(seg: DataFrame) -> DataFrame:
-    """The segments that carry a notation point (marked from their line items, with a local code)."""
-    return seg.where(F.col("has_notation") & F.col("localcode").isNotNull())
+def point_places(t: Tables) -> DataFrame:
+    """The segment of every supplier's first line item (partial minima per task, one row per supplier)."""
+    return (t.lineitem.groupBy("l_suppkey")
+            .agg(F.min(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("linear_feature_id")))
 
 
-def points(seg: DataFrame) -> DataFrame:
-    """Snapped notation points (schema ``schemas.NOTATIONS`` plus x, y)."""
+def points(t: Tables, seg: DataFrame) -> DataFrame:
+    """Snapped notation points (schema ``schemas.NOTATIONS`` plus x, y, before snapping: no distance)."""
     blk = F.col("blue_line_key")
-    meas = F.col("downstream_route_measure") + F.lit(0.37) * F.col("length_metre")
-    return (point_segments(seg)
-            .select(F.concat(F.lit("NO"), F.col("linear_feature_id").cast("string")).alias("notation_id"),
+    along = F.lit(0.05) + F.lit(0.1) * (F.col("l_suppkey") % 10)
+    meas = F.col("downstream_route_measure") + along * F.col("length_metre")
+    return (seg.join(point_places(t), "linear_feature_id")
+            .select(F.concat(F.lit("NO"), F.col("l_suppkey").cast("string")).alias("notation_id"),
+                    F.col("l_suppkey").cast("int").alias("wls_wn_sysid"),
                     _notation_type(F.col("priority")).alias("notation_type"),
                     _description(blk).alias("notation_description"),
                     "linear_feature_id", "blue_line_key",
@@ -124,9 +110,9 @@ def points(seg: DataFrame) -> DataFrame:
                     ((blk % 7) * 10 + 2).cast("double").alias("y")))
 
 
-def points_src(seg: DataFrame) -> DataFrame:
-    """Points as they arrive, before snapping: only id, type, text, line key and coordinates."""
-    return points(seg).select("notation_id", "notation_type", "notation_description", "blue_line_key", "x", "y")
+def points_src(t: Tables, seg: DataFrame) -> DataFrame:
+    """Points as they arrive, before snapping: ids, type, text, line key and coordinates."""
+    return points(t, seg).select("notation_id", "wls_wn_sysid", "notation_type", "notation_description", "blue_line_key", "x", "y")
 
 
 def _vertex(seq: int) -> F.Column:

@@ -9,31 +9,39 @@ target are skipped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bluelines.operators.common import first_per_key
 
+BUCKET = "key_bucket"
 
-def merge_batch(target_path: str, key: list[str], order: list[str]):
-    """foreachBatch function: append the first row of every new key (keys already in the target are skipped)."""
+
+def merge_batch(target_path: str, key: list[str], order: list[str], bucket: Column):
+    """foreachBatch function: append the first row of every new key (keys already in the target are skipped).
+
+    The target is partitioned by ``bucket``, a coarse function of the key (an id range); a batch reads
+    only the partitions of its own buckets, so its cost follows the batch, not the target."""
     def _merge(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = first_per_key(batch, key, order)
+        fresh = first_per_key(batch, key, order).withColumn(BUCKET, bucket.cast("long"))
+        touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]  # few: ranges of the batch's ids
         try:
-            existing = spark.read.parquet(target_path).select(*key)
+            existing = spark.read.parquet(target_path).where(F.col(BUCKET).isin(touched)).select(*key)
             fresh = fresh.join(existing, key, "left_anti")
         except Exception as e:  # first batch: no target yet
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
-        fresh.write.mode("append").parquet(target_path)
+        fresh.write.mode("append").partitionBy(BUCKET).parquet(target_path)
     return _merge
 
 
 def ingest_available_now(spark: SparkSession, landing: str, schema: T.StructType, target: str,
-                         checkpoint: str, key: list[str], order: list[str]) -> None:
+                         checkpoint: str, key: list[str], order: list[str], bucket: Column | None = None) -> None:
     """Process every file present in ``landing`` once, then stop."""
     stream = spark.readStream.schema(schema).parquet(landing)
-    q = (stream.writeStream.foreachBatch(merge_batch(target, key, order))
+    bucket = F.lit(0) if bucket is None else bucket
+    q = (stream.writeStream.foreachBatch(merge_batch(target, key, order, bucket))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()

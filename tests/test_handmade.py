@@ -1,6 +1,6 @@
 """A hand-made river: main stem, a tributary with its own tributary, side channels, points at a
-segment end, two points at one place, an unknown type. Checked against the reference-form SQL
-(theta join, lead, update/insert) run by DuckDB on the same rows, plus hand-derived facts."""
+segment end, two points at one place, an unknown type. Checked against the definition-form SQL
+run by DuckDB on the same rows, plus hand-derived facts."""
 
 import duckdb
 import pandas as pd
@@ -23,7 +23,7 @@ SEGMENTS = [
     (41, 4, 4, 0.0, 50.0, 50.0, "100", None, "100", "AAAA"),      # own flow line, no local code
     (61, 6, 6, 0.0, 90.0, 90.0, "101", "101", "101", "CCCC"),    # another river, nothing on it
 ]
-PT_COLS = [f.name for f in schemas.NOTATIONS.fields]
+PT_COLS = [f.name for f in schemas.PLACED_POINTS.fields]
 POINTS = [
     # id, type, description, lfid, blk, meas, wscode, localcode, wsg
     ("NO1", "FR", "12 - PWS - 2011/09/29", 11, 1, 50.0, "100", "100", "AAAA"),
@@ -39,7 +39,7 @@ POINTS = [
 @pytest.fixture(scope="module")
 def net(spark):
     seg = spark.createDataFrame(SEGMENTS, schemas.SEGMENTS)
-    pts = spark.createDataFrame(POINTS, schemas.NOTATIONS)
+    pts = spark.createDataFrame(POINTS, schemas.PLACED_POINTS)
     return Network(spark, segments=seg, points=pts)
 
 
@@ -57,8 +57,8 @@ def _spark_rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_lists_match_reference_form_sql(net, con):
-    sql = O.with_ctes(O.WORK, O.BREAK, O.MAIN, O.SIDE) + " " + O.ALL_LIST
+def test_lists_match_sql(net, con):
+    sql = O.with_ctes(*O.ON_POINTS) + " " + O.ALL_LIST
     want = sorted(tuple(r) for r in con.execute(sql).fetchall())
     got = _spark_rows(net.stream_list_all.select(*O.LIST_COLS.replace("round(", "").split(", ")[:6],
                                                  "downstream_route_measure", "upstream_route_measure"))
@@ -66,7 +66,7 @@ def test_lists_match_reference_form_sql(net, con):
     assert len(got) > 0
 
 
-def test_pieces_match_reference_form_sql(net, con):
+def test_pieces_match_sql(net, con):
     sql = O.with_ctes(O.WORK, O.BREAK) + (" SELECT segmented_stream_id, linear_feature_id, downstream_route_measure,"
                                           " upstream_route_measure FROM pieces")
     want = sorted(tuple(r) for r in con.execute(sql).fetchall())
@@ -129,7 +129,7 @@ def test_point_of_an_ancestor_code_on_the_same_line_counts_once(spark):
         (72, 7, 7, 100.0, 200.0, 100.0, "200.000100", "200.000100", "200-000100", "DDDD"),
         (81, 8, 8, 0.0, 100.0, 100.0, "200.000100", "200.000100.000050", "200-000100", "DDDD"),
     ], schemas.SEGMENTS)
-    pts = spark.createDataFrame([("NO9", "FR", None, 71, 7, 10.0, "200", "200", "DDDD")], schemas.NOTATIONS)
+    pts = spark.createDataFrame([("NO9", "FR", None, 71, 7, 10.0, "200", "200", "DDDD")], schemas.PLACED_POINTS)
     n = Network(spark, segments=seg, points=pts)
     got = {(r.linear_feature_id, r.notation_id_list) for r in n.stream_list.collect()}
     assert (72, "NO9") in got and (81, "NO9") in got
@@ -142,7 +142,7 @@ def test_side_channel_option_correlated(spark):
     needs the channel's code to be a start point's code."""
     seg = spark.createDataFrame(SEGMENTS + [
         (32, 9, 5, 0.0, 40.0, 40.0, "100.000150.000120", None, "100-000150-000120", "AAAA")], schemas.SEGMENTS)
-    pts = spark.createDataFrame(POINTS, schemas.NOTATIONS)
+    pts = spark.createDataFrame(POINTS, schemas.PLACED_POINTS)
     loose = Network(spark, segments=seg, points=pts)
     strict = Network(spark, segments=seg, points=pts, side_correlated=True)
     # group AAAA has start points (on code '100'); channel 32 has NO7's code, which is in BBBB
@@ -157,10 +157,10 @@ def test_side_channel_option_count_points(spark):
         for i in range(1, 5)], schemas.SEGMENTS)
     pts = spark.createDataFrame([
         ("A", "FR", None, 3, 1, 260.0, "300", "300.000200", "EEEE"),
-        ("B", "OR", None, 4, 1, 360.0, "300", "300.000300", "EEEE")], schemas.NOTATIONS)
+        ("B", "OR", None, 4, 1, 360.0, "300", "300.000300", "EEEE")], schemas.PLACED_POINTS)
     # pieces in work: 200-260, 260-300, 300-360, 360-400; B's segment starts at position 2
-    by_points = {r.notation_id: r.start_of_stream_ind for r in Network(spark, segments=seg, points=pts).starts.collect()}
-    by_pieces = {r.notation_id: r.start_of_stream_ind for r in
+    by_points = {r.notation_id: r.near_start for r in Network(spark, segments=seg, points=pts).starts.collect()}
+    by_pieces = {r.notation_id: r.near_start for r in
                  Network(spark, segments=seg, points=pts, side_count_points=False).starts.collect()}
     assert by_points == {"A": True, "B": False}     # 2 * 2 + 1 = 5 > 3
     assert by_pieces == {"A": True, "B": True}      # 2 + 1 = 3
@@ -177,27 +177,41 @@ def test_input_report(spark):
                    ("NO5", "no line key"), ("NO6", "duplicate id")]
 
 
-def test_above_the_broadcast_bound_lists_are_the_same(spark, monkeypatch):
-    """With the point table over the broadcast bound every point join is a shuffle join; the
-    lists must not change."""
-    from bluelines.operators import common
+def test_lists_are_the_same_when_nothing_is_broadcast(spark):
+    """With broadcasts off every point join is a shuffle join; the lists must not change."""
     cols = ["segmented_stream_id", "notation_id_list", "primary_notation_type", "secondary_notation_types"]
     seg = spark.createDataFrame(SEGMENTS, schemas.SEGMENTS)
-    pts = spark.createDataFrame(POINTS, schemas.NOTATIONS)
+    pts = spark.createDataFrame(POINTS, schemas.PLACED_POINTS)
     want = Network(spark, segments=seg, points=pts).stream_list_all.select(*cols)
-    monkeypatch.setattr(common, "BROADCAST_MAX_ROWS", 0)
-    shuffled = Network(spark, segments=seg, points=pts).stream_list.select(*cols)
-    plan = shuffled._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastNestedLoopJoin" not in plan
-    side = Network(spark, segments=seg, points=pts).side_list.select(*cols)
-    got = shuffled.unionByName(side)
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    rows = sorted(map(tuple, want.collect()))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        n = Network(spark, segments=seg, points=pts)
+        plan = n.stream_list._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "CartesianProduct" not in plan
+        assert sorted(map(tuple, n.stream_list_all.select(*cols).collect())) == rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_segments_with_one_start_keep_one_piece_per_key(spark, con):
+    """Two segments of a line start together: the smaller id stays; a cut whose key is a segment's start
+    is skipped."""
+    seg = spark.createDataFrame(SEGMENTS + [
+        (14, 1, 1, 0.0, 60.0, 60.0, "100", "100", "100", "AAAA"),      # starts with 11
+        (15, 1, 1, 50.0, 80.0, 30.0, "100", "100.000050", "100", "AAAA"),  # starts where NO1 cuts 11
+    ], schemas.SEGMENTS)
+    n = Network(spark, segments=seg, points=spark.createDataFrame(POINTS, schemas.PLACED_POINTS))
+    rows = {r.segmented_stream_id: (r.linear_feature_id, r.downstream_route_measure, r.upstream_route_measure) for r in n.pieces.collect()}
+    assert n.pieces.count() == len(rows)
+    assert rows["1.0"] == (11, 0.0, 50.0) and rows["1.50000"] == (15, 50.0, 80.0)
 
 
 def test_release_removes_written_tables(spark):
     import os
     seg = spark.createDataFrame(SEGMENTS, schemas.SEGMENTS)
-    pts = spark.createDataFrame(POINTS, schemas.NOTATIONS)
+    pts = spark.createDataFrame(POINTS, schemas.PLACED_POINTS)
     n = Network(spark, segments=seg, points=pts)
     before = sorted(tuple(r) for r in n.stream_list_all.collect())
     paths = list(n.written)

@@ -70,3 +70,29 @@ def test_fan_out_repartition_survives(spark):
     n = catalogue.network(spark, SF_SMALL)
     p = n.stream_list._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in p
+
+
+def test_snapping_prunes_before_grouping_vertices(spark):
+    """Given a vertex table, the semi joins stand below the grouping of vertices."""
+    from bluelines.plans.pipeline import Network
+
+    n = catalogue.network(spark, SF_SMALL)
+    given = Network(spark, segments=n.segments, points=n.points.drop("prank"), points_src=n.points_src, vertices=n.vertices)
+    lines = given.segments.join(given.points_src.select("blue_line_key").distinct(), "blue_line_key", "left_semi")
+    v = given.vertices.join(lines.select("linear_feature_id"), "linear_feature_id", "left_semi")
+    from bluelines.sources.fixtures import line_geometry
+    p = plan(line_geometry(v))
+    assert p.index("Aggregate") < p.index("LeftSemi")
+    assert given.point_lines.count() == n.point_lines.count() < n.segments.count()
+
+
+def test_breaking_joins_on_line_and_bucket(spark):
+    n = catalogue.network(spark, SF_SMALL)
+    from bluelines.operators.breaking import cuts
+    p = plan(cuts(n.work, n.breakpoints))
+    assert "blue_line_key" in p and "_b" in p and not any(b in p for b in BAD_JOINS)
+
+
+def test_counts_per_code_before_points(spark):
+    p = plan(catalogue.QUERIES["code_descendant"](spark, SF_SMALL))
+    assert p.index("Join") < p.index("HashAggregate") and "Generate explode" in p

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from bluelines import schemas
 from bluelines.operators import breaking, changes, upstream
-from bluelines.operators.common import bounded_broadcast
 from bluelines.plans import catalogue
 from conftest import SF_SMALL
 
@@ -53,7 +52,7 @@ def test_every_listed_point_is_downstream(spark):
     pts = n.points.select(F.col("notation_id").alias("nid"), F.col("blue_line_key").alias("pb"),
                           F.col("downstream_route_measure").alias("pm"), F.col("wscode").alias("pw"),
                           F.col("localcode").alias("pl"))
-    j = listed.join(pieces, "segmented_stream_id").join(F.broadcast(pts), "nid")
+    j = listed.join(pieces, "segmented_stream_id").join(pts, "nid")
     ok = upstream.d_up(F.col("blue_line_key"), F.col("downstream_route_measure"), F.col("wscode"), F.col("localcode"),
                        F.col("pb"), F.col("pm"), F.col("pw"), F.col("pl"))
     assert j.where(~ok).count() == 0
@@ -103,7 +102,7 @@ def test_keyed_join_equals_definition(spark, pts, segs):
     s = spark.createDataFrame([(i, b, m, w, l) for i, (b, m, w, l) in enumerate(segs)],
                               "linear_feature_id bigint, blue_line_key bigint, downstream_route_measure double, "
                               "wscode string, localcode string")
-    kp = bounded_broadcast(upstream.keyed_points(p, extra=["prank"]))
+    kp = upstream.keyed_points(p, extra=["prank"])
     got = {(r.p_notation_id, r.linear_feature_id) for r in upstream.upstream_pairs(s, kp).collect()}
     want = {(f"P{i}", j) for i, pp in enumerate(pts) for j, ss in enumerate(segs) if py_up(pp, ss)}
     assert got == want

@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from bluelines.operators.runs import run_starts
+from bluelines.operators.runs import quantile_bucket, run_starts
 
 
 def _events(spark):
@@ -34,3 +34,17 @@ def test_bucketed_runs_equal_plain_lag(spark):
     assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
     assert want.select(*cols).exceptAll(got.select(*cols)).count() == 0
     assert got.where("user_id = 1").count() > 100
+
+
+def test_quantile_buckets_split_a_hot_hour(spark):
+    t0 = datetime.datetime(2024, 1, 1)
+    rows = [(i, t0 + datetime.timedelta(milliseconds=i), 1, "ab"[(i // 3) % 2]) for i in range(4000)]
+    rows += [(5000 + i, t0 + datetime.timedelta(days=i), 1, "c") for i in range(40)] + [(6000, None, 2, "x")]
+    ev = spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint, event_type string")
+    bucket = quantile_bucket(ev, F.unix_micros("ts"), 8)
+    sizes = [r["count"] for r in ev.where("ts is not null").groupBy(bucket.alias("b")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 4040 / 8
+    got = run_starts(ev, "user_id", ["ts", "event_id"], "event_type", bucket)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    want = ev.withColumn("prev", F.lag("event_type").over(w)).where("prev is null or prev <> event_type").drop("prev")
+    assert sorted(r.event_id for r in got.collect()) == sorted(r.event_id for r in want.collect())

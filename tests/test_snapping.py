@@ -3,7 +3,6 @@
 import pytest
 
 from bluelines import schemas
-from bluelines.operators.common import bounded_broadcast
 from bluelines.operators import snapping
 from bluelines.plans.pipeline import Network
 
@@ -30,9 +29,9 @@ SRC = [
 def net(spark):
     seg = spark.createDataFrame(SEGS, schemas.SEGMENTS)
     vert = spark.createDataFrame(VERTS, "linear_feature_id bigint, seq int, x double, y double, m double")
-    src = spark.createDataFrame(SRC, schemas.POINTS_SRC)
+    src = spark.createDataFrame([(*r, k) for k, r in enumerate(SRC)], schemas.POINTS_SRC)
     return Network(spark, segments=seg, points_src=src, vertices=vert,
-                   points=spark.createDataFrame([], schemas.NOTATIONS))
+                   points=spark.createDataFrame([], schemas.PLACED_POINTS))
 
 
 def test_nearest_segment(net):
@@ -45,8 +44,7 @@ def test_nearest_segment(net):
 
 
 def test_locate_along(net):
-    pts = bounded_broadcast(net.snapped_points)
-    got = {r.notation_id: (r.x, r.y) for r in snapping.locate_along(pts, net.lines).collect()}
+    got = {r.notation_id: (r.x, r.y) for r in snapping.locate_along(net.snapped, net.point_lines).collect()}
     assert got == {"A": (4.0, 0.0), "B": (10.0, 0.0), "C": (20.0, 0.0)}
 
 
@@ -55,7 +53,7 @@ def test_clip_pieces(spark, net):
                                    "segmented_stream_id string, linear_feature_id bigint, "
                                    "downstream_route_measure double, upstream_route_measure double")
     got = sorted((r.segmented_stream_id, r.vertex_index, r.x, r.y)
-                 for r in snapping.clip_pieces(pieces, net.lines).collect())
+                 for r in snapping.clip_pieces(pieces, net.point_lines).collect())
     assert got == [("10.10000", 0, 10.0, 0.0), ("10.10000", 1, 20.0, 0.0),
                    ("10.2500", 0, 2.5, 0.0), ("10.2500", 1, 7.5, 0.0)]
 
@@ -63,10 +61,20 @@ def test_clip_pieces(spark, net):
 def test_repeated_id_keeps_its_nearest_row(spark):
     seg = spark.createDataFrame(SEGS, schemas.SEGMENTS)
     vert = spark.createDataFrame(VERTS, "linear_feature_id bigint, seq int, x double, y double, m double")
-    src = spark.createDataFrame([("E", "FR", "far", 10, 15.0, 4.0), ("E", "OR", "near", 10, 5.0, 1.0)],
+    src = spark.createDataFrame([("E", "FR", "far", 10, 15.0, 4.0, 1), ("E", "OR", "near", 10, 5.0, 1.0, 2)],
                                 schemas.POINTS_SRC)
     n = Network(spark, segments=seg, points_src=src, vertices=vert,
-                points=spark.createDataFrame([], schemas.NOTATIONS))
+                points=spark.createDataFrame([], schemas.PLACED_POINTS))
     got = [(r.notation_id, r.notation_type, r.linear_feature_id, round(r.distance_to_stream, 9))
            for r in n.snapped.collect()]
     assert got == [("E", "OR", 1, 1.0)]
+
+
+def test_snapped_table_in_full(net):
+    got = {r.notation_id: (r.wls_wn_sysid, r.distance_to_stream, (r.geom.x, r.geom.y)) for r in net.snapped.collect()}
+    assert set(net.snapped.columns) == {f.name for f in schemas.NOTATIONS.fields}
+    assert got == {"A": (0, 3.0, (4.0, 0.0)), "B": (1, 2.0, (10.0, 0.0)), "C": (2, 5.0, (20.0, 0.0))}
+
+
+def test_only_lines_of_points_get_geometry(net):
+    assert {r.linear_feature_id for r in net.point_lines.collect()} == {1, 2}

@@ -13,7 +13,7 @@ def test_ingest_is_idempotent_and_incremental(spark):
     landing, target, ckpt = work_path(spark, "t-landing"), work_path(spark, "t-events"), work_path(spark, "t-ckpt")
     first = ev.where(F.col("event_id") % 2 == 0)
     first.write.mode("append").parquet(landing)
-    args = (spark, landing, ev.schema, target, ckpt, ["event_id"], ["user_id", "event_type", "value"])
+    args = (spark, landing, ev.schema, target, ckpt, ["event_id"], ["user_id", "event_type", "value"], F.floor(F.col("event_id") / 50))
     ingest_available_now(*args)
     n1 = spark.read.parquet(target).count()
     assert n1 == first.count()
@@ -24,3 +24,4 @@ def test_ingest_is_idempotent_and_incremental(spark):
     got = spark.read.parquet(target)
     assert got.count() == ev.count()
     assert got.groupBy("event_id").count().where("count > 1").count() == 0
+    assert got.select("key_bucket").distinct().count() > 1
