@@ -23,7 +23,7 @@ def canonical_text(value: Column, kind: T.DataType) -> Column:
         x = value.cast("double")
         exact = F.replace(F.format_string("%a", x), F.lit(".0p"), F.lit("p"))
         return (F.when(F.isnan(x), F.lit("nan")).when(x == float("inf"), F.lit("inf"))
-                 .when(x == float("-inf"), F.lit("-inf")).otherwise(exact))
+                 .when(x == float("-inf"), F.lit("-inf")).when(x.isNotNull(), exact))
     if isinstance(kind, T.DateType):
         return F.unix_date(value).cast("string")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
@@ -33,7 +33,8 @@ def canonical_text(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.ArrayType):
         return F.array_join(F.transform(value, lambda x: sized_text(x, kind.elementType)), "")
     if isinstance(kind, T.StructType):
-        return F.concat(*[sized_text(value[f.name], f.dataType) for f in kind.fields]) if kind.fields else F.lit("")
+        fields = F.concat(*[sized_text(value[f.name], f.dataType) for f in kind.fields]) if kind.fields else F.lit("")
+        return F.when(value.isNotNull(), fields)
     if isinstance(kind, T.MapType):
         pair = T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])
         return canonical_text(F.array_sort(F.map_entries(value)), T.ArrayType(pair))
@@ -43,8 +44,8 @@ def canonical_text(value: Column, kind: T.DataType) -> Column:
 def sized_text(value: Column, kind: T.DataType) -> Column:
     """``<bytes>:<text>``, or ``N`` for NULL: neither a separator within a text nor a NULL that moves to
     another column can give two rows the same form."""
-    text = canonical_text(value, kind)
-    return F.when(value.isNull(), F.lit("N")).otherwise(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text))
+    text = canonical_text(value, kind)  # NULL for NULL; used twice outside of any branch, so computed once
+    return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("N"))
 
 
 def row_hash(df: DataFrame, cols: list[str]) -> Column:

@@ -36,6 +36,13 @@ def network(spark: SparkSession, sf_dir: str) -> Network:
     return _NETWORKS[key]
 
 
+def forget() -> None:
+    """Delete the tables that the shared networks wrote; the next query builds its own."""
+    for n in reversed(_NETWORKS.values()):
+        n.release()
+    _NETWORKS.clear()
+
+
 def _out(df: DataFrame) -> DataFrame:
     """Stream output columns with measures given to 6 places."""
     return df.select("linear_feature_id", "notation_id_list", "primary_notation_type", "secondary_notation_types",

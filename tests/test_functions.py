@@ -108,3 +108,24 @@ def test_prefixes_any_depth(spark):
     assert got[:3] == [["100"], ["100", "100.000300"], ["100", "100.000300", "100.000300.0000000042"]]
     assert len(got[3]) == 25 and got[3][-1] == deep
     assert one(spark, codes.level_range(F.lit(1), F.col("n")), "n int", [(0,), (2,)]) == [[], [1, 2]]
+
+
+def test_canonical_row_form_tells_rows_apart(spark):
+    """NULLs, separators inside texts, signs of zero, nested values: different rows, different hashes."""
+    import datetime
+
+    from bluelines.operators.changes import row_hash
+
+    schema = "a string, b string, x double, f array<float>, d date, t timestamp, s struct<p:int,q:string>, m map<string,int>, v binary"
+    base = ("x", None, 1.0, [1.0, None], datetime.date(2020, 1, 1), datetime.datetime(2020, 1, 1), (1, "z"), {"k": 1, "l": 2}, b"\x01")
+    rows = [base, (None, "x", *base[2:]), ("x|", None, *base[2:]), ("", None, *base[2:]), (None, None, *base[2:]), ("x", "", *base[2:])]
+    rows += [(*base[:2], x, *base[3:]) for x in (None, 0.0, -0.0, 1.0000000000000002, float("nan"), float("inf"), float("-inf"))]
+    rows += [(*base[:3], f, *base[4:]) for f in (None, [], [None], [1.0], [None, 1.0], [1.0, None, None])]
+    rows += [(*base[:4], datetime.date(2020, 1, 2), *base[5:]), (*base[:5], datetime.datetime(2020, 1, 1, 0, 0, 0, 1), *base[6:])]
+    rows += [(*base[:6], s, *base[7:]) for s in (None, (None, "z"), (1, None), (None, None))]
+    rows += [(*base[:7], m, *base[8:]) for m in (None, {}, {"k": 2, "l": 1})] + [(*base[:8], None), (*base[:8], b"")]
+    df = spark.createDataFrame(rows, schema)
+    hashes = [r.h for r in df.select(row_hash(df, df.columns).alias("h")).collect()]
+    assert len(set(hashes)) == len(rows) and all(len(h) == 32 for h in hashes)
+    turned = spark.createDataFrame([(*base[:7], {"l": 2, "k": 1}, base[8])], schema)
+    assert turned.select(row_hash(turned, turned.columns).alias("h")).first().h == hashes[0]
