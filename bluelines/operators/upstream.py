@@ -1,6 +1,6 @@
 """Upstream / downstream relations between points and pieces of line, as one equi join.
 
-**Definition D-UP** (the one place it is written down). Point *a* = (blk, meas, W, L),
+**Definition D-UP** (its three cases are the three functions below; the SQL form is tested against them). Point *a* = (blk, meas, W, L),
 line piece *b* = (blk', dm', W', L'). *b* is upstream of *a* when
 
 1. ``blk' = blk`` and ``dm' + tolerance >= meas`` (same flow line, starts at or above the point);
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bluelines.functions.codes import depth, is_strictly_within, is_within, level_range, prefix
+from bluelines.functions.codes import depth, is_within, level_range, prefix
 from bluelines.functions.rounding import piece_key
 from bluelines.operators.common import first_per_key
 
@@ -38,16 +38,29 @@ P = "p_"
 POINT_COLS = ["notation_id", "notation_type", "blue_line_key", "downstream_route_measure", "wscode", "localcode"]
 
 
+def on_line_above(dm: Column, p_meas: Column, tolerance: float) -> Column:
+    """Case 1 for rows of one flow line."""
+    return dm + F.lit(tolerance) >= p_meas
+
+
+def on_code_above(w: Column, lc: Column, p_w: Column, p_lc: Column) -> Column:
+    """Case 2 for rows of different flow lines with local codes."""
+    return (w == p_w) & (lc >= p_lc)
+
+
+def enters_above(w: Column, p_w: Column, p_lc: Column, w_under_local: Column) -> Column:
+    """Case 3 for a code that lies below the point's code; ``w_under_local``: it lies at or below the
+    point's local code."""
+    return (w != p_w) & p_lc.isNotNull() & ((p_lc == p_w) | ((w > p_lc) & ~w_under_local))
+
+
 def d_up(blk: Column, dm: Column, w: Column, lc: Column,
          p_blk: Column, p_meas: Column, p_w: Column, p_lc: Column, tolerance: float = TOLERANCE) -> Column:
     """D-UP as a plain boolean over both rows (used for small inputs and as the truth table)."""
-    same = blk == p_blk
-    codes = lc.isNotNull() & p_lc.isNotNull()
-    case1 = same & (dm + F.lit(tolerance) >= p_meas)
-    case2 = ~same & codes & (w == p_w) & (lc >= p_lc)
-    case3 = ~same & codes & is_strictly_within(w, p_w) & (
-        (p_lc == p_w) | ((w > p_lc) & ~is_within(w, p_lc)))
-    return F.coalesce(case1 | case2 | case3, F.lit(False))
+    by_code = lc.isNotNull() & p_lc.isNotNull() & (blk != p_blk) & (
+        on_code_above(w, lc, p_w, p_lc)
+        | (is_within(w, p_w) & enters_above(w, p_w, p_lc, is_within(w, p_lc))))
+    return F.coalesce(((blk == p_blk) & on_line_above(dm, p_meas, tolerance)) | by_code, F.lit(False))
 
 
 def point_keys(blk: Column, w: Column) -> Column:
@@ -103,9 +116,9 @@ def upstream_residual(tolerance: float = TOLERANCE) -> Column:
     blk, dm, w, lc = F.col("blue_line_key"), F.col("downstream_route_measure"), F.col("wscode"), F.col("localcode")
     pb, pm, pw, pl = (F.col(P + "blue_line_key"), F.col(P + "downstream_route_measure"),
                       F.col(P + "wscode"), F.col(P + "localcode"))
-    by_line = _by_line() & (dm + F.lit(tolerance) >= pm)
+    by_line = _by_line() & on_line_above(dm, pm, tolerance)
     codes = lc.isNotNull() & pl.isNotNull() & (blk != pb)
-    by_code = _by_code() & codes & (((w == pw) & (lc >= pl)) | ancestor_condition())
+    by_code = _by_code() & codes & (on_code_above(w, lc, pw, pl) | ancestor_condition())
     return F.coalesce(by_line | by_code, F.lit(False))
 
 
@@ -114,8 +127,7 @@ def ancestor_condition() -> Column:
     the line's stream enters above the point. Depends on the line's code only (not its flow line
     or measure), so it can be evaluated once per distinct code."""
     w, pw, pl = F.col("wscode"), F.col(P + "wscode"), F.col(P + "localcode")
-    w_under_l = F.startswith(F.col("_wd"), F.col("p_ld"))  # is_within(w, pl) without allocation
-    return (w != pw) & pl.isNotNull() & ((pl == pw) | ((w > pl) & ~w_under_l))
+    return enters_above(w, pw, pl, F.startswith(F.col("_wd"), F.col("p_ld")))  # is_within without allocation
 
 
 def on_segment_residual() -> Column:

@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from bluelines.plans import catalogue  # noqa: E402
 from bluelines.session import build_session  # noqa: E402
 
-QUERIES = ["stream_list_all", "work_segments", "upstream_pairs", "side_channels", "snap_measure",
+QUERIES = ["stream_list_all", "work_segments", "break_segments", "upstream_pairs", "start_of_route", "side_channels", "snap_measure",
            "clip_lines", "run_collapse", "insert_ignore", "first_per_key", "code_descendant", "attr_link"]
 
 
