@@ -52,9 +52,12 @@ def _out(df: DataFrame) -> DataFrame:
 
 # ---- sources ------------------------------------------------------------------------------
 def q_points_src(spark, d):
-    n = network(spark, d)
-    return n.points_src.select("notation_id", "notation_type", "notation_description", "blue_line_key",
-                               round6("x").alias("x"), round6("y").alias("y"))
+    """The raw points as stored, read by their declared schema."""
+    path = work_path(spark, "points")
+    network(spark, d).points_src.write.parquet(path)
+    src = spark.read.schema(schemas.POINTS_SRC).parquet(path)
+    return src.select(*[c for c in src.columns if c not in ("x", "y", "latitude", "longitude")],
+                      *[round6(c).alias(c) for c in ("x", "y", "latitude", "longitude")])
 
 
 def q_segments_src(spark, d):

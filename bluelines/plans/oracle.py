@@ -348,7 +348,8 @@ def _renamed(ctes: str) -> str:
 
 ORACLE = {
     "points_src": with_ctes(SEGMENTS, POINTS) +
-        " SELECT notation_id, notation_type, notation_description, blue_line_key, round(x, 6) AS x, round(y, 6) AS y FROM points",
+        " SELECT notation_id, notation_type, notation_description, blue_line_key, wls_wn_sysid, round(x, 6) AS x, round(y, 6) AS y,"
+        " round(49 + y / 1000, 6) AS latitude, round(-125 + x / 1000, 6) AS longitude FROM points",
     "segments_src": with_ctes(SEGMENTS) +
         " SELECT linear_feature_id, blue_line_key, watershed_key, round(downstream_route_measure, 6) AS downstream_route_measure,"
         " round(upstream_route_measure, 6) AS upstream_route_measure, round(length_metre, 6) AS length_metre, wscode, localcode,"

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Input points before snapping: id, type, free text, the line they belong to, coordinates.
+# Input points before snapping: id, type, free text, the line they belong to, planar coordinates, the
+# source's number and geographic coordinates (carried, not computed on).
 POINTS_SRC = T.StructType([
     T.StructField("notation_id", T.StringType(), False),
     T.StructField("notation_type", T.StringType(), False),
@@ -13,6 +14,8 @@ POINTS_SRC = T.StructType([
     T.StructField("x", T.DoubleType(), True),
     T.StructField("y", T.DoubleType(), True),
     T.StructField("wls_wn_sysid", T.IntegerType(), True),
+    T.StructField("latitude", T.DoubleType(), True),
+    T.StructField("longitude", T.DoubleType(), True),
 ])
 
 POINT_2D = T.StructType([T.StructField("x", T.DoubleType(), True), T.StructField("y", T.DoubleType(), True)])

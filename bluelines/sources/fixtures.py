@@ -111,8 +111,9 @@ def points(t: Tables, seg: DataFrame) -> DataFrame:
 
 
 def points_src(t: Tables, seg: DataFrame) -> DataFrame:
-    """Points as they arrive, before snapping: ids, type, text, line key and coordinates."""
-    return points(t, seg).select("notation_id", "wls_wn_sysid", "notation_type", "notation_description", "blue_line_key", "x", "y")
+    """Points as they arrive, before snapping (``schemas.POINTS_SRC``)."""
+    return points(t, seg).select("notation_id", "notation_type", "notation_description", "blue_line_key", "x", "y", "wls_wn_sysid",
+                                 (F.lit(49.0) + F.col("y") / 1000).alias("latitude"), (F.lit(-125.0) + F.col("x") / 1000).alias("longitude"))
 
 
 def _vertex(seq: int) -> F.Column:

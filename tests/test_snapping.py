@@ -29,7 +29,7 @@ SRC = [
 def net(spark):
     seg = spark.createDataFrame(SEGS, schemas.SEGMENTS)
     vert = spark.createDataFrame(VERTS, "linear_feature_id bigint, seq int, x double, y double, m double")
-    src = spark.createDataFrame([(*r, k) for k, r in enumerate(SRC)], schemas.POINTS_SRC)
+    src = spark.createDataFrame([(*r, k, None, None) for k, r in enumerate(SRC)], schemas.POINTS_SRC)
     return Network(spark, segments=seg, points_src=src, vertices=vert,
                    points=spark.createDataFrame([], schemas.PLACED_POINTS))
 
@@ -61,7 +61,7 @@ def test_clip_pieces(spark, net):
 def test_repeated_id_keeps_its_nearest_row(spark):
     seg = spark.createDataFrame(SEGS, schemas.SEGMENTS)
     vert = spark.createDataFrame(VERTS, "linear_feature_id bigint, seq int, x double, y double, m double")
-    src = spark.createDataFrame([("E", "FR", "far", 10, 15.0, 4.0, 1), ("E", "OR", "near", 10, 5.0, 1.0, 2)],
+    src = spark.createDataFrame([("E", "FR", "far", 10, 15.0, 4.0, 1, None, None), ("E", "OR", "near", 10, 5.0, 1.0, 2, None, None)],
                                 schemas.POINTS_SRC)
     n = Network(spark, segments=seg, points_src=src, vertices=vert,
                 points=spark.createDataFrame([], schemas.PLACED_POINTS))
