@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bluelines.session import materialize
 
 FOLDS = 5  # rows whose crc32(id as text) mod 5 is 0 are held out of every fit
+BATCH_ROWS = 1_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -17,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def text_batches(spark: SparkSession) -> None:
+    """From now on whole documents go to the Python workers in batches of at most BATCH_ROWS rows, so that a
+    worker holds a few MB of text at a time; a smaller setting of the session stays."""
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def held_out(col: Column) -> Column:
     """True for the rows that no model may learn from (a null id counts as held out)."""
     return F.coalesce(F.crc32(col.cast("string").cast("binary")) % FOLDS == 0, F.lit(True))

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from bluelines.llm.bilstm import BiLSTM
 from bluelines.llm.blocks import Block, blocks
+from bluelines.llm.common import text_batches
 
 SAMPLE_PAGES, VARIANTS, LONGEST = 250, 5, 120  # sampled pages; made ones for each; blocks of a training sequence
 PATH, WORDS = 64, 32
@@ -150,6 +151,7 @@ def texts(model: BiLSTM | None, pages: list[str | None]) -> list[str]:
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Rows (page_id, url, text, n_chars), one per input row."""
+    text_batches(pages.sparkSession)
     model = pages.sparkSession.sparkContext.broadcast(train(pages, html_col))
 
     @F.arrow_udf("string")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bluelines.llm.common import held_out
+from bluelines.llm.common import held_out, text_batches
 
 DICT_BYTES, SAMPLE_ROWS, SAMPLE_BYTES, BLOCK = 1 << 17, 400, 1000, 1024
 NARROW = 0.002
@@ -39,6 +39,7 @@ def letters(text: str | None) -> bytes:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, bytes]]:
     """(language, dictionary) pairs, the most frequent language first."""
+    text_batches(docs.sparkSession)
     rows = docs.where(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
     counts = rows.groupBy("lang").count()

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bluelines.llm import shingles
-from bluelines.llm.common import components, in_chunks
+from bluelines.llm.common import components, in_chunks, text_batches
 from bluelines.session import materialize
 
 THRESHOLD = 0.75
@@ -193,6 +193,7 @@ def _linked(docs, pairs, name, written):
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     written: list[str] | None = None) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, kept), one per input row."""
+    text_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     table = materialize(signatures(docs), "minhash", written)
     full = table.where("n_shingles > 0 and doc_id is not null")

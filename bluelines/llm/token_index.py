@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bluelines.llm import files, mphf
-from bluelines.llm.common import in_chunks, utf8_rows
+from bluelines.llm.common import in_chunks, text_batches, utf8_rows
 from bluelines.session import materialize
 
 MAGIC = b"BLIDS001"
@@ -188,6 +188,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id",
           end_id: int = END_ID, written: list[str] | None = None) -> int:
     """Writes shards, index and manifest below ``folder``; returns the number of index buckets."""
     spark = docs.sparkSession
+    text_batches(spark)
     src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_KEY)).alias("key"), F.col(text_col).cast("string").alias("text"))
     src = src.repartitionByRange("key").sortWithinPartitions("key", "text")
     entries = materialize(src.mapInArrow(_writer(folder, tokenizer, end_id), ENTRIES), "token-entries", written)
@@ -284,3 +285,27 @@ def read(spark: SparkSession, folder: str, keys: DataFrame, buckets: int) -> Dat
     out = found.select("key", "shard", "offset", "ordinal", "copies", "start").mapInArrow(
         _reader(folder), "key long, start long, n_tokens long, ids_crc32 long")
     return out.select(F.when(F.col("key") != NULL_KEY, F.col("key")).alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+def get(folder: str, key: int | None, buckets: int) -> list[np.ndarray]:
+    """Ids of the documents stored under one key (none: not stored), without Spark: one index file, one
+    probe of the perfect hash, and the bytes of just those documents."""
+    import xxhash
+
+    key = NULL_KEY if key is None else key
+    signed = np.array([xxhash.xxh64_intdigest(struct.pack("<q", key), seed=42)], np.uint64).view(np.int64)[0]  # as Spark hashes a long
+    try:
+        with files.open_input(_bucket_uri(folder, int(signed) % buckets)) as f:
+            tree, entries = mphf.load(f.read())
+    except FileNotFoundError:
+        return []
+    at = mphf.find(tree, entries, np.array([key]))[0]
+    if at < 0:
+        return []
+    e, shard = entries[at], Shard(folder, int(entries[at]["shard"]))
+    offset, out = int(e["offset"]), []
+    for n in shard.counts(int(e["ordinal"]), int(e["copies"])).tolist():
+        out.append(shard.ids(offset, n))
+        offset += n
+    shard.close()
+    return out

@@ -68,6 +68,17 @@ def test_keyed_access_to_raw_payload(spark, tokenizer):
     assert shard.ids(e["offset"], n).tolist() == whole(tokenizer, rows[17][1]) + [2]
 
 
+def test_get_by_key(spark, tokenizer, monkeypatch):
+    monkeypatch.setattr(token_index, "BUCKET_KEYS", 40)
+    rows = [(i * 3 - 50, words(1 + i % 9, i)) for i in range(200)] + [(None, "none"), (4, "twice"), (4, "twice more")]
+    _, folder, buckets = build(spark, rows)
+    assert buckets > 3
+    for i, t in rows[:60:7]:
+        assert [x.tolist() for x in token_index.get(folder, i, buckets)] == [whole(tokenizer, u) + [2] for j, u in sorted(rows[:-3] + rows[-2:], key=lambda r: r[1]) if j == i]
+    assert [x.tolist() for x in token_index.get(folder, None, buckets)] == [whole(tokenizer, "none") + [2]]
+    assert token_index.get(folder, 10**9, buckets) == []
+
+
 def test_empty_table(spark):
     docs, folder, buckets = build(spark, [])
     assert got(token_index.read(spark, folder, docs.select("doc_id"), buckets)) == []
