@@ -24,13 +24,15 @@ further lines; extra columns are not read.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bluelines.llm.bitparallel import banded_distance
-from bluelines.llm.common import components, in_chunks
+from bluelines.llm.common import components, in_chunks, text_batches
 from bluelines.llm.shingles import mix
 from bluelines.session import materialize
 
@@ -44,6 +46,26 @@ _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _BLANK = " \t\r\x0b\x0c"
 
 
+def _code(points: np.ndarray, which: int) -> np.ndarray:
+    return mix(points + _U(_BASES[which]))
+
+
+@lru_cache(2)
+def _codes(which: int) -> np.ndarray:
+    """Codes of the points of the basic plane."""
+    return _code(np.arange(1 << 16, dtype=np.uint64), which)
+
+
+@lru_cache(4)
+def _powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (_BASES[which], pow(_BASES[which], -1, 2**64)):
+        p = np.full(size + 1, base, np.uint64)
+        p[0] = 1
+        out.append(np.multiply.accumulate(p))
+    return out[0], out[1]
+
+
 class Lines:
     """The lines of some texts as one array of code points, with hashes of any stretch of it."""
 
@@ -59,22 +81,23 @@ class Lines:
         self.owner, self.number = np.array(owner, np.int64), np.array(number, np.int64)
         self.length = np.array([len(x) for x in self.text], np.int64)
         self.start = np.cumsum(self.length) - self.length
-        points = np.frombuffer("".join(self.text).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        self.sums, self.inverse = [], []
-        for base in _BASES:
-            power = np.full(len(points) + 1, base, np.uint64)
-            inverse = np.full(len(points) + 1, pow(base, -1, 2**64), np.uint64)
-            power[0] = inverse[0] = 1
-            np.multiply.accumulate(power, out=power)
-            np.multiply.accumulate(inverse, out=inverse)
-            total = np.zeros(len(points) + 1, np.uint64)
-            np.cumsum(mix(points + _U(base)) * power[:-1], out=total[1:])
-            self.sums.append(total)
-            self.inverse.append(inverse)
+        self.points = np.frombuffer("".join(self.text).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.sums: dict[int, np.ndarray] = {}
+
+    def _sums(self, which: int) -> np.ndarray:
+        """Prefix sums of the points' codes times powers, made when first asked for."""
+        if which not in self.sums:
+            n, total = len(self.points), np.zeros(len(self.points) + 1, np.uint64)
+            codes = _codes(which)
+            spread = codes[self.points] if not n or self.points.max() < len(codes) else _code(self.points.astype(np.uint64), which)
+            np.cumsum(spread * _powers(which, 1 << max(20, n.bit_length()))[0][:n], out=total[1:])
+            self.sums[which] = total
+        return self.sums[which]
 
     def hash(self, start: np.ndarray, length: np.ndarray, which: int = 0) -> np.ndarray:
-        total = self.sums[which]
-        return mix((total[start + length] - total[start]) * self.inverse[which][start] + length.astype(np.uint64))
+        total, n = self._sums(which), len(self.points)
+        inverse = _powers(which, 1 << max(20, n.bit_length()))[1]
+        return mix((total[start + length] - total[start]) * inverse[start] + length.astype(np.uint64))
 
     def ids(self) -> np.ndarray:
         return self.hash(self.start, self.length).view(np.int64)
@@ -169,6 +192,7 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Rows (doc_id, line_no, class_doc_id, class_line_no, links, kept), one per line of each text. The
     class is named by its first line (smallest document id, then line number); links counts the other
     lines (each text once) within ``EDITS`` edits; kept marks the first line of each class."""
+    text_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     lines = materialize(src.mapInArrow(_occurrences, "doc_id long, line_no long, id long, check long, size long"), "lines", written)
     spread = src.select("doc_id", "text").mapInArrow(_keys, "key long, id long, own boolean")
