@@ -30,7 +30,7 @@ from bluelines.session import materialize
 
 MOST = 3
 WEIGHTS = 3
-GROUP_ROWS = 20_000
+GROUP_ROWS = 2_000
 FAN = 64
 COPIES_BROADCAST_ROWS = 500_000  # decisions (at most 24 bytes each) sent to all executors; more are joined by shuffle
 UNIT = "key long, source string, size long, whole int, p double, node long, seed long"
