@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bluelines.llm.common import held_out
+from bluelines.llm.common import held_out, text_batches
 from bluelines.session import materialize
 
 SAMPLE_ROWS = 20_000
@@ -130,18 +130,17 @@ def weigh(words: dict[str, tuple[int, int]], stems: dict[str, tuple[int, int]])
     return model
 
 
-def calibrate(model: Model, rows: list[tuple[int, int, list[float], list[float]]]) -> None:
-    """rows: (toxic, tokens, segment scores, token scores). Sets lambda, K and the logistic curve."""
-    values, counts = np.unique(np.round(np.concatenate([np.zeros(0), *(r[3] for r in rows if not r[0])]), 2), return_counts=True)
+def calibrate(model: Model, rows: list[tuple[int, int, list[float]]], values: np.ndarray, counts: np.ndarray) -> None:
+    """rows: (toxic, tokens, segment scores); values and counts: token scores of clean texts. Sets lambda,
+    K and the logistic curve."""
     p = counts / max(counts.sum(), 1)
     if len(values) and values.max() > 0 > (p * values).sum():
-        low, high = 0.0, 50.0 / values.max()
-        low = 1e-6
+        low, high = 1e-6, 50.0 / values.max()
         for _ in range(100):
             middle = (low + high) / 2
             low, high = (low, middle) if (p * np.exp(middle * values)).sum() > 1 else (middle, high)
         model.decay = low
-    clean = [(n, max(found, default=0.0)) for toxic, n, found, _ in rows if not toxic and n]
+    clean = [(n, max(found, default=0.0)) for toxic, n, found in rows if not toxic and n]
     if clean:
         model.k = len(clean) / sum(n * exp(-model.decay * s) for n, s in clean)
     x = np.log1p([model.evidence(r[2], r[1]) for r in rows])
@@ -180,21 +179,28 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model = weigh(words, stems)
 
     def measure(batches):
+        kinds = pa.schema([("toxic", pa.bool_()), ("n", pa.int64()), ("found", pa.list_(pa.float64())),
+                           ("values", pa.list_(pa.float64())), ("counts", pa.list_(pa.int64()))])
         for batch in batches:
             rows = [model.scores(tokens(t)) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_pydict({"toxic": batch.column(1), "n": [len(r) for r in rows],
-                                              "found": [[s for _, _, s in segments(r)] for r in rows],
-                                              "scores": [r.tolist() if not t else [] for r, t in zip(rows, batch.column(1).to_pylist())]},
-                                             pa.schema([("toxic", pa.bool_()), ("n", pa.int64()), ("found", pa.list_(pa.float64())), ("scores", pa.list_(pa.float64()))]))
-
-    later = texts.where("later").select("text", "toxic").mapInArrow(measure, "toxic boolean, n long, found array<double>, scores array<double>")
-    calibrate(model, [(int(r.toxic), r.n, r.found, r.scores) for r in later.orderBy("toxic", "n", "found").collect()])
+            seen = [np.unique(np.round(r, 2), return_counts=True) for r in rows]
+            yield pa.RecordBatch.from_pydict({"toxic": batch.column(1), "n": [len(r) for r in rows], "found": [[s for _, _, s in segments(r)] for r in rows],
+                                              "values": [v.tolist() for v, _ in seen], "counts": [c.tolist() for _, c in seen]}, kinds)
+
+    later = texts.where("later").select("text", "toxic").mapInArrow(
+        measure, "toxic boolean, n long, found array<double>, values array<double>, counts array<long>")
+    later = materialize(later, "tox-measured", written)
+    of_clean = later.where("not toxic").select(F.explode(F.arrays_zip("values", "counts")).alias("v"))
+    of_clean = of_clean.groupBy(F.col("v.values").alias("value")).agg(F.sum("v.counts").alias("n")).orderBy("value").collect()
+    calibrate(model, [(int(r.toxic), r.n, r.found) for r in later.select("toxic", "n", "found").orderBy("toxic", "n", "found").collect()],
+              np.array([r.value for r in of_clean]), np.array([r.n for r in of_clean], float))
     return model
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", written: list[str] | None = None) -> DataFrame:
     """Rows (doc_id, held_out, score, predicted, passages), one per input row; passages: how many segments
     are expected less than once in clean text of that length."""
+    text_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col, written))
 
     @F.arrow_udf("score double, passages int")
