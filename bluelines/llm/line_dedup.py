@@ -9,7 +9,8 @@ the other; shorter lines match only if equal. Linked and equal lines form classe
    substrings that may be a segment of a line of its length, one less, and so on; which places need
    looking up follows from how many edits can lie left and right of the segment. Segments and substrings
    become 64-bit keys of (length, segment number, content).
-2. A key is open if different lines have it, one of them as a segment. Lines with open keys are read again.
+2. A key is open if different lines have it, one of them as a segment. Of lines with open keys the first
+   occurrence is read again, from the documents that hold it.
 3. The lines of an open key are cut into blocks of ``BLOCK``; each pair of blocks is one task's work, where
    pairs are verified with banded bit-parallel edit distance, in the first key that they share. A
    task returns how many links each line has, and only as many links as join its components.
@@ -41,6 +42,7 @@ SHORT = 20
 BLOCK = 1024
 KEY_BROADCAST_ROWS = 500_000  # open keys or lines (8 bytes each) sent to all executors; more are joined by shuffle
 CHUNK = 1 << 20
+NULL_ID = -(2**63)  # stands for a null document id
 _U = np.uint64
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _BLANK = " \t\r\x0b\x0c"
@@ -140,14 +142,14 @@ def _keys(batches):
 
 
 def _texts(batches):
+    """Batches of text and the numbers of the lines asked for: those lines with their hashes."""
     for batch in batches:
-        for a, b in in_chunks(batch.column(1), CHUNK):
-            lines = Lines(batch.column(1)[a:b].to_pylist())
-            ids = lines.ids()
-            long = np.flatnonzero(lines.length >= SHORT)
-            long = long[np.unique(ids[long], return_index=True)[1]]
-            yield pa.RecordBatch.from_pydict({"id": ids[long], "check": lines.hash(lines.start, lines.length, 1)[long].view(np.int64),
-                                              "line": pa.array([lines.text[k] for k in long], pa.string())})
+        for a, b in in_chunks(batch.column(0), CHUNK):
+            lines = Lines(batch.column(0)[a:b].to_pylist())
+            wanted = [set(w) for w in batch.column(1)[a:b].to_pylist()]
+            pick = np.array([k for k, (o, n) in enumerate(zip(lines.owner.tolist(), lines.number.tolist())) if n in wanted[o]], np.int64)
+            yield pa.RecordBatch.from_pydict({"id": lines.ids()[pick], "check": lines.hash(lines.start, lines.length, 1)[pick].view(np.int64),
+                                              "line": pa.array([lines.text[k] for k in pick], pa.string())})
 
 
 LINKS = "a_id long, a_check long, b_id long, b_check long, links long"
@@ -200,8 +202,14 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     opened = spread.groupBy("key").agg(F.min(narrow).alias("low"), F.max(narrow).alias("high"), F.max("own").alias("own"))
     opened = materialize(opened.where("own and low < high").select("key"), "open-keys", written)
     rows = materialize(_only(spread, opened, "key").select("key", "id").distinct(), "open-lines", written)
-    texts = _only(src.mapInArrow(_texts, "id long, check long, line string"), materialize(rows.select("id").distinct(), "line-ids", written), "id")
-    texts = texts.groupBy("id", "check").agg(F.first("line").alias("line"))
+    firsts = lines.where("size > 0").groupBy("id", "check").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("d"), "line_no")).alias("first"))
+    firsts = materialize(firsts, "first-lines", written)
+    wanted = _only(firsts, materialize(rows.select("id").distinct(), "line-ids", written), "id")
+    wanted = wanted.groupBy(F.col("first.d").alias("d")).agg(F.collect_set("first.line_no").alias("numbers"))  # of one document
+    wanted = materialize(wanted, "wanted-lines", written)
+    few = wanted.count() <= KEY_BROADCAST_ROWS
+    asked = src.join(F.broadcast(wanted) if few else wanted, F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("d")).select("text", "numbers")
+    texts = asked.mapInArrow(_texts, "id long, check long, line string").groupBy("id", "check").agg(F.first("line").alias("line"))
     texts = texts.join(rows.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys")), "id")  # a line has few keys
     texts = materialize(texts, "line-texts", written)
     sizes = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
@@ -212,8 +220,6 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = cells.join(texts, "id").groupBy("key", "i", "j").applyInArrow(_verify_block, LINKS)
     found = materialize(found, "line-links", written)
 
-    firsts = lines.where("size > 0").groupBy("id", "check").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("d"), "line_no")).alias("first"))
-    firsts = materialize(firsts, "first-lines", written)
     name = lambda side: firsts.select(F.col("id").alias(f"{side}_id"), F.col("check").alias(f"{side}_check"), F.col("first").alias(side))
     linked = found.where("b_id is not null").join(name("a"), ["a_id", "a_check"]).join(name("b"), ["b_id", "b_check"]).select("a", "b")
     comp = materialize(components(linked, "lines", written), "line-components", written)
@@ -221,7 +227,7 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     classes = firsts.join(comp, firsts["first"] == comp["id"], "left").select(firsts["id"], "check", F.coalesce("component", "first").alias("class"))
     classes = classes.join(counts, ["id", "check"], "left")
     out = lines.join(classes, ["id", "check"], "left")
-    class_doc = F.when(F.col("class.d") > -(2**63), F.col("class.d"))
-    first = F.col("class").isNull() | ((F.coalesce("doc_id", F.lit(-(2**63))) == F.col("class.d")) & (F.col("line_no") == F.col("class.line_no")))
+    class_doc = F.when(F.col("class.d") > NULL_ID, F.col("class.d"))
+    first = F.col("class").isNull() | ((F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("class.d")) & (F.col("line_no") == F.col("class.line_no")))
     return out.select("doc_id", "line_no", class_doc.alias("class_doc_id"), F.col("class.line_no").alias("class_line_no"),
                       F.when(F.col("class").isNotNull(), F.coalesce("links", F.lit(0))).alias("links"), first.alias("kept"))
