@@ -13,7 +13,7 @@ import pyarrow as pa
 
 WIDTH = 5  # words to a shingle
 PERMUTATIONS = 128
-CHUNK = 1 << 20  # bytes of text handled at once
+CHUNK = 1 << 19  # bytes of text handled at once
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so that its powers can be inverted
 

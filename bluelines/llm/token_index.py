@@ -39,9 +39,9 @@ from bluelines.session import materialize
 MAGIC = b"BLIDS001"
 END_ID = 2
 BUCKET_KEYS = 20_000
-CACHED_WORDS = 200_000  # words of a generation, of which there are two
-CACHED_BYTES = 64 << 20
-CHUNK = 4 << 20
+CACHED_WORDS = 120_000  # words of a generation, of which there are two
+CACHED_BYTES = 40 << 20
+CHUNK = 1 << 20
 NULL_KEY = -(2**63)
 ENTRIES = "key long, shard int, ordinal long, offset long, n_ids long"
 
