@@ -13,11 +13,12 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
                    "h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
+SKIPPED = frozenset("noscript template svg iframe select object".split())  # left out with all they hold
 CLOSED_BY_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|select|object)\b.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style)(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<[!?][^>]*>?"
     r"""|<(/?)([a-z][a-z0-9:-]*)((?:[^<>"']|"[^"]{0,4000}"|'[^']{0,4000}')*)>"""
     r"|<(/?)([a-z][a-z0-9:-]*)[^<>]*>?",
@@ -39,6 +40,27 @@ def names(attributes: str) -> list[str]:
     return found
 
 
+def _tag(m: re.Match) -> tuple[str, bool]:
+    """(lower-case name, whether it is an end tag) of a match; no name for comments, scripts and the like."""
+    return (m[3] or m[6] or "").lower(), bool(m[2] or m[5])
+
+
+def _skips(tags: list[re.Match]) -> dict[int, int]:
+    """For the start tags of skipped elements the place of the end tag that belongs to it, by name with
+    nesting. A start tag that nothing closes, and a self-closing svg, are not in it: they stand alone."""
+    out: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for n, m in enumerate(tags):
+        tag, closing = _tag(m)
+        if tag in SKIPPED:
+            if not closing:
+                if not (tag == "svg" and m[0].endswith("/>")):
+                    opened.setdefault(tag, []).append(n)
+            elif opened.get(tag):
+                out[opened[tag].pop()] = n
+    return out
+
+
 def blocks(html: str | None) -> list[Block]:
     html = html or ""
     stack: list[tuple[str, tuple[str, ...]]] = []  # open block elements with their path
@@ -60,17 +82,24 @@ def blocks(html: str | None) -> list[Block]:
                 del stack[k:]
                 return
 
-    for m in _TAG.finditer(html):
+    tags = list(_TAG.finditer(html))
+    skips, skipped = _skips(tags), -1
+    for n, m in enumerate(tags):
+        if n <= skipped:
+            continue
         if m.start() > at:
             piece = html[at:m.start()]
             text.append(piece)
             if links:
                 linked += len(piece.strip())
         at = m.end()
-        tag = (m[3] or m[6] or "").lower()
+        tag, closing = _tag(m)
         if not tag:
             continue
-        closing = bool(m[2] or m[5])
+        if tag in SKIPPED and not closing:
+            skipped = skips.get(n, n)
+            at = tags[skipped].end()
+            continue
         if tag in INLINE:
             if tag == "a":
                 links = 0 if closing else 1

@@ -61,6 +61,17 @@ def test_blocks():
     assert [b.text for b in blocks("x &#233; &eacute; &bogus; &#x41;")] == ["x é é &bogus; A"]
 
 
+
+def test_skipped_elements_end_where_they_end():
+    main, rest = "<article>main</article>", ["a", "main", "b"]
+    for odd in ('<svg class="i"/>', "<svg-icon src=x></svg-icon>", "<select>", "<object data=x>", "<svg>", "<iframe src=x>", "<template>", "<noscript>",
+                "<svg>no<svg/>no<svg>no</svg>no</svg>", "<SELECT><option>no</SELECT >", "<object>no<object>no</object>no</object>", "<style-guide></style-guide>"):
+        assert [b.text for b in blocks(f"<p>a</p>{odd}{main}<p>b</p>")] == rest, odd
+    # an element that is never closed does not end with a later one of its name
+    assert [b.text for b in blocks(f"<p>a</p><select>{main}<p>b</p><select><option>no</select>")] == rest
+    assert [b.text for b in blocks(f"<p>a</p><script>no</script x>{main}<p>b</p><style>no")] == rest
+
+
 def test_given_pages_give_the_article(spark, model):
     for r in table(spark, SF, "pages").collect():
         want = " ".join(b.text for b in blocks(r.html) if "article" in b.path)
