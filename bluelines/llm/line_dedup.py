@@ -1,14 +1,20 @@
 """Operator 7: line dedup by a segment-partition edit join.
 
 Lines are cut at newlines and stripped of ASCII white space. Two different lines of at least ``SHORT``
-characters are linked if at most ``EDITS`` edits (characters inserted, deleted, replaced) turn one into
-the other; shorter lines match only if equal. Linked and equal lines form classes.
-
-1. Each line of length l is cut into EDITS + 1 segments. A line within EDITS edits of it, of the same or
-   greater length, holds one of the segments unchanged near its place, so every line also looks up the
-   substrings that may be a segment of a line of its length, one less, and so on; which places need
-   looking up follows from how many edits can lie left and right of the segment. Segments and substrings
-   become 64-bit keys of (length, segment number, content).
+characters are linked if few edits (characters inserted, deleted, replaced) turn one into the other:
+at most one per ``RATE`` characters of the longer line, but ``EDITS`` in any case; shorter lines match
+only if equal. Linked and equal lines form classes.
+
+1. Lines under ``LONG`` (``EDITS`` edits): each line of length l is cut into EDITS + 1 segments. A line
+   within EDITS edits of it, of the same or greater length, holds one of the segments unchanged near its
+   place, so every line also looks up the substrings that may be a segment of a line of its length, one
+   less, and so on; which places need looking up follows from how many edits can lie left and right of
+   the segment. Segments and substrings become 64-bit keys of (length, segment number, content).
+   Longer lines: the segments are windows of ``WINDOW`` characters that do not overlap, one more than a
+   partner can have edits, and a line looks up all its windows. Which windows count is told by their own
+   content, so that an unchanged one counts in both lines: those that start with a space and a hash of
+   even value; for a line with too few of them apart, also all that start with a space; and if these are
+   too few, all. Keys hold the length class (ratio ``STEP``) of the line and of its longest partner.
 2. A key is open if different lines have it, one of them as a segment. Of lines with open keys the first
    occurrence is read again, from the documents that hold it.
 3. The lines of an open key are cut into blocks of ``BLOCK``; each pair of blocks is one task's work, where
@@ -38,7 +44,12 @@ from bluelines.llm.shingles import mix
 from bluelines.session import materialize
 
 EDITS = 2
+RATE = 40
 SHORT = 20
+WINDOW = 16
+LONG = (EDITS + 1) * RATE  # from this length on a line may differ in more than EDITS
+STEP = 9 / 8
+_CLASSES = np.array([LONG * STEP ** k for k in range(200)])
 BLOCK = 1024
 KEY_BROADCAST_ROWS = 500_000  # open keys or lines (8 bytes each) sent to all executors; more are joined by shuffle
 CHUNK = 1 << 20
@@ -115,10 +126,43 @@ class Lines:
                 width = base + (i >= n - longer)
                 for shift in range(max(-i, less - (EDITS - i)), min(i, less + EDITS - i) + 1):
                     at = begin + shift
-                    line = np.flatnonzero((size >= max(SHORT, n)) & (at >= 0) & (at + width <= self.length))
+                    line = np.flatnonzero((size >= max(SHORT, n)) & (self.length < LONG) & (at >= 0) & (at + width <= self.length))
                     found = self.hash(self.start[line] + at[line], width[line])
                     key = mix(found + (size[line] * n + i).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
                     yield line, key.view(np.int64), less == 0 and shift == 0
+        yield from self._window_keys()
+
+    def _window_keys(self):
+        """The same for lines of ``LONG`` characters and those that may be close to one."""
+        most = self.length // (RATE - 1)  # edits to the longest line that can be close
+        left = most > EDITS
+        for kind in range(3):
+            if not left.any():
+                return
+            room = np.where(left, self.length - WINDOW + 1, 0)  # windows of a line
+            line = np.repeat(np.arange(len(room)), room)
+            at = np.arange(len(line)) - np.repeat(np.cumsum(room) - room - self.start, room)
+            if kind < 2:
+                counts = self.points[at] == 32
+                line, at = line[counts], at[counts]
+            if kind == 0:
+                counts = self.hash(at, np.full(len(at), 4)) % _U(2) == 0
+                line, at = line[counts], at[counts]
+            apart, free = np.zeros(len(at), bool), 0
+            for k, place in enumerate(at.tolist()):
+                if place >= free:
+                    apart[k], free = True, place + WINDOW
+            before = np.cumsum(apart) - apart
+            rank = before - before[np.searchsorted(line, line)]  # of the line's windows that do not overlap
+            enough = np.bincount(line[apart], minlength=len(room)) > most
+            own = apart & enough[line] & (rank <= most[line])
+            found = self.hash(at, np.full(len(at), WINDOW)) + _U((kind + 1) * 0x9E3779B97F4A7C15 % 2**64)
+            low, high = (np.searchsorted(_CLASSES, size, "right")[line] for size in (self.length, self.length + most))
+            for size, pick in ((low, np.ones(len(at), bool)), (high, high > low)):
+                key = mix(found + size.astype(np.uint64) * _U(0xD6E8FEB86659FD93)).view(np.int64)
+                yield line[pick & own], key[pick & own], True
+                yield line[pick & ~own], key[pick & ~own], False
+            left = left & ~enough
 
 
 def _occurrences(batches):
@@ -168,13 +212,14 @@ def _verify_block(key, part):
     same = not len(right)
     for n, i in enumerate(left):
         other = left[n + 1:] if same else right
-        other = other[np.abs(size[other] - size[i]) <= EDITS]
-        for j in other.tolist():
+        limits = np.maximum(EDITS, np.maximum(size[other], size[i]) // RATE)
+        near = np.abs(size[other] - size[i]) <= limits
+        for j, limit in zip(other[near].tolist(), limits[near].tolist()):
             if ids[i] == ids[j] and check[i] == check[j]:
                 continue
             if len(known[i]) > 1 and len(known[j]) > 1 and min(known[i] & known[j]) != here:
                 continue
-            if banded_distance(text[i], text[j], EDITS) <= EDITS:
+            if banded_distance(text[i], text[j], limit) <= limit:
                 count[i] += 1
                 count[j] += 1
                 if comp[i] != comp[j]:
@@ -193,7 +238,7 @@ def _only(df, keys, col):
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", written: list[str] | None = None) -> DataFrame:
     """Rows (doc_id, line_no, class_doc_id, class_line_no, links, kept), one per line of each text. The
     class is named by its first line (smallest document id, then line number); links counts the other
-    lines (each text once) within ``EDITS`` edits; kept marks the first line of each class."""
+    lines (each text once) close to it; kept marks the first line of each class."""
     text_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     lines = materialize(src.mapInArrow(_occurrences, "doc_id long, line_no long, id long, check long, size long"), "lines", written)
@@ -210,7 +255,7 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     few = wanted.count() <= KEY_BROADCAST_ROWS
     asked = src.join(F.broadcast(wanted) if few else wanted, F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("d")).select("text", "numbers")
     texts = asked.mapInArrow(_texts, "id long, check long, line string").groupBy("id", "check").agg(F.first("line").alias("line"))
-    texts = texts.join(rows.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys")), "id")  # a line has few keys
+    texts = texts.join(rows.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys")), "id")  # keys of a line
     texts = materialize(texts, "line-texts", written)
     sizes = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("id"), "blocks").cast("int")

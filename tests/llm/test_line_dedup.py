@@ -77,3 +77,44 @@ def test_hashes_are_of_content_alone():
     a, b = line_dedup.Lines(["xx\nabcdef ghi"]), line_dedup.Lines(["longer line before\nq\nabcdef ghi", None, ""])
     assert a.ids()[1] == b.ids()[2] and len(set(b.ids().tolist())) == 4
     assert np.array_equal(a.hash(a.start[1:] + 3, np.array([3])), b.hash(b.start[2:3] + 3, np.array([3])))
+
+
+def close(x, y):
+    limit = max(line_dedup.EDITS, max(len(x), len(y)) // line_dedup.RATE)
+    return min(len(x), len(y)) >= line_dedup.SHORT and abs(len(x) - len(y)) <= limit and distance_row(x, y, False)[-1] <= limit
+
+
+def long_lines(seed):
+    """Lines of 100 to 420 characters, with and without spaces, some with one word changed or a few edits."""
+    r, out = random.Random(seed), []
+    for k in range(12):
+        n = r.randrange(100, 420)
+        base = (words(n, 31 * seed + k) if k % 3 else "".join(r.choice("abcdé") for _ in range(n)))[:n].strip()
+        out.append(base)
+        for _ in range(4):
+            parts = base.split(" ")
+            parts[r.randrange(len(parts))] = r.choice(["word", "x", "other"]) if len(parts) > 1 else base
+            out += [" ".join(parts), edit(base, r.randrange(1, n // 30 + 2), r)]
+    return [x.strip() for x in out]
+
+
+def test_edits_grow_with_the_line(spark):
+    texts = long_lines(1)
+    want = {t: sum(t != u and close(t, u) for u in set(texts)) for t in texts}
+    assert sum(1 for t in set(texts) for u in set(texts) if t < u and close(t, u) and distance_row(t, u, False)[-1] > line_dedup.EDITS) > 20
+    got = line_dedup.line_classes(documents(spark, list(enumerate(texts)))).collect()
+    assert [r.links for r in sorted(got)] == [want[t] for t in texts]
+
+
+def test_close_long_lines_share_a_key():
+    for seed in range(3, 8):
+        texts = sorted(set(long_lines(seed)))
+        lines, keys, own = line_dedup.Lines(texts), [set() for _ in texts], [set() for _ in texts]
+        for line, key, mine in lines.keys():
+            for k, v in zip(line.tolist(), key.tolist()):
+                keys[k].add(v)
+                if mine:
+                    own[k].add(v)
+        for a, x in enumerate(texts):
+            for b in range(a):
+                assert not close(x, texts[b]) or own[a] & keys[b] or own[b] & keys[a]
