@@ -18,8 +18,10 @@ every text does; repeated rows give repeated results; extra columns are not read
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 from itertools import groupby
+from math import log2
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -29,6 +31,7 @@ from bluelines.llm.common import held_out, text_batches
 
 DICT_BYTES, SAMPLE_ROWS, SAMPLE_BYTES, BLOCK = 1 << 17, 400, 1000, 1024
 NARROW = 0.002
+GRAM, PRIOR = 5, 1.0
 NONE = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -71,31 +74,62 @@ def _compressors(model: tuple[tuple[str, bytes], ...]):
     return out
 
 
+@lru_cache(2)
+def _grams(model: tuple[tuple[str, bytes], ...]) -> list[Counter]:
+    """Counts of all stretches of up to ``GRAM`` bytes of each dictionary; the empty one counts its bytes."""
+    return [Counter(d[k:k + n] for n in range(GRAM + 1) for k in range(len(d) - max(n, 1) + 1)) for _, d in model]
+
+
+def _bits(data: bytes, counts: Counter) -> float:
+    """Code length of ``data`` between two spaces."""
+    data, bits = b" " + data + b" ", 0.0
+    for k in range(1, len(data)):
+        p = 1 / 256
+        for n in range(min(k + 1, GRAM)):
+            p = (counts[data[k - n:k + 1]] + PRIOR * p) / (counts[data[k - n:k]] + PRIOR)
+        bits -= log2(p)
+    return bits
+
+
 def classify(text: str | None, model: tuple[tuple[str, bytes], ...]) -> tuple[str, float, float]:
     """(language, score, margin) of one text."""
+    return _decide(text, model)[:3]
+
+
+def _decide(text: str | None, model: tuple[tuple[str, bytes], ...]) -> tuple[str, float, float, bool]:
+    """(language, score, margin, whether it is rejected) of one text."""
     data = letters(text)
     if not data or not model:
-        return NONE, 0.0, 0.0
+        return NONE, 0.0, 0.0, True
     blocks = [data[k:k + BLOCK] for k in range(0, len(data), BLOCK)]
     sizes = [(sum(len(c.compress(b)) for b in blocks), k) for k, (_, c) in enumerate(_compressors(model))]
     best, at = min(sizes)
+    tied = [k for s, k in sizes if s == best]
+    if len(tied) > 1 and best * NARROW < 1:
+        bits = {k: _bits(data, _grams(model)[k]) for k in tied}
+        at = min(tied, key=lambda k: (bits[k], k))
+        rest = [s - best + (bits[k] - bits[at] if k in bits else 0) / 8 for s, k in sizes if k != at]  # bytes behind
+        second = min(bits[k] for k in tied if k != at)
+        margin = max(NARROW, (second - bits[at]) / second) if second > bits[at] else 0.0
+        return model[at][0], 1 / (1 + sum(2.0 ** -min(r, 1000) for r in rest)), margin, margin < NARROW
     rest = [s for s, k in sizes if k != at]
     score = 1 / (1 + sum(2.0 ** -min(s - best, 1000) for s in rest))
-    return model[at][0], score, (min(rest) - best) / min(rest) if rest else 1.0
+    margin = (min(rest) - best) / min(rest) if rest else 1.0
+    return model[at][0], score, margin, margin < NARROW
 
 
 def _judge(model: tuple[tuple[str, bytes], ...]):
-    @F.arrow_udf("lang_pred string, score double, margin double")
+    @F.arrow_udf("lang_pred string, score double, margin double, rejected boolean")
     def judge(texts: pa.Array) -> pa.Array:
-        rows = [classify(t.as_py(), model) for t in texts]
-        return pa.StructArray.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.float64(), pa.float64()))],
-                                          ["lang_pred", "score", "margin"])
+        rows = [_decide(t.as_py(), model) for t in texts]
+        return pa.StructArray.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.float64(), pa.float64(), pa.bool_()))],
+                                          ["lang_pred", "score", "margin", "rejected"])
 
     return judge
 
 
 def judged(text: Column, model: list[tuple[str, bytes]]) -> Column:
-    """Struct of lang_pred, score, margin for a text column."""
+    """Struct of lang_pred, score, margin, rejected for a text column."""
     return _judge(tuple(model))(text.cast("string"))
 
 
@@ -103,15 +137,11 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """Rows (doc_id, held_out, lang_pred, score, margin, rejected), one per input row."""
     model = train(docs, id_col, text_col, lang_col)
     out = docs.select(F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), judged(F.col(text_col), model).alias("j"))
-    return out.select("doc_id", "held_out", "j.lang_pred", "j.score", "j.margin", rejected(F.col("j")).alias("rejected"))
-
-
-def rejected(j: Column) -> Column:
-    return (j["lang_pred"] == NONE) | (j["margin"] < NARROW)
+    return out.select("doc_id", "held_out", "j.lang_pred", "j.score", "j.margin", "j.rejected")
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that are rejected; all columns stay as they are."""
     model = train(docs)
-    kept = docs.where(~rejected(judged(docs["text"], model)))
+    kept = docs.where(~judged(docs["text"], model)["rejected"])
     return kept.select(*[docs[c] for c in docs.columns])

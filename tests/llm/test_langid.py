@@ -41,3 +41,13 @@ def test_without_labels(spark):
 
 def test_exact_tie_is_narrow():
     assert langid.classify("abc", (("a", b"zzzz" * 20), ("b", b"zzzz" * 20)))[1:] == (0.5, 0.0)
+
+
+def test_short_texts_are_kept_and_told_apart(spark):
+    docs = table(spark, SF, "documents").where("lang is not null")
+    model = tuple(langid.train(docs))
+    short = [(r.lang, " ".join(w[k:k + 4])) for r in docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).collect()
+             for w in [(r.text or "").split()] for k in range(0, min(len(w) - 3, 40), 4)]
+    got = [(lang, langid._decide(t, model)) for lang, t in short if langid.letters(t)]
+    assert len(got) > 500 and sum(g[3] for _, g in got) <= 0.002 * len(got)
+    assert sum(lang == g[0] for lang, g in got) > 0.9 * len(got)
