@@ -4,9 +4,9 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.abspath(__file__)), os.path.dirname(os.path.dirname(os.path.abspath(__file__)))]
 
-SF_SMALL = "/root/testdata/sf0.001"
+from testdata import SF_SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -7,7 +7,7 @@ from bluelines.plans import catalogue
 from bluelines.plans.job import run_job
 from bluelines.session import work_path
 from bluelines.sources import fixtures
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 
 POINT_COLS = [f.name for f in schemas.POINTS_SRC.fields]

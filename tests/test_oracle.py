@@ -6,7 +6,7 @@ import decimal
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 from bluelines.plans.catalogue import QUERIES
 

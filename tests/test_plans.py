@@ -3,7 +3,7 @@
 import pytest
 
 from bluelines.plans import catalogue
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 BAD_JOINS = ("BroadcastNestedLoopJoin", "CartesianProduct")
 PAIR_QUERIES = ["upstream_pairs", "upstream_segments", "downstream_points", "work_segments", "stream_list",

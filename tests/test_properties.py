@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bluelines import schemas
 from bluelines.operators import breaking, changes, upstream
 from bluelines.plans import catalogue
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 
 def test_pieces_cover_segments_without_gap_or_overlap(spark):

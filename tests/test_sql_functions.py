@@ -6,7 +6,7 @@ from bluelines.functions import lists, rounding
 from bluelines.functions.sql import register_sql_functions
 from bluelines.operators import upstream
 from bluelines.plans import catalogue
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 
 def test_sql_is_upstream_equals_keyed_join(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from bluelines.session import work_path
 from bluelines.sources.tables import Tables
 from bluelines.streaming.ingest import ingest_available_now
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 
 def test_ingest_is_idempotent_and_incremental(spark):
