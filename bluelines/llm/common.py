@@ -36,11 +36,6 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def utf8_rows(column: pa.Array):
-    """The strings of an Arrow column as bytes, null as empty."""
-    return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
-
-
 def in_chunks(column: pa.Array, limit: int):
     """Slices (from, to) of a string column whose UTF-8 bytes stay near ``limit``; one long text makes
     a slice of its own. Keeps the working memory of vectorised scans apart from Arrow's batch size."""

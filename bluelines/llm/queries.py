@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from bluelines.llm import decontaminate, html_text, langid, line_dedup, mixing, near_dedup, token_index, topk, toxicity, urls
+from bluelines.llm import decontaminate, html_text, langid, line_dedup, mixing, near_dedup, packing, token_index, topk, toxicity, urls
 from bluelines.llm.common import table
 from bluelines.session import work_path
 
@@ -53,6 +53,10 @@ def op10_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), corpus_pipeline.tokenizer_file())
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_url_language_model": op1_url_language_model,
@@ -65,6 +69,7 @@ QUERIES = {
     "op8_pigeonhole_decontamination": op8_pigeonhole_decontamination,
     "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_compression_langid": op10_compression_langid,
+    "op11_bestfit_packing": op11_bestfit_packing,
 }
 
 ORACLE = {

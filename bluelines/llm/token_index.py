@@ -20,11 +20,8 @@ reserved key -2**63, so it comes first; extra columns are not read; an empty tab
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
-from array import array
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,95 +30,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bluelines.llm import files, mphf
-from bluelines.llm.common import in_chunks, text_batches, utf8_rows
+from bluelines.llm.common import in_chunks, text_batches
+from bluelines.llm.word_ids import CHUNK, with_end, word_ids
 from bluelines.session import materialize
 
 MAGIC = b"BLIDS001"
 END_ID = 2
 BUCKET_KEYS = 20_000
-CACHED_WORDS = 120_000  # words of a generation, of which there are two
-CACHED_BYTES = 40 << 20
-CHUNK = 1 << 20
 NULL_KEY = -(2**63)
 ENTRIES = "key long, shard int, ordinal long, offset long, n_ids long"
 
 
-class Words:
-    """Encodes texts word by word where the tokenizer allows it, else whole. Ids of words are kept as
-    bytes in two generations: when the young one is full it becomes the old one, and what is used again
-    moves back, so memory stays bounded and frequent words stay known. A new word of plain lower-case
-    letters goes straight to the tokenizer's model, any other through all of its steps."""
-
-    PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")  # a-z and the composed letters of Latin-1
-    PROBE = "The ähnlich Éa, 'twas it's naïve x9 thing's <end> stion!"
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.code, self.model = "H" if self.dtype == "<u2" else "I", self.tokenizer.model
-        # printable bytes stand for themselves in a byte-level vocabulary, the others for 256, 257, ...
-        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-        hidden = [b for b in range(256) if b not in set(shown)]
-        self.spelling = {b: 256 + k for k, b in enumerate(hidden)}
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.room = CACHED_BYTES
-        whole, parts = self._ids(self.PROBE), [self._ids(w) for w in self.PROBE.lower().split()]
-        self.by_word = np.array_equal(whole, np.concatenate(parts))
-        probe = [w for w in self.PROBE.lower().encode().split() if self.PLAIN.fullmatch(w)]
-        self.direct = self.by_word and all(np.array_equal(self._model(w), self._ids(w.decode())) for w in probe)
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
-
-    def _model(self, word: bytes) -> list[int]:
-        spelled = word.decode() if word.isascii() else word.decode("latin-1").translate(self.spelling)
-        return [t.id for t in self.model.tokenize(spelled)]
-
-    def _learn(self, new: list[bytes]) -> None:
-        plain = self.PLAIN.fullmatch if self.direct else lambda w: None
-        for w in new:
-            ids = self._model(w) if plain(w) else self.tokenizer.encode(w.decode(), add_special_tokens=False).ids
-            self.young[w] = array(self.code, ids).tobytes()
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        if not self.by_word:
-            return [self._ids(t.decode()).tobytes() for t in texts]
-        # the tokenizer lowers letters itself; special tokens, which it does not lower, hold "<|"
-        rows = [t.split() if b"<|" in t else t.lower().split() for t in texts]
-        used = set().union(*rows)
-        if len(self.young) > CACHED_WORDS or self.room < 0:
-            self.young, self.old, self.room = {}, self.young, CACHED_BYTES
-        new, ends = [], []
-        for w in used.difference(self.young):
-            ids = self.old.get(w)
-            if ids is not None:
-                self.young[w] = ids
-            elif w[-1] in b".,;:?!" and w[-2:-1].isalpha():
-                ends.append(w)  # the mark after a letter is a word of its own to the tokenizer
-            else:
-                new.append(w)
-            self.room -= 2 * len(w) + 100
-        parts = {x for w in ends for x in (w[:-1], w[-1:])}.difference(self.young, new)
-        self._learn([*new, *(w for w in parts if w not in self.old)])
-        for w in ends:
-            stem, mark = (self.young.get(x) or self.old[x] for x in (w[:-1], w[-1:]))
-            self.young[w] = stem + mark
-        get = self.young.__getitem__
-        return [b"".join(map(get, row)) for row in rows]
-
-
-@lru_cache(2)
-def words(path: str) -> Words:
-    return Words(path)
-
-
 def encode(text: str | None, tokenizer: str) -> np.ndarray:
     """Ids of one text, without the end id."""
-    enc = words(tokenizer)
-    return np.frombuffer(enc.encode([(text or "").encode()])[0], enc.dtype)
+    return word_ids(tokenizer).encode(pa.array([text], pa.string()))[0]
 
 
 def _shard_uri(folder: str, shard: int) -> str:
@@ -134,8 +56,8 @@ def _bucket_uri(folder: str, bucket: int) -> str:
 
 def _writer(folder: str, tokenizer: str, end_id: int):
     def run(batches):
-        enc, shard = words(tokenizer), TaskContext.get().partitionId()
-        end, width = np.array([end_id], enc.dtype).tobytes(), np.dtype(enc.dtype).itemsize
+        enc, shard = word_ids(tokenizer), TaskContext.get().partitionId()
+        width = np.dtype(enc.dtype).itemsize
         keys, counts = [], []
 
         def chunks():
@@ -145,10 +67,10 @@ def _writer(folder: str, tokenizer: str, end_id: int):
                     if empty:
                         yield MAGIC + struct.pack("<Q", width)
                         empty = False
-                    rows = [ids + end for ids in enc.encode(utf8_rows(batch.column(1)[a:b]))]
+                    ids, sizes = with_end(*enc.encode(batch.column(1)[a:b]), end_id)
                     keys.append(batch.column(0)[a:b].to_numpy())
-                    counts.append(np.array([len(r) // width for r in rows], np.uint64))
-                    yield b"".join(rows)
+                    counts.append(sizes.astype(np.uint64))
+                    yield ids.tobytes()
             if not empty:
                 n = np.concatenate(counts)
                 yield n.tobytes() + struct.pack("<QQ", len(n), int(n.sum()))
