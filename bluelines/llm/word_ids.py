@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 4 << 20  # bytes of text encoded together
-KNOWN_WORDS = 400_000  # beyond these the words met in one chunk only are forgotten
+CHUNK = 2 << 20  # bytes of text encoded together
+KNOWN_WORDS = 250_000  # beyond these the words met in one chunk only are forgotten
+NEW_WORDS = 8_000  # new words encoded together
 
 
 class WordIds:
@@ -106,8 +107,9 @@ class WordIds:
             self._store([m[0] for m in marked], self._gather(self.first[slots], counts), counts.reshape(-1, 2).sum(axis=1))
 
     def _gather(self, first: np.ndarray, count: np.ndarray) -> np.ndarray:
-        before = np.cumsum(count) - count
-        return self.ids[np.repeat(first - before, count) + np.arange(int(count.sum()))]
+        at = np.repeat(first - (np.cumsum(count) - count), count)
+        at += np.arange(len(at))
+        return self.ids[at]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each text); null counts as empty."""
@@ -121,8 +123,8 @@ class WordIds:
         if len(self.slot) > KNOWN_WORDS:
             self._make_room()
         new = [w for w in words if w not in self.slot]
-        if new:
-            self._learn(new)
+        for k in range(0, len(new), NEW_WORDS):
+            self._learn([w for w in new[k:k + NEW_WORDS] if w not in self.slot])
         distinct = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
         self.met[distinct] += 1
         slots = distinct[coded.indices.to_numpy()]
