@@ -33,3 +33,9 @@ def publish(uri: str, chunks) -> int:
 def open_input(uri: str):
     system, path = resolve(uri)
     return system.open_input_file(path)
+
+
+def names(uri: str) -> list[str]:
+    """Names of the files in a folder."""
+    system, path = resolve(uri)
+    return [i.base_name for i in system.get_file_info(fs.FileSelector(path))]

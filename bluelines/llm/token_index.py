@@ -4,12 +4,14 @@ shard offset.
 Layout of an output folder:
   shards/shard-<k>.ids   magic, width of an id in bytes; the ids of its documents; the number of ids of
                          each document (uint64 each); documents, ids (uint64 each)
-  index/bucket-<b>.mph   perfect hash of the keys of one hash bucket with entries (fingerprint, shard,
+  index/bucket-<b>.mph   perfect hash of the keys of one hash bucket with entries (fingerprint, first shard,
                          offset in ids, number of the document in its shard, rows with that key)
   manifest/              Parquet: shard, documents, ids, ids of all shards before it
+  spans/                 Parquet: the runs of the keys whose rows lie in several shards
 
 Documents are range-partitioned and sorted by id, so shards and the documents in them ascend; rows that
-repeat an id stand next to each other in one shard (ordered by text) and share an index entry. Buckets
+repeat an id stand next to each other (ordered by text within a shard) and share an index entry. An id with
+more rows than a shard takes goes on in the next ones, so no id makes a task of its own. Buckets
 hold about ``BUCKET_KEYS`` hashed distinct keys each, whatever the input. The ids are those of the whole
 text: words between ASCII white space are encoded apart and kept in a bounded cache, which gives the
 same ids because this kind of tokenizer never joins across white space.
@@ -20,6 +22,7 @@ reserved key -2**63, so it comes first; extra columns are not read; an empty tab
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bluelines.llm import files, mphf
-from bluelines.llm.common import in_chunks, text_batches
+from bluelines.llm.common import BATCH_ROWS, in_chunks, text_batches
 from bluelines.llm.word_ids import CHUNK, with_end, word_ids
 from bluelines.session import materialize
 
@@ -50,6 +53,10 @@ def _shard_uri(folder: str, shard: int) -> str:
     return f"{folder}/shards/shard-{shard:06d}.ids"
 
 
+def _shards(folder: str) -> list[int]:
+    return [int(m[1]) for m in (re.fullmatch(r"shard-(\d+)\.ids", n) for n in files.names(f"{folder}/shards")) if m]
+
+
 def _bucket_uri(folder: str, bucket: int) -> str:
     return f"{folder}/index/bucket-{bucket:06d}.mph"
 
@@ -112,7 +119,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id",
     spark = docs.sparkSession
     text_batches(spark)
     src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_KEY)).alias("key"), F.col(text_col).cast("string").alias("text"))
-    src = src.repartitionByRange("key").sortWithinPartitions("key", "text")
+    # the start and hash of a text, then the place of its row, cut an id with very many rows into ranges
+    src = src.withColumn("row", F.monotonically_increasing_id())
+    src = src.repartitionByRange("key", F.substring("text", 1, 16), F.xxhash64("text"), "row").sortWithinPartitions("key", "text").drop("row")
     entries = materialize(src.mapInArrow(_writer(folder, tokenizer, end_id), ENTRIES), "token-entries", written)
     totals = entries.groupBy("shard").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_ids").alias("n_ids")).orderBy("shard").collect()
     before, manifest = 0, []  # one row per shard, not per document
@@ -120,8 +129,13 @@ def write(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id",
         manifest.append((r.shard, r.n_docs, r.n_ids, before))
         before += r.n_ids
     spark.createDataFrame(manifest, "shard int, n_docs long, n_ids long, start long").coalesce(1).write.parquet(f"{folder}/manifest")
-    keys = entries.groupBy("key").agg(F.min("shard").alias("shard"), F.min("offset").alias("offset"),
-                                      F.min("ordinal").alias("ordinal"), F.count(F.lit(1)).alias("copies"))
+    first = F.min(F.struct("shard", "offset", "ordinal"))
+    runs = entries.groupBy("key", "shard").agg(F.min("offset").alias("offset"), F.min("ordinal").alias("ordinal"), F.count(F.lit(1)).alias("copies"))
+    runs = materialize(runs, "token-runs", written)
+    keys = runs.groupBy("key").agg(first.alias("first"), F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("shards"))
+    spans = runs.join(keys.where("shards > 1").select("key"), "key", "left_semi")
+    spans.coalesce(1).write.parquet(f"{folder}/spans")  # at most one key goes on into each shard
+    keys = keys.select("key", "first.*", "copies")
     buckets = max(1, -(-sum(r.n_docs for r in totals) // BUCKET_KEYS))
     built = keys.withColumn("bucket", _bucket("key", buckets)).groupBy("bucket")
     built = built.applyInArrow(_index_writer(folder), "bucket long, n_keys long, n_bytes long")
@@ -176,10 +190,12 @@ class Shard:
 
 
 def _reader(folder: str):
+    schema = pa.schema([(c, pa.int64()) for c in ("key", "start", "n_tokens", "ids_crc32")])
+
     def run(batches):
-        at, shard, counts = None, None, None
+        at, shard = None, None
         for batch in batches:
-            out = {c: [] for c in ("key", "start", "n_tokens", "ids_crc32")}
+            out = {c: [] for c in schema.names}
             for r in batch.to_pylist():
                 if r["shard"] != at:
                     if shard:
@@ -193,7 +209,10 @@ def _reader(folder: str):
                     out["n_tokens"].append(n)
                     out["ids_crc32"].append(zlib.crc32(ids.astype("<u4").tobytes()))
                     offset += n
-            yield pa.RecordBatch.from_pydict(out, pa.schema([(c, pa.int64()) for c in out]))
+                    if len(out["key"]) == BATCH_ROWS:
+                        yield pa.RecordBatch.from_pydict(out, schema)
+                        out = {c: [] for c in schema.names}
+            yield pa.RecordBatch.from_pydict(out, schema)
 
     return run
 
@@ -202,7 +221,10 @@ def read(spark: SparkSession, folder: str, keys: DataFrame, buckets: int) -> Dat
     """One row per stored document of ``keys``: key, start, n_tokens, ids_crc32, read through the index
     from the shard files in shard order."""
     manifest = spark.read.parquet(f"{folder}/manifest").select(F.col("shard").cast("long"), "start")
-    found = lookup(keys, folder, buckets).join(manifest, "shard")
+    run = ("shard", "offset", "ordinal", "copies")
+    spans = spark.read.parquet(f"{folder}/spans").select("key", *(F.col(c).cast("long").alias(f"{c} there") for c in run))
+    found = lookup(keys, folder, buckets).join(spans, "key", "left")
+    found = found.select("key", *(F.coalesce(f"{c} there", c).alias(c) for c in run)).join(manifest, "shard")
     found = found.repartition("shard").sortWithinPartitions("shard", "offset")
     out = found.select("key", "shard", "offset", "ordinal", "copies", "start").mapInArrow(
         _reader(folder), "key long, start long, n_tokens long, ids_crc32 long")
@@ -224,10 +246,16 @@ def get(folder: str, key: int | None, buckets: int) -> list[np.ndarray]:
     at = mphf.find(tree, entries, np.array([key]))[0]
     if at < 0:
         return []
-    e, shard = entries[at], Shard(folder, int(entries[at]["shard"]))
-    offset, out = int(e["offset"]), []
-    for n in shard.counts(int(e["ordinal"]), int(e["copies"])).tolist():
-        out.append(shard.ids(offset, n))
-        offset += n
-    shard.close()
-    return out
+    e, out = entries[at], []
+    left, number, ordinal, offset = (int(e[c]) for c in ("copies", "shard", "ordinal", "offset"))
+    while True:
+        shard = Shard(folder, number)
+        here = min(left, shard.n_docs - ordinal)
+        for n in shard.counts(ordinal, here).tolist():
+            out.append(shard.ids(offset, n))
+            offset += n
+        shard.close()
+        left -= here
+        if not left:
+            return out
+        number, ordinal, offset = min(k for k in _shards(folder) if k > number), 0, 0

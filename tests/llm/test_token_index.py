@@ -79,6 +79,25 @@ def test_get_by_key(spark, tokenizer, monkeypatch):
     assert token_index.get(folder, 10**9, buckets) == []
 
 
+def test_one_id_on_most_rows_spans_shards(spark, tokenizer):
+    rows = [(7, words(3 + i % 5, i // 2)) for i in range(400)] + [(None, "same text")] * 200 + [(i, words(4, i)) for i in range(8, 60)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs, folder, buckets = build(spark, rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spans = spark.read.parquet(f"{folder}/spans").collect()
+    assert sum(r.key == 7 for r in spans) > 1 and sum(r.key == token_index.NULL_KEY for r in spans) > 1
+    per_shard = [r.n_docs for r in spark.read.parquet(f"{folder}/manifest").collect()]
+    assert max(per_shard) < 0.5 * len(rows)
+    plain = lambda found: sorted((i, n, c) for i, _, n, c in found if i is not None)  # noqa: E731  the order of equal ids is free
+    read = got(token_index.read(spark, folder, docs.select("doc_id"), buckets))
+    assert plain(read) == plain(expected(tokenizer, rows)) and sum(r[0] is None for r in read) == 200
+    assert sorted(r[1] for r in read) == sorted(np.cumsum([0, *(r[2] for r in sorted(read, key=lambda r: r[1]))])[:-1].tolist())
+    for key in (7, None, 8):
+        assert sorted(x.tolist() for x in token_index.get(folder, key, buckets)) == sorted(whole(tokenizer, t) + [2] for i, t in rows if i == key)
+
+
 def test_empty_table(spark):
     docs, folder, buckets = build(spark, [])
     assert got(token_index.read(spark, folder, docs.select("doc_id"), buckets)) == []
