@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from bluelines.llm import decontaminate, html_text, langid, line_dedup, mixing, near_dedup, packing, token_index, topk, toxicity, urls
+from bluelines.llm import decontaminate, html_text, langid, line_dedup, merkle, mixing, near_dedup, packing, token_index, topk, toxicity, urls
 from bluelines.llm.common import table
 from bluelines.session import work_path
 
@@ -57,6 +57,12 @@ def op11_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), corpus_pipeline.tokenizer_file())
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_path(spark, "merkle")
+    rows, groups = merkle.manifest(table(spark, sf_dir, "documents"), folder)
+    return merkle.proofs(rows, folder, groups)
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_url_language_model": op1_url_language_model,
@@ -70,9 +76,61 @@ QUERIES = {
     "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_compression_langid": op10_compression_langid,
     "op11_bestfit_packing": op11_bestfit_packing,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
+# crc32 of the UTF-8 bytes of {0}: per byte one exclusive or and eight shifts (-1) of the reflected polynomial
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    string_split(hex(encode({0})), '')[1:0] || list_transform(range(1, strlen({0}) + 1), lambda i: substr(hex(encode({0})), CAST(2 * i - 1 AS INTEGER), 2)),
+    lambda h: [CAST('0x' || h AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, s: CASE WHEN s >= 0 THEN xor(a, s) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)"""
+
+
+def _field(sql: str) -> str:
+    return f"coalesce(strlen(CAST({sql} AS VARCHAR)) || ':' || CAST({sql} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
 ORACLE = {
+    "op12_merkle_manifest": f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+  SELECT doc_id, lang, {_leaf("n_chars")} AS leaf,
+    CASE WHEN {CRC32.format("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_leaf("(n_chars + 1)")} END AS altered
+  FROM documents),
+rows AS MATERIALIZED (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY lang) AS n,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS nth
+  FROM leaves),
+up(tree, level, i, n, d) AS (
+  SELECT tree, 0, nth, n, leaf FROM rows UNION ALL
+  SELECT tree, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(d, '' ORDER BY i)) FROM up WHERE n > 1 GROUP BY tree, level, i // 2, n),
+subroots AS MATERIALIZED (SELECT tree, level AS height, d AS subroot FROM up WHERE n = 1),
+top(level, i, n, d) AS (
+  SELECT 0, tree, (SELECT count(*) FROM subroots), subroot FROM subroots UNION ALL
+  SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(d, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, i // 2, n),
+whole AS MATERIALIZED (SELECT level AS height, d AS root FROM top WHERE n = 1),
+steps AS MATERIALIZED (
+  SELECT r.tree, r.nth, l.level AS step, (r.nth >> l.level) & 1 = 1 AS on_left, u.d AS sibling
+  FROM rows r JOIN subroots s ON s.tree = r.tree JOIN (SELECT DISTINCT level FROM up) l ON l.level < s.height
+  LEFT JOIN up u ON u.tree = r.tree AND u.level = l.level AND u.i = xor(r.nth >> l.level, 1)
+  UNION ALL
+  SELECT r.tree, r.nth, s.height + l.level, (r.tree >> l.level) & 1 = 1, t.d
+  FROM rows r JOIN subroots s ON s.tree = r.tree JOIN (SELECT DISTINCT level FROM top) l ON l.level < (SELECT height FROM whole)
+  LEFT JOIN top t ON t.level = l.level AND t.i = xor(r.tree >> l.level, 1)),
+proof AS (SELECT tree, nth, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256, count(sibling) AS n_siblings FROM steps GROUP BY ALL),
+folds(tree, nth, step, d) AS (
+  SELECT tree, nth, 0, coalesce(altered, leaf) FROM rows UNION ALL
+  SELECT f.tree, f.nth, f.step + 1, sha256(CASE WHEN sibling IS NULL THEN d WHEN on_left THEN sibling || d ELSE d || sibling END)
+  FROM folds f JOIN steps s ON s.tree = f.tree AND s.nth = f.nth AND s.step = f.step)
+SELECT r.doc_id, r.leaf, s.subroot, w.root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256, f.d AS folded_root, f.d = w.root AS verified,
+  2 * r.nth - bit_count(r.nth) AS log_position, CAST(coalesce(p.n_siblings, 0) AS INTEGER) AS n_siblings
+FROM rows r JOIN subroots s ON s.tree = r.tree CROSS JOIN whole w
+JOIN folds f ON f.tree = r.tree AND f.nth = r.nth AND f.step = s.height + w.height
+LEFT JOIN proof p ON p.tree = r.tree AND p.nth = r.nth
+""",
     "op4_segment_topk": r"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
