@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from bluelines.llm import decontaminate, html_text, langid, line_dedup, merkle, mixing, near_dedup, packing, token_index, topk, toxicity, urls
+from bluelines.llm import decontaminate, html_text, langid, line_dedup, merkle, mixing, near_dedup, packing, spelling, token_index, topk, toxicity, urls
 from bluelines.llm.common import table
 from bluelines.session import work_path
 
@@ -63,6 +63,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(rows, folder, groups)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_url_language_model": op1_url_language_model,
@@ -77,6 +81,7 @@ QUERIES = {
     "op10_compression_langid": op10_compression_langid,
     "op11_bestfit_packing": op11_bestfit_packing,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 # crc32 of the UTF-8 bytes of {0}: per byte one exclusive or and eight shifts (-1) of the reflected polynomial
@@ -95,6 +100,32 @@ def _leaf(n_chars: str) -> str:
 
 
 ORACLE = {
+    "op13_spelling_variants": f"""
+WITH RECURSIVE runs AS MATERIALIZED (
+  SELECT doc_id, run, count(*) AS times FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{7,}}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents) GROUP BY ALL),
+hashed AS MATERIALIZED (SELECT *, {CRC32.format("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)")} AS h FROM runs),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT times, CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word
+    FROM hashed) WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+rests AS MATERIALIZED (SELECT word, k, substr(word, 1, k - 1) || substr(word, k + 1) AS rest FROM words, LATERAL (SELECT unnest(range(1, length(word) + 1)) AS k)),
+near AS MATERIALIZED (
+  SELECT a.word AS a, b.word AS b FROM rests a JOIN rests b ON a.k = b.k AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, w.word FROM rests a JOIN words w ON w.word = a.rest
+  UNION SELECT w.word, a.word FROM rests a JOIN words w ON w.word = a.rest),
+best AS (
+  SELECT a, b, w.n, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY w.n DESC, b) AS place
+  FROM near JOIN words w ON w.word = b),
+rows AS MATERIALIZED (
+  SELECT w.word, CASE WHEN b.n >= 10 * w.n THEN b.b END AS form, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.n >= 10 * w.n THEN b.n END AS form_n
+  FROM words w LEFT JOIN best b ON b.a = w.word AND b.place = 1),
+follow(word, reached) AS (
+  SELECT word, word FROM rows UNION ALL SELECT f.word, r.form FROM follow f JOIN rows r ON r.word = f.reached WHERE r.form IS NOT NULL),
+roots AS (SELECT f.word, f.reached AS root FROM follow f JOIN rows r ON r.word = f.reached WHERE r.form IS NULL)
+SELECT r.word, form, root, n, n_near, form_n FROM rows r JOIN roots USING (word)
+""",
     "op12_merkle_manifest": f"""
 WITH RECURSIVE leaves AS MATERIALIZED (
   SELECT doc_id, lang, {_leaf("n_chars")} AS leaf,
