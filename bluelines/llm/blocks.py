@@ -4,6 +4,7 @@ tags, with the path of open block elements (tag names and the words of class, id
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from typing import NamedTuple
 
@@ -14,14 +15,16 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
                    "h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SKIPPED = frozenset("noscript template svg iframe select object".split())  # left out with all they hold
+DEEP = 200
 CLOSED_BY_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style)(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<[!?][^>]*>?"
-    r"""|<(/?)([a-z][a-z0-9:-]*)((?:[^<>"']|"[^"]{0,4000}"|'[^']{0,4000}')*)>"""
-    r"|<(/?)([a-z][a-z0-9:-]*)[^<>]*>?",
+    # a quote counts after an equals sign only and where it is closed; a tag without an end stops before the next
+    # one; possessive, so that no text is tried twice
+    r"""|<(/?)([a-z][a-z0-9:-]*+)((?:[^<>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')?|["'])*+)(?:>|(?=<)|\Z)""",
     re.DOTALL | re.IGNORECASE)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _WORDS = re.compile(r"[a-z]+")
@@ -42,7 +45,7 @@ def names(attributes: str) -> list[str]:
 
 def _tag(m: re.Match) -> tuple[str, bool]:
     """(lower-case name, whether it is an end tag) of a match; no name for comments, scripts and the like."""
-    return (m[3] or m[6] or "").lower(), bool(m[2] or m[5])
+    return (m[3] or "").lower(), bool(m[2])
 
 
 def _skips(tags: list[re.Match]) -> dict[int, int]:
@@ -64,6 +67,7 @@ def _skips(tags: list[re.Match]) -> dict[int, int]:
 def blocks(html: str | None) -> list[Block]:
     html = html or ""
     stack: list[tuple[str, tuple[str, ...]]] = []  # open block elements with their path
+    opened: Counter[str] = Counter()  # how many of each are in the stack
     out: list[Block] = []
     text: list[str] = []
     linked = links = at = 0
@@ -77,9 +81,12 @@ def blocks(html: str | None) -> list[Block]:
         linked = 0
 
     def close(these):
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in these:
-                del stack[k:]
+        if not any(opened[t] for t in these):
+            return
+        while True:
+            tag, _ = stack.pop()
+            opened[tag] -= 1
+            if tag in these:
                 return
 
     tags = list(_TAG.finditer(html))
@@ -112,13 +119,15 @@ def blocks(html: str | None) -> list[Block]:
             close((tag,))
             continue
         if tag in ENDS_P and stack and stack[-1][0] == "p":
-            stack.pop()
+            close(("p",))
         if tag in CLOSED_BY_SAME:
             own = CLOSED_BY_SAME[tag]
             if stack and stack[-1][0] in own:
                 close(own)
-        if len(stack) < 200:  # deeper elements keep the path of their ancestor
-            stack.append((tag, (*(stack[-1][1] if stack else ()), tag, *names(m[4] or ""))))
+        path = stack[-1][1] if stack else ()
+        # an element below DEEP others keeps the path of its ancestor, so that paths stay short
+        stack.append((tag, (*path, tag, *names(m[4] or "")) if len(stack) < DEEP else path))
+        opened[tag] += 1
     text.append(html[at:])
     flush()
     return out

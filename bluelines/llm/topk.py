@@ -11,9 +11,9 @@ bounded memory, and returns its k best per query, which are ranked once more (Sp
 query's rows before the shuffle). Equal vectors only meet as rows of different blocks.
 
 Edge cases: null vectors, vectors with null, NaN or infinite components and null ids take no part; only
-vectors of equal length are compared; rows that repeat an id count once, by the smallest vector, and
-no vector is its own neighbour; ties go to the smaller id; extra columns are not read. Scores are
-exact while they fit a long.
+vectors of equal length are compared; rows that repeat an id are rows of their own, each a candidate of the
+others and, if its id is a query's, a query with its own result rows; no row is its own neighbour; ties go to the
+smaller id; extra columns are not read; an empty table gives no row. Scores are exact while they fit a long.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bluelines.session import materialize
+
 K = 20
 SCALE = 64
 LEVELS = (1, 2, 4, 8, 16)
@@ -47,13 +49,14 @@ def _exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return vectors @ query
 
 
-def best(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int = K):
-    """For each query the (query id, id, score) of its k best among ``vectors``, all ties in order."""
+def best(queries: np.ndarray, query_rows: np.ndarray, vectors: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int = K):
+    """For each query the (place among the queries, ids, scores) of its k best among ``vectors`` of other rows, all ties
+    in order."""
     as_float = vectors.astype(np.float64)
     small = float(np.abs(as_float).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(1, vectors.shape[1]) < 2**53
     stats = [(statistics(as_float, m), statistics(queries.astype(np.float64), m)) for m in LEVELS]
-    for n, (q, q_id) in enumerate(zip(queries, query_ids)):
-        left = np.flatnonzero(ids != q_id)
+    for n, (q, own) in enumerate(zip(queries, query_rows)):
+        left = np.flatnonzero(rows != own)
         if not len(left):
             continue
         x, y = stats[0]
@@ -72,16 +75,18 @@ def best(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: n
             kth = np.partition(score, len(score) - k)[len(score) - k]
             left, score = left[score >= kth], score[score >= kth]
         order = np.lexsort((ids[left], -score))[:k]
-        yield q_id, ids[left[order]], score[order]
+        yield n, ids[left[order]], score[order]
 
 
 def _search(k: int):
     def run(key, part):
-        side, ids = part["side"].to_numpy(), part["id"].to_numpy()
+        side, ids, rows = (part[c].to_numpy() for c in ("side", "id", "row"))
         vectors = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in part["v"].chunks]).reshape(len(ids), key[2].as_py())
-        out = {"query_id": [], "vec_id": [], "score": []}
-        for q, found, score in best(vectors[side == 0], ids[side == 0], vectors[side == 1], ids[side == 1], k):
-            out["query_id"].append(np.full(len(found), q))
+        out = {"query_row": [], "query_id": [], "vec_id": [], "score": []}
+        ask, of = side == 0, side == 1
+        for n, found, score in best(vectors[ask], rows[ask], vectors[of], rows[of], ids[of], k):
+            out["query_row"].append(np.full(len(found), rows[ask][n]))
+            out["query_id"].append(np.full(len(found), ids[ask][n]))
             out["vec_id"].append(found)
             out["score"].append(score)
         return pa.table({c: pa.array(np.concatenate(v) if v else [], pa.int64()) for c, v in out.items()})
@@ -96,20 +101,21 @@ def integers(vector: Column) -> Column:
     return F.when(F.coalesce(fine, F.lit(False)), F.transform(wide, lambda x: F.floor(SCALE * x)))
 
 
-def top_k(embeddings: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def top_k(embeddings: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding",
+          written: list[str] | None = None) -> DataFrame:
     """Rows (query_id, rank, vec_id, score). ``is_query``: function of the id column."""
     rows = embeddings.select(F.col(id_col).cast("long").alias("id"), integers(F.col(vector_col)).alias("v"))
-    rows = rows.where("id is not null and v is not null").groupBy("id").agg(F.min("v").alias("v"))
-    rows = rows.withColumn("dim", F.size("v"))
+    rows = rows.where("id is not null and v is not null").withColumn("dim", F.size("v")).withColumn("row", F.monotonically_increasing_id())
+    rows = materialize(rows, "topk-rows", written)  # both sides read the same row numbers
     n, n_queries = rows.agg(F.count(F.lit(1)), F.count_if(is_query(F.col("id")))).first()
     q_blocks, c_blocks = -(-max(n_queries, 1) // QUERY_BLOCK), -(-max(n, 1) // CANDIDATE_BLOCK)
-    own = F.xxhash64("id")
+    own = F.xxhash64("row")
     queries = rows.where(is_query(F.col("id"))).select(
-        F.lit(0).alias("side"), "id", "v", "dim", F.pmod(own, F.lit(q_blocks)).cast("int").alias("q"),
+        F.lit(0).alias("side"), "id", "row", "v", "dim", F.pmod(own, F.lit(q_blocks)).cast("int").alias("q"),
         F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("c"))
     others = rows.select(
-        F.lit(1).alias("side"), "id", "v", "dim", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("q"),
+        F.lit(1).alias("side"), "id", "row", "v", "dim", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("q"),
         F.pmod(own, F.lit(c_blocks)).cast("int").alias("c"))
-    found = queries.unionByName(others).groupBy("q", "c", "dim").applyInArrow(_search(k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    found = queries.unionByName(others).groupBy("q", "c", "dim").applyInArrow(_search(k), "query_row long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -12,11 +12,11 @@ lambda * s - ln(K n) over its segments where that is positive; a logistic curve
 gives the score from 0 to 1.
 
 Fit: at most ``SAMPLE_ROWS`` labelled rows that are not held out, by hash of the id; four fifths give the
-token counts, the rest lambda, K and the curve. Kept words carry at least ``SHARE`` of the sample's
-tokens (and ``LEAST`` occurrences), which bounds the model. Labels, language, source and id are no
-input of a score; the id only chooses rows.
+token counts, the rest lambda, K and the curve. Words with at least ``LEAST`` occurrences in the sample are
+kept; the bound on its rows bounds the model. Labels, language, source and id are no input of a score; the
+id only chooses rows.
 
-Edge cases: null and empty texts get the score of no evidence; a label that repeats counts once
+Edge cases: very long texts are scanned whole; an empty table gives no row; null and empty texts get the score of no evidence; a label that repeats counts once
 (the largest); null labels are skipped; without both classes every score is 0; repeated rows give
 repeated results; extra columns are not read.
 """
@@ -36,7 +36,7 @@ from bluelines.llm.common import held_out, text_batches
 from bluelines.session import materialize
 
 SAMPLE_ROWS = 20_000
-SHARE, LEAST, STEM = 1e-6, 3, 4
+LEAST, STEM = 3, 4
 PRIOR_WORD, PRIOR_CLASS = 5.0, 2.0  # pseudo-occurrences
 DRIFT = 2.0
 _WORD = re.compile(r"[^\W\d_]+")
@@ -169,8 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     counted = texts.where("not later").select("text", "toxic").mapInArrow(_count, "token string, stem boolean, clean long, toxic long")
     counted = counted.groupBy("token", "stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counted = materialize(counted, "tox-counts", written)
-    n = counted.where("stem").agg(F.sum(F.col("clean") + F.col("toxic"))).first()[0] or 0
-    least = F.when(F.col("stem"), 1).otherwise(F.lit(max(LEAST, SHARE * n)))
+    least = F.when(F.col("stem"), 1).otherwise(LEAST)
     words, stems = {}, {}
     for r in counted.where(F.col("clean") + F.col("toxic") >= least).toArrow().to_pylist():
         (stems if r["stem"] else words)[r["token"]] = (r["clean"], r["toxic"])

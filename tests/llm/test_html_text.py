@@ -113,3 +113,28 @@ def test_edge_cases(spark):
     assert by[104][3] == 5 * 60000 - 1 and by[105][3] == 12 * 3000 - 1 and by[None][2] == by[0][2] == "Text of page 0, which is long enough to be read."
     assert html_text.extract(frame(spark, [])).count() == 0
     assert [tuple(r)[2:] for r in html_text.extract(frame(spark, [(1, None)])).collect()] == [("", 0)]
+
+
+def test_long_attributes_are_no_text():
+    long = "a > b < c " * 20_000
+    got = blocks(f"""<article><p data-x="{long}" class=one>first</p><p title='{long}"' id="two">second</p><p title=it's>third</p><a href="x'>4</a></article>""")
+    assert [b.text for b in got] == ["first", "second", "third", "4"]
+    assert got[0].path == ("article", "p", ".one") and got[1].path == ("article", "p", ".two")
+
+
+def test_unclosed_quotes_take_linear_time():
+    import time
+
+    start = time.time()
+    for odd in ('<a "', "<a x='", '<a x="<a y=\'', "<a =", '<a x="y" z="'):
+        assert blocks(odd * 20_000 + "<p>end</p>") is not None
+    assert time.time() - start < 20
+
+
+@pytest.mark.parametrize("depth", [150, 199, 200, 230, 5000])
+def test_end_tags_below_deep_elements_close_their_own(depth):
+    for outer in ('<div class="page"><article>', '<div class="content">'):
+        got = blocks("<body>" + outer + "<div>" * depth + "deep" + "</div>" * depth + "<p>after</p>")
+        path = blocks("<body>" + outer + "<p>after</p>")[0].path
+        assert [b.text for b in got] == ["deep", "after"] and got[1].path == path
+        assert len(got[0].path) <= 210

@@ -51,3 +51,14 @@ def test_short_texts_are_kept_and_told_apart(spark):
     got = [(lang, langid._decide(t, model)) for lang, t in short if langid.letters(t)]
     assert len(got) > 500 and sum(g[3] for _, g in got) <= 0.002 * len(got)
     assert sum(lang == g[0] for lang, g in got) > 0.9 * len(got)
+
+
+def test_number_signs_are_no_letters(spark):
+    model = (("a", b"some words " * 20), ("b", b"einige andere " * 20))
+    for text in ("½ ²", "① Ⅷ", "٣٤", "...", "²½_", "\u0301"):
+        assert langid._decide(text, model) == ("und", 0.0, 0.0, True), text
+    assert langid.letters("a½b x²") == b"a b x"
+    rows = [(i, words(30, i), "aa") for i in range(40)] + [(100, "½ ² ①"), (101, "Ⅷ")]
+    docs = documents(spark, rows)
+    assert {r.lang_pred for r in langid.identify(docs).where("doc_id >= 100").collect()} == {"und"}
+    assert langid.keep_known(docs).where("doc_id >= 100").count() == 0

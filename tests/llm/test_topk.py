@@ -13,15 +13,15 @@ def every(n):
 
 
 def brute(rows, n, k):
-    vectors = {}
+    """Every row against every other row, repeated ids included."""
+    vectors = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and np.isfinite(np.float32(x)) for x in v):
-            w = tuple(int(np.floor(64 * float(np.float32(x)))) for x in v)
-            vectors[i] = min(w, vectors.get(i, w))
+            vectors.append((i, tuple(int(np.floor(64 * float(np.float32(x)))) for x in v)))
     out = []
-    for q in vectors:
+    for at, (q, v) in enumerate(vectors):
         if q % n == 0:
-            scored = sorted((-sum(a * b for a, b in zip(vectors[q], w)), i) for i, w in vectors.items() if i != q and len(w) == len(vectors[q]))
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for k2, (i, w) in enumerate(vectors) if k2 != at and len(w) == len(v))
             out += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)]
     return sorted(out)
 
@@ -68,3 +68,10 @@ def test_large_components_stay_exact(spark):
     rows = [(i, [float(2**22 + i), float(-(2**22) + 3 * i), 1.0]) for i in range(40)]
     check(spark, rows)
     assert topk.top_k(frame(spark, []), every(1)).agg(F.count(F.lit(1))).first()[0] == 0
+
+
+def test_repeated_ids_are_rows_of_their_own(spark):
+    rows = [(7, [2.0, 2.0]), (7, [0.5, 0.5]), (5, [1.0, 1.0]), (10, [0.25, 0.25]), (10, [0.25, 0.25]), (10, [3.0, -1.0])]
+    check(spark, rows)
+    got = topk.top_k(frame(spark, [(i, v, 0, "x", "y") for i, v in rows]), every(5), 3).where("query_id = 5").orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(7, 16384), (10, 8192), (7, 4096)]
