@@ -30,16 +30,18 @@ segments AS MATERIALIZED (
 
 POINTS = """
 points AS MATERIALIZED (
-  SELECT 'NO' || CAST(l_suppkey AS VARCHAR) AS notation_id, CAST(l_suppkey AS INTEGER) AS wls_wn_sysid,
+  SELECT 'NO' || CAST(l_partkey AS VARCHAR) AS notation_id, CAST(l_partkey AS INTEGER) AS wls_wn_sysid,
     CASE left(priority, 1) WHEN '1' THEN 'FR' WHEN '2' THEN 'FR-EXC' WHEN '3' THEN 'OR' WHEN '4' THEN 'PWS' ELSE 'AR' END AS notation_type,
     CAST(blue_line_key % 200 AS VARCHAR) || CASE blue_line_key % 3 WHEN 0 THEN ' - PWS - 2011/09/29'
          WHEN 1 THEN ' MILE CREEK - FR - 1986/06/23' ELSE ' -FR' END AS notation_description,
     linear_feature_id, blue_line_key,
-    downstream_route_measure + (0.05::DOUBLE + 0.1::DOUBLE * (l_suppkey % 10)) * length_metre AS downstream_route_measure,
+    downstream_route_measure + (0.05::DOUBLE + 0.1::DOUBLE * (l_partkey % 10)) * length_metre AS downstream_route_measure,
     wscode, localcode, watershed_group_code,
-    downstream_route_measure + (0.05::DOUBLE + 0.1::DOUBLE * (l_suppkey % 10)) * length_metre AS x,
+    downstream_route_measure + (0.05::DOUBLE + 0.1::DOUBLE * (l_partkey % 10)) * length_metre AS x,
     CAST((blue_line_key % 7) * 10 + 2 AS DOUBLE) AS y
-  FROM segments JOIN (SELECT l_suppkey, min(l_orderkey * 10 + l_linenumber) AS linear_feature_id FROM lineitem GROUP BY 1)
+  FROM segments JOIN (
+    SELECT l_partkey, arg_min(l_orderkey * 10 + l_linenumber, (l_orderkey % 1000003 * 7919 % 1000003, l_orderkey * 10 + l_linenumber)) AS linear_feature_id
+    FROM lineitem GROUP BY 1)
     USING (linear_feature_id))"""
 
 # The fixture with a second segment at the start of every fifth line (piece-key conflicts).

@@ -10,8 +10,9 @@ written as plain SQL in ``plans/oracle.py`` for the independent check):
   key has digits; the orders of a customer run on its stream, ``watershed_key`` is the lowest;
 * the local code of a segment is the code plus a label that grows with its start measure; every
   17th line has no local codes (side channels that cannot be placed exactly);
-* every supplier is a notation point: it lies on the segment of its first line item, 5 to 95 % along it
-  by the last digit of its key, typed from the order priority.
+* every part is a notation point: it lies on the segment of one of its line items, the first in an order that
+  shuffles the order keys, so the points are spread over the whole network; 5 to 95 % along the segment
+  by the last digit of the part key, typed from the order priority.
 
 Everything here is lazy DataFrame code; nothing is collected.
 """
@@ -87,20 +88,25 @@ def _description(blk: F.Column) -> F.Column:
              .otherwise(F.concat(n, F.lit(" -FR"))))
 
 
+# Fixed values of the fixture: a prime and a factor that shuffle the order keys.
+PRIME, FACTOR = 1_000_003, 7_919
+
+
 def point_places(t: Tables) -> DataFrame:
-    """The segment of every supplier's first line item (partial minima per task, one row per supplier)."""
-    return (t.lineitem.groupBy("l_suppkey")
-            .agg(F.min(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("linear_feature_id")))
+    """One segment for every part, of its line items the first in shuffled order (partial minima per task)."""
+    shuffled = (F.col("l_orderkey") % PRIME) * FACTOR % PRIME
+    first = F.min(F.struct(shuffled.alias("h"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("linear_feature_id")))
+    return t.lineitem.groupBy("l_partkey").agg(first.alias("f")).select("l_partkey", "f.linear_feature_id")
 
 
 def points(t: Tables, seg: DataFrame) -> DataFrame:
     """Snapped notation points (schema ``schemas.NOTATIONS`` plus x, y, before snapping: no distance)."""
     blk = F.col("blue_line_key")
-    along = F.lit(0.05) + F.lit(0.1) * (F.col("l_suppkey") % 10)
+    along = F.lit(0.05) + F.lit(0.1) * (F.col("l_partkey") % 10)
     meas = F.col("downstream_route_measure") + along * F.col("length_metre")
     return (seg.join(point_places(t), "linear_feature_id")
-            .select(F.concat(F.lit("NO"), F.col("l_suppkey").cast("string")).alias("notation_id"),
-                    F.col("l_suppkey").cast("int").alias("wls_wn_sysid"),
+            .select(F.concat(F.lit("NO"), F.col("l_partkey").cast("string")).alias("notation_id"),
+                    F.col("l_partkey").cast("int").alias("wls_wn_sysid"),
                     _notation_type(F.col("priority")).alias("notation_type"),
                     _description(blk).alias("notation_description"),
                     "linear_feature_id", "blue_line_key",
