@@ -1,5 +1,8 @@
 """Planar linear referencing on ``array<struct<x,y,m>>`` lines, as column expressions.
 
+A line of several parts is an array of such arrays, in measure order; between two parts the measures may
+jump, and nothing lies in that gap. The functions that end in ``_parts`` take such lines.
+
 Coordinates are planar metres, so plain Euclidean arithmetic is right. Every function
 works on one row's arrays with higher-order functions; no Python runs per row.
 """
@@ -82,6 +85,34 @@ def between_measures(geom: Column, m0: Column, m1: Column) -> Column:
                     F.when(end.isNull(), none).otherwise(F.array(end)))
 
 
+def closest_point_parts(parts: Column, px: Column, py: Column) -> Column:
+    """``closest_point`` over the parts of a line; ``along`` and ``total`` run over all of them, gaps count nothing.
+    The first of equally close parts wins."""
+    found = F.transform(parts, lambda p, i: F.struct(closest_point(p, px, py).alias("c"), i.alias("i")))
+    best = F.array_min(F.transform(found, lambda f: F.struct(f["c"]["dist"].alias("dist"), f["i"].alias("i"), f["c"].alias("c"))))
+    before = F.aggregate(F.filter(found, lambda f: f["i"] < best["i"]), F.lit(0.0), lambda acc, f: acc + f["c"]["total"])
+    total = F.aggregate(found, F.lit(0.0), lambda acc, f: acc + f["c"]["total"])
+    return F.struct(best["dist"].alias("dist"), (before + best["c"]["along"]).alias("along"), total.alias("total"),
+                    best["c"]["x"].alias("x"), best["c"]["y"].alias("y"))
+
+
+def point_at_measure_parts(parts: Column, m: Column) -> Column:
+    """The point at measure ``m`` on the first part that holds it; NULL in a gap and outside."""
+    return F.get(F.filter(F.transform(parts, lambda p: point_at_measure(p, m)), lambda q: q.isNotNull()), 0)
+
+
+def between_measures_parts(parts: Column, m0: Column, m1: Column) -> Column:
+    """The parts of a line between measures ``m0 <= m1``, in order: one per part that the range covers for
+    more than a point (a range of one measure: the part that holds it). No part where the range lies in a gap."""
+    def covered(p):
+        first, last = F.get(p, 0)["m"], F.element_at(p, -1)["m"]
+        low, high = F.greatest(m0, first), F.least(m1, last)
+        return F.struct(((low < high) | ((low == high) & (m0 == m1))).alias("any"), between_measures(p, low, high).alias("line"))
+
+    kept = F.filter(F.transform(F.filter(parts, lambda p: F.size(p) > 0), covered), lambda c: c["any"])
+    return F.transform(kept, lambda c: c["line"])
+
+
 def force2d(p: Column) -> Column:
     """Drop the measure of a point."""
     return F.struct(p["x"].alias("x"), p["y"].alias("y"))

@@ -2,7 +2,8 @@
 route at a measure, and the cut of a line to a measure range.
 
 The caller prunes the segments to the lines of the points before their geometry is built. Per-row
-geometry is column expressions over vertex arrays (``functions.geometry``).
+geometry is column expressions over vertex arrays (``functions.geometry``). Lines have a column ``geom`` (one part) or
+``parts`` (any number of parts, with gaps in the measures between them).
 """
 
 from __future__ import annotations
@@ -10,7 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bluelines.functions.geometry import between_measures, closest_point, force2d, point_at_measure
+from bluelines.functions.geometry import (between_measures_parts, closest_point, closest_point_parts, force2d, point_at_measure,
+                                          point_at_measure_parts)
+
+
+def _closest(lines: DataFrame, x: F.Column, y: F.Column) -> F.Column:
+    return closest_point_parts(F.col("parts"), x, y) if "parts" in lines.columns else closest_point(F.col("geom"), x, y)
+
+
+def _at_measure(lines: DataFrame, m: F.Column) -> F.Column:
+    return point_at_measure_parts(F.col("parts"), m) if "parts" in lines.columns else point_at_measure(F.col("geom"), m)
 
 
 def nearest_segment(points_src: DataFrame, lines: DataFrame) -> DataFrame:
@@ -24,8 +34,7 @@ def nearest_segment(points_src: DataFrame, lines: DataFrame) -> DataFrame:
     """
     cand = lines.join(points_src.withColumnRenamed("blue_line_key", "_pblk"),
                       F.col("blue_line_key") == F.col("_pblk"))
-    cp = closest_point(F.col("geom"), F.col("x"), F.col("y"))
-    cand = cand.withColumn("_cp", cp)
+    cand = cand.withColumn("_cp", _closest(lines, F.col("x"), F.col("y")))
     frac = F.when(F.col("_cp.total") > 0, F.col("_cp.along") / F.col("_cp.total")).otherwise(F.lit(0.0))
     snapped = F.struct(
         F.col("notation_type"), F.col("notation_description"), F.col("wls_wn_sysid"),
@@ -48,16 +57,17 @@ def locate_along(points: DataFrame, lines: DataFrame) -> DataFrame:
     """The 2-D point on each point's route at its measure (route = all segments of the line key).
 
     ``points``: notation_id, blue_line_key, downstream_route_measure.
-    The segment whose measure range holds the measure is used; at a shared end the lower one.
+    The segment whose measure range holds the measure is used; at a shared end the lower one. A measure in a
+    gap of its line has no point and gives no row.
     """
     pm = F.col("_pm")
     cand = (lines.join(points.select("notation_id", F.col("blue_line_key").alias("_pblk"),
                                      F.col("downstream_route_measure").alias("_pm")),
                        (F.col("blue_line_key") == F.col("_pblk"))
                        & (F.col("downstream_route_measure") <= pm) & (pm <= F.col("upstream_route_measure"))))
-    pt = force2d(point_at_measure(F.col("geom"), pm))
-    best = F.min_by(pt, F.struct(F.col("downstream_route_measure"), F.col("linear_feature_id"))).alias("_pt")
-    return cand.groupBy("notation_id").agg(best).select("notation_id", F.col("_pt.x").alias("x"),
+    pt = force2d(_at_measure(lines, pm))  # null fields where there is none
+    best = F.min_by("_at", F.struct(F.col("downstream_route_measure"), F.col("linear_feature_id"))).alias("_pt")
+    return cand.withColumn("_at", pt).where(F.col("_at.x").isNotNull()).groupBy("notation_id").agg(best).select("notation_id", F.col("_pt.x").alias("x"),
                                                          F.col("_pt.y").alias("y"))
 
 
@@ -68,14 +78,16 @@ def with_location(snapped: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def with_geometry(pieces: DataFrame, lines: DataFrame) -> DataFrame:
-    """``pieces`` with ``geom``: its segment's line cut to the piece's measure range, in two dimensions
-    (empty where the range misses the line, null without a line)."""
-    part = between_measures(F.col("_line"), F.col("downstream_route_measure"), F.col("upstream_route_measure"))
-    j = pieces.join(lines.select("linear_feature_id", F.col("geom").alias("_line")), "linear_feature_id", "left")
-    return j.withColumn("geom", F.transform(part, force2d)).drop("_line")
+    """``pieces`` with ``geom`` and ``part``: its segment's line cut to the piece's measure range, in two dimensions, one
+    row per part. A piece whose range misses the line, lies in a gap or has no line gives no row."""
+    parts = F.col("_parts") if "parts" in lines.columns else F.when(F.col("_parts").isNotNull(), F.array("_parts"))
+    cut = between_measures_parts(parts, F.col("downstream_route_measure"), F.col("upstream_route_measure"))
+    line = lines.select("linear_feature_id", F.col("parts" if "parts" in lines.columns else "geom").alias("_parts"))
+    j = pieces.join(line, "linear_feature_id").select(*pieces.columns, F.posexplode(cut).alias("part", "_line"))
+    return j.withColumn("geom", F.transform("_line", force2d)).drop("_line")
 
 
 def clip_pieces(pieces: DataFrame, lines: DataFrame) -> DataFrame:
-    """The same geometry as rows, one per vertex (``segmented_stream_id, vertex_index, x, y``)."""
-    return with_geometry(pieces, lines).select("segmented_stream_id", F.posexplode("geom").alias("vertex_index", "v")).select(
-        "segmented_stream_id", "vertex_index", F.col("v.x").alias("x"), F.col("v.y").alias("y"))
+    """The same geometry as rows, one per vertex (``segmented_stream_id, part, vertex_index, x, y``)."""
+    return with_geometry(pieces, lines).select("segmented_stream_id", "part", F.posexplode("geom").alias("vertex_index", "v")).select(
+        "segmented_stream_id", "part", "vertex_index", F.col("v.x").alias("x"), F.col("v.y").alias("y"))

@@ -326,6 +326,29 @@ def q_clip_lines(spark, d):
         "segmented_stream_id", "vertex_index", round6("x").alias("x"), round6("y").alias("y"))
 
 
+def gap_network(spark: SparkSession, d: str) -> Network:
+    """The fixture with lines in several parts, measure gaps between them."""
+    key = ("gaps", spark.sparkContext.applicationId, d)
+    if key not in _NETWORKS:
+        n = network(spark, d)
+        _NETWORKS[key] = Network(spark, segments=n.segments, points=n.points.drop("prank"), points_src=n.points_src,
+                                 vertices=fixtures.gap_vertices(n.segments))
+    return _NETWORKS[key]
+
+
+def q_clip_parts(spark, d):
+    """Pieces of lines with gaps: one row set per part that the piece covers, none where it lies in a gap."""
+    n = gap_network(spark, d)
+    return snapping.clip_pieces(n.stream_list_all, n.listed_lines).select(
+        "segmented_stream_id", "part", "vertex_index", round6("x").alias("x"), round6("y").alias("y"))
+
+
+def q_locate_parts(spark, d):
+    """Where each point's measure lies on its line in parts; points in a gap are nowhere."""
+    n = gap_network(spark, d)
+    return snapping.locate_along(n.points, n.point_lines).select("notation_id", round6("x").alias("x"), round6("y").alias("y"))
+
+
 def q_stream_export(spark, d):
     """The published streams by the declared schema, written over the empty template and read back;
     each geometry is given by its number of vertices and its two ends."""
@@ -592,6 +615,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapped_table": q_snapped_table,
     "locate_along": q_locate_along,
     "clip_lines": q_clip_lines,
+    "clip_parts": q_clip_parts,
+    "locate_parts": q_locate_parts,
     "stream_export": q_stream_export,
     "full_run": q_full_run,
     "attr_link": q_attr_link,

@@ -230,6 +230,40 @@ clip_pts AS (
   SELECT p.segmented_stream_id, 1, v.m, v.x, v.y FROM all_pieces p
   JOIN vertices v ON v.linear_feature_id = p.linear_feature_id AND v.m > p.m0 AND v.m < p.m1)"""
 
+# Lines in parts: measure shares of the vertices by id modulo 3, as in the fixture.
+GAP_PARTS = """
+shares AS (SELECT * FROM (VALUES (1, 0, 0, 0.0), (1, 0, 1, 0.2), (1, 0, 2, 0.45), (1, 1, 0, 0.55), (1, 1, 1, 1.0),
+  (2, 0, 0, 0.3), (2, 0, 1, 0.5), (2, 1, 0, 0.5), (2, 1, 1, 0.7), (2, 2, 0, 0.8), (2, 2, 1, 0.9)) AS g(rest, part, seq, share)),
+in_parts AS MATERIALIZED (
+  SELECT linear_feature_id, part, seq, downstream_route_measure + CAST(share AS DOUBLE) * length_metre AS m,
+    CAST((blue_line_key % 7) * 10 + part + seq AS DOUBLE) AS y
+  FROM segments JOIN shares ON rest = linear_feature_id % 3
+  UNION ALL SELECT linear_feature_id, 0, seq, m, y FROM vertices WHERE linear_feature_id % 3 = 0),
+part_pairs AS MATERIALIZED (
+  SELECT a.linear_feature_id, a.part, a.seq, a.m AS am, a.y AS ay, b.m AS bm, b.y AS b_y
+  FROM in_parts a JOIN in_parts b ON b.linear_feature_id = a.linear_feature_id AND b.part = a.part AND b.seq = a.seq + 1)"""
+
+CLIP_PARTS = """
+all_pieces AS MATERIALIZED (
+  SELECT segmented_stream_id, linear_feature_id, downstream_route_measure AS m0, upstream_route_measure AS m1 FROM main_list
+  UNION ALL
+  SELECT segmented_stream_id, linear_feature_id, downstream_route_measure, upstream_route_measure FROM side_list),
+covered AS MATERIALIZED (
+  SELECT segmented_stream_id, linear_feature_id, part, greatest(m0, low) AS low, least(m1, high) AS high,
+    row_number() OVER (PARTITION BY segmented_stream_id ORDER BY part) - 1 AS nth
+  FROM all_pieces JOIN (SELECT linear_feature_id, part, min(m) AS low, max(m) AS high FROM in_parts GROUP BY ALL) USING (linear_feature_id)
+  WHERE greatest(m0, low) < least(m1, high) OR (greatest(m0, low) = least(m1, high) AND m0 = m1)),
+drawn AS (
+  SELECT * FROM (
+    SELECT DISTINCT ON (c.segmented_stream_id, c.nth, e.place) c.segmented_stream_id, c.nth, e.place, e.m,
+      ay + (CASE WHEN bm = am THEN 0.0 ELSE (e.m - am) / (bm - am) END) * (b_y - ay) AS y
+    FROM covered c CROSS JOIN LATERAL (VALUES (0, c.low), (2, c.high)) AS e(place, m)
+    JOIN part_pairs v ON v.linear_feature_id = c.linear_feature_id AND v.part = c.part AND v.am <= e.m AND e.m <= v.bm
+    ORDER BY c.segmented_stream_id, c.nth, e.place, v.seq)
+  UNION ALL
+  SELECT c.segmented_stream_id, c.nth, 1, v.m, v.y FROM covered c
+  JOIN in_parts v ON v.linear_feature_id = c.linear_feature_id AND v.part = c.part AND v.m > c.low AND v.m < c.high)"""
+
 SNAPPED_POINTS = """
 points AS (
   SELECT s.notation_id, f.notation_type, f.notation_description, s.linear_feature_id, s.blue_line_key,
@@ -446,6 +480,15 @@ SELECT {LINE_COLS} FROM inc i WHERE NOT EXISTS
     "clip_lines": with_ctes(*LISTS, VERTICES, PAIRS, CLIP) +
         " SELECT segmented_stream_id, CAST(row_number() OVER (PARTITION BY segmented_stream_id ORDER BY which, m) - 1 AS INTEGER)"
         " AS vertex_index, round(x, 6) AS x, round(y, 6) AS y FROM clip_pts",
+    "clip_parts": with_ctes(*LISTS, VERTICES, GAP_PARTS, CLIP_PARTS) +
+        " SELECT segmented_stream_id, CAST(nth AS INTEGER) AS part, CAST(row_number() OVER (PARTITION BY segmented_stream_id, nth"
+        " ORDER BY place, m) - 1 AS INTEGER) AS vertex_index, round(m, 6) AS x, round(y, 6) AS y FROM drawn",
+    "locate_parts": with_ctes(SEGMENTS, POINTS, VERTICES, GAP_PARTS) + """
+SELECT DISTINCT ON (p.notation_id) p.notation_id, round(p.downstream_route_measure, 6) AS x,
+  round(ay + (CASE WHEN bm = am THEN 0.0 ELSE (p.downstream_route_measure - am) / (bm - am) END) * (b_y - ay), 6) AS y
+FROM points p JOIN segments s ON s.blue_line_key = p.blue_line_key
+JOIN part_pairs v ON v.linear_feature_id = s.linear_feature_id AND v.am <= p.downstream_route_measure AND p.downstream_route_measure <= v.bm
+ORDER BY p.notation_id, s.downstream_route_measure, s.linear_feature_id, v.part, v.seq""",
     "snapped_table": with_ctes(SEGMENTS, POINTS, SRC_POINTS, VERTICES, PAIRS, SNAP, LOCATE) + """
 SELECT s.notation_id, f.notation_type, f.notation_description, s.linear_feature_id, s.blue_line_key, s.wscode, s.localcode,
   s.watershed_group_code, f.wls_wn_sysid, round(s.downstream_route_measure, 6) AS downstream_route_measure,
@@ -459,7 +502,7 @@ all_list AS (SELECT * FROM main_list UNION ALL SELECT * FROM side_list)""") + ""
 SELECT linear_feature_id, notation_id_list, primary_notation_type, secondary_notation_types, fwa_watershed_code,
   CAST(blue_line_key AS INTEGER) AS blue_line_key, CAST(len(xs) AS INTEGER) AS n_vertices, round(xs[1], 6) AS x_first,
   round(ys[1], 6) AS y_first, round(xs[-1], 6) AS x_last, round(ys[-1], 6) AS y_last
-FROM all_list LEFT JOIN drawn USING (segmented_stream_id)""",
+FROM all_list JOIN drawn USING (segmented_stream_id)""",
     "full_run": with_ctes(SEGMENTS, POINTS.replace("points AS", "fixture_points AS", 1),
                           SRC_POINTS.replace("FROM points)", "FROM fixture_points)"), VERTICES, PAIRS, SNAP, SNAPPED_POINTS,
                           *ON_POINTS) + " " + ALL_LIST,

@@ -143,11 +143,38 @@ def segment_geometry(seg: DataFrame) -> DataFrame:
     return seg.withColumn("geom", F.array(*[_vertex(i) for i in range(3)]))
 
 
+# Fixed values of the fixture: measure shares of the vertices of lines with gaps, by part, and which segments have them.
+GAPS = {1: [[0.0, 0.2, 0.45], [0.55, 1.0]], 2: [[0.3, 0.5], [0.5, 0.7], [0.8, 0.9]]}
+
+
+def gap_vertices(seg: DataFrame) -> DataFrame:
+    """Line geometry as rows with a ``part``: segments with ids 1 and 2 modulo 3 come in parts with gaps between them
+    (or at their ends), the others as ``vertices`` has them."""
+    rest = F.col("linear_feature_id") % 3
+    shares = F.lit(None).cast("array<array<double>>")
+    for k, parts in GAPS.items():
+        shares = F.when(rest == k, F.array(*[F.array(*[F.lit(x) for x in part]) for part in parts])).otherwise(shares)
+    v = seg.where(rest != 0).select("linear_feature_id", "blue_line_key", "downstream_route_measure", "length_metre",
+                                    F.posexplode(shares).alias("part", "_s"))
+    v = v.select("*", F.posexplode("_s").alias("seq", "share"))
+    m = F.col("downstream_route_measure") + F.col("share") * F.col("length_metre")
+    y = ((F.col("blue_line_key") % 7) * 10 + F.col("part") + F.col("seq")).cast("double")
+    v = v.select("linear_feature_id", "blue_line_key", "part", "seq", m.alias("x"), y.alias("y"), m.alias("m"))
+    whole = vertices(seg.where(rest == 0)).withColumn("part", F.lit(0))
+    return v.unionByName(whole)
+
+
 def line_geometry(vert: DataFrame) -> DataFrame:
-    """One row per segment with its vertices as an ordered ``array<struct<x,y,m>>``.
+    """One row per segment with its vertices as an ordered ``array<struct<x,y,m>>`` (``geom``), or, where the
+    vertices have a ``part``, as an array of such arrays (``parts``).
 
     Groups are single segments (a handful of vertices), so the collect is bounded.
     """
+    if "part" in vert.columns:
+        one = line_geometry(vert.withColumn("linear_feature_id", F.struct("linear_feature_id", "part")).drop("part"))
+        return (one.select("linear_feature_id.*", "geom").groupBy("linear_feature_id")
+                .agg(F.array_sort(F.collect_list(F.struct("part", "geom"))).alias("p"))
+                .select("linear_feature_id", F.transform("p", lambda p: p["geom"]).alias("parts")))
     return (vert.groupBy("linear_feature_id")
             .agg(F.array_sort(F.collect_list(F.struct("seq", "x", "y", "m"))).alias("v"))
             .select("linear_feature_id",

@@ -1,10 +1,12 @@
 """Snapping, locating and clipping on hand-made geometry."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from bluelines import schemas
 from bluelines.operators import snapping
 from bluelines.plans.pipeline import Network
+from bluelines.sources import fixtures
 
 SEGS = [
     # lfid, blk, wk, dm, um, len, wscode, localcode, fwa, wsg
@@ -78,3 +80,52 @@ def test_snapped_table_in_full(net):
 
 def test_only_lines_of_points_get_geometry(net):
     assert {r.linear_feature_id for r in net.point_lines.collect()} == {1, 2}
+
+
+# ---- lines in parts -------------------------------------------------------------------------
+PARTS = "array<array<struct<x:double,y:double,m:double>>>"
+
+
+def _line(*parts):
+    return [[(float(m), 0.0, float(m)) for m in part] for part in parts]
+
+
+def _cut(spark, line, m0, m1):
+    pieces = spark.createDataFrame([("k", 1, float(m0), float(m1))],
+                                   "segmented_stream_id string, linear_feature_id long, downstream_route_measure double, upstream_route_measure double")
+    lines = spark.createDataFrame([(1, line)], f"linear_feature_id long, parts {PARTS}")
+    return [(r.part, [v.x for v in r.geom]) for r in snapping.with_geometry(pieces, lines).orderBy("part").collect()]
+
+
+def test_a_cut_over_a_gap_gives_parts(spark):
+    line = _line([0, 10, 40], [60, 100], [100, 120])
+    assert _cut(spark, line, 5, 70) == [(0, [5, 10, 40]), (1, [60, 70])]
+    assert _cut(spark, line, 0, 120) == [(0, [0, 10, 40]), (1, [60, 100]), (2, [100, 120])]
+    assert _cut(spark, line, 45, 55) == [] and _cut(spark, line, 200, 300) == []      # in the gap, beyond the end
+    assert _cut(spark, line, 40, 60) == []                                          # touches both ends only
+    assert _cut(spark, line, 20, 30) == [(0, [20, 30])] and _cut(spark, line, 70, 70) == [(0, [70, 70])]
+    assert _cut(spark, [], 0, 10) == [] and _cut(spark, None, 0, 10) == [] and _cut(spark, [[]], 0, 10) == []
+
+
+def test_points_on_lines_in_parts(spark):
+    line = [[(0.0, 0.0, 0.0), (10.0, 0.0, 10.0)], [(30.0, 0.0, 30.0), (30.0, 20.0, 50.0)]]
+    lines = spark.createDataFrame([(1, 7, 0.0, 50.0, 50.0, "1", "1", "W1", line)], f"""linear_feature_id long, blue_line_key long,
+        downstream_route_measure double, upstream_route_measure double, length_metre double, wscode string, localcode string,
+        watershed_group_code string, parts {PARTS}""")
+    at = spark.createDataFrame([("a", 7, 4.0), ("gap", 7, 20.0), ("b", 7, 40.0), ("end", 7, 30.0)],
+                               "notation_id string, blue_line_key long, downstream_route_measure double")
+    assert {r.notation_id: (r.x, r.y) for r in snapping.locate_along(at, lines).collect()} == {
+        "a": (4.0, 0.0), "b": (30.0, 10.0), "end": (30.0, 0.0)}
+    src = spark.createDataFrame([("p", "FR", "", 7, 29.0, 15.0, 1), ("q", "FR", "", 7, 12.0, 3.0, 2)],
+                                "notation_id string, notation_type string, notation_description string, blue_line_key long, x double, y double, wls_wn_sysid int")
+    near = {r.notation_id: r for r in snapping.nearest_segment(src, lines).collect()}
+    # 30 m of line in all: p is 10 + 15 along it, q at the end of the first part
+    assert abs(near["p"].downstream_route_measure - 25 / 30 * 50) < 1e-9 and near["p"].distance_to_stream == 1.0
+    assert abs(near["q"].downstream_route_measure - 10 / 30 * 50) < 1e-9
+
+
+def test_vertices_with_parts_become_lines_of_parts(spark):
+    vert = spark.createDataFrame([(1, 0, 1, 1.0), (1, 0, 0, 0.0), (1, 1, 0, 5.0), (1, 1, 1, 6.0), (2, 0, 0, 0.0), (2, 0, 1, 3.0)],
+                                 "linear_feature_id long, part int, seq int, m double").withColumns({"x": F.col("m"), "y": F.lit(0.0)})
+    got = {r.linear_feature_id: [[v.m for v in p] for p in r.parts] for r in fixtures.line_geometry(vert).collect()}
+    assert got == {1: [[0.0, 1.0], [5.0, 6.0]], 2: [[0.0, 3.0]]}
