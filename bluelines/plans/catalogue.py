@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from bluelines import schemas
 from bluelines.functions.codes import depth, level_range, prefix
 from bluelines.functions.rounding import piece_key
+from bluelines.functions.sql import register_locate_along
 from bluelines.operators import changes, checks, lists, runs, snapping, upstream
 from bluelines.operators.common import first_per_key, insert_ignore, round6
 from bluelines.operators.links import link_by_text_key
@@ -320,6 +321,14 @@ def q_locate_along(spark, d):
     return snapping.locate_along(n.snapped, n.point_lines).select("notation_id", round6("x").alias("x"), round6("y").alias("y"))
 
 
+def q_locate_sql(spark, d):
+    """The same from SQL: a table function with two arguments in a lateral join."""
+    n = network(spark, d)
+    register_locate_along(spark, n.point_lines)
+    return spark.sql("""SELECT p.notation_id, round(l.x, 6) AS x, round(l.y, 6) AS y
+                        FROM {points} p, LATERAL locate_along(p.blue_line_key, p.downstream_route_measure) l""", points=n.snapped)
+
+
 def q_clip_lines(spark, d):
     n = network(spark, d)
     return snapping.clip_pieces(n.stream_list_all, n.listed_lines).select(
@@ -614,6 +623,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snap_measure": q_snap_measure,
     "snapped_table": q_snapped_table,
     "locate_along": q_locate_along,
+    "locate_sql": q_locate_sql,
     "clip_lines": q_clip_lines,
     "clip_parts": q_clip_parts,
     "locate_parts": q_locate_parts,

@@ -477,6 +477,13 @@ SELECT {LINE_COLS} FROM inc i WHERE NOT EXISTS
         " SELECT notation_id,"
         " round(ax + (CASE WHEN bm - am = 0 THEN 0.0 ELSE (pm - am) / (bm - am) END) * (bx - ax), 6) AS x,"
         " round(ay + (CASE WHEN bm - am = 0 THEN 0.0 ELSE (pm - am) / (bm - am) END) * (b_y - ay), 6) AS y FROM loc_pair",
+    "locate_sql": with_ctes(SEGMENTS, POINTS, SRC_POINTS, VERTICES, PAIRS, SNAP) + """
+SELECT p.notation_id,
+  round(ax + (CASE WHEN bm = am THEN 0.0 ELSE (p.downstream_route_measure - am) / (bm - am) END) * (bx - ax), 6) AS x,
+  round(ay + (CASE WHEN bm = am THEN 0.0 ELSE (p.downstream_route_measure - am) / (bm - am) END) * (b_y - ay), 6) AS y
+FROM snapped p JOIN segments s USING (blue_line_key) JOIN vpairs v ON v.linear_feature_id = s.linear_feature_id
+WHERE p.downstream_route_measure BETWEEN am AND bm
+QUALIFY row_number() OVER (PARTITION BY p.notation_id ORDER BY bm, s.linear_feature_id, i) = 1""",
     "clip_lines": with_ctes(*LISTS, VERTICES, PAIRS, CLIP) +
         " SELECT segmented_stream_id, CAST(row_number() OVER (PARTITION BY segmented_stream_id ORDER BY which, m) - 1 AS INTEGER)"
         " AS vertex_index, round(x, 6) AS x, round(y, 6) AS y FROM clip_pts",
