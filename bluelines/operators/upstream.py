@@ -165,15 +165,17 @@ def upstream_lines(lines: DataFrame, kpoints: DataFrame, tolerance: float = TOLE
     return keyed_lines(lines).join(kpoints, cond, "left_semi").drop(*HELPERS).distinct()
 
 
-def work_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
-    """Segments to work on: upstream of a point, holding a point, or an unplaceable side channel
-    with a point's code (a disjunctive join written as one tagged equi join).
-
-    A left-semi join: each tagged row stops at its first matching point, so no pair is built. One row
-    per piece key stays (segments of a line with the same start: the smallest id), which also folds the
-    tagged rows of one segment.
-    """
+def reached_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """The tagged rows of the segments that are upstream of a point, hold one, or are unplaceable side channels with a
+    point's code (a disjunctive join written as one tagged equi join). A left-semi join: each tagged row stops at its
+    first matching point, so no pair is built; a segment comes once per tag that matches."""
     cond = upstream_residual(tolerance) | on_segment_residual() | side_candidate_residual()
-    hit = keyed_lines(segments).join(kpoints, (F.col("_k") == F.col("_pk")) & cond, "left_semi").drop(*HELPERS)
+    return keyed_lines(segments).join(kpoints, (F.col("_k") == F.col("_pk")) & cond, "left_semi").drop(*HELPERS)
+
+
+def work_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """Segments to work on (``reached_lines``). One row per piece key stays (segments of a line with the same start: the
+    smallest id), which also folds the tagged rows of one segment."""
     key = piece_key(F.col("blue_line_key"), F.col("downstream_route_measure"))
+    hit = reached_lines(segments, kpoints, tolerance)
     return first_per_key(hit.withColumn("_key", key), ["_key"], ["linear_feature_id"]).drop("_key")

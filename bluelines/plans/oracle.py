@@ -53,6 +53,21 @@ conflicts AS MATERIALIZED (
                     length_metre / 2 AS length_metre)
   FROM segments WHERE blue_line_key % 5 = 0 AND downstream_route_measure = 0)"""
 
+# Segments and points after the edits of ``incremental_run``.
+EDITED = (SEGMENTS.replace("segments AS", "segments_before AS", 1), POINTS.replace("points AS", "points_before AS", 1).replace("FROM segments", "FROM segments_before"), """
+segments AS MATERIALIZED (
+  SELECT * REPLACE (CASE WHEN watershed_group_code = 'W007' AND blue_line_key % 5 = 0 THEN NULL ELSE localcode END AS localcode)
+  FROM segments_before WHERE watershed_group_code <> 'W011' OR linear_feature_id % 10 < 4),
+points AS MATERIALIZED (
+  SELECT * REPLACE (CASE WHEN watershed_group_code = 'W007' AND blue_line_key % 5 = 0 THEN NULL ELSE localcode END AS localcode,
+    CASE WHEN watershed_group_code = 'W003' AND wls_wn_sysid % 4 = 1 THEN 'PWS' ELSE notation_type END AS notation_type,
+    CASE WHEN watershed_group_code = 'W003' AND wls_wn_sysid % 4 = 1 THEN downstream_route_measure + 1.5::DOUBLE ELSE downstream_route_measure END AS downstream_route_measure)
+  FROM points_before
+  WHERE (watershed_group_code <> 'W011' OR linear_feature_id % 10 < 4) AND NOT (watershed_group_code = 'W003' AND wls_wn_sysid % 4 = 0)
+  UNION ALL
+  SELECT * REPLACE ('NX' || CAST(wls_wn_sysid AS VARCHAR) AS notation_id, downstream_route_measure + 3 AS downstream_route_measure)
+  FROM points_before WHERE watershed_group_code = 'W020' AND wls_wn_sysid % 6 = 0)""")
+
 VERTICES = """
 vertices AS MATERIALIZED (
   SELECT linear_feature_id, blue_line_key, seq, downstream_route_measure + seq * length_metre / 2 AS x,
@@ -510,6 +525,7 @@ SELECT linear_feature_id, notation_id_list, primary_notation_type, secondary_not
   CAST(blue_line_key AS INTEGER) AS blue_line_key, CAST(len(xs) AS INTEGER) AS n_vertices, round(xs[1], 6) AS x_first,
   round(ys[1], 6) AS y_first, round(xs[-1], 6) AS x_last, round(ys[-1], 6) AS y_last
 FROM all_list JOIN drawn USING (segmented_stream_id)""",
+    "incremental_run": with_ctes(*EDITED, *ON_POINTS) + " " + ALL_LIST,
     "full_run": with_ctes(SEGMENTS, POINTS.replace("points AS", "fixture_points AS", 1),
                           SRC_POINTS.replace("FROM points)", "FROM fixture_points)"), VERTICES, PAIRS, SNAP, SNAPPED_POINTS,
                           *ON_POINTS) + " " + ALL_LIST,
