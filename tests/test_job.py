@@ -59,3 +59,42 @@ def test_job_reruns_on_any_change_and_leaves_nothing_stale(spark):
                                 .select([f.name for f in schemas.SEGMENTS.fields]).collect(), schemas.SEGMENTS)
     seg.write.mode("overwrite").parquet(paths["segments"])
     assert run_job(spark, *args) is True            # the network alone changed
+
+
+def test_job_rebuilds_touched_groups_only(spark):
+    import glob
+    import os
+
+    root = work_path(spark, "job-groups")
+    paths, args = _tables(spark, root)
+    assert run_job(spark, *args) is True
+
+    def files():
+        folder = f"{paths['out']}/streams".removeprefix("file://").removeprefix("file:")
+        return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{folder}/watershed_group_code=*/*.parquet")}
+
+    first = files()
+    pts = spark.read.parquet(paths["points"])
+    one = pts.orderBy("notation_id").first().notation_id
+    edited = pts.withColumn("notation_type", F.when(F.col("notation_id") == one, "OR*").otherwise(F.col("notation_type")))
+    spark.createDataFrame(edited.select(POINT_COLS).collect(), schemas.POINTS_SRC).write.mode("overwrite").parquet(paths["points"])
+    assert run_job(spark, *args) is True
+    second = files()
+    kept = {f for f in first if second.get(f) == first[f]}
+    assert 0 < len(set(first) - kept) < len(first) / 4       # the edited point's group is written again, the others are not
+    fresh = [*args[:4], f"{root}/state2", f"{root}/out2"]
+    assert run_job(spark, *fresh) is True
+    assert _rows(spark, f"{paths['out']}/streams") == _rows(spark, f"{root}/out2/streams")
+
+    vert = spark.read.parquet(paths["vertices"])
+    moved = vert.withColumn("y", F.when(F.col("linear_feature_id") == vert.first().linear_feature_id, F.col("y") + 1).otherwise(F.col("y")))
+    spark.createDataFrame(moved.collect(), vert.schema).write.mode("overwrite").parquet(paths["vertices"])
+    assert run_job(spark, *args) is True                     # geometry alone
+    assert 0 < len(set(second) - {f for f in second if files().get(f) == second[f]}) < len(first) / 4
+
+    aq = spark.read.parquet(paths["aquifers"])
+    spark.createDataFrame(aq.where("aquifer_id % 2 = 0").collect(), aq.schema).write.mode("overwrite").parquet(paths["aquifers"])
+    third = files()
+    assert run_job(spark, *args) is True and files() == third   # polygons do not touch the streams
+    folder = f"{paths['state']}.snapshots/prod".removeprefix("file://").removeprefix("file:")
+    assert len([x for x in os.listdir(folder) if x != "current"]) == 1  # one snapshot is kept
