@@ -16,6 +16,20 @@ from bluelines.session import materialize
 _RANGE_BITS = 33  # monotonically_increasing_id: number of the partition above, of the row in it below
 
 
+def in_ranges(df: DataFrame, keys: list[Column], name: str = "ranges", written: list[str] | None = None,
+              part: str = "range", at: str = "row") -> DataFrame:
+    """``df`` range-partitioned and sorted by ``keys``, with the number of the range (int, ascending along the keys) and of
+    the row (long, ascending along the whole order). Rows equal in ``keys`` may lie in different ranges.
+
+    The result is written and read back, because bounds are sampled anew whenever the shuffle is planned. Which range a
+    row falls in costs no expression and no join, however many ranges there are. ``df`` is read twice (bounds, rows)."""
+    tie = "tie of ranges"
+    keys = [*keys, F.col(tie)]
+    dealt = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys).drop(tie)
+    dealt = materialize(dealt.withColumn(at, F.monotonically_increasing_id()), name, written)
+    return dealt.withColumn(part, F.shiftrightunsigned(F.col(at), _RANGE_BITS).cast("int"))
+
+
 def number_within(df: DataFrame, group: list[str], order: list[Column], name: str = "numbered",
                   written: list[str] | None = None, nth: str = "nth", total: str = "n") -> DataFrame:
     """``df`` with ``nth`` (long, from 0, by ``order`` within ``group``) and ``total`` (rows of the group).
@@ -24,12 +38,8 @@ def number_within(df: DataFrame, group: list[str], order: list[Column], name: st
     in any order; they may lie in different ranges, because the row's place in the input breaks ties. An empty
     ``group`` numbers the whole table. ``df`` is read twice (bounds, rows): give a stored table.
     """
-    tie, at, part, shift, same_part = (f"{x} of numbering" for x in ("tie", "row", "range", "shift", "same range"))
-    keys = [*(F.col(c).asc_nulls_first() for c in group), *order, F.col(tie)]
-    dealt = df.withColumn(tie, F.monotonically_increasing_id())
-    dealt = dealt.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(tie)
-    dealt = materialize(dealt.withColumn(at, F.monotonically_increasing_id()), name, written)
-    dealt = dealt.withColumn(part, F.shiftrightunsigned(F.col(at), _RANGE_BITS).cast("int"))
+    at, part, shift, same_part = (f"{x} of numbering" for x in ("row", "range", "shift", "same range"))
+    dealt = in_ranges(df, [*(F.col(c).asc_nulls_first() for c in group), *order], name, written, part, at)
     counts = dealt.groupBy(*group, part).agg(F.min(at).alias("first row"), F.count(F.lit(1)).alias("rows here"))
     over = Window.partitionBy(*group)  # one row per range
     before = over.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)

@@ -10,16 +10,19 @@ Such a channel cannot be placed on its code, so the rules are coarse:
 * the list of a channel piece holds the points downstream of it on its own line, plus every
   point with the same code.
 
-A position is the rank of the point's own segment among the pieces of its line, numbered only on lines
-that hold points; no point meets any piece but that of its own segment.
+A position is the place of the point's own segment among the pieces of its line, numbered only on lines
+that hold points, by range-partitioned prefix sums, so that a long line spans many tasks; no point meets any piece
+but that of its own segment.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bluelines.functions.codes import is_within
+from bluelines.operators.numbering import number_within
+from bluelines.session import materialize
 
 # Fixed values of the side-channel rules.
 START_MEASURE = 250.0
@@ -28,15 +31,15 @@ SEPARATION = 50.0
 EXEMPT_ROOT = "999"
 
 
-def line_positions(points: DataFrame, pieces: DataFrame) -> DataFrame:
+def line_positions(points: DataFrame, pieces: DataFrame, written: list[str] | None = None) -> DataFrame:
     """Per point: its segment's group, and ``pos`` = number of pieces of its line (same group)
-    that start below its segment; ``k`` = number of points on its line."""
+    that start below its segment (no two pieces of a line share a start); ``k`` = number of points on its line."""
     k = points.groupBy("blue_line_key").agg(F.count(F.lit(1)).alias("k"))
-    along = Window.partitionBy("blue_line_key", "watershed_group_code").orderBy("downstream_route_measure")
-    numbered = (pieces.select("linear_feature_id", "blue_line_key", "watershed_group_code", "downstream_route_measure", "piece_index")
-                .join(k.select("blue_line_key"), "blue_line_key", "left_semi")
-                .withColumn("pos", (F.rank().over(along) - 1).cast("bigint"))
-                .where("piece_index = 0").select("linear_feature_id", "watershed_group_code", "pos"))
+    wanted = pieces.select("linear_feature_id", "blue_line_key", "watershed_group_code", "downstream_route_measure", "piece_index")
+    wanted = materialize(wanted.join(k.select("blue_line_key"), "blue_line_key", "left_semi"), "pieces-of-points", written)
+    numbered = number_within(wanted, ["blue_line_key", "watershed_group_code"], [F.col("downstream_route_measure").asc()],
+                             "piece-numbers", written, nth="pos", total="_of")
+    numbered = numbered.where("piece_index = 0").select("linear_feature_id", "watershed_group_code", "pos")
     own = points.select("notation_id", "linear_feature_id", "blue_line_key", "downstream_route_measure")
     return own.join(numbered, "linear_feature_id").join(k, "blue_line_key").select(
         "notation_id", "linear_feature_id", "blue_line_key", "watershed_group_code", "downstream_route_measure", "pos", "k")

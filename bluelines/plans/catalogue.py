@@ -265,12 +265,10 @@ def q_primary_type(spark, d):
 
 def q_run_collapse(spark, d):
     """Events per user ordered by time: the rows where the event type changes (runs of one type
-    collapse to their first row). Split at the quantiles of time, so that neither a heavy user nor
+    collapse to their first row). Dealt into ranges of user and time, so that neither a heavy user nor
     a heavy hour is one task."""
     ev = Tables(spark, d).events.select("event_id", "ts", "user_id", "event_type")
-    at = F.unix_micros(F.col("ts").cast("timestamp"))
-    bucket = runs.quantile_bucket(ev, at, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    r = runs.run_starts(ev, "user_id", ["ts", "event_id"], "event_type", bucket)
+    r = runs.run_starts(ev, "user_id", ["ts", "event_id"], "event_type")
     return r.select("user_id", "event_id", "event_type")
 
 

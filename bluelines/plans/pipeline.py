@@ -162,7 +162,7 @@ class Network:
     # ---- side channels ------------------------------------------------------------------
     @cached_property
     def positions(self) -> DataFrame:
-        return sidechannels.line_positions(self.points, self.pieces)
+        return sidechannels.line_positions(self.points, self.pieces, self.written)
 
     @cached_property
     def starts(self) -> DataFrame:

@@ -57,3 +57,25 @@ def test_no_window_over_the_rows(sized, capsys):
     number_within(df, ["g"], [F.col("v").asc()]).explain("simple")
     plan = capsys.readouterr().out
     assert "NestedLoop" not in plan and "SinglePartition" not in plan
+
+
+def test_a_long_line_spans_many_tasks(spark):
+    """Positions of points on one line that holds most pieces: the largest range is near the median."""
+    from bluelines.operators.sidechannels import line_positions
+
+    n = 6000
+    pieces = spark.createDataFrame([(i, 1 if i < n else 2, "G", float(i * 7 % n), 0) for i in range(n + 50)],
+                                   "linear_feature_id long, blue_line_key long, watershed_group_code string, downstream_route_measure double, piece_index int")
+    points = spark.createDataFrame([(f"p{i}", i, 1, float(i * 7 % n)) for i in range(0, n, 500)] + [("q", n + 3, 2, 0.0)],
+                                   "notation_id string, linear_feature_id long, blue_line_key long, downstream_route_measure double")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        written = []
+        got = {r.notation_id: (r.pos, r.k) for r in line_positions(points, pieces, written).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert all(got[f"p{i}"] == (i * 7 % n, n // 500) for i in range(0, n, 500)) and got["q"][1] == 1
+    sizes = sorted(r["count"] for r in spark.read.parquet(written[-1]).groupBy(F.input_file_name()).count().collect())
+    assert len(sizes) >= 11 and sizes[-1] < 2 * sizes[len(sizes) // 2]
