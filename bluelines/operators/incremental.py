@@ -49,7 +49,7 @@ def touched_groups(segments_before: DataFrame, segments_after: DataFrame, points
     every = segments_after.select(TIES).unionByName(edited)
     lines = points.select("blue_line_key").unionByName(edited.select("blue_line_key")).unionByName(
         every.join(points.select("linear_feature_id"), "linear_feature_id", "left_semi").select("blue_line_key")).distinct()
-    reached = upstream.reached_lines(every, upstream.keyed_points(points), tolerance)
+    reached = upstream.reached_lines(every, upstream.keyed_points(points), tolerance, written=written)
     groups = (edited.select(GROUP).unionByName(points.select(GROUP))
               .unionByName(every.join(lines, "blue_line_key", "left_semi").select(GROUP))
               .unionByName(reached.select(GROUP)))

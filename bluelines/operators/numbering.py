@@ -51,3 +51,17 @@ def number_within(df: DataFrame, group: list[str], order: list[Column], name: st
         same &= F.col(c).eqNullSafe(F.col(f"{c} of range"))
     out = dealt.join(counts, same)
     return out.select(*df.columns, (F.col(at) + F.col(shift)).alias(nth), F.col(total))
+
+
+def running_sum(df: DataFrame, order: list[Column], value: str, total: str = "running", name: str = "running",
+                written: list[str] | None = None) -> DataFrame:
+    """``df`` with ``total``: the sum of ``value`` over the rows up to this one in ``order``. Sums run inside the ranges; each
+    range adds the sum of the ranges before it (one row per range). ``df`` is read twice: give a stored table."""
+    at, part, here, of, before = (f"{x} of running" for x in ("row", "range", "sum", "same range", "before"))
+    dealt = in_ranges(df, order, name, written, part, at)
+    sums = dealt.groupBy(part).agg(F.sum(value).alias(here))
+    earlier = Window.partitionBy().orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    sums = materialize(sums.select(F.col(part).alias(of), F.coalesce(F.sum(here).over(earlier), F.lit(0)).alias(before)), f"{name}-sums", written)
+    inner = Window.partitionBy(part).orderBy(at).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = dealt.withColumn(here, F.sum(value).over(inner)).join(sums, F.col(part) == F.col(of))
+    return out.select(*df.columns, (F.col(here) + F.col(before)).alias(total))

@@ -16,7 +16,8 @@ from the piece's side: the points downstream of *b* are the *a* with D-UP(a, b).
 tagged with its join keys -- ``b:<blk>`` and ``w:<prefix>`` for every prefix of its code (at most
 one per level) -- and every point with ``b:<blk>`` and ``w:<W>``. One equi join on the tag finds
 all candidates (case 1 through ``b:``, cases 2 and 3 through ``w:``), and a residual filter
-decides. The two tag kinds are disjoint, so a pair is produced once per kind that holds.
+decides. The two tag kinds are disjoint, so a pair is produced once per kind that holds. Where only the lines are asked
+for, not the pairs, the ancestor codes need no rows at all (``reached_lines``, ``operators.labels``).
 While the point side is small Spark broadcasts it by its size in bytes and the line side streams and
 keeps its partitioning, so later aggregations by line need no extra shuffle; beyond that the tags are
 shuffled.
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 from bluelines.functions.codes import depth, is_within, level_range, prefix
 from bluelines.functions.rounding import piece_key
 from bluelines.operators.common import first_per_key
+from bluelines.operators.labels import codes_entered
+from bluelines.session import materialize
 
 TOLERANCE = 1.0  # metres; pieces start at a rounded measure
 
@@ -87,19 +90,20 @@ def keyed_lines(lines: DataFrame, which: str = "all") -> DataFrame:
     ``ancestors`` (the proper prefixes of the code only; no line tag). Level 0 is the line tag,
     level n the first n levels of the code; one row per level, no lambda functions."""
     blk, w = F.col("blue_line_key"), F.col("wscode")
+    line_tag = F.concat(F.lit("b:"), blk.cast("string"))
+    if which == "direct":
+        tags = F.array(F.struct(line_tag.alias("_k"), F.lit(True).alias("_kb")), F.struct(F.concat(F.lit("w:"), w).alias("_k"), F.lit(False).alias("_kb")))
+        return lines.select("*", F.concat(w, F.lit(".")).alias("_wd"), F.inline(tags))
     d = F.coalesce(depth(w), F.lit(0))
     if which == "all":
         lv = level_range(0, d)
-    elif which == "direct":
-        lv = F.when(d > 0, F.array(F.lit(0), d)).otherwise(F.array(F.lit(0)))
     elif which == "ancestors":
         lv = level_range(1, d - 1)
     else:
         raise ValueError(which)
     out = lines.select("*", F.concat(w, F.lit(".")).alias("_wd"), F.explode(lv).alias("_lv"))
     code_tag = F.concat(F.lit("w:"), prefix(w, F.col("_lv")))
-    tag = code_tag if which == "ancestors" else (
-        F.when(F.col("_lv") == 0, F.concat(F.lit("b:"), blk.cast("string"))).otherwise(code_tag))
+    tag = code_tag if which == "ancestors" else F.when(F.col("_lv") == 0, line_tag).otherwise(code_tag)
     return out.withColumn("_k", tag).withColumn("_kb", F.col("_lv") == 0).drop("_lv")
 
 
@@ -157,25 +161,43 @@ def upstream_pairs(lines: DataFrame, kpoints: DataFrame, tolerance: float = TOLE
     return line_point_pairs(lines, kpoints, upstream_residual(tolerance))
 
 
-def upstream_lines(lines: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+def _entering(segments: DataFrame, kpoints: DataFrame, written: list[str] | None) -> DataFrame:
+    """Segments that case 3 of D-UP gives: their code lies above a point of another flow line. The number of such points
+    comes per distinct code (``labels.codes_entered``); those on the segment's own line are taken off."""
+    points = kpoints.where(F.startswith("_pk", F.lit("w:")))
+    codes = materialize(segments.where(F.col("localcode").isNotNull()).select("wscode").distinct(), "codes", written)
+    entered = codes_entered(codes, points, written).withColumnRenamed("wscode", "_code")
+    hit = segments.where(F.col("localcode").isNotNull()).join(entered, F.col("wscode") == F.col("_code")).drop("_code")
+    w, pw, pl = F.col("wscode"), F.col(P + "wscode"), F.col(P + "localcode")
+    above = is_within(w, pw) & enters_above(w, pw, pl, is_within(w, pl))
+    own = (hit.select("linear_feature_id", "blue_line_key", "wscode")
+           .join(points, (F.col("blue_line_key") == F.col(P + "blue_line_key")) & (w != pw) & above)
+           .groupBy(F.col("linear_feature_id").alias("_own")).agg(F.count(F.lit(1)).alias("_n")))
+    hit = hit.join(own, F.col("linear_feature_id") == F.col("_own"), "left")
+    return hit.where(F.col("n_points") > F.coalesce("_n", F.lit(0))).drop("n_points", "_own", "_n")
+
+
+def reached_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE, others: bool = True,
+                  written: list[str] | None = None) -> DataFrame:
+    """Segments upstream of a point and, with ``others``, those that hold one and unplaceable side channels with a
+    point's code; a segment may come up to three times. Two semi joins and no pairs: a tag row for the line and one for
+    the code, each of which stops at its first matching point, and the codes entered above a point by their order."""
+    cond = upstream_residual(tolerance)
+    if others:
+        cond = cond | on_segment_residual() | side_candidate_residual()
+    direct = keyed_lines(segments, "direct").join(kpoints, (F.col("_k") == F.col("_pk")) & cond, "left_semi").drop(*HELPERS)
+    return direct.unionByName(_entering(segments, kpoints, written).select(direct.columns))
+
+
+def upstream_lines(lines: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE, written: list[str] | None = None) -> DataFrame:
     """Line rows with at least one point downstream (a semi join: ``select distinct`` over the
     pair join without building the pairs)."""
-    cond = (F.col("_k") == F.col("_pk")) & upstream_residual(tolerance)
-    # the tagged rows of one line are exact duplicates once the tags are dropped: a hash distinct
-    return keyed_lines(lines).join(kpoints, cond, "left_semi").drop(*HELPERS).distinct()
-
-
-def reached_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
-    """The tagged rows of the segments that are upstream of a point, hold one, or are unplaceable side channels with a
-    point's code (a disjunctive join written as one tagged equi join). A left-semi join: each tagged row stops at its
-    first matching point, so no pair is built; a segment comes once per tag that matches."""
-    cond = upstream_residual(tolerance) | on_segment_residual() | side_candidate_residual()
-    return keyed_lines(segments).join(kpoints, (F.col("_k") == F.col("_pk")) & cond, "left_semi").drop(*HELPERS)
+    return reached_lines(lines, kpoints, tolerance, False, written).distinct()
 
 
-def work_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+def work_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE, written: list[str] | None = None) -> DataFrame:
     """Segments to work on (``reached_lines``). One row per piece key stays (segments of a line with the same start: the
-    smallest id), which also folds the tagged rows of one segment."""
+    smallest id), which also folds the rows of one segment."""
     key = piece_key(F.col("blue_line_key"), F.col("downstream_route_measure"))
-    hit = reached_lines(segments, kpoints, tolerance)
+    hit = reached_lines(segments, kpoints, tolerance, True, written)
     return first_per_key(hit.withColumn("_key", key), ["_key"], ["linear_feature_id"]).drop("_key")

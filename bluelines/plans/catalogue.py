@@ -13,15 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bluelines import schemas
-from bluelines.functions.codes import depth, level_range, prefix
 from bluelines.functions.rounding import piece_key
 from bluelines.functions.sql import register_locate_along
-from bluelines.operators import changes, checks, incremental, lists, runs, snapping, upstream
+from bluelines.operators import changes, checks, incremental, labels, lists, runs, snapping, upstream
 from bluelines.operators.common import first_per_key, insert_ignore, round6
 from bluelines.operators.links import link_by_text_key
 from bluelines.plans import sinks
 from bluelines.plans.pipeline import OUTPUT_COLS, Network
-from bluelines.session import work_path
+from bluelines.session import materialize, work_path
 from bluelines.sources import fixtures
 from bluelines.sources.tables import TABLES, Tables
 from bluelines.streaming.ingest import ingest_available_now
@@ -162,15 +161,12 @@ def q_input_report(spark, d):
 
 
 def q_code_descendant(spark, d):
-    """Per point: how many segments have a code at or below the point's code (``<@``): segments are
-    counted per code, the counts are added up over the code's prefixes (one per level), and the points
-    look their code up once."""
+    """Per point: how many segments have a code at or below the point's code (``<@``): the segments between the opening
+    and the closing place of the code in the order of codes."""
     n = network(spark, d)
-    w = F.col("wscode")
-    per_code = n.segments.groupBy("wscode").agg(F.count(F.lit(1)).alias("n"))
-    above = (per_code.select("wscode", "n", F.explode(level_range(1, depth(w))).alias("_lv"))
-             .groupBy(prefix(w, F.col("_lv")).alias("_root")).agg(F.sum("n").cast("bigint").alias("n_segments")))
-    return n.points.join(above, F.col("wscode") == F.col("_root")).select("notation_id", "n_segments")
+    per_code = materialize(n.segments.groupBy("wscode").agg(F.count(F.lit(1)).alias("n")), "segments-per-code", n.written)
+    below = labels.rows_below(per_code, n.points, n.written).withColumnsRenamed({"wscode": "_root", "n": "n_segments"})
+    return n.points.join(below, F.col("wscode") == F.col("_root")).select("notation_id", "n_segments")
 
 
 LINE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -208,7 +204,7 @@ def q_upstream_pairs(spark, d):
 
 def q_upstream_segments(spark, d):
     n = network(spark, d)
-    return upstream.upstream_lines(n.segments, n.kpoints).select("linear_feature_id")
+    return upstream.upstream_lines(n.segments, n.kpoints, written=n.written).select("linear_feature_id")
 
 
 def q_downstream_points(spark, d):

@@ -124,7 +124,7 @@ class Network:
     def work(self) -> DataFrame:
         """Segments upstream of a point, holding one, or unplaceable channels with a point's code;
         only the columns the later stages read."""
-        return upstream.work_lines(self.segments.select(*self.WORK_COLS), self.kpoints, self.tolerance)
+        return upstream.work_lines(self.segments.select(*self.WORK_COLS), self.kpoints, self.tolerance, self.written)
 
     @cached_property
     def breakpoints(self) -> DataFrame:
