@@ -8,7 +8,7 @@ table ``(path, env, etag)``, and every step is a join or a filter -- no per-obje
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,6 +75,51 @@ def fingerprint(df: DataFrame, group: list[str] | None = None, cols: list[str] |
     return agg.withColumn("etag", F.concat_ws(":", *[F.col(c).cast("string") for c in ("n_rows", "hash_high", "hash_low")]))
 
 
+def _one_form(path: Column) -> Column:
+    """Local paths come as ``file:/x`` or ``file:///x``, depending on the reader."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def list_files(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
+    """The files below a folder whose path there starts with ``prefix``: (path, name below the folder, length, modified).
+    Spark's file source lists them; their content is not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    found = found.select(_one_form(F.col("path")).alias("path"), "length", F.col("modificationTime").alias("modified"))
+    root = _one_form(F.lit(folder.rstrip("/") + "/"))
+    at = F.instr(F.col("path"), F.regexp_replace(root, "^file:", ""))
+    name = F.substring("path", at + F.length(F.regexp_replace(root, "^file:", "")), F.length("path"))
+    return found.withColumn("name", name).where(F.startswith("name", F.lit(prefix))).select("path", "name", "length", "modified")
+
+
+def file_fingerprints(spark: SparkSession, files: DataFrame, cached: DataFrame | None = None, read=None) -> DataFrame:
+    """Fingerprint of every file: (path, name, length, modified, n_rows, hash_high, hash_low, hashed).
+
+    A file that ``cached`` (an earlier result) holds with the same path, length and time keeps its cached fingerprint; only
+    the others are opened (``hashed``). The names of those files, not rows, pass through the driver. A file that is
+    rewritten with equal length within the file system's time resolution goes unseen, as with any such check."""
+    key, sums = ["path", "length", "modified"], ["n_rows", "hash_high", "hash_low"]
+    old = None if cached is None else cached.select(*key, *sums)
+    new = files if old is None else files.join(old, key, "left_anti")
+    paths = [r.path for r in new.select("path").collect()]
+    kept = None if old is None else files.join(old, key).select(*files.columns, *sums, F.lit(False).alias("hashed"))
+    if not paths:
+        return kept if kept is not None else files.where("false").select(
+            *files.columns, F.lit(0).cast("long").alias("n_rows"), *(F.lit(0).cast("decimal(38,0)").alias(c) for c in sums[1:]), F.lit(True).alias("hashed"))
+    rows = (read or spark.read.parquet)(*paths)
+    counted = fingerprint(rows.withColumn("_of", _one_form(F.col("_metadata.file_path"))), ["_of"]).drop("etag")
+    fresh = new.join(counted, F.col("path") == F.col("_of"), "left").select(
+        *files.columns, *(F.coalesce(F.col(c), F.lit(0)).cast("long" if c == "n_rows" else "decimal(38,0)").alias(c) for c in sums), F.lit(True).alias("hashed"))
+    return fresh if kept is None else kept.unionByName(fresh)
+
+
+def combined(files: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """Fingerprint of a table (or of each group) from those of its files: row hashes are summed, so it equals ``fingerprint``
+    over all rows."""
+    agg = files.groupBy(*(group or [])).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+                                            *(F.coalesce(F.sum(c), F.lit(0)).cast("decimal(38,0)").alias(c) for c in ("hash_high", "hash_low")))
+    return agg.withColumn("etag", F.concat_ws(":", *[F.col(c).cast("string") for c in ("n_rows", "hash_high", "hash_low")]))
+
+
 def list_objects(tables: dict[str, DataFrame]) -> DataFrame:
     """The objects (files) that hold the rows of some file-based tables: table, name of the file, rows in
     it. Only file metadata columns are read; one aggregation per table."""

@@ -22,6 +22,7 @@ from bluelines.plans import sinks
 from bluelines.plans.pipeline import OUTPUT_COLS, Network
 from bluelines.session import materialize, work_path
 from bluelines.sources import fixtures
+from bluelines.sources.points import read_points_json
 from bluelines.sources.tables import TABLES, Tables
 from bluelines.streaming.ingest import ingest_available_now
 
@@ -60,6 +61,28 @@ def q_points_src(spark, d):
                       *[round6(c).alias(c) for c in ("x", "y", "latitude", "longitude")])
 
 
+def q_points_json(spark, d):
+    """The raw points as JSON lines, some of them cut off, without a key, with a text for a number, or twice; read by the
+    declared schema, bad rows apart with their reason."""
+    n = network(spark, d)
+    src = n.points_src.select([f.name for f in schemas.POINTS_SRC.fields])
+    sysid = F.col("wls_wn_sysid")
+    line = F.to_json(F.struct(*[F.when(sysid % 13 != 0, F.col(c)).alias(c) if c == "notation_id" else F.col(c) for c in src.columns]))
+    line = F.when(sysid % 11 == 0, F.expr("substring(line, 1, length(line) - 5)")).when(
+        sysid % 19 == 0, F.expr("replace(line, '\"x\":', '\"x\":\"east\",\"z\":')")).otherwise(F.col("line")), line
+    lines = src.withColumn("line", line[1]).withColumn("line", line[0])
+    lines = lines.select(F.explode(F.array_repeat("line", F.when(sysid % 17 == 0, 2).otherwise(1))).alias("value"))
+    path = work_path(spark, "json")
+    lines.write.text(path)
+    good, bad = read_points_json(spark, path, written=n.written)
+    number = F.coalesce("wls_wn_sysid", F.regexp_extract("record", '"wls_wn_sysid":([0-9]+)', 1).cast("int"))
+    cols = ["notation_id", "notation_type", "notation_description", "blue_line_key"]
+    good = good.select(F.lit(None).cast("string").alias("reason"), sysid, *cols, round6("x").alias("x"))
+    bad = bad.select("reason", number.alias("wls_wn_sysid"), *[F.when(F.col("reason") != "malformed", F.col(c)).alias(c) for c in cols],
+                     F.when(F.col("reason") != "malformed", round6("x")).alias("x"))
+    return good.unionByName(bad)
+
+
 def q_segments_src(spark, d):
     s = network(spark, d).segments
     return s.select("linear_feature_id", "blue_line_key", "watershed_key",
@@ -427,6 +450,24 @@ def q_table_fingerprint(spark, d):
     return out
 
 
+def q_file_fingerprints(spark, d):
+    """Orders as files below one folder per first digit of the priority; then two folders are written anew, one of them with other
+    rows. Fingerprints per folder from those of its files, of which only the new ones are read again; one folder is
+    left out by its prefix."""
+    o, path = Tables(spark, d).orders, work_path(spark, "order-files")
+    digit = F.substring("o_orderpriority", 1, 1)
+    for k in "12345":
+        o.where(digit == k).write.parquet(f"{path}/orders/{k}")
+    first = materialize(changes.file_fingerprints(spark, changes.list_files(spark, path, "orders/")), "file-fingerprints")
+    o.where((digit == "2") & (F.col("o_orderstatus") != "P")).write.mode("overwrite").parquet(f"{path}/orders/2")
+    o.where(digit == "4").write.mode("overwrite").parquet(f"{path}/orders/4")
+    now = changes.list_files(spark, path, "orders/").where(~F.startswith("name", F.lit("orders/5/")))
+    now = changes.file_fingerprints(spark, now, first).withColumn("folder", F.substring("name", 1, 8))
+    per_folder = changes.combined(now, ["folder"]).drop("etag")
+    read = now.groupBy(F.col("folder").alias("_of")).agg(F.max("hashed").alias("hashed"))
+    return per_folder.join(read, F.col("folder") == F.col("_of")).drop("_of")
+
+
 def q_object_listing(spark, d):
     """The files that hold the rows of the input tables, with their row counts, and an existence test of
     every input table's file plus one that is not there."""
@@ -620,6 +661,7 @@ def q_ingest_available_now(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "points_src": q_points_src,
+    "points_json": q_points_json,
     "segments_src": q_segments_src,
     "group_list": q_group_list,
     "output_contract": q_output_contract,
@@ -659,6 +701,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "full_run": q_full_run,
     "attr_link": q_attr_link,
     "table_fingerprint": q_table_fingerprint,
+    "file_fingerprints": q_file_fingerprints,
     "object_listing": q_object_listing,
     "change_status": q_change_status,
     "change_sync": q_change_sync,

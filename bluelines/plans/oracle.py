@@ -536,6 +536,21 @@ FROM all_list JOIN drawn USING (segmented_stream_id)""",
 SELECT edit, n, seen FROM (VALUES ('price', true), ('date', true), ('null swap', true), ('order of rows', false)) AS e(edit, seen),
   (SELECT count(*) AS n FROM orders)
 UNION ALL SELECT 'embedding', (SELECT count(*) FROM embeddings), true""".replace("edit, n, seen", "edit, CAST(n AS BIGINT) AS n_rows, seen", 1),
+    "points_json": with_ctes(SEGMENTS, POINTS) + """,
+told AS (
+  SELECT *, CASE WHEN wls_wn_sysid % 11 = 0 OR wls_wn_sysid % 19 = 0 THEN 'malformed' WHEN wls_wn_sysid % 13 = 0 THEN 'null notation_id' END AS why,
+    unnest(CASE WHEN wls_wn_sysid % 17 = 0 THEN [1, 2] ELSE [1] END) AS nth FROM points)
+SELECT coalesce(why, CASE WHEN nth = 2 THEN 'repeated key' END) AS reason, wls_wn_sysid,
+  CASE WHEN why IS NULL THEN notation_id END AS notation_id,
+  CASE WHEN why IS DISTINCT FROM 'malformed' THEN notation_type END AS notation_type,
+  CASE WHEN why IS DISTINCT FROM 'malformed' THEN notation_description END AS notation_description,
+  CASE WHEN why IS DISTINCT FROM 'malformed' THEN blue_line_key END AS blue_line_key,
+  CASE WHEN why IS DISTINCT FROM 'malformed' THEN round(x, 6) END AS x FROM told""",
+    "file_fingerprints": f"""
+WITH files AS (
+  SELECT *, 'orders/' || left(o_orderpriority, 1) AS folder FROM orders
+  WHERE left(o_orderpriority, 1) IN ('1', '3', '4') OR (left(o_orderpriority, 1) = '2' AND o_orderstatus <> 'P'))
+SELECT *, folder IN ('orders/2', 'orders/4') AS hashed FROM ({_fingerprint('files', TABLE_COLUMNS['orders'], 'folder')})""",
     "object_listing": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{t}.parquet' AS object_name, true AS exists, CAST(count(*) AS BIGINT) AS n_rows FROM {t}" for t in TABLE_COLUMNS)
         + " UNION ALL SELECT 'retired', 'retired.parquet', false, NULL",
