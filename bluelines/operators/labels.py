@@ -7,7 +7,8 @@ follow everything below its local code. So over the ordered codes a point opens
 the running sum at a code is the number of points whose streams it enters above: no row per prefix of a code, and
 no pair. Likewise the segments below a code are those between its opening and closing place.
 
-The order is one range-partitioned sort of distinct codes and points (``numbering.running_sum``).
+Codes between two neighbouring openings or closings lie above the same points, so they share one list
+(``shared_stretches``). The order is a range-partitioned sort of distinct codes and points (``numbering.running_sum``).
 """
 
 from __future__ import annotations
@@ -28,14 +29,19 @@ def _events(df: DataFrame, key, kind: int, step, code=None) -> DataFrame:
                      code.alias("code"))
 
 
-def codes_entered(codes: DataFrame, points: DataFrame, written: list[str] | None = None) -> DataFrame:
-    """(wscode, n_points) for the distinct ``codes`` (column wscode) that lie above points on a code over theirs (case 3
-    of D-UP without its test for different flow lines). ``points``: p_wscode, p_localcode, one row per point."""
+def _opened(points: DataFrame) -> DataFrame:
+    """``points`` that reach any code, with the keys at which their stretch begins and ends."""
     w, local = F.col("p_wscode"), F.col("p_localcode")
-    end = F.concat(w, F.lit(CLOSE))
     # a point at the start of its stream opens after the code itself, another one after what lies below its local code
     begin = F.when(local == w, w).otherwise(F.greatest(F.concat(local, F.lit(CLOSE)), w))
-    stretches = points.where(w.isNotNull() & local.isNotNull()).select(begin.alias("begin"), end.alias("end")).where("begin < end")
+    known = points.where(w.isNotNull() & local.isNotNull())
+    return known.withColumns({"begin": begin, "end": F.concat(w, F.lit(CLOSE))}).where("begin < end")
+
+
+def codes_entered(codes: DataFrame, points: DataFrame, written: list[str] | None = None) -> DataFrame:
+    """(wscode, n_points) for the distinct ``codes`` (column wscode) that lie above points on a code over theirs (case 3
+    of D-UP without its test for different flow lines). ``points``: p_wscode, p_localcode, one row per point."""
+    stretches = _opened(points)
     events = (_events(codes.where("wscode is not null"), F.col("wscode"), 0, 0, F.col("wscode"))
               .unionByName(_events(stretches, F.col("begin"), 1, 1)).unionByName(_events(stretches, F.col("end"), 1, -1)))
     events = materialize(events, "code-events", written)
@@ -53,3 +59,38 @@ def rows_below(codes: DataFrame, roots: DataFrame, written: list[str] | None = N
     summed = running_sum(events, [F.col("key").asc(), F.col("kind").asc()], "step", "upto", "rows-below", written)
     ends = summed.where("kind <> 1").groupBy(F.col("code").alias("wscode"))
     return ends.agg((F.max("upto") - F.min("upto")).cast("long").alias("n")).where("n > 0")
+
+
+def shared_stretches(codes: DataFrame, points: DataFrame, written: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Codes that lie above the same points share one stretch: between two neighbouring openings or closings the set of
+    points does not change. Returns (wscode, stretch) for the codes above any point, and one row per (stretch,
+    point) with the columns of ``points``.
+
+    ``points``: p_prank (distinct), p_wscode, p_localcode and what else is to be carried. Stretches without a code are
+    not numbered, so there are at most as many as codes, and at most two per point."""
+    opened = materialize(_opened(points), "opened-points", written)
+    point = F.col("p_prank")
+    events = (codes.where("wscode is not null").select(F.col("wscode").alias("key"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("step"),
+                                                       F.col("wscode").alias("code"), F.lit(None).cast("long").alias("point"))
+              .unionByName(opened.select(F.col("begin").alias("key"), F.lit(1).alias("kind"), F.lit(1).cast("long").alias("step"),
+                                         F.lit(None).cast("string").alias("code"), point.alias("point")))
+              .unionByName(opened.select(F.col("end").alias("key"), F.lit(2).alias("kind"), F.lit(1).cast("long").alias("step"),
+                                         F.lit(None).cast("string").alias("code"), point.alias("point"))))
+    events = materialize(events, "code-events", written)
+    order = [F.col("key").asc(), F.col("kind").asc(), F.col("point").asc()]
+    placed = materialize(running_sum(events, order, "step", "place", "code-places", written), "code-places", written)
+    # the same once more over the places that hold codes: a point covers the held places from its opening up to its closing
+    held = placed.where("kind = 0").select("place").distinct()
+    marks = (held.select("place", F.lit(1).alias("kind"), F.lit(1).cast("long").alias("step"), F.lit(None).cast("long").alias("point"))
+             .unionByName(placed.where("kind = 1").select("place", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("step"), "point"))
+             .unionByName(placed.where("kind = 2").select((F.col("place") - 1).alias("place"), F.lit(2).alias("kind"), F.lit(0).cast("long").alias("step"), "point")))
+    marks = materialize(marks, "code-marks", written)
+    order = [F.col("place").asc(), F.col("kind").asc(), F.col("point").asc()]
+    numbered = materialize(running_sum(marks, order, "step", "stretch", "code-stretches", written), "code-stretches", written)
+    covers = numbered.where("kind <> 1").groupBy("point").agg(F.min("stretch").alias("_before"), F.max("stretch").alias("_last"))
+    covers = covers.where("_last > _before")
+    pairs = opened.drop("begin", "end").join(covers, point == F.col("point")).drop("point")
+    pairs = pairs.select(*points.columns, F.explode(F.sequence(F.col("_before") + 1, F.col("_last"))).alias("stretch"))
+    at = numbered.where("kind = 1").select(F.col("place").alias("_place"), "stretch")
+    of_code = placed.where("kind = 0").join(at, F.col("place") == F.col("_place")).select(F.col("code").alias("wscode"), "stretch")
+    return of_code, pairs

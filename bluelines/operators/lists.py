@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bluelines.functions.lists import LIST_SEPARATOR, collapse_runs, cut_label, type_priority
+from bluelines.session import materialize
 
 
 def point_order() -> list:
@@ -29,9 +30,15 @@ def rank_points(points: DataFrame) -> DataFrame:
     return points.orderBy(*point_order()).withColumn("prank", F.monotonically_increasing_id())
 
 
+ENTRY = ["prank", "notation_id", "notation_type"]
+
+
+def point_entry_fields(prefix: str = "p_") -> list[F.Column]:
+    return [F.col(prefix + c).alias(c) for c in ENTRY]
+
+
 def point_entry(prefix: str = "p_") -> F.Column:
-    return F.struct(F.col(prefix + "prank").alias("prank"), F.col(prefix + "notation_id").alias("notation_id"),
-                    F.col(prefix + "notation_type").alias("notation_type"))
+    return F.struct(*point_entry_fields(prefix))
 
 
 def collect_ordered(distinct: bool = False) -> F.Column:
@@ -56,40 +63,36 @@ def with_list_columns(df: DataFrame, pts: str = "pts") -> DataFrame:
     }).drop("_ids", "_types", "_rest", "_runs", "_sec")
 
 
-def _shared_parts(main: DataFrame, kpoints: DataFrame, attrs: list[str], tolerance: float) -> DataFrame:
-    """Per piece: ``direct`` (points on its own line or code, unsorted), and from its code the
-    sorted ``inherited`` list, the flow lines of its points, and the inherited list's output
-    columns computed once per code (``inh_ids``, ``inh_primary``, ``inh_secondary``)."""
-    from bluelines.operators import upstream  # local import: upstream imports nothing from here
-
-    # (a) + (b): every piece kept (left join), pairs aggregated where the pieces already are
+def _shared_parts(main: DataFrame, kpoints: DataFrame, attrs: list[str], tolerance: float,
+                  written: list[str] | None) -> tuple[DataFrame, DataFrame]:
+    """Per piece its ``direct`` entries (points on its own line or code, unsorted), ``own`` (it lies above a point of its own
+    line by code, too) and a reference ``stretch`` to the list that its code inherits; and those lists, one row each:
+    ``inherited`` (sorted), ``inherited_lines`` (their flow lines), ``inh_ids``, ``inh_primary``, ``inh_secondary``."""
+    from bluelines.operators import labels, upstream  # local import: upstream imports nothing from here
+
+    points = kpoints.where(F.startswith("_pk", F.lit("w:"))).drop("_pk", "p_ld")
+    codes = materialize(main.where(F.col("localcode").isNotNull()).select("wscode").distinct(), "codes", written)
+    of_code, inherits = labels.shared_stretches(codes, points, written)
+    entry = F.struct(*point_entry_fields(), F.col("p_blue_line_key").alias("pblk"))
+    listed = inherits.groupBy("stretch").agg(F.array_sort(F.collect_list(entry)).alias("_inh"),
+                                             F.min_by("p_notation_type", "p_prank").alias("_first"))
+    listed = listed.select("stretch", "_first", F.transform("_inh", lambda e: F.struct(*[e[c].alias(c) for c in ENTRY])).alias("inherited"),
+                           F.transform("_inh", lambda e: e["pblk"]).alias("inherited_lines"))
+    listed = with_list_columns(listed.withColumn("_pts", F.col("inherited")), "_pts").withColumnsRenamed({
+        "notation_id_list": "inh_ids", "secondary_notation_types": "inh_secondary"})
+    listed = listed.withColumn("inh_primary", F.col("_first")).drop("_first", "primary_notation_type")
+    listed = materialize(listed, "inherited-lists", written)
+    # every piece kept (left join), pairs aggregated where the pieces already are: the line table is shuffled by line id once
     keys = list(dict.fromkeys([*attrs, "blue_line_key", "wscode", "localcode"]))
-    # the small line table is shuffled by line id once; pairing and aggregating by line then need
-    # no further exchange (the pairs themselves are never shuffled)
+    up, w = upstream.upstream_residual(tolerance), F.col("wscode")
+    pw, pl = F.col("p_wscode"), F.col("p_localcode")
+    own = F.coalesce(F.col("_kb") & upstream.is_within(w, pw) & upstream.enters_above(w, pw, pl, upstream.is_within(w, pl)), F.lit(False))
     direct = (upstream.keyed_lines(main.repartition("linear_feature_id"), "direct")
-              .join(kpoints, (F.col("_k") == F.col("_pk")) & upstream.upstream_residual(tolerance), "left")
-              .groupBy(*keys)
-              .agg(F.collect_list(F.when(F.col("p_prank").isNotNull(), point_entry())).alias("direct")))
-    # (c): once per distinct code of the pieces, sorted once per code
-    inherited_entry = F.struct(F.col("p_prank").alias("prank"), F.col("p_notation_id").alias("notation_id"),
-                               F.col("p_notation_type").alias("notation_type"),
-                               F.col("p_blue_line_key").alias("pblk"))
-    # the distinct codes are few bytes but fan out: the repartition spreads them over all shuffle
-    # partitions before the distinct, whose own exchange might be coalesced by size into one task
-    n = int(main.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    codes = main.select("wscode").repartition(n, "wscode").distinct()
-    by_code = (upstream.keyed_lines(codes, "ancestors")
-               .join(kpoints, (F.col("_k") == F.col("_pk")) & upstream.ancestor_condition())
-               .groupBy("wscode").agg(F.array_sort(F.collect_list(inherited_entry)).alias("_inh"))
-               .select("wscode",
-                       F.transform("_inh", lambda e: F.struct(e["prank"].alias("prank"),
-                                                              e["notation_id"].alias("notation_id"),
-                                                              e["notation_type"].alias("notation_type"))).alias("inherited"),
-                       F.transform("_inh", lambda e: e["pblk"]).alias("inherited_lines")))
-    by_code = with_list_columns(by_code.withColumn("_pts", F.col("inherited")), "_pts").withColumnsRenamed({
-        "notation_id_list": "inh_ids", "primary_notation_type": "inh_primary",
-        "secondary_notation_types": "inh_secondary"})
-    return direct.join(by_code, "wscode", "left")
+              .join(kpoints, (F.col("_k") == F.col("_pk")) & (up | own), "left")
+              .withColumns({"_up": up & F.col("p_prank").isNotNull(), "_own": own & F.col("p_prank").isNotNull()})
+              .groupBy(*keys).agg(F.collect_list(F.when(F.col("_up"), point_entry())).alias("direct"), F.max("_own").alias("own")))
+    parts = direct.join(of_code.withColumnRenamed("wscode", "_code"), (w == F.col("_code")) & F.col("localcode").isNotNull(), "left")
+    return materialize(parts.drop("_code"), "list-parts", written), listed
 
 
 def _merged(j: DataFrame) -> F.Column:
@@ -97,48 +100,39 @@ def _merged(j: DataFrame) -> F.Column:
     blk = F.col("blue_line_key")
     # a point of an ancestor code on the piece's own flow line is not inherited (it is paired
     # directly); the element-wise filter runs only where such a point exists
-    inh = (F.when(F.array_contains("inherited_lines", blk),
-                  F.filter("inherited", lambda e, i: F.get(F.col("inherited_lines"), i) != blk))
+    inh = (F.when(F.col("own"), F.filter("inherited", lambda e, i: F.get(F.col("inherited_lines"), i) != blk))
             .otherwise(F.col("inherited")))
-    # a line without a local code inherits nothing (D-UP needs both local codes)
-    return (F.when(F.col("inherited").isNull() | F.col("localcode").isNull(), F.array_sort("direct"))
+    return (F.when(F.col("inherited").isNull(), F.array_sort("direct"))
              .when(F.size("direct") == 0, inh)
              .otherwise(F.array_sort(F.concat(F.col("direct"), inh))))
 
 
-def _inherit_only() -> F.Column:
-    """The piece's list is exactly its code's inherited list."""
-    return (F.col("inherited").isNotNull() & F.col("localcode").isNotNull() & (F.size("direct") == 0)
-            & ~F.array_contains("inherited_lines", F.col("blue_line_key")))
-
-
-def shared_lists(main: DataFrame, kpoints: DataFrame, attrs: list[str], tolerance: float) -> DataFrame:
-    """Ordered point lists of line pieces, with the part inherited from ancestor codes computed
-    once per distinct code instead of once per piece.
+def shared_lists(main: DataFrame, kpoints: DataFrame, attrs: list[str], tolerance: float, written: list[str] | None = None) -> DataFrame:
+    """Ordered point lists of line pieces; the part inherited from ancestor codes is built once for all codes
+    that lie above the same points.
 
     The points downstream of a piece are (a) points on its own flow line below it, (b) points on
     its own code below its local code, and (c) points on every ancestor code that its stream enters
     above. (a) and (b) depend on the piece and are paired directly (few per piece); (c) depends only
-    on the piece's code, so it is built per distinct code and joined back on the code (a hot code
-    is split by AQE's skew join). The parts are disjoint; ``array_sort`` on the point rank merges
-    them. Returns ``attrs`` + ``pts`` for pieces with at least one point. ``attrs`` must start
-    with ``linear_feature_id``.
+    on the piece's code, whose list is referred to by number (``labels.shared_stretches``) and joined here. The parts are
+    disjoint; ``array_sort`` on the point rank merges them. Returns ``attrs`` + ``pts`` for pieces with at least one
+    point. ``attrs`` must start with ``linear_feature_id``.
     """
-    j = _shared_parts(main, kpoints, attrs, tolerance)
+    parts, listed = _shared_parts(main, kpoints, attrs, tolerance, written)
+    j = parts.join(listed.select("stretch", "inherited", "inherited_lines"), "stretch", "left")
     return j.select(*attrs, _merged(j).alias("pts")).where(F.size("pts") > 0)
 
 
-def shared_list_columns(main: DataFrame, kpoints: DataFrame, attrs: list[str], tolerance: float) -> DataFrame:
+def shared_list_columns(main: DataFrame, kpoints: DataFrame, attrs: list[str], tolerance: float, written: list[str] | None = None) -> DataFrame:
     """``attrs`` + the output columns (id list, primary type, secondary types) of every piece with
-    at least one point downstream. A piece whose list is exactly its code's inherited list (the
-    common case) takes the columns computed once per code; only the others merge arrays and build
-    their strings element by element."""
-    j = _shared_parts(main, kpoints, attrs, tolerance)
-    fast = _inherit_only()
-    d = j.select(*attrs, fast.alias("_fast"), "inh_ids", "inh_primary", "inh_secondary",
-                 F.when(fast, F.lit(None)).otherwise(_merged(j)).alias("pts"))
-    d = with_list_columns(d.where(F.col("_fast") | (F.size("pts") > 0)))
-    return d.select(*attrs, *[F.when(F.col("_fast"), F.col(inh)).otherwise(F.col(out)).alias(out)
-                              for inh, out in [("inh_ids", "notation_id_list"),
-                                               ("inh_primary", "primary_notation_type"),
-                                               ("inh_secondary", "secondary_notation_types")]])
+    at least one point downstream. A piece whose list is exactly the inherited one (the common case) carries a number only
+    and takes the finished texts at the end; only the others meet the entries and merge them."""
+    parts, listed = _shared_parts(main, kpoints, attrs, tolerance, written)
+    plain = F.col("stretch").isNotNull() & (F.size("direct") == 0) & ~F.col("own")
+    texts = listed.select("stretch", F.col("inh_ids").alias("notation_id_list"), F.col("inh_primary").alias("primary_notation_type"),
+                          F.col("inh_secondary").alias("secondary_notation_types"))
+    out = ["notation_id_list", "primary_notation_type", "secondary_notation_types"]
+    finished = parts.where(plain).select(*attrs, "stretch").join(texts, "stretch").select(*attrs, *out)
+    rest = parts.where(~plain).join(listed.select("stretch", "inherited", "inherited_lines"), "stretch", "left")
+    rest = rest.select(*attrs, _merged(rest).alias("pts")).where(F.size("pts") > 0)
+    return finished.unionByName(with_list_columns(rest).select(*attrs, *out))

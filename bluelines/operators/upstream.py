@@ -86,24 +86,18 @@ def keyed_lines(lines: DataFrame, which: str = "all") -> DataFrame:
     """Line rows exploded to their tags: ``_k`` the tag, ``_kb`` true for the line tag, ``_wd`` the
     code with a trailing '.' (per row, not per candidate pair).
 
-    ``which``: ``all`` (line, every prefix of the code), ``direct`` (line and the code itself) or
-    ``ancestors`` (the proper prefixes of the code only; no line tag). Level 0 is the line tag,
-    level n the first n levels of the code; one row per level, no lambda functions."""
+    ``which``: ``all`` (line, every prefix of the code: for pairs) or ``direct`` (line and the code itself). With ``all``,
+    level 0 is the line tag, level n the first n levels of the code; one row per level, no lambda functions."""
     blk, w = F.col("blue_line_key"), F.col("wscode")
     line_tag = F.concat(F.lit("b:"), blk.cast("string"))
     if which == "direct":
         tags = F.array(F.struct(line_tag.alias("_k"), F.lit(True).alias("_kb")), F.struct(F.concat(F.lit("w:"), w).alias("_k"), F.lit(False).alias("_kb")))
         return lines.select("*", F.concat(w, F.lit(".")).alias("_wd"), F.inline(tags))
-    d = F.coalesce(depth(w), F.lit(0))
-    if which == "all":
-        lv = level_range(0, d)
-    elif which == "ancestors":
-        lv = level_range(1, d - 1)
-    else:
+    if which != "all":
         raise ValueError(which)
-    out = lines.select("*", F.concat(w, F.lit(".")).alias("_wd"), F.explode(lv).alias("_lv"))
-    code_tag = F.concat(F.lit("w:"), prefix(w, F.col("_lv")))
-    tag = code_tag if which == "ancestors" else F.when(F.col("_lv") == 0, line_tag).otherwise(code_tag)
+    levels = level_range(0, F.coalesce(depth(w), F.lit(0)))
+    out = lines.select("*", F.concat(w, F.lit(".")).alias("_wd"), F.explode(levels).alias("_lv"))
+    tag = F.when(F.col("_lv") == 0, line_tag).otherwise(F.concat(F.lit("w:"), prefix(w, F.col("_lv"))))
     return out.withColumn("_k", tag).withColumn("_kb", F.col("_lv") == 0).drop("_lv")
 
 

@@ -215,7 +215,7 @@ def q_first_per_key(spark, d):
 # ---- upstream / downstream ----------------------------------------------------------------
 def _segment_lists(n: Network) -> DataFrame:
     """Per segment, the ordered points downstream (shared per code, see ``lists.shared_lists``)."""
-    return lists.shared_lists(n.segments, n.kpoints, ["linear_feature_id"], upstream.TOLERANCE)
+    return lists.shared_lists(n.segments, n.kpoints, ["linear_feature_id"], upstream.TOLERANCE, n.written)
 
 
 def q_upstream_pairs(spark, d):

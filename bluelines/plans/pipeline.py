@@ -149,9 +149,9 @@ class Network:
     @cached_property
     def stream_list(self) -> DataFrame:
         """Per piece with a local code: the ordered list of the points downstream of it; the part
-        inherited from ancestor codes is built once per code (``lists.shared_lists``)."""
+        inherited from ancestor codes is built once for all codes above the same points (``lists.shared_lists``)."""
         main = self.pieces.where(F.col("localcode").isNotNull())
-        out = lists.shared_list_columns(main, self.kpoints, PIECE_ATTRS, self.tolerance)
+        out = lists.shared_list_columns(main, self.kpoints, PIECE_ATTRS, self.tolerance, self.written)
         return out.select("segmented_stream_id", *OUTPUT_COLS, "watershed_group_code")
 
     @cached_property

@@ -84,3 +84,41 @@ def test_no_prefix_rows_in_the_plan(spark):
         assert "sequence(" not in plan and "substring_index" not in plan and "SinglePartition" not in plan
     tagged = upstream.keyed_lines(n.segments, "direct")
     assert tagged.count() <= 2 * n.segments.count()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_stretches_give_every_point_below_a_code(spark, seed):
+    r = random.Random(100 + seed)
+    codes = sorted(set(tree(r, 80)))
+    points = [(k, r.choice(codes), None) for k in range(40)]
+    points = [(k, w, r.choice([w, None, w + f".{r.choice([1, 5, 500, 700]):06d}", w + ".000500.000001", r.choice(codes)])) for k, w, _ in points]
+    df = spark.createDataFrame([(c,) for c in codes], "wscode string")
+    of_code, pairs = labels.shared_stretches(df, spark.createDataFrame(points, "p_prank long, p_wscode string, p_localcode string"))
+    below = {}
+    for x in pairs.collect():
+        below.setdefault(x.stretch, []).append(x.p_prank)
+    assert all(len(p) == len(set(p)) for p in below.values())
+    at = dict(of_code.collect())
+    for c in codes:
+        assert sorted(below.get(at.get(c), [])) == [k for k, w, pl in points if entered(c, w, pl)]
+    assert set(below) <= set(at.values()) and len(below) <= min(len(codes), 2 * len(points))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_shared_lists_equal_pairs_on_odd_networks(spark, seed):
+    """Lines that carry several codes, points on lines of other codes, missing local codes."""
+    r = random.Random(200 + seed)
+    codes = sorted(set(tree(r, 40)))
+    segments, points = [], []
+    for i in range(150):
+        w = r.choice(codes)
+        dm = float(r.randrange(0, 500, 10))
+        segments.append((i, r.randrange(40), r.randrange(40), dm, dm + 10, 10.0, w, r.choice([w, None, w + ".000300"]), w.replace(".", "-"), f"G{i % 3}"))
+    for k in range(50):
+        w = r.choice(codes)
+        points.append((f"n{k}", r.choice(["FR", "OR", "X"]), "", r.randrange(150), r.randrange(40), float(r.randrange(500)), w,
+                       r.choice([w, None, w + ".000200", w + ".000500"]), "G0"))
+    net = catalogue.Network(spark, segments=spark.createDataFrame(segments, catalogue.schemas.SEGMENTS),
+                            points=spark.createDataFrame(points, catalogue.schemas.PLACED_POINTS))
+    shared, direct = net.stream_list.collect(), net.stream_list_direct.collect()
+    assert len(direct) > 40 and sorted(map(tuple, shared), key=repr) == sorted(map(tuple, direct), key=repr)
