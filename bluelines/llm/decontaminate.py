@@ -7,24 +7,28 @@ whole text once. Every piece hit gives the window where its item would lie; over
 item are merged and verified with Myers' bit-parallel distance.
 
 Items are read in blocks of at most ``BLOCK_CHARS`` characters (an item longer than that is a block of
-its own); each block is handed to the tasks and the documents are scanned once per block, so neither
-the driver nor a task holds more than a block of a large benchmark. Nothing is shuffled.
+its own). One block after the other is handed to the tasks, the documents are scanned, the hits are written, and
+the block is taken back before the next is read, so neither the driver nor an executor holds more than a block of a
+large benchmark. Nothing is shuffled for it.
 
-Edge cases: null or empty texts and items match nothing; short items (e = 0) match exactly; an item id
+Edge cases: very long texts are scanned whole; of equally near occurrences of an item in a text the first is given; an empty
+table of either kind gives no row; null or empty texts and items match nothing; short items (e = 0) match exactly; an item id
 that repeats counts each of its texts; extra columns are not read.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bluelines.llm.bitparallel import best_occurrence, positions
 from bluelines.llm.common import text_batches
+from bluelines.session import materialize
 
 ERROR_RATE = 0.05
 BLOCK_CHARS = 4_000_000
+HASH_BROADCAST_ROWS = 500_000  # 16 bytes each
 HIT = "array<struct<item_id:long,distance:int,end:long>>"
 
 
@@ -119,29 +123,50 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
         yield block
 
 
-def hits(text: Column, block: list[tuple[int, str]], spark) -> Column:
-    text_batches(spark)
-    return _scan(spark.sparkContext.broadcast(block))(text.cast("string"))
+def _scanned(docs: DataFrame, benchmark: DataFrame, text: str, pick, written: list[str] | None) -> list[DataFrame]:
+    """``pick(docs with a column of hits)`` for every block of the benchmark, written before the next block is read."""
+    text_batches(docs.sparkSession)
+    out = []
+    for block in blocks(benchmark):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+        out.append(materialize(pick(docs.withColumn("item hits", _scan(sent)(F.col(text).cast("string")))), "item-hits", written))
+        sent.unpersist()
+    return out
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            written: list[str] | None = None) -> DataFrame:
     """Rows (doc_id, item_id, distance, end_char), one per document row and item that occurs in it; clean
     documents give no row. end_char: where the best occurrence ends in the normalised text."""
-    out = None
-    for block in blocks(benchmark):
-        found = docs.select(F.col(id_col).alias("doc_id"), hits(F.col(text_col), block, docs.sparkSession).alias("h"))
-        found = found.select("doc_id", F.explode("h").alias("h")).select(
-            "doc_id", F.col("h.item_id").alias("item_id"), F.col("h.distance").alias("distance"), F.col("h.end").alias("end_char"))
-        out = found if out is None else out.unionByName(found)
-    if out is None:
+    def pick(scanned):
+        found = scanned.select("doc_id", F.explode("item hits").alias("h"))
+        return found.select("doc_id", F.col("h.item_id").alias("item_id"), F.col("h.distance").alias("distance"), F.col("h.end").alias("end_char"))
+
+    found = _scanned(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), benchmark, "text", pick, written)
+    if not found:
         return docs.select(F.col(id_col).alias("doc_id"), *(F.lit(None).cast(t).alias(c) for c, t in
                            (("item_id", "long"), ("distance", "int"), ("end_char", "long")))).limit(0)
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
     return out
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows in which a test item occurs."""
-    kept = docs
-    for block in blocks(benchmark):
-        kept = kept.where(F.size(hits(docs["text"], block, docs.sparkSession)) == 0)
-    return kept.select(*[docs[c] for c in docs.columns])
+def keep_clean(docs: DataFrame, benchmark: DataFrame, written: list[str] | None = None) -> DataFrame:
+    """``docs`` without the rows in which a test item occurs. The texts with hits are named by two hashes, which are sent to
+    all executors while they are few and joined by shuffle beyond that."""
+    def name(text):
+        return [F.xxhash64(text).alias("hash a"), F.xxhash64(F.lit(1), text).alias("hash b")]
+
+    found = _scanned(docs.select(F.col("text").cast("string").alias("text")), benchmark, "text",
+                     lambda scanned: scanned.where(F.size("item hits") > 0).select(*name(F.col("text"))), written)
+    if not found:
+        return docs
+    dirty = found[0]
+    for f in found[1:]:
+        dirty = dirty.unionByName(f)
+    dirty = materialize(dirty.distinct(), "dirty-texts", written)
+    if dirty.count() <= HASH_BROADCAST_ROWS:
+        dirty = F.broadcast(dirty)
+    a, b = name(docs["text"].cast("string"))
+    return docs.join(dirty, (a == dirty["hash a"]) & (b == dirty["hash b"]), "left_anti").select(*[docs[c] for c in docs.columns])

@@ -10,8 +10,10 @@ similarity of their full sets is at least ``THRESHOLD``.
    with the hub (smallest id) it shares most bands with; signatures are compared in batches and a
    pair is dropped when the posterior chance of reaching the threshold falls below ``MISS``;
    survivors are verified on full sets, and verified links give components.
-4. Band groups that still hold more than one component are cut into blocks of ``BLOCK`` members; each
-   pair of blocks is one task's work. A first pass over signatures names the members that have pairs
+4. Of a band group that still holds more than one component, the members outside of its largest component are
+   compared with all others. Both sides are cut into blocks of ``BLOCK`` members, or of ``BLOCK_ITEMS`` shingles if their
+   sets are large; each pair of blocks with outsiders is one task's work, so the members of a large component are
+   repeated once per block of outsiders, not once per block of the group. A first pass over signatures names the members that have pairs
    across components whose posterior survives; a second pass gets the full sets of just those,
    verifies, and returns only links that join components. A pair that shares several bands is taken
    up in the first. So every banded candidate pair is either pruned by its posterior, verified, or
@@ -19,7 +21,7 @@ similarity of their full sets is at least ``THRESHOLD``.
 
 A pair at the threshold shares no band with chance (1 - 0.75**4)**32 = 5e-6.
 
-Edge cases: a null id is returned with a null component and is kept; rows that repeat an id count as
+Edge cases: a very long text is one set of all its shingles; an empty table gives no row; a null id is returned with a null component and is kept; rows that repeat an id count as
 one document holding each of their sets, so all that is linked with one of them is linked with the
 id; extra columns are not read.
 """
@@ -43,6 +45,7 @@ ROWS, BANDS = 4, 32
 BATCH = 16  # minhashes compared before each look at the posterior
 MISS = 1e-7  # posterior chance of a link at which a pair is given up
 BLOCK = 1024
+BLOCK_ITEMS = 2_000_000  # shingles of a block, 8 bytes each; a larger set is in a block with others of its key by chance only
 ID_BROADCAST_ROWS = 500_000  # ids (8 bytes each) sent to all executors at most; more are joined by shuffle
 SIGNATURES = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sig binary"
 
@@ -126,7 +129,7 @@ def _cross_pairs(part):
     keys = np.array(part["bands"].to_pylist(), np.int64)
     band = part["band"][0].as_py()
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    same = not len(right)
+    same = part["i"][0].as_py() == part["j"][0].as_py()
     for i in left:
         other = left[ids[left] > ids[i]] if same else right[ids[right] != ids[i]]
         other = other[comp[other] != comp[i]]
@@ -203,8 +206,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = materialize(member.select("doc_id", "set_a", "set_b", "rep"), "copies", written)
     gone = member.select("doc_id", "set_a", "set_b").distinct()
     gone = F.broadcast(gone) if gone.count() <= ID_BROADCAST_ROWS else gone
-    stands = full.join(gone, ["doc_id", "set_a", "set_b"], "left_anti").select(F.col("doc_id").alias("id"), "bands", "sig")
-    bands = stands.select("id", F.posexplode("bands").alias("band", "key"))
+    stands = full.join(gone, ["doc_id", "set_a", "set_b"], "left_anti").select(F.col("doc_id").alias("id"), "n_shingles", "bands", "sig")
+    bands = stands.select("id", "n_shingles", F.posexplode("bands").alias("band", "key"))
     groups = bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).where("top > hub").select("key", "hub")
     banded = materialize(bands.join(groups, "key"), "banded", written)
 
@@ -219,12 +222,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = _linked(docs, first, "first", written)
 
     comp = materialize(components(links, "first", written), "first-components", written)
-    open_rows = banded.join(comp, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("comp"))
-    groups = open_rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("size"))
-    groups = groups.where("high > low").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("id"), "blocks").cast("int")
-    cells = open_rows.join(groups, "key").withColumn("own", own)
-    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    open_rows = banded.join(comp, "id", "left").select("key", "band", "id", "n_shingles", F.coalesce("component", "id").alias("comp"))
+    parts = open_rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("items"))
+    main = F.max(F.struct("size", "items", "comp"))
+    groups = parts.groupBy("key").agg(main.alias("main"), F.sum("size").alias("size"), F.sum("items").alias("items")).where("size > main.size")
+
+    def blocks(size, items):
+        return F.ceil(F.greatest(size / BLOCK, items / BLOCK_ITEMS)).cast("int")
+
+    groups = groups.select("key", F.col("main.comp").alias("main"), blocks(F.col("main.size"), F.col("main.items")).alias("inner"),
+                           blocks(F.col("size") - F.col("main.size"), F.col("items") - F.col("main.items")).alias("outer"))
+    inside, spread = F.col("comp") == F.col("main"), F.xxhash64("id")
+    # blocks of the largest component come first; its members meet the blocks of outsiders, those meet every block
+    cells = open_rows.join(groups, "key").withColumn(
+        "own", F.when(inside, F.pmod(spread, "inner")).otherwise(F.col("inner") + F.pmod(spread, "outer")).cast("int"))
+    cells = cells.withColumn("other", F.explode(F.sequence(F.when(inside, F.col("inner")).otherwise(0), F.col("inner") + F.col("outer") - 1)))
     cells = materialize(cells.select("key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                                      (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "comp"), "cells", written)
     payload = _only(stands, materialize(cells.select("id").distinct(), "cell-ids", written))

@@ -86,6 +86,30 @@ def test_blocks_of_items(spark, monkeypatch):
     assert [r.doc_id for r in decontaminate.keep_clean(docs, items_frame(spark, items)).collect()] == [99]
 
 
+def test_one_block_at_a_time(spark, monkeypatch):
+    """The hits of a block are written before the next block is read, for matches and for the filter."""
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 100)
+    events, read, write = [], decontaminate.blocks, decontaminate.materialize
+
+    def blocks(benchmark):
+        for b in read(benchmark):
+            events.append("read")
+            yield b
+
+    def stored(df, name, written=None):
+        events.append(name)
+        return write(df, name, written)
+
+    monkeypatch.setattr(decontaminate, "blocks", blocks)
+    monkeypatch.setattr(decontaminate, "materialize", stored)
+    items = items_frame(spark, [(k, words(12, k)) for k in range(8)])
+    docs = documents(spark, [(i, words(5, 70 + i)) for i in range(5)])
+    for run in (decontaminate.matches, decontaminate.keep_clean):
+        events.clear()
+        run(docs, items)
+        assert events[:6] == ["read", "item-hits"] * 3
+
+
 def test_empty_tables(spark):
     none, docs = items_frame(spark, []), documents(spark, [(1, "text")])
     assert decontaminate.matches(docs, none).columns == ["doc_id", "item_id", "distance", "end_char"]

@@ -2,6 +2,8 @@ import re
 
 from helpers import documents, words
 
+from pyspark.sql import functions as F
+
 from bluelines.llm import near_dedup
 
 
@@ -57,6 +59,29 @@ def test_block_grid_equals_brute_force(spark, monkeypatch):
     assert rows_of(near_dedup.near_duplicates(documents(spark, rows))) == brute(rows)
 
 
+def test_blocks_by_size_of_sets_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_ITEMS", 150)
+    base = words(60, 3)
+    rows = [(i, edited(base, 1 + i % 4, i)) for i in range(80)]
+    assert rows_of(near_dedup.near_duplicates(documents(spark, rows))) == brute(rows)
+
+
+def test_few_outsiders_of_a_large_group(spark, monkeypatch):
+    """A group of near copies over many blocks with some texts that only share bands with it: its members meet the outsiders,
+    not each other."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 10)
+    base = words(60, 3)
+    rows = [(i, edited(base, i % 2, i)) for i in range(150)] + [(500 + i, edited(base, 5 + i % 4, i)) for i in range(12)]
+    written = []
+    got = rows_of(near_dedup.near_duplicates(documents(spark, rows), written=written))
+    assert got == brute(rows)
+    cells = spark.read.parquet(next(w for w in written if "-cells-" in w))
+    for r in cells.groupBy("key").agg(F.countDistinct("id").alias("members"), F.count(F.lit(1)).alias("rows"), F.countDistinct("i", "j").alias("cells"),
+                                      F.collect_set(F.struct("i", "j")).alias("pairs")).collect():
+        most = r.members // 10 + 2  # blocks of the group: all pairs of them would take members * most rows
+        assert r.rows < r.members * most / 2 or r.members <= 40
+
+
 def test_repeated_rows_and_ids(spark):
     rows = [(1, words(20, 1)), (1, words(20, 1)), (1, words(20, 2)), (5, words(20, 2)), (6, words(20, 3))]
     got = rows_of(near_dedup.near_duplicates(documents(spark, rows)))
