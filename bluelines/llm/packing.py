@@ -27,12 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bluelines.llm.common import in_chunks, text_batches
-from bluelines.llm.word_ids import CHUNK, with_end, word_ids
+from bluelines.llm.word_ids import with_end, word_ids
 from bluelines.session import materialize
 
 CAPACITY = 4096
 END_ID = 1
 OPEN = 512
+CHUNK, KNOWN_WORDS = 4 << 20, 400_000  # bytes of text encoded together, words kept by a worker
 FAN = 8
 NODE_BITS = 34  # a sequence id is (level, node, number of the bin there)
 LEVEL_BITS = 58
@@ -103,7 +104,7 @@ def pieces(keys: list, ids: np.ndarray, sizes: np.ndarray, capacity: int):
 
 def _stream(tokenizer: str, end_id: int, capacity: int, most: int):
     def run(batches):
-        enc, node, bins = word_ids(tokenizer), TaskContext.get().partitionId(), Bins(capacity, most)
+        enc, node, bins = word_ids(tokenizer, KNOWN_WORDS), TaskContext.get().partitionId(), Bins(capacity, most)
         for batch in batches:
             for a, b in in_chunks(batch.column(1), CHUNK):
                 ids, sizes = with_end(*enc.encode(batch.column(1)[a:b]), end_id)

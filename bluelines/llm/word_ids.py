@@ -27,10 +27,10 @@ class WordIds:
     MARKED = re.compile(r"([a-zß-öø-ÿ]+)([.,;:?!])")  # the mark is a word of its own to the tokenizer
     PROBE = "The ähnlich Éa, 'twas it's naïve x9 thing's <end> stion! eau; eau mentlevi."
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known_words: int = KNOWN_WORDS):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.known_words = Tokenizer.from_file(path), known_words
         # for plain words normalizing and the pattern of words change nothing, so a short way does
         self.short = Tokenizer(self.tokenizer.model)
         self.short.pre_tokenizer = pre_tokenizers.Sequence([
@@ -58,7 +58,7 @@ class WordIds:
         first, count, met = self.first[kept], self.count[kept], self.met[kept]
         ids = self._gather(first, count)
         self._forget()
-        if 2 * len(kept) <= KNOWN_WORDS:
+        if 2 * len(kept) <= self.known_words:
             self._store([words[k] for k in kept], ids, count)
             self.met[:len(kept)] = met // 2
 
@@ -120,11 +120,11 @@ class WordIds:
         split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
-        if len(self.slot) > KNOWN_WORDS:
+        if len(self.slot) > self.known_words:
             self._make_room()
         new = [w for w in words if w not in self.slot]
         for k in range(0, len(new), NEW_WORDS):
-            self._learn([w for w in new[k:k + NEW_WORDS] if w not in self.slot])
+            self._learn([w for w in new[k:k + NEW_WORDS] if w not in self.slot] if k else new[:NEW_WORDS])
         distinct = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
         self.met[distinct] += 1
         slots = distinct[coded.indices.to_numpy()]
@@ -141,8 +141,8 @@ class WordIds:
 
 
 @lru_cache(2)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, known_words: int = KNOWN_WORDS) -> WordIds:
+    return WordIds(path, known_words)
 
 
 def with_end(ids: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
