@@ -23,11 +23,10 @@ repeated rows give repeated results; extra columns are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from functools import lru_cache
 from itertools import groupby
-from math import log2
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -81,21 +80,40 @@ def _compressors(model: tuple[tuple[str, bytes], ...]):
     return out
 
 
+def _codes(data: bytes, n: int) -> np.ndarray:
+    """Numbers of all stretches of ``n`` bytes, by their end; different for every stretch up to six bytes."""
+    x = np.frombuffer(data, np.uint8).astype(np.int64)
+    if len(x) < n:
+        return np.zeros(0, np.int64)
+    code = np.full(len(x) - max(n, 1) + 1, n << 48, np.int64)
+    for j in range(n):
+        code += x[n - 1 - j:len(x) - j] << 8 * j
+    return code
+
+
 @lru_cache(2)
-def _grams(model: tuple[tuple[str, bytes], ...]) -> list[Counter]:
-    """Counts of all stretches of up to ``GRAM`` bytes of each dictionary; the empty one counts its bytes."""
-    return [Counter(d[k:k + n] for n in range(GRAM + 1) for k in range(len(d) - max(n, 1) + 1)) for _, d in model]
+def _grams(model: tuple[tuple[str, bytes], ...]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Numbers and counts of all stretches of up to ``GRAM`` bytes of each dictionary; the empty one counts its bytes."""
+    found = [np.unique(np.concatenate([_codes(d, n) for n in range(GRAM + 1)]), return_counts=True) for _, d in model]
+    return [(codes, counts.astype(np.int32)) for codes, counts in found]
 
 
-def _bits(data: bytes, counts: Counter) -> float:
+def _bits(data: bytes, grams: tuple[np.ndarray, np.ndarray]) -> float:
     """Code length of ``data`` between two spaces."""
-    data, bits = b" " + data + b" ", 0.0
-    for k in range(1, len(data)):
-        p = 1 / 256
-        for n in range(min(k + 1, GRAM)):
-            p = (counts[data[k - n:k + 1]] + PRIOR * p) / (counts[data[k - n:k]] + PRIOR)
-        bits -= log2(p)
-    return bits
+    data = b" " + data + b" "
+
+    def counts(codes):
+        at = np.minimum(np.searchsorted(grams[0], codes), len(grams[0]) - 1)
+        return np.where(grams[0][at] == codes, grams[1][at], 0)
+
+    p = np.full(len(data), 1 / 256)
+    for n in range(GRAM):
+        first = max(n, 1)  # the places with n bytes before them
+        if first < len(data):
+            gram = _codes(data, n + 1)[first - n:]
+            context = _codes(data, n)[:len(gram)]
+            p[first:] = (counts(gram) + PRIOR * p[first:]) / (counts(context) + PRIOR)
+    return float(-np.log2(p[1:]).sum())
 
 
 def classify(text: str | None, model: tuple[tuple[str, bytes], ...]) -> tuple[str, float, float]:

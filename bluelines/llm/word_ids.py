@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK = 2 << 20  # bytes of text encoded together
-KNOWN_WORDS = 250_000  # beyond these the words met in one chunk only are forgotten
+KNOWN_WORDS = 180_000  # beyond these the words met in one chunk only are forgotten
 NEW_WORDS = 8_000  # new words encoded together
 
 

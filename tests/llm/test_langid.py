@@ -62,3 +62,19 @@ def test_number_signs_are_no_letters(spark):
     docs = documents(spark, rows)
     assert {r.lang_pred for r in langid.identify(docs).where("doc_id >= 100").collect()} == {"und"}
     assert langid.keep_known(docs).where("doc_id >= 100").count() == 0
+
+
+def test_code_length_against_plain_counts():
+    from math import log2
+
+    d = b"some words and more words " * 7
+    grams = langid._grams((("a", d),))[0]
+    seen = lambda x: sum(d[k:k + len(x)] == x for k in range(len(d) - max(len(x), 1) + 1))
+    for text in (b"words", b"x", b"more and", "ä".encode()):
+        data, want = b" " + text + b" ", 0.0
+        for k in range(1, len(data)):
+            p = 1 / 256
+            for n in range(min(k + 1, langid.GRAM)):
+                p = (seen(data[k - n:k + 1]) + langid.PRIOR * p) / (seen(data[k - n:k]) + langid.PRIOR)
+            want -= log2(p)
+        assert abs(langid._bits(text, grams) - want) < 1e-9
