@@ -90,6 +90,8 @@ def shared_stretches(codes: DataFrame, points: DataFrame, written: list[str] | N
     covers = numbered.where("kind <> 1").groupBy("point").agg(F.min("stretch").alias("_before"), F.max("stretch").alias("_last"))
     covers = covers.where("_last > _before")
     pairs = opened.drop("begin", "end").join(covers, point == F.col("point")).drop("point")
+    # few bytes that fan out: spread over all shuffle partitions, which an exchange of its own would coalesce by size
+    pairs = pairs.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), "p_prank")
     pairs = pairs.select(*points.columns, F.explode(F.sequence(F.col("_before") + 1, F.col("_last"))).alias("stretch"))
     at = numbered.where("kind = 1").select(F.col("place").alias("_place"), "stretch")
     of_code = placed.where("kind = 0").join(at, F.col("place") == F.col("_place")).select(F.col("code").alias("wscode"), "stretch")

@@ -64,12 +64,22 @@ def test_group_read_prunes_partitions(spark):
 
 
 def test_fan_out_repartition_survives(spark):
-    """The explicit repartition of the distinct codes stays in the plan even when the shuffle
-    partition count equals the default parallelism (as in this test session)."""
+    """The explicit repartition of the points before they are spread over their stretches stays in the plan even when the
+    shuffle partition count equals the default parallelism (as in this test session)."""
+    from bluelines.operators.labels import shared_stretches
+
     assert spark.conf.get("spark.sql.shuffle.partitions") == str(spark.sparkContext.defaultParallelism)
     n = catalogue.network(spark, SF_SMALL)
-    p = n.stream_list._jdf.queryExecution().executedPlan().toString()
-    assert "REPARTITION_BY_NUM" in p
+    points = n.kpoints.where("startswith(_pk, 'w:')")
+    _, pairs = shared_stretches(n.segments.select("wscode").distinct(), points)
+    assert "REPARTITION_BY_NUM" in plan(pairs)
+
+
+def test_lists_read_stored_parts(spark):
+    """Pieces carry the number of a stretch; finished texts and entries are joined on it."""
+    lists = catalogue.network(spark, SF_SMALL).stream_list
+    read = {f.split("bluelines-")[-1].split("/")[0].rsplit("-", 1)[0] for f in lists.inputFiles()}
+    assert read == {"list-parts", "inherited-lists"} and "Generate" not in plan(lists)
 
 
 def test_snapping_prunes_before_grouping_vertices(spark):
@@ -94,5 +104,6 @@ def test_breaking_joins_on_line_and_bucket(spark):
 
 
 def test_counts_per_code_before_points(spark):
+    """Points are joined with one count per code, which comes from the order of codes: no row per prefix."""
     p = plan(catalogue.QUERIES["code_descendant"](spark, SF_SMALL))
-    assert p.index("Join") < p.index("HashAggregate") and "Generate explode" in p
+    assert p.index("Join") < p.index("HashAggregate") and "Generate" not in p
