@@ -52,3 +52,11 @@ def break_lines(work: DataFrame, bps: DataFrame, gap: float = MIN_END_DISTANCE)
                          *keep, "piece_index", "parent_stream_id",
                          F.col("se")["s"].alias("downstream_route_measure"), F.col("se")["e"].alias("upstream_route_measure"))
     return first_per_key(parts, ["segmented_stream_id"], [F.col("piece_index") > 0, "linear_feature_id", "piece_index"])
+
+
+def whole_pieces(work: DataFrame) -> DataFrame:
+    """The pieces of segments without cuts, one per key already: each is its segment."""
+    key = piece_key(F.col("blue_line_key"), F.col("downstream_route_measure"))
+    keep = [c for c in work.columns if c not in ("downstream_route_measure", "upstream_route_measure")]
+    return work.select(key.alias("segmented_stream_id"), *keep, F.lit(0).alias("piece_index"), key.alias("parent_stream_id"),
+                       "downstream_route_measure", "upstream_route_measure")

@@ -64,7 +64,7 @@ def with_list_columns(df: DataFrame, pts: str = "pts") -> DataFrame:
 
 
 def _shared_parts(main: DataFrame, kpoints: DataFrame, attrs: list[str], tolerance: float,
-                  written: list[str] | None) -> tuple[DataFrame, DataFrame]:
+                  written: list[str] | None, flag: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Per piece its ``direct`` entries (points on its own line or code, unsorted), ``own`` (it lies above a point of its own
     line by code, too) and a reference ``stretch`` to the list that its code inherits; and those lists, one row each:
     ``inherited`` (sorted), ``inherited_lines`` (their flow lines), ``inh_ids``, ``inh_primary``, ``inh_secondary``."""
@@ -82,17 +82,29 @@ def _shared_parts(main: DataFrame, kpoints: DataFrame, attrs: list[str], toleran
         "notation_id_list": "inh_ids", "secondary_notation_types": "inh_secondary"})
     listed = listed.withColumn("inh_primary", F.col("_first")).drop("_first", "primary_notation_type")
     listed = materialize(listed, "inherited-lists", written)
-    # every piece kept (left join), pairs aggregated where the pieces already are: the line table is shuffled by line id once
+    # every piece kept (left join). Few lines hold points: their pieces meet points by line and by code, the others by code alone,
+    # where they also find their stretch, so they are shuffled once, by code
     keys = list(dict.fromkeys([*attrs, "blue_line_key", "wscode", "localcode"]))
+    main = main.select(*dict.fromkeys([*keys, "downstream_route_measure", *([flag] if flag else [])]))
+    if flag is None:
+        flag = "_flag"
+        lines = kpoints.where(F.col("p_blue_line_key").isNotNull()).select(F.col("p_blue_line_key").alias("_pblk")).distinct()
+        main = main.join(lines, F.col("blue_line_key") == F.col("_pblk"), "left").withColumn(flag, F.col("_pblk").isNotNull()).drop("_pblk")
+        main = materialize(main, "flagged", written)
     up, w = upstream.upstream_residual(tolerance), F.col("wscode")
     pw, pl = F.col("p_wscode"), F.col("p_localcode")
     own = F.coalesce(F.col("_kb") & upstream.is_within(w, pw) & upstream.enters_above(w, pw, pl, upstream.is_within(w, pl)), F.lit(False))
-    direct = (upstream.keyed_lines(main.repartition("linear_feature_id"), "direct")
+    entries = F.collect_list(F.when(F.col("_up"), point_entry())).alias("direct")
+    tagged = (upstream.keyed_lines(main.where(F.col(flag)).drop(flag), "direct")
               .join(kpoints, (F.col("_k") == F.col("_pk")) & (up | own), "left")
               .withColumns({"_up": up & F.col("p_prank").isNotNull(), "_own": own & F.col("p_prank").isNotNull()})
-              .groupBy(*keys).agg(F.collect_list(F.when(F.col("_up"), point_entry())).alias("direct"), F.max("_own").alias("own")))
-    parts = direct.join(of_code.withColumnRenamed("wscode", "_code"), (w == F.col("_code")) & F.col("localcode").isNotNull(), "left")
-    return materialize(parts.drop("_code"), "list-parts", written), listed
+              .groupBy(*keys).agg(entries, F.max("_own").alias("own")))
+    on_code = (F.col("blue_line_key") != F.col("p_blue_line_key")) & upstream.on_code_above(w, F.col("localcode"), pw, pl)
+    coded = (main.where(~F.col(flag)).drop(flag).repartition("wscode").join(points, (w == pw) & on_code, "left")
+             .withColumn("_up", F.col("p_prank").isNotNull()).groupBy(*keys).agg(entries, F.lit(False).alias("own")))
+    code = of_code.withColumnRenamed("wscode", "_code")
+    parts = [x.join(code, (w == F.col("_code")) & F.col("localcode").isNotNull(), "left").drop("_code") for x in (tagged, coded)]
+    return materialize(parts[0].unionByName(parts[1]), "list-parts", written), listed
 
 
 def _merged(j: DataFrame) -> F.Column:
@@ -123,11 +135,13 @@ def shared_lists(main: DataFrame, kpoints: DataFrame, attrs: list[str], toleranc
     return j.select(*attrs, _merged(j).alias("pts")).where(F.size("pts") > 0)
 
 
-def shared_list_columns(main: DataFrame, kpoints: DataFrame, attrs: list[str], tolerance: float, written: list[str] | None = None) -> DataFrame:
+def shared_list_columns(main: DataFrame, kpoints: DataFrame, attrs: list[str], tolerance: float, written: list[str] | None = None,
+                        flag: str | None = None) -> DataFrame:
     """``attrs`` + the output columns (id list, primary type, secondary types) of every piece with
     at least one point downstream. A piece whose list is exactly the inherited one (the common case) carries a number only
-    and takes the finished texts at the end; only the others meet the entries and merge them."""
-    parts, listed = _shared_parts(main, kpoints, attrs, tolerance, written)
+    and takes the finished texts at the end; only the others meet the entries and merge them. ``flag``: a column of ``main`` that
+    tells whether a point lies on the line (found here, if not given)."""
+    parts, listed = _shared_parts(main, kpoints, attrs, tolerance, written, flag)
     plain = F.col("stretch").isNotNull() & (F.size("direct") == 0) & ~F.col("own")
     texts = listed.select("stretch", F.col("inh_ids").alias("notation_id_list"), F.col("inh_primary").alias("primary_notation_type"),
                           F.col("inh_secondary").alias("secondary_notation_types"))

@@ -155,43 +155,96 @@ def upstream_pairs(lines: DataFrame, kpoints: DataFrame, tolerance: float = TOLE
     return line_point_pairs(lines, kpoints, upstream_residual(tolerance))
 
 
-def _entering(segments: DataFrame, kpoints: DataFrame, written: list[str] | None) -> DataFrame:
-    """Segments that case 3 of D-UP gives: their code lies above a point of another flow line. The number of such points
-    comes per distinct code (``labels.codes_entered``); those on the segment's own line are taken off."""
-    points = kpoints.where(F.startswith("_pk", F.lit("w:")))
-    codes = materialize(segments.where(F.col("localcode").isNotNull()).select("wscode").distinct(), "codes", written)
+def _entered(ties: DataFrame, points: DataFrame, written: list[str] | None) -> DataFrame:
+    """The (line, code) rows of ``ties`` that case 3 of D-UP gives: the code lies above a point of another flow line. The number
+    of such points comes per distinct code (``labels.codes_entered``); those on the line itself are taken off."""
+    codes = materialize(ties.where("has_local").select("wscode").distinct(), "codes", written)
     entered = codes_entered(codes, points, written).withColumnRenamed("wscode", "_code")
-    hit = segments.where(F.col("localcode").isNotNull()).join(entered, F.col("wscode") == F.col("_code")).drop("_code")
-    w, pw, pl = F.col("wscode"), F.col(P + "wscode"), F.col(P + "localcode")
+    blk, w, pw, pl = F.col("blue_line_key"), F.col("wscode"), F.col(P + "wscode"), F.col(P + "localcode")
     above = is_within(w, pw) & enters_above(w, pw, pl, is_within(w, pl))
-    own = (hit.select("linear_feature_id", "blue_line_key", "wscode")
-           .join(points, (F.col("blue_line_key") == F.col(P + "blue_line_key")) & (w != pw) & above)
-           .groupBy(F.col("linear_feature_id").alias("_own")).agg(F.count(F.lit(1)).alias("_n")))
-    hit = hit.join(own, F.col("linear_feature_id") == F.col("_own"), "left")
-    return hit.where(F.col("n_points") > F.coalesce("_n", F.lit(0))).drop("n_points", "_own", "_n")
+    own = (ties.where("has_local").join(points, (blk == F.col(P + "blue_line_key")) & (w != pw) & above)
+           .groupBy(blk.alias("_ob"), w.alias("_ow")).agg(F.count(F.lit(1)).alias("_n")))
+    hit = ties.where("has_local").select(blk, w).join(entered, w == F.col("_code")).drop("_code")
+    hit = hit.join(own, (blk == F.col("_ob")) & (w == F.col("_ow")), "left")
+    return hit.where(F.col("n_points") > F.coalesce("_n", F.lit(0))).select(blk, w, F.lit(True).alias("entered"))
+
+
+def _on_codes(ties: DataFrame, points: DataFrame) -> DataFrame:
+    """The rows of ``ties`` whose code holds a point, with ``code_min``: the lowest local code of those on other flow lines
+    (the lowest of the code, or, on the line that has it, the lowest of its other lines)."""
+    pw, pb, pl = F.col(P + "wscode"), F.col(P + "blue_line_key"), F.col(P + "localcode")
+    lowest = points.where(pw.isNotNull()).groupBy(pw.alias("_c"), pb.alias("_b")).agg(F.min(pl).alias("_l"))
+    placed = lowest.where(F.col("_b").isNotNull() & F.col("_l").isNotNull())
+    first = placed.groupBy("_c").agg(F.min(F.struct("_l", "_b")).alias("_f")).select(F.col("_c").alias("_c1"), F.col("_f._l").alias("_l1"), F.col("_f._b").alias("_b1"))
+    second = (placed.join(first, (F.col("_c") == F.col("_c1")) & (F.col("_b") != F.col("_b1"))).groupBy(F.col("_c").alias("_c2"))
+              .agg(F.min("_l").alias("_l2")))
+    codes = (lowest.select("_c").distinct().join(first, F.col("_c") == F.col("_c1"), "left")
+             .join(second, F.col("_c") == F.col("_c2"), "left"))
+    blk = F.col("blue_line_key")
+    other = F.when(blk != F.col("_b1"), F.col("_l1")).when(blk == F.col("_b1"), F.col("_l2"))
+    return ties.join(codes, F.col("wscode") == F.col("_c")).select("blue_line_key", "wscode", other.alias("code_min"), F.lit(True).alias("on_code"))
+
+
+_LINE = "_line"  # the line of a segment, never null: rows of a line are brought together by it
+_NO_LINE = -(2**63)
 
 
 def reached_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE, others: bool = True,
                   written: list[str] | None = None) -> DataFrame:
     """Segments upstream of a point and, with ``others``, those that hold one and unplaceable side channels with a
-    point's code; a segment may come up to three times. Two semi joins and no pairs: a tag row for the line and one for
-    the code, each of which stops at its first matching point, and the codes entered above a point by their order."""
-    cond = upstream_residual(tolerance)
+    point's code, each once."""
+    return _reached(segments, kpoints, tolerance, others, written).drop(_LINE)
+
+
+def _reached(segments: DataFrame, kpoints: DataFrame, tolerance: float, others: bool, written: list[str] | None,
+             flag: str | None = None) -> DataFrame:
+    """``reached_lines`` with ``_line``; ``flag`` names a boolean to be added: a point lies on the line.
+
+    No pairs: what the points ask of a segment depends on its line and code alone. On a line the lowest point decides (a
+    segment that starts below it holds a point only if it holds this one), on a code the lowest local code of another line,
+    above a code the order of codes. So the distinct (line, code) ties meet the points, and every segment is shuffled
+    once, by its line, to the ties that a point concerns."""
+    blk, w, lc = F.col("blue_line_key"), F.col("wscode"), F.col("localcode")
+    dm, um = F.col("downstream_route_measure"), F.col("upstream_route_measure")
+    points = kpoints.where(F.startswith("_pk", F.lit("w:")))
+    lines = (kpoints.where(F.col(P + "blue_line_key").isNotNull()).groupBy(F.col(P + "blue_line_key").alias("blue_line_key"))
+             .agg(F.min(P + "downstream_route_measure").alias("line_min"), F.lit(True).alias("on_line")))
+    ties = segments.groupBy("blue_line_key", "wscode").agg(F.max(lc.isNotNull()).alias("has_local"))
+    ties = materialize(ties, "ties", written)
+    empty = {"line_min": "double", "on_line": "boolean", "code_min": "string", "on_code": "boolean", "entered": "boolean"}
+
+    def column(df):  # the ties that one kind of point concerns, with the columns of all kinds
+        return df.select("blue_line_key", "wscode", *[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in empty.items()])
+
+    asked = (column(ties.join(lines, "blue_line_key")).unionByName(column(_on_codes(ties, points)))
+             .unionByName(column(_entered(ties, points, written))))
+    asked = asked.groupBy("blue_line_key", "wscode").agg(*[F.max(c).alias(c) for c in empty])
+    line = F.coalesce(blk, F.lit(_NO_LINE))
+    asked = asked.select(line.alias("_asked"), blk.alias("_b"), w.alias("_w"), *empty)
+    # joined on the line alone (a line has few codes), so that rows of a line stay together for what follows
+    same = lambda a, b: F.coalesce(a == b, a.isNull() & b.isNull())
+    here = (F.col(_LINE) == F.col("_asked")) & same(blk, F.col("_b")) & same(w, F.col("_w"))
+    low = F.col("line_min")
+    hit = F.coalesce(on_line_above(dm, low, tolerance), F.lit(False)) | F.coalesce(lc >= F.col("code_min"), F.lit(False)) | (
+        lc.isNotNull() & F.coalesce("entered", F.lit(False)))
     if others:
-        cond = cond | on_segment_residual() | side_candidate_residual()
-    direct = keyed_lines(segments, "direct").join(kpoints, (F.col("_k") == F.col("_pk")) & cond, "left_semi").drop(*HELPERS)
-    return direct.unionByName(_entering(segments, kpoints, written).select(direct.columns))
+        channel = lc.isNull() & F.coalesce("on_code", F.lit(False)) & (blk != F.col("watershed_key"))
+        hit = hit | F.coalesce((low >= dm) & (low < um), F.lit(False)) | F.coalesce(channel, F.lit(False))
+    added = [F.coalesce("on_line", F.lit(False)).alias(flag)] if flag else []
+    return segments.withColumn(_LINE, line).join(asked, here).where(hit).select(*segments.columns, _LINE, *added)
 
 
 def upstream_lines(lines: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE, written: list[str] | None = None) -> DataFrame:
     """Line rows with at least one point downstream (a semi join: ``select distinct`` over the
     pair join without building the pairs)."""
-    return reached_lines(lines, kpoints, tolerance, False, written).distinct()
+    return _reached(lines, kpoints, tolerance, False, written).distinct().drop(_LINE)
 
 
-def work_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE, written: list[str] | None = None) -> DataFrame:
+def work_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE, written: list[str] | None = None,
+               flag: str | None = None) -> DataFrame:
     """Segments to work on (``reached_lines``). One row per piece key stays (segments of a line with the same start: the
-    smallest id), which also folds the rows of one segment."""
+    smallest id). The key names the line, so the rows of a line are reduced where they are."""
     key = piece_key(F.col("blue_line_key"), F.col("downstream_route_measure"))
-    hit = reached_lines(segments, kpoints, tolerance, True, written)
-    return first_per_key(hit.withColumn("_key", key), ["_key"], ["linear_feature_id"]).drop("_key")
+    hit = _reached(segments, kpoints, tolerance, True, written, flag)
+    return first_per_key(hit.withColumn("_key", key), [_LINE, "_key"], ["linear_feature_id"]).select(
+        *segments.columns, *([flag] if flag else []))

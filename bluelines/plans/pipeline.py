@@ -120,20 +120,35 @@ class Network:
     WORK_COLS = ["linear_feature_id", "blue_line_key", "watershed_key", "downstream_route_measure",
                  "upstream_route_measure", "wscode", "localcode", "fwa_watershed_code", "watershed_group_code"]
 
+    ON_POINT_LINE = "on_point_line"  # whether a point lies on the row's line
+
     @cached_property
-    def work(self) -> DataFrame:
+    def flagged_work(self) -> DataFrame:
         """Segments upstream of a point, holding one, or unplaceable channels with a point's code;
-        only the columns the later stages read."""
-        return upstream.work_lines(self.segments.select(*self.WORK_COLS), self.kpoints, self.tolerance, self.written)
+        only the columns the later stages read, and whether a point lies on the line (materialised)."""
+        return materialize(upstream.work_lines(self.segments.select(*self.WORK_COLS), self.kpoints, self.tolerance, self.written,
+                                               self.ON_POINT_LINE), "work", self.written)
+
+    @cached_property
+    def work(self) -> DataFrame:
+        return self.flagged_work.drop(self.ON_POINT_LINE)
 
     @cached_property
     def breakpoints(self) -> DataFrame:
         return materialize(breaking.breakpoints(self.points), "breakpoints", self.written)
 
+    @cached_property
+    def flagged_pieces(self) -> DataFrame:
+        """Work segments cut at the points. Only lines that hold points have cuts, and a key names its line, so only
+        their pieces are shuffled and written; the other segments are read as they were stored."""
+        work, here = self.flagged_work, F.col(self.ON_POINT_LINE)
+        cut = breaking.break_lines(work.where(here), self.breakpoints)
+        cut = materialize(cut, "pieces", self.written)
+        return breaking.whole_pieces(work.where(~here)).unionByName(cut)
+
     @cached_property
     def pieces(self) -> DataFrame:
-        """Work segments cut at the points (materialised: read by both list builders)."""
-        return materialize(breaking.break_lines(self.work, self.breakpoints), "pieces", self.written)
+        return self.flagged_pieces.drop(self.ON_POINT_LINE)
 
     def main_pairs(self) -> DataFrame:
         # the small piece table is shuffled by line id once; pairing (broadcast join) and the
@@ -150,8 +165,8 @@ class Network:
     def stream_list(self) -> DataFrame:
         """Per piece with a local code: the ordered list of the points downstream of it; the part
         inherited from ancestor codes is built once for all codes above the same points (``lists.shared_lists``)."""
-        main = self.pieces.where(F.col("localcode").isNotNull())
-        out = lists.shared_list_columns(main, self.kpoints, PIECE_ATTRS, self.tolerance, self.written)
+        main = self.flagged_pieces.where(F.col("localcode").isNotNull())
+        out = lists.shared_list_columns(main, self.kpoints, PIECE_ATTRS, self.tolerance, self.written, self.ON_POINT_LINE)
         return out.select("segmented_stream_id", *OUTPUT_COLS, "watershed_group_code")
 
     @cached_property
@@ -162,7 +177,7 @@ class Network:
     # ---- side channels ------------------------------------------------------------------
     @cached_property
     def positions(self) -> DataFrame:
-        return sidechannels.line_positions(self.points, self.pieces, self.written)
+        return sidechannels.line_positions(self.points, self.flagged_pieces.where(self.ON_POINT_LINE), self.written)
 
     @cached_property
     def starts(self) -> DataFrame:

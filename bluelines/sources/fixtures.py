@@ -41,19 +41,20 @@ def network(t: Tables) -> DataFrame:
     m = (li.withColumn("um", F.sum(F.col("q") * 10).over(run))
            .withColumn("dm", F.col("um") - F.col("q") * 10))
 
-    region_code = (F.col("n_regionkey") + 100).cast("string")
-    nation_label = F.lpad((F.col("n_nationkey") * 100).cast("string"), 6, "0")
+    # the labels are joined as numbers and short texts; codes are spelled out once the segments are together
+    nations = t.nation.select("n_nationkey", (F.col("n_regionkey") + 100).cast("string").alias("region_code"),
+                              F.lpad((F.col("n_nationkey") * 100).cast("string"), 6, "0").alias("nation_label"))
+    first = t.orders.groupBy(F.col("o_custkey").alias("_ck")).agg(F.min("o_orderkey").alias("watershed_key"))
+    streams = (t.customer.select("c_custkey", "c_nationkey").join(nations.where(F.col("region_code").isNotNull()), F.col("c_nationkey") == F.col("n_nationkey"))
+               .join(first, F.col("c_custkey") == F.col("_ck")).drop("_ck", "c_nationkey"))
+    o = (t.orders.select(F.col("o_orderkey").alias("ok"), "o_custkey", F.col("o_orderpriority").alias("priority"))
+         .join(streams, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey"))
     customer_labels = F.regexp_replace(F.col("c_custkey").cast("string"), r"([0-9])", r".$1$1$1$1$1$1")
-    o = (t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
-         .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-         .join(t.nation.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
-         .select(F.col("o_orderkey").alias("ok"), F.col("o_orderpriority").alias("priority"),
-                 F.col("n_nationkey").alias("nk"),
-                 F.concat(region_code, F.lit("."), nation_label, customer_labels).alias("wscode")))
-    k = o.groupBy("wscode").agg(F.min("ok").alias("watershed_key"))
+    code = F.concat("region_code", F.lit("."), "nation_label", customer_labels)
 
     dm_label = F.lpad((F.col("dm") * 200).cast("int").cast("string"), 6, "0")
-    return (m.join(o, "ok").join(k, "wscode")
+    # the lines stay where their measures were laid out: the segments are shuffled once, as order, number and quantity
+    return (m.join(o, "ok").withColumn("wscode", code)
             .select((F.col("ok") * 10 + F.col("ln")).alias("linear_feature_id"),
                     F.col("ok").alias("blue_line_key"),
                     "watershed_key",
@@ -65,11 +66,8 @@ def network(t: Tables) -> DataFrame:
                      .when(F.col("dm") == 0, F.col("wscode"))
                      .otherwise(F.concat_ws(".", "wscode", dm_label)).alias("localcode"),
                     F.regexp_replace("wscode", r"\.", "-").alias("fwa_watershed_code"),
-                    F.concat(F.lit("W"), F.lpad(F.col("nk").cast("string"), 3, "0")).alias("watershed_group_code"),
-                    "priority")
-            # laid out by segment id, as a stored network table is spread over many files (the
-            # last join may broadcast and inherit the partitioning of a single small input file)
-            .repartition("linear_feature_id"))
+                    F.concat(F.lit("W"), F.lpad(F.col("n_nationkey").cast("string"), 3, "0")).alias("watershed_group_code"),
+                    "priority"))
 
 
 def _notation_type(priority: F.Column) -> F.Column:
