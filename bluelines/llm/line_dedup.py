@@ -12,17 +12,19 @@ only if equal. Linked and equal lines form classes.
    the segment. Segments and substrings become 64-bit keys of (length, segment number, content).
    Longer lines: the segments are windows of ``WINDOW`` characters that do not overlap, one more than a
    partner can have edits, and a line looks up all its windows. Which windows count is told by their own
-   content, so that an unchanged one counts in both lines: those that start with a space and a hash of
-   even value; for a line with too few of them apart, also all that start with a space; and if these are
-   too few, all. Keys hold the length class (ratio ``STEP``) of the line and of its longest partner.
-2. A key is open if different lines have it, one of them as a segment. Of lines with open keys the first
-   occurrence is read again, from the documents that hold it.
+   content, so that an unchanged one counts in both lines: those that start with a space and, by a hash, one in
+   three; for a line with too few of them apart, also one in two, then all that start with a space; and if
+   these are too few, all. Keys hold the length class (ratio ``STEP``) of the line, those of segments also the
+   classes of its shortest and longest partner.
+2. A key is open if different lines have it, one of them as a segment; of keys with the same lines one stays. Of
+   lines with open keys the first occurrence is read again, from the documents that hold it.
 3. The lines of an open key are cut into blocks of ``BLOCK``; each pair of blocks is one task's work, where
-   pairs are verified with banded bit-parallel edit distance, in the first key that they share. A
-   task returns how many links each line has, and only as many links as join its components.
+   pairs that lengths and counts of neighbouring characters do not rule out are verified with banded bit-parallel
+   edit distance, in the first key that they share. A task returns how many links each line has, and only as many
+   links as join its components.
 
-No pairs are shuffled, no group of lines meets in one task, nothing is capped. Keys of equal lines are
-combined before the shuffle.
+No pairs are shuffled, no group of lines meets in one task, nothing is capped. Keys of equal lines of a chunk
+are combined before the shuffle.
 
 Edge cases: blank lines belong to no class (null) and are kept; null and empty texts and null ids
 have lines of their own like any other (a null text has none); rows that repeat an id count as
@@ -35,7 +37,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bluelines.llm.bitparallel import banded_distance
@@ -48,9 +50,11 @@ RATE = 40
 SHORT = 20
 WINDOW = 16
 LONG = (EDITS + 1) * RATE  # from this length on a line may differ in more than EDITS
-STEP = 9 / 8
+STEP = 5 / 4
+RATES = (3, 2, 1, 0)  # of the windows that start with a space one in so many counts; 0: all windows do
 _CLASSES = np.array([LONG * STEP ** k for k in range(200)])
 BLOCK = 1024
+BINS = 32  # of hashed pairs of neighbouring characters
 KEY_BROADCAST_ROWS = 500_000  # open keys or lines (8 bytes each) sent to all executors; more are joined by shuffle
 CHUNK = 1 << 20
 NULL_ID = -(2**63)  # stands for a null document id
@@ -113,7 +117,8 @@ class Lines:
         return mix((total[start + length] - total[start]) * inverse[start] + length.astype(np.uint64))
 
     def ids(self) -> np.ndarray:
-        return self.hash(self.start, self.length).view(np.int64)
+        """Hashes of the lines, even, so that ``_keys`` can put a flag into the last bit."""
+        return (self.hash(self.start, self.length) & ~_U(1)).view(np.int64)
 
     def keys(self):
         """(line, key, whether it is a segment of the line itself) of all lines that take part."""
@@ -136,17 +141,16 @@ class Lines:
         """The same for lines of ``LONG`` characters and those that may be close to one."""
         most = self.length // (RATE - 1)  # edits to the longest line that can be close
         left = most > EDITS
-        for kind in range(3):
+        owner = np.repeat(np.arange(len(self.length)), self.length)  # the line of each point
+        for kind, rate in enumerate(RATES):
             if not left.any():
                 return
-            room = np.where(left, self.length - WINDOW + 1, 0)  # windows of a line
-            line = np.repeat(np.arange(len(room)), room)
-            at = np.arange(len(line)) - np.repeat(np.cumsum(room) - room - self.start, room)
-            if kind < 2:
-                counts = self.points[at] == 32
-                line, at = line[counts], at[counts]
-            if kind == 0:
-                counts = self.hash(at, np.full(len(at), 4)) % _U(2) == 0
+            at = np.flatnonzero(self.points == 32) if rate else np.arange(len(self.points))
+            line = owner[at]
+            fits = left[line] & (at - self.start[line] + WINDOW <= self.length[line])
+            line, at = line[fits], at[fits]
+            if rate > 1:
+                counts = self.hash(at, np.full(len(at), 4)) % _U(rate) == 0
                 line, at = line[counts], at[counts]
             apart, free = np.zeros(len(at), bool), 0
             for k, place in enumerate(at.tolist()):
@@ -154,14 +158,12 @@ class Lines:
                     apart[k], free = True, place + WINDOW
             before = np.cumsum(apart) - apart
             rank = before - before[np.searchsorted(line, line)]  # of the line's windows that do not overlap
-            enough = np.bincount(line[apart], minlength=len(room)) > most
+            enough = np.bincount(line[apart], minlength=len(most)) > most
             own = apart & enough[line] & (rank <= most[line])
             found = self.hash(at, np.full(len(at), WINDOW)) + _U((kind + 1) * 0x9E3779B97F4A7C15 % 2**64)
-            low, high = (np.searchsorted(_CLASSES, size, "right")[line] for size in (self.length, self.length + most))
-            for size, pick in ((low, np.ones(len(at), bool)), (high, high > low)):
-                key = mix(found + size.astype(np.uint64) * _U(0xD6E8FEB86659FD93)).view(np.int64)
-                yield line[pick & own], key[pick & own], True
-                yield line[pick & ~own], key[pick & ~own], False
+            low, here, high = (np.searchsorted(_CLASSES, size, "right")[line] for size in (self.length - most, self.length, self.length + most))
+            for size, pick, mine in ((here, own, True), (here, ~own, False), (low, own & (low < here), True), (high, own & (high > here), True)):
+                yield line[pick], mix(found[pick] + size[pick].astype(np.uint64) * _U(0xD6E8FEB86659FD93)).view(np.int64), mine
             left = left & ~enough
 
 
@@ -181,8 +183,24 @@ def _keys(batches):
             ids = lines.ids()
             first = np.zeros(len(ids), bool)
             first[np.unique(ids, return_index=True)[1]] = True  # equal lines of a chunk give their keys once
-            parts = [(key[first[line]], ids[line[first[line]]], np.full(int(first[line].sum()), own)) for line, key, own in lines.keys()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([p[k] for p in parts])) for k in range(3)], ["key", "id", "own"])
+            parts = [(key[first[line]], ids[line[first[line]]] | int(own)) for line, key, own in lines.keys()]
+            key, ids = (np.concatenate([p[k] for p in parts]) for k in range(2))
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids)], ["key", "id"])
+
+
+def _pair_counts(texts: list[str]) -> np.ndarray:
+    """How often pairs of neighbouring characters occur in each text, by hash into ``BINS`` bins of up to 255. An edit
+    changes the bins by four at most, so lines whose bins differ in more than four per edit are not close."""
+    size = np.array([len(t) for t in texts], np.int64)
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(points) < 2:
+        return np.zeros((len(texts), BINS), np.uint8)
+    owner = np.repeat(np.arange(len(size)), size)
+    inside = owner[1:] == owner[:-1]
+    spot = (points[1:] * np.uint32(40503) + points[:-1] * np.uint32(2654435761 % 2**32)) >> np.uint32(16)
+    cell = owner[1:][inside] * BINS + (spot[inside] % BINS).astype(np.int64)
+    counts = np.bincount(cell, minlength=len(texts) * BINS).reshape(-1, BINS)
+    return np.minimum(counts, 255).astype(np.uint8)
 
 
 def _texts(batches):
@@ -192,42 +210,101 @@ def _texts(batches):
             lines = Lines(batch.column(0)[a:b].to_pylist())
             wanted = [set(w) for w in batch.column(1)[a:b].to_pylist()]
             pick = np.array([k for k, (o, n) in enumerate(zip(lines.owner.tolist(), lines.number.tolist())) if n in wanted[o]], np.int64)
+            text = [lines.text[k] for k in pick]
             yield pa.RecordBatch.from_pydict({"id": lines.ids()[pick], "check": lines.hash(lines.start, lines.length, 1)[pick].view(np.int64),
-                                              "line": pa.array([lines.text[k] for k in pick], pa.string())})
+                                              "size": lines.length[pick], "bins": pa.array([b.tobytes() for b in _pair_counts(text)], pa.binary()),
+                                              "line": pa.array(text, pa.string())})
 
 
+CELL_COLS = ["key", "i", "j", "side", "id", "check"]
 LINKS = "a_id long, a_check long, b_id long, b_check long, links long"
 
 
-def _verify_block(key, part):
-    """One pair of blocks of lines with one open key: a row per line with links (how many; b is null),
-    and a row per link that joins two components."""
-    here = key[0].as_py()
-    side, ids, check = (part[c].to_numpy() for c in ("side", "id", "check"))
-    text, keys = part["line"].to_pylist(), part["keys"].to_pylist()
-    size = np.array([len(t) for t in text])
-    known = [set(k) for k in keys]
-    comp, count, out = np.arange(len(text)), np.zeros(len(text), np.int64), []
-    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    same = not len(right)
-    for n, i in enumerate(left):
-        other = left[n + 1:] if same else right
-        limits = np.maximum(EDITS, np.maximum(size[other], size[i]) // RATE)
-        near = np.abs(size[other] - size[i]) <= limits
-        for j, limit in zip(other[near].tolist(), limits[near].tolist()):
-            if ids[i] == ids[j] and check[i] == check[j]:
-                continue
-            if len(known[i]) > 1 and len(known[j]) > 1 and min(known[i] & known[j]) != here:
+def _begins(rows: pa.Table) -> np.ndarray:
+    """Where a pair of blocks begins."""
+    new = np.zeros(rows.num_rows, bool)
+    new[:1] = True
+    for c in ("key", "i", "j"):
+        col = rows[c].to_numpy()
+        new[1:] |= col[1:] != col[:-1]
+    return new
+
+
+def _per_cell(work):
+    """``work`` on tables of whole pairs of blocks from sorted rows; the last pair of a batch may go on in the next."""
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            rows = pa.Table.from_batches([*held, batch]).combine_chunks()
+            begins = np.flatnonzero(_begins(rows))
+            cut = int(begins[-1]) if len(begins) else 0
+            if cut:
+                yield work(rows.slice(0, cut))
+            held = rows.slice(cut).to_batches()
+        if held:
+            yield work(pa.Table.from_batches(held))
+    return run
+
+
+def _pairs(rows: pa.Table):
+    """(places of one line, places of the other) in steps: all pairs that a pair of blocks brings together, but equal lines."""
+    ids, check, side = (rows[c].to_numpy() for c in ("id", "check", "side"))
+    cell = np.cumsum(_begins(rows)) - 1
+    place, last = np.arange(len(cell)), np.searchsorted(cell, cell, "right")
+    two = np.bincount(cell, side)[cell] > 0
+    for step in range(1, int(np.bincount(cell).max())):
+        i = np.flatnonzero(place + step < last)
+        j = i + step
+        asked = (~two[i] | (side[i] != side[j])) & ((ids[i] != ids[j]) | (check[i] != check[j]))
+        yield i[asked], j[asked]
+
+
+def _near(rows: pa.Table):
+    """Those of ``_pairs`` that lengths and counts of neighbouring characters do not rule out, with their limits of edits."""
+    size = rows["size"].to_numpy()
+    bins = np.frombuffer(b"".join(rows["bins"].to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
+    for i, j in _pairs(rows):
+        limit = np.maximum(EDITS, np.maximum(size[i], size[j]) // RATE)
+        near = np.flatnonzero(np.abs(size[i] - size[j]) <= limit)
+        near = near[np.abs(bins[i[near]] - bins[j[near]]).sum(1, dtype=np.int64) <= 4 * limit[near]]
+        if len(near):
+            yield i[near], j[near], limit[near]
+
+
+def _candidates(rows: pa.Table) -> pa.RecordBatch:
+    """The lines of pairs of blocks that lengths and counts of neighbouring characters leave a partner."""
+    stays = np.zeros(rows.num_rows, bool)
+    for i, j, _ in _near(rows):
+        stays[i] = stays[j] = True
+    return pa.RecordBatch.from_arrays([pa.array(rows[c].to_numpy()[stays]) for c in CELL_COLS], CELL_COLS)
+
+
+def _verify(rows: pa.Table) -> pa.RecordBatch:
+    """Pairs of blocks of lines with one open key: a row per line with links (how many; b is null), and a row per link
+    that joins two components."""
+    here, ids, check = (rows[c].to_numpy() for c in ("key", "id", "check"))
+    text, keys = rows["line"].to_pylist(), [set(k) for k in rows["keys"].to_pylist()]
+    comp, count, out = list(range(len(text))), np.zeros(len(text), np.int64), []
+
+    def root(k):
+        while comp[k] != k:
+            comp[k] = comp[comp[k]]
+            k = comp[k]
+        return k
+
+    for i, j, limit in _near(rows):
+        for a, b, most in zip(i.tolist(), j.tolist(), limit.tolist()):
+            if len(keys[a]) > 1 and len(keys[b]) > 1 and min(keys[a] & keys[b]) != here[a]:
                 continue
-            if banded_distance(text[i], text[j], limit) <= limit:
-                count[i] += 1
-                count[j] += 1
-                if comp[i] != comp[j]:
-                    comp[comp == comp[j]] = comp[i]
-                    out.append((ids[i], check[i], ids[j], check[j], 0))
+            if banded_distance(text[a], text[b], most) <= most:
+                count[a] += 1
+                count[b] += 1
+                if root(a) != root(b):
+                    comp[root(b)] = root(a)
+                    out.append((ids[a], check[a], ids[b], check[b], 0))
     out += [(ids[k], check[k], None, None, count[k]) for k in np.flatnonzero(count)]
     names = [c.split()[0] for c in LINKS.split(", ")]
-    return pa.table({c: pa.array([None if r[k] is None else int(r[k]) for r in out], pa.int64()) for k, c in enumerate(names)})
+    return pa.RecordBatch.from_arrays([pa.array([None if r[k] is None else int(r[k]) for r in out], pa.int64()) for k in range(len(names))], names)
 
 
 def _only(df, keys, col):
@@ -242,11 +319,17 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     lines = materialize(src.mapInArrow(_occurrences, "doc_id long, line_no long, id long, check long, size long"), "lines", written)
-    spread = src.select("doc_id", "text").mapInArrow(_keys, "key long, id long, own boolean")
-    narrow = F.shiftright("id", 32).cast("int")  # different lines agree in it with chance 2**-32
-    opened = spread.groupBy("key").agg(F.min(narrow).alias("low"), F.max(narrow).alias("high"), F.max("own").alias("own"))
-    opened = materialize(opened.where("own and low < high").select("key"), "open-keys", written)
-    rows = materialize(_only(spread, opened, "key").select("key", "id").distinct(), "open-lines", written)
+    # shuffled once: a key's rows stay where they are found to be open
+    spread = src.select("doc_id", "text").mapInArrow(_keys, "key long, id long")
+    of_key, line = Window.partitionBy("key"), F.col("id").bitwiseAND(-2)
+    opened = spread.select("key", "id", F.min(line).over(of_key).alias("low"), F.max(line).over(of_key).alias("high"),
+                           F.max(F.col("id").bitwiseAND(1)).over(of_key).alias("own"))
+    rows = opened.where("own = 1 and low < high").select("key", line.alias("id")).distinct()
+    rows = materialize(rows, "open-lines", written)
+    # of keys with the same lines one is enough
+    same = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    kept = materialize(same.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"), "kept-keys", written)
+    rows = materialize(rows.join(kept, "key"), "kept-lines", written)
     firsts = lines.where("size > 0").groupBy("id", "check").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("d"), "line_no")).alias("first"))
     firsts = materialize(firsts, "first-lines", written)
     wanted = _only(firsts, materialize(rows.select("id").distinct(), "line-ids", written), "id")
@@ -254,15 +337,22 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     wanted = materialize(wanted, "wanted-lines", written)
     few = wanted.count() <= KEY_BROADCAST_ROWS
     asked = src.join(F.broadcast(wanted) if few else wanted, F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("d")).select("text", "numbers")
-    texts = asked.mapInArrow(_texts, "id long, check long, line string").groupBy("id", "check").agg(F.first("line").alias("line"))
-    texts = texts.join(rows.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys")), "id")  # keys of a line
+    texts = asked.mapInArrow(_texts, "id long, check long, size long, bins binary, line string").dropDuplicates(["id", "check"])
     texts = materialize(texts, "line-texts", written)
-    sizes = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("id"), "blocks").cast("int")
-    cells = rows.join(sizes, "key").withColumn("mine", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    cells = rows.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = cells.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
                          (F.col("mine") > F.col("other")).cast("int").alias("side"), "id")
-    found = cells.join(texts, "id").groupBy("key", "i", "j").applyInArrow(_verify_block, LINKS)
+    dealt = lambda df: df.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    cells = dealt(cells.join(texts.select("id", "check", "size", "bins"), "id"))
+    cells = cells.mapInArrow(_per_cell(_candidates), "key long, i int, j int, side int, id long, check long")
+    cells = materialize(cells, "line-cells", written)  # few: most lines share a key by chance
+    ids = materialize(cells.select("id").distinct(), "cell-ids", written)
+    keys = _only(rows.select("id", "key"), ids, "id").groupBy("id").agg(F.collect_set("key").alias("keys"))  # of a line
+    texts = _only(texts, ids, "id").join(keys, "id")
+    cells = dealt(cells.join(texts, ["id", "check"]).select(*CELL_COLS, "size", "bins", "line", "keys"))
+    found = cells.mapInArrow(_per_cell(_verify), LINKS)
     found = materialize(found, "line-links", written)
 
     name = lambda side: firsts.select(F.col("id").alias(f"{side}_id"), F.col("check").alias(f"{side}_check"), F.col("first").alias(side))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from helpers import documents, words
 from test_decontaminate import distance_row, edit
 
@@ -118,3 +119,31 @@ def test_close_long_lines_share_a_key():
         for a, x in enumerate(texts):
             for b in range(a):
                 assert not close(x, texts[b]) or own[a] & keys[b] or own[b] & keys[a]
+
+
+def cells(texts, key=1):
+    """Rows of one pair of blocks of lines with one open key."""
+    lines = line_dedup.Lines(texts)
+    n = len(texts)
+    return pa.table({"key": pa.array([key] * n, pa.int64()), "i": pa.array([0] * n, pa.int32()), "j": pa.array([0] * n, pa.int32()),
+                     "side": pa.array([0] * n, pa.int32()), "id": lines.ids(), "check": lines.hash(lines.start, lines.length, 1).view(np.int64),
+                     "size": lines.length, "bins": pa.array([b.tobytes() for b in line_dedup._pair_counts(texts)], pa.binary()), "line": texts,
+                     "keys": [[key]] * n})
+
+
+def test_texts_follow_only_where_a_partner_is_possible():
+    for seed in range(4):
+        texts = sorted(set(long_lines(seed)))
+        stays = set(line_dedup._candidates(cells(texts)).column(4).to_pylist())
+        ids = line_dedup.Lines(texts).ids().tolist()
+        assert {i for i, x in zip(ids, texts) if any(x != y and close(x, y) for y in texts)} <= stays
+    assert line_dedup._candidates(cells([words(60, k) for k in range(50)])).num_rows == 0
+
+
+def test_pairs_of_blocks_go_on_in_the_next_batch():
+    texts = long_lines(2)
+    rows = pa.concat_tables([cells(texts[:20], 1), cells(texts[20:41], 2), cells(texts[41:], 3)])
+    want = sorted(map(str, line_dedup._verify(rows).to_pylist()))
+    for size in (1, 7, 20, 1000):
+        got = [r for b in line_dedup._per_cell(line_dedup._verify)(iter(rows.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+        assert sorted(map(str, got)) == want and len(want) > 20
