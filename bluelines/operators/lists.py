@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bluelines.functions.lists import LIST_SEPARATOR, collapse_runs, cut_label, type_priority
 from bluelines.session import materialize
@@ -64,7 +65,7 @@ def with_list_columns(df: DataFrame, pts: str = "pts") -> DataFrame:
 
 
 def _shared_parts(main: DataFrame, kpoints: DataFrame, attrs: list[str], tolerance: float,
-                  written: list[str] | None, flag: str | None = None) -> tuple[DataFrame, DataFrame]:
+                  written: list[str] | None, flag: str | None = None, merge: bool = True) -> tuple[DataFrame, DataFrame]:
     """Per piece its ``direct`` entries (points on its own line or code, unsorted), ``own`` (it lies above a point of its own
     line by code, too) and a reference ``stretch`` to the list that its code inherits; and those lists, one row each:
     ``inherited`` (sorted), ``inherited_lines`` (their flow lines), ``inh_ids``, ``inh_primary``, ``inh_secondary``."""
@@ -82,29 +83,35 @@ def _shared_parts(main: DataFrame, kpoints: DataFrame, attrs: list[str], toleran
         "notation_id_list": "inh_ids", "secondary_notation_types": "inh_secondary"})
     listed = listed.withColumn("inh_primary", F.col("_first")).drop("_first", "primary_notation_type")
     listed = materialize(listed, "inherited-lists", written)
-    # every piece kept (left join). Few lines hold points: their pieces meet points by line and by code, the others by code alone,
-    # where they also find their stretch, so they are shuffled once, by code
+    # every piece kept (left joins). Few lines hold points: their pieces meet those by line; then all pieces meet the points of their
+    # code and find their stretch in one table of codes, so that they are shuffled once, by code, and no pairs are
     keys = list(dict.fromkeys([*attrs, "blue_line_key", "wscode", "localcode"]))
     main = main.select(*dict.fromkeys([*keys, "downstream_route_measure", *([flag] if flag else [])]))
-    if flag is None:
-        flag = "_flag"
-        lines = kpoints.where(F.col("p_blue_line_key").isNotNull()).select(F.col("p_blue_line_key").alias("_pblk")).distinct()
-        main = main.join(lines, F.col("blue_line_key") == F.col("_pblk"), "left").withColumn(flag, F.col("_pblk").isNotNull()).drop("_pblk")
-        main = materialize(main, "flagged", written)
-    up, w = upstream.upstream_residual(tolerance), F.col("wscode")
-    pw, pl = F.col("p_wscode"), F.col("p_localcode")
-    own = F.coalesce(F.col("_kb") & upstream.is_within(w, pw) & upstream.enters_above(w, pw, pl, upstream.is_within(w, pl)), F.lit(False))
-    entries = F.collect_list(F.when(F.col("_up"), point_entry())).alias("direct")
-    tagged = (upstream.keyed_lines(main.where(F.col(flag)).drop(flag), "direct")
-              .join(kpoints, (F.col("_k") == F.col("_pk")) & (up | own), "left")
-              .withColumns({"_up": up & F.col("p_prank").isNotNull(), "_own": own & F.col("p_prank").isNotNull()})
-              .groupBy(*keys).agg(entries, F.max("_own").alias("own")))
-    on_code = (F.col("blue_line_key") != F.col("p_blue_line_key")) & upstream.on_code_above(w, F.col("localcode"), pw, pl)
-    coded = (main.where(~F.col(flag)).drop(flag).repartition("wscode").join(points, (w == pw) & on_code, "left")
-             .withColumn("_up", F.col("p_prank").isNotNull()).groupBy(*keys).agg(entries, F.lit(False).alias("own")))
-    code = of_code.withColumnRenamed("wscode", "_code")
-    parts = [x.join(code, (w == F.col("_code")) & F.col("localcode").isNotNull(), "left").drop("_code") for x in (tagged, coded)]
-    return materialize(parts[0].unionByName(parts[1]), "list-parts", written), listed
+    w, lc, blk, pw, pl = F.col("wscode"), F.col("localcode"), F.col("blue_line_key"), F.col("p_wscode"), F.col("p_localcode")
+    entry = F.struct(*[F.col("p_" + c).alias("p_" + c) for c in [*ENTRY, "blue_line_key", "downstream_route_measure", "wscode", "localcode"]])
+    by_line = (kpoints.where(F.startswith("_pk", F.lit("b:"))).groupBy(F.col("p_blue_line_key").alias("_pblk"))
+               .agg(F.collect_list(entry).alias("_line")))
+    by_code = points.where(pw.isNotNull() & pl.isNotNull()).groupBy(pw.alias("_of")).agg(F.collect_list(entry).alias("_points"))
+    of_code = of_code.withColumnRenamed("wscode", "_sc")
+    code = codes.where("wscode is not null").withColumnRenamed("wscode", "_code")
+    code = code.join(of_code, F.col("_code") == F.col("_sc"), "left").join(by_code, F.col("_code") == F.col("_of"), "left").drop("_sc", "_of")
+    none = F.array().cast(T.ArrayType(T.StructType([T.StructField(c, points.schema["p_" + c].dataType) for c in ENTRY])))
+    entries = lambda column, holds: F.coalesce(F.transform(F.filter(column, holds), lambda p: F.struct(*[p["p_" + c].alias(c) for c in ENTRY])), none)
+    dm = F.col("downstream_route_measure")
+    lies_above = lambda p: upstream.is_within(w, p["p_wscode"]) & upstream.enters_above(
+        w, p["p_wscode"], p["p_localcode"], upstream.is_within(w, p["p_localcode"]))
+    found = {"_up": entries("_line", lambda p: upstream.on_line_above(dm, p["p_downstream_route_measure"], tolerance)),
+             "own": F.coalesce(F.exists("_line", lies_above), F.lit(False))}
+    here = F.lit(True) if flag is None else F.col(flag)
+    lined = main.where(here).join(by_line, blk == F.col("_pblk"), "left").select(*keys, *[c.alias(n) for n, c in found.items()])
+    if flag:
+        lined = lined.unionByName(main.where(~here).select(*keys, none.alias("_up"), F.lit(False).alias("own")))
+    beside = entries("_points", lambda p: (blk != p["p_blue_line_key"]) & (lc >= p["p_localcode"]))
+    joined = lined.join(code, (w == F.col("_code")), "left")
+    parts = joined.select(*keys, F.concat("_up", beside).alias("direct"), "own", F.when(lc.isNotNull(), F.col("stretch")).alias("stretch"))
+    if merge:  # rows that repeat all attributes count as one; the code is among them, so they are together
+        parts = parts.groupBy(*keys).agg(F.flatten(F.collect_list("direct")).alias("direct"), F.max("own").alias("own"), F.max("stretch").alias("stretch"))
+    return materialize(parts.select(*dict.fromkeys([*attrs, "blue_line_key"]), "direct", "own", "stretch"), "list-parts", written), listed
 
 
 def _merged(j: DataFrame) -> F.Column:
@@ -139,9 +146,9 @@ def shared_list_columns(main: DataFrame, kpoints: DataFrame, attrs: list[str], t
                         flag: str | None = None) -> DataFrame:
     """``attrs`` + the output columns (id list, primary type, secondary types) of every piece with
     at least one point downstream. A piece whose list is exactly the inherited one (the common case) carries a number only
-    and takes the finished texts at the end; only the others meet the entries and merge them. ``flag``: a column of ``main`` that
-    tells whether a point lies on the line (found here, if not given)."""
-    parts, listed = _shared_parts(main, kpoints, attrs, tolerance, written, flag)
+    and takes the finished texts at the end; only the others meet the entries and merge them. ``main`` holds one row per piece
+    (no two agree in ``attrs``). ``flag``: a column of ``main`` that tells whether a point lies on the line (without it, all are asked)."""
+    parts, listed = _shared_parts(main, kpoints, attrs, tolerance, written, flag, merge=False)
     plain = F.col("stretch").isNotNull() & (F.size("direct") == 0) & ~F.col("own")
     texts = listed.select("stretch", F.col("inh_ids").alias("notation_id_list"), F.col("inh_primary").alias("primary_notation_type"),
                           F.col("inh_secondary").alias("secondary_notation_types"))

@@ -185,25 +185,23 @@ def _on_codes(ties: DataFrame, points: DataFrame) -> DataFrame:
     return ties.join(codes, F.col("wscode") == F.col("_c")).select("blue_line_key", "wscode", other.alias("code_min"), F.lit(True).alias("on_code"))
 
 
-_LINE = "_line"  # the line of a segment, never null: rows of a line are brought together by it
-_NO_LINE = -(2**63)
-
-
 def reached_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE, others: bool = True,
                   written: list[str] | None = None) -> DataFrame:
     """Segments upstream of a point and, with ``others``, those that hold one and unplaceable side channels with a
     point's code, each once."""
-    return _reached(segments, kpoints, tolerance, others, written).drop(_LINE)
+    placed, nowhere = _reached(segments, kpoints, tolerance, others, written)
+    return placed.unionByName(nowhere)
 
 
 def _reached(segments: DataFrame, kpoints: DataFrame, tolerance: float, others: bool, written: list[str] | None,
-             flag: str | None = None) -> DataFrame:
-    """``reached_lines`` with ``_line``; ``flag`` names a boolean to be added: a point lies on the line.
+             flag: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``reached_lines`` in two parts, the segments with and without a line; ``flag`` names a boolean to be added: a point
+    lies on the line.
 
     No pairs: what the points ask of a segment depends on its line and code alone. On a line the lowest point decides (a
     segment that starts below it holds a point only if it holds this one), on a code the lowest local code of another line,
-    above a code the order of codes. So the distinct (line, code) ties meet the points, and every segment is shuffled
-    once, by its line, to the ties that a point concerns."""
+    above a code the order of codes. So the distinct (line, code) ties meet the points, and every segment meets the ties
+    that a point concerns by its line: shuffled once, or where it is if the segments are stored by line."""
     blk, w, lc = F.col("blue_line_key"), F.col("wscode"), F.col("localcode")
     dm, um = F.col("downstream_route_measure"), F.col("upstream_route_measure")
     points = kpoints.where(F.startswith("_pk", F.lit("w:")))
@@ -218,12 +216,10 @@ def _reached(segments: DataFrame, kpoints: DataFrame, tolerance: float, others:
 
     asked = (column(ties.join(lines, "blue_line_key")).unionByName(column(_on_codes(ties, points)))
              .unionByName(column(_entered(ties, points, written))))
-    asked = asked.groupBy("blue_line_key", "wscode").agg(*[F.max(c).alias(c) for c in empty])
-    line = F.coalesce(blk, F.lit(_NO_LINE))
-    asked = asked.select(line.alias("_asked"), blk.alias("_b"), w.alias("_w"), *empty)
+    # shuffled once, by line, for the group and for the segments
+    asked = asked.select(blk.alias("_line"), w.alias("_w"), *empty).repartition("_line").groupBy("_line", "_w").agg(*[F.max(c).alias(c) for c in empty])
     # joined on the line alone (a line has few codes), so that rows of a line stay together for what follows
-    same = lambda a, b: F.coalesce(a == b, a.isNull() & b.isNull())
-    here = (F.col(_LINE) == F.col("_asked")) & same(blk, F.col("_b")) & same(w, F.col("_w"))
+    same = F.coalesce(w == F.col("_w"), w.isNull() & F.col("_w").isNull())
     low = F.col("line_min")
     hit = F.coalesce(on_line_above(dm, low, tolerance), F.lit(False)) | F.coalesce(lc >= F.col("code_min"), F.lit(False)) | (
         lc.isNotNull() & F.coalesce("entered", F.lit(False)))
@@ -231,13 +227,16 @@ def _reached(segments: DataFrame, kpoints: DataFrame, tolerance: float, others:
         channel = lc.isNull() & F.coalesce("on_code", F.lit(False)) & (blk != F.col("watershed_key"))
         hit = hit | F.coalesce((low >= dm) & (low < um), F.lit(False)) | F.coalesce(channel, F.lit(False))
     added = [F.coalesce("on_line", F.lit(False)).alias(flag)] if flag else []
-    return segments.withColumn(_LINE, line).join(asked, here).where(hit).select(*segments.columns, _LINE, *added)
+    placed = segments.where(blk.isNotNull()).join(asked.where("_line is not null"), (blk == F.col("_line")) & same)
+    nowhere = segments.where(blk.isNull()).join(asked.where("_line is null"), w.eqNullSafe(F.col("_w")))
+    return tuple(part.where(hit).select(*segments.columns, *added) for part in (placed, nowhere))
 
 
 def upstream_lines(lines: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE, written: list[str] | None = None) -> DataFrame:
     """Line rows with at least one point downstream (a semi join: ``select distinct`` over the
     pair join without building the pairs)."""
-    return _reached(lines, kpoints, tolerance, False, written).distinct().drop(_LINE)
+    placed, nowhere = _reached(lines, kpoints, tolerance, False, written)
+    return placed.distinct().unionByName(nowhere.distinct())
 
 
 def work_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLERANCE, written: list[str] | None = None,
@@ -245,6 +244,6 @@ def work_lines(segments: DataFrame, kpoints: DataFrame, tolerance: float = TOLER
     """Segments to work on (``reached_lines``). One row per piece key stays (segments of a line with the same start: the
     smallest id). The key names the line, so the rows of a line are reduced where they are."""
     key = piece_key(F.col("blue_line_key"), F.col("downstream_route_measure"))
-    hit = _reached(segments, kpoints, tolerance, True, written, flag)
-    return first_per_key(hit.withColumn("_key", key), [_LINE, "_key"], ["linear_feature_id"]).select(
-        *segments.columns, *([flag] if flag else []))
+    placed, nowhere = (first_per_key(part.withColumn("_key", key), ["blue_line_key", "_key"], ["linear_feature_id"])
+                       for part in _reached(segments, kpoints, tolerance, True, written, flag))
+    return placed.unionByName(nowhere).select(*segments.columns, *([flag] if flag else []))

@@ -68,11 +68,11 @@ class Network:
     def segments(self) -> DataFrame:
         """The network. A given table is used as it is (its lineage is a scan, and copying the
         largest input would cost a full write); the fixture network, derived from several tables
-        by joins and a window, is materialised once because every stage reads it."""
+        by joins and a window, is materialised once because every stage reads it, the rows of a line together."""
         seg = self._given["segments"]
         if seg is not None:
             return seg
-        return materialize(fixtures.network(self.tables), "network", self.written)
+        return materialize(fixtures.network(self.tables), "network", self.written, bucket="blue_line_key")
 
     @cached_property
     def points(self) -> DataFrame:

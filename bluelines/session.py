@@ -80,18 +80,32 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base}/bluelines-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str = "stage", written: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", written: list[str] | None = None, bucket: str | None = None) -> DataFrame:
     """Cut lineage: write ``df`` once as Parquet below the shared checkpoint folder and read it back.
 
     The written table survives the loss of executors, is computed exactly once (an RDD checkpoint
     of an uncached plan computes it twice), and later reads get column pruning, filter pushdown
     and real size statistics. The folder is appended to ``written`` (for ``remove_paths``).
+
+    ``bucket`` names a column whose equal values stay together (a bucketed table, as many buckets as shuffle
+    partitions): joins and groups on that column alone then read the rows where they are, without a shuffle.
     """
-    path = work_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    writer = df.write.mode("overwrite").option("compression", "zstd")
     if written is not None:
         written.append(path)
-    return df.sparkSession.read.parquet(path)
+    if bucket is None:
+        writer.parquet(path)
+        return spark.read.parquet(path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer.format("parquet").bucketBy(buckets, bucket).option("path", path).saveAsTable(_table_name(path))
+    return spark.table(_table_name(path))
+
+
+def _table_name(path: str) -> str:
+    """Name of a bucketed table in the session's catalog, from its folder."""
+    return path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
 
 
 def remove_paths(spark: SparkSession, paths: list[str]) -> int:
@@ -101,6 +115,8 @@ def remove_paths(spark: SparkSession, paths: list[str]) -> int:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
     for p in paths:
+        if "/bluelines-" in p:  # a bucketed table has an entry in the catalog, too
+            spark.sql(f"DROP TABLE IF EXISTS `{_table_name(p)}`")
         hp = jvm.org.apache.hadoop.fs.Path(p)
         fs = hp.getFileSystem(conf)
         if fs.exists(hp):

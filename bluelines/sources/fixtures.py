@@ -102,7 +102,13 @@ def points(t: Tables, seg: DataFrame) -> DataFrame:
     blk = F.col("blue_line_key")
     along = F.lit(0.05) + F.lit(0.1) * (F.col("l_partkey") % 10)
     meas = F.col("downstream_route_measure") + along * F.col("length_metre")
-    return (seg.join(point_places(t), "linear_feature_id")
+    # met on the line, by which the network is stored; ids that do not name their line (line numbers over 9) on the id
+    fid = F.col("linear_feature_id")
+    named = (fid >= blk * 10) & (fid < blk * 10 + 10)
+    place = point_places(t).select("l_partkey", fid.alias("_id"), F.floor(fid / 10).alias("_line"))
+    on_line = seg.where(named).join(place, (blk == F.col("_line")) & (fid <= F.col("_id")) & (fid >= F.col("_id")))
+    others = seg.where(~F.coalesce(named, F.lit(False))).join(place, fid == F.col("_id"))
+    return (on_line.unionByName(others)
             .select(F.concat(F.lit("NO"), F.col("l_partkey").cast("string")).alias("notation_id"),
                     F.col("l_partkey").cast("int").alias("wls_wn_sysid"),
                     _notation_type(F.col("priority")).alias("notation_type"),

@@ -65,3 +65,36 @@ def test_segments_stay_by_line_up_to_one_row_per_key(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "hashpartitioning(_key" not in p and "hashpartitioning(_line" in p and "hashpartitioning(linear_feature_id" not in p
+
+
+def test_stored_lines_are_not_shuffled(spark):
+    """The network is stored by line: neither the points, the ties nor the segments upstream shuffle its rows, also without broadcasts."""
+    n = catalogue.network(spark, SF_SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        work = upstream.work_lines(n.segments.select(*n.WORK_COLS), n.kpoints)
+        p = work._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = p.split("\n")
+    stored = [k for k, line in enumerate(lines) if "FileScan" in line and "Bucketed: true" in line and "fwa_watershed_code" in line]
+    assert stored and not any("Exchange" in line for k in stored[:1] for line in lines[k - 3:k])
+
+
+def test_points_on_long_lines(spark):
+    """Line numbers over 9 give ids that name another line; a point lies on every segment with its id, as before."""
+    from bluelines.sources import fixtures
+
+    rows = [(1, 12, 5), (2, 2, 6), (2, None, 7), (None, 1, 8), (3, 1, 9)]
+    li = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long")
+    seg = spark.createDataFrame([(22, 1, 0.0), (22, 2, 10.0), (31, 3, 0.0), (None, 2, 20.0)],
+                                "linear_feature_id long, blue_line_key long, downstream_route_measure double")
+    for c in ("wscode", "localcode", "watershed_group_code", "priority"):
+        seg = seg.withColumn(c, F.lit("1-X"))
+    seg = seg.withColumn("length_metre", F.lit(10.0))
+
+    class Given:
+        lineitem = li
+
+    got = sorted((r.wls_wn_sysid, r.linear_feature_id, r.blue_line_key) for r in fixtures.points(Given, seg).collect())
+    assert got == [(5, 22, 1), (5, 22, 2), (6, 22, 1), (6, 22, 2), (9, 31, 3)]
