@@ -1,4 +1,5 @@
-"""Bit-parallel edit distance on Python integers (one machine-independent bit vector per pattern)."""
+"""Edit distances of strings: the best place of a pattern, bit-parallel on Python integers (one machine-independent bit vector
+per pattern), and the distance of two strings up to a limit, by diagonals."""
 
 from __future__ import annotations
 
@@ -35,66 +36,48 @@ def best_occurrence(masks: dict[str, int], m: int, text: str) -> tuple[int, int]
     return best, end
 
 
-def _common(a: str, b: str) -> int:
-    """Length of the common prefix, by halving on slices."""
-    low, high = 0, min(len(a), len(b))
-    while low < high:
-        middle = (low + high + 1) // 2
-        if a[low:middle] == b[low:middle]:
-            low = middle
-        else:
-            high = middle - 1
-    return low
-
-
-def _whole_distance(a: str, b: str) -> int:
-    """Edit distance with full-height columns, for patterns ``b`` too short for a band."""
-    masks, m = positions(b), len(b)
-    ones, top = (1 << m) - 1, 1 << (m - 1)
-    up, down, score = ones, 0, m
-    for c in a:
-        equal = masks.get(c, 0)
-        across = (((equal & up) + up) ^ up) | equal
-        right_up = down | (ones & ~(across | up))
-        right_down = up & across
-        score += bool(right_up & top) - bool(right_down & top)
-        right_up, right_down = (right_up << 1 | 1) & ones, right_down << 1 & ones
-        vertical = equal | down
-        up = right_down | (ones & ~(vertical | right_up))
-        down = right_up & vertical
-    return score
+def _common(a: str, b: str, i: int = 0, j: int = 0) -> int:
+    """Length of the common prefix of ``a[i:]`` and ``b[j:]``, by slices that double and then halve."""
+    begin, stop, size = i, min(len(a), len(b) - j + i), 16
+    j -= i
+    while i + size <= stop and a[i:i + size] == b[i + j:i + j + size]:
+        i += size
+        size *= 2
+    while size > 1:
+        size //= 2
+        if i + size <= stop and a[i:i + size] == b[i + j:i + j + size]:
+            i += size
+    return i - begin
 
 
 def banded_distance(a: str, b: str, limit: int) -> int:
-    """Edit distance of two strings, ``limit + 1`` if it is larger. The ``2 * limit + 1`` diagonals
-    around the main one lie in one bit vector that moves down by a row with each column (after
-    Hyyro, 2003); the score follows the lowest diagonal to the last row and then that row."""
+    """Edit distance of two strings, ``limit + 1`` if it is larger. Only how far each diagonal gets with so many edits is kept
+    (after Ukkonen and Landau, Vishkin): equal stretches are passed by comparing slices, so a pair takes about as many steps as
+    the square of the limit, not its length times the band."""
     if len(a) < len(b):
         a, b = b, a
-    if len(a) - len(b) > limit:
+    goal = len(a) - len(b)  # the diagonal of the last characters
+    if goal > limit:
         return limit + 1
     start = _common(a, b)  # common ends cost nothing
     a, b = a[start:], b[start:]
     end = _common(a[::-1], b[::-1])
     a, b = a[:len(a) - end], b[:len(b) - end]
-    if not b or len(b) <= 2 * limit:
-        return min(_whole_distance(a, b) if b else len(a), limit + 1)
-    masks, width = positions(b), 2 * limit + 1
-    ones, lowest, last_row = (1 << width) - 1, 1 << (width - 1), 1 << (width - 2) if width > 1 else 0
-    up, down, score = ones ^ ((1 << limit) - 1), 0, limit
-    for k, c in enumerate(a):
-        mask, first = masks.get(c, 0), k - limit  # the band's first row in this column
-        equal = (mask >> first if first >= 0 else mask << -first) & ones
-        diagonal = ((((equal & up) + up) ^ up) | equal | down) & ones
-        right_up = down | (ones & ~(diagonal | up))
-        right_down = diagonal & up
-        if k < len(b) - limit:
-            score += not diagonal & lowest
-            if score > 3 * limit + 1:  # the goal lies at most 2 * limit diagonals away
-                return limit + 1
-        else:
-            score += bool(right_up & last_row) - bool(right_down & last_row)
-            last_row >>= 1
-        down = diagonal >> 1 & right_up
-        up = right_down | (ones & ~(diagonal >> 1 | right_up))
-    return min(score, limit + 1)
+    if not b:
+        return min(len(a), limit + 1)
+    n, m = len(a), len(b)
+    reach = {}  # diagonal: the first characters of ``a`` that are matched on it with the edits so far
+    for edits in range(limit + 1):
+        left, now = limit - edits, {}
+        for d in range(max(-edits, goal - left), min(edits, goal + left) + 1):
+            i = 0 if not edits else max(reach.get(d, -2) + 1, reach.get(d - 1, -2) + 1, reach.get(d + 1, -2))
+            i = min(i, n, m + d)
+            if i < 0:
+                continue
+            if i < n and i - d < m and a[i] == b[i - d]:
+                i += _common(a, b, i, i - d)
+            if d == goal and i == n:
+                return edits
+            now[d] = i
+        reach = now
+    return limit + 1

@@ -19,7 +19,7 @@ only if equal. Linked and equal lines form classes.
 2. A key is open if different lines have it, one of them as a segment; of keys with the same lines one stays. Of
    lines with open keys the first occurrence is read again, from the documents that hold it.
 3. The lines of an open key are cut into blocks of ``BLOCK``; each pair of blocks is one task's work, where
-   pairs that lengths and counts of neighbouring characters do not rule out are verified with banded bit-parallel
+   pairs that lengths and counts of neighbouring characters do not rule out are verified with banded
    edit distance, in the first key that they share. A task returns how many links each line has, and only as many
    links as join its components.
 

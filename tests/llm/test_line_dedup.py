@@ -147,3 +147,16 @@ def test_pairs_of_blocks_go_on_in_the_next_batch():
     for size in (1, 7, 20, 1000):
         got = [r for b in line_dedup._per_cell(line_dedup._verify)(iter(rows.to_batches(max_chunksize=size))) for r in b.to_pylist()]
         assert sorted(map(str, got)) == want and len(want) > 20
+
+
+def test_few_edits_in_long_lines_are_found_by_steps_not_length():
+    """Time follows the limit: two edits far apart in a line of two million characters."""
+    import time
+
+    from bluelines.llm.bitparallel import banded_distance
+
+    a = "abcdefghij" * 200_000
+    b = a[:10] + "X" + a[11:-10] + "YZ" + a[-10:]
+    begin = time.perf_counter()
+    assert [banded_distance(a, b, k) for k in (0, 2, 3, 5)] == [1, 3, 3, 3]
+    assert banded_distance(b, a, 2) == 3 and time.perf_counter() - begin < 2
