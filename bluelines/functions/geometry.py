@@ -57,7 +57,7 @@ def _interpolate(a: Column, b: Column, m: Column) -> Column:
                     m.alias("m"))
 
 
-def _first_pair_holding(geom: Column, m: Column) -> Column:
+def first_pair_holding(geom: Column, m: Column) -> Column:
     """Index of the first vertex pair ``i, i+1`` with ``m_i <= m <= m_i+1``; NULL when none does.
     One lambda over indices (no pair structs are built)."""
     idx = F.filter(F.sequence(F.lit(0), F.size(geom) - 2),
@@ -65,10 +65,22 @@ def _first_pair_holding(geom: Column, m: Column) -> Column:
     return F.get(idx, 0)
 
 
+def point_on_pair(geom: Column, i: Column, m: Column) -> Column:
+    """The point at measure ``m`` on the vertex pair ``i, i+1``; NULL where ``i`` is."""
+    return F.when(i.isNotNull(), _interpolate(F.get(geom, i), F.get(geom, i + 1), m))
+
+
 def point_at_measure(geom: Column, m: Column) -> Column:
     """The point of a measured line at measure ``m`` (first vertex pair whose range holds it); NULL outside."""
-    i = _first_pair_holding(geom, m)
-    return F.when(i.isNotNull(), _interpolate(F.get(geom, i), F.get(geom, i + 1), m))
+    return point_on_pair(geom, first_pair_holding(geom, m), m)
+
+
+def between_points(geom: Column, start: Column, end: Column, m0: Column, m1: Column) -> Column:
+    """``between_measures`` from its two end points (NULL: outside)."""
+    inner = F.filter(geom, lambda p: (p["m"] > m0) & (p["m"] < m1))
+    none = F.slice(geom, 1, 0)  # an empty array of the vertex type
+    return F.concat(F.when(start.isNull(), none).otherwise(F.array(start)), inner,
+                    F.when(end.isNull(), none).otherwise(F.array(end)))
 
 
 def between_measures(geom: Column, m0: Column, m1: Column) -> Column:
@@ -77,12 +89,7 @@ def between_measures(geom: Column, m0: Column, m1: Column) -> Column:
     Vertices strictly inside the range are kept; the ends are interpolated on the vertex pair that
     holds them. An empty array when the range misses the line.
     """
-    start = point_at_measure(geom, m0)
-    end = point_at_measure(geom, m1)
-    inner = F.filter(geom, lambda p: (p["m"] > m0) & (p["m"] < m1))
-    none = F.slice(inner, 1, 0)  # an empty array of the vertex type
-    return F.concat(F.when(start.isNull(), none).otherwise(F.array(start)), inner,
-                    F.when(end.isNull(), none).otherwise(F.array(end)))
+    return between_points(geom, point_at_measure(geom, m0), point_at_measure(geom, m1), m0, m1)
 
 
 def closest_point_parts(parts: Column, px: Column, py: Column) -> Column:
@@ -101,16 +108,25 @@ def point_at_measure_parts(parts: Column, m: Column) -> Column:
     return F.get(F.filter(F.transform(parts, lambda p: point_at_measure(p, m)), lambda q: q.isNotNull()), 0)
 
 
+def covered_range(part: Column, m0: Column, m1: Column) -> tuple[Column, Column]:
+    """The measures between which the range ``m0 <= m1`` covers a part."""
+    return F.greatest(m0, F.get(part, 0)["m"]), F.least(m1, F.element_at(part, -1)["m"])
+
+
+def covered_parts(parts: Column, m0: Column, m1: Column) -> Column:
+    """The parts of a line, whole and in order, that the range covers for more than a point (a range of one measure: the
+    part that holds it)."""
+    def covered(p):
+        low, high = covered_range(p, m0, m1)
+        return (F.size(p) > 0) & ((low < high) | ((low == high) & (m0 == m1)))
+
+    return F.filter(parts, covered)
+
+
 def between_measures_parts(parts: Column, m0: Column, m1: Column) -> Column:
     """The parts of a line between measures ``m0 <= m1``, in order: one per part that the range covers for
     more than a point (a range of one measure: the part that holds it). No part where the range lies in a gap."""
-    def covered(p):
-        first, last = F.get(p, 0)["m"], F.element_at(p, -1)["m"]
-        low, high = F.greatest(m0, first), F.least(m1, last)
-        return F.struct(((low < high) | ((low == high) & (m0 == m1))).alias("any"), between_measures(p, low, high).alias("line"))
-
-    kept = F.filter(F.transform(F.filter(parts, lambda p: F.size(p) > 0), covered), lambda c: c["any"])
-    return F.transform(kept, lambda c: c["line"])
+    return F.transform(covered_parts(parts, m0, m1), lambda p: between_measures(p, *covered_range(p, m0, m1)))
 
 
 def force2d(p: Column) -> Column:

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bluelines.functions.geometry import (between_measures_parts, closest_point, closest_point_parts, force2d, point_at_measure,
-                                          point_at_measure_parts)
+from bluelines.functions.geometry import (between_points, closest_point, closest_point_parts, covered_parts, covered_range,
+                                          first_pair_holding, force2d, point_at_measure, point_at_measure_parts, point_on_pair)
 
 
 def _closest(lines: DataFrame, x: F.Column, y: F.Column) -> F.Column:
@@ -80,14 +80,21 @@ def with_location(snapped: DataFrame, lines: DataFrame) -> DataFrame:
 def with_geometry(pieces: DataFrame, lines: DataFrame) -> DataFrame:
     """``pieces`` with ``geom`` and ``part``: its segment's line cut to the piece's measure range, in two dimensions, one
     row per part. A piece whose range misses the line, lies in a gap or has no line gives no row."""
-    parts = F.col("_parts") if "parts" in lines.columns else F.when(F.col("_parts").isNotNull(), F.array("_parts"))
-    cut = between_measures_parts(parts, F.col("downstream_route_measure"), F.col("upstream_route_measure"))
     line = lines.select("linear_feature_id", F.col("parts" if "parts" in lines.columns else "geom").alias("_parts"))
-    j = pieces.join(line, "linear_feature_id").select(*pieces.columns, F.posexplode(cut).alias("part", "_line"))
-    return j.withColumn("geom", F.transform("_line", force2d)).drop("_line")
+    m0, m1 = F.col("downstream_route_measure"), F.col("upstream_route_measure")
+    parts = F.col("_parts") if "parts" in lines.columns else F.when(F.col("_parts").isNotNull(), F.array("_parts"))
+    covered = pieces.join(line, "linear_feature_id").select(*pieces.columns, F.posexplode(covered_parts(parts, m0, m1)).alias("part", "_line"))
+    # inside a lambda an expression is computed wherever it occurs, so a part is cut as a row, step by step
+    low, high = covered_range(F.col("_line"), m0, m1)
+    step = covered.withColumns({"_low": low, "_high": high})
+    step = step.withColumns({"_from": first_pair_holding(F.col("_line"), F.col("_low")), "_to": first_pair_holding(F.col("_line"), F.col("_high"))})
+    ends = {"_start": point_on_pair(F.col("_line"), F.col("_from"), F.col("_low")), "_end": point_on_pair(F.col("_line"), F.col("_to"), F.col("_high"))}
+    cut = F.transform(between_points(F.col("_line"), F.col("_start"), F.col("_end"), F.col("_low"), F.col("_high")), force2d)
+    return step.withColumns(ends).select(*pieces.columns, "part", cut.alias("geom"))
 
 
 def clip_pieces(pieces: DataFrame, lines: DataFrame) -> DataFrame:
     """The same geometry as rows, one per vertex (``segmented_stream_id, part, vertex_index, x, y``)."""
-    return with_geometry(pieces, lines).select("segmented_stream_id", "part", F.posexplode("geom").alias("vertex_index", "v")).select(
-        "segmented_stream_id", "part", "vertex_index", F.col("v.x").alias("x"), F.col("v.y").alias("y"))
+    # the outer form with a test of its own: the inner one is given a test of its input, for which every line would be cut twice
+    rows = with_geometry(pieces, lines).select("segmented_stream_id", "part", F.posexplode_outer("geom").alias("vertex_index", "v"))
+    return rows.where("vertex_index is not null").select("segmented_stream_id", "part", "vertex_index", F.col("v.x").alias("x"), F.col("v.y").alias("y"))

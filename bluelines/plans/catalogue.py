@@ -357,7 +357,8 @@ def gap_network(spark: SparkSession, d: str) -> Network:
     key = ("gaps", spark.sparkContext.applicationId, d)
     if key not in _NETWORKS:
         n = network(spark, d)
-        _NETWORKS[key] = Network(spark, segments=n.segments, points=n.points.drop("prank"), points_src=n.points_src,
+        _NETWORKS[key] = Network(spark, segments=n.segments, points=n.points.drop("prank"),
+                                 points_src=fixtures.points_src(n.tables, n.segments),  # written only if asked for
                                  vertices=fixtures.gap_vertices(n.segments))
     return _NETWORKS[key]
 

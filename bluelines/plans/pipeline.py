@@ -95,26 +95,26 @@ class Network:
     LINE_COLS = ["linear_feature_id", "blue_line_key", "downstream_route_measure", "upstream_route_measure",
                  "length_metre", "wscode", "localcode", "watershed_group_code"]
 
-    def _lines(self, wanted: DataFrame, key: str, name: str) -> DataFrame:
-        """Segments whose ``key`` is in ``wanted``, one row each with its vertices in order. The segments,
+    def _lines(self, wanted: DataFrame, key: str, name: str, cols: list[str]) -> DataFrame:
+        """Segments whose ``key`` is in ``wanted``, one row each (``cols``) with its vertices in order. The segments,
         and then the vertices, are cut down to what is asked for before any vertex is grouped."""
         seg = self.segments.select(*self.LINE_COLS).join(wanted.select(key).distinct(), key, "left_semi")
         if self._given["vertices"] is None:  # the fixture's vertices derive from the segment row
-            lines = fixtures.segment_geometry(seg).select(*self.LINE_COLS, "geom")
+            lines = fixtures.segment_geometry(seg).select(*cols, "geom")
         else:
             vertices = self.vertices.join(seg.select("linear_feature_id"), "linear_feature_id", "left_semi")
-            lines = seg.join(fixtures.line_geometry(vertices), "linear_feature_id")
+            lines = seg.select(*cols).join(fixtures.line_geometry(vertices), "linear_feature_id")
         return materialize(lines, name, self.written)
 
     @cached_property
     def point_lines(self) -> DataFrame:
         """The segments of the lines that the raw points name, with geometry."""
-        return self._lines(self.points_src, "blue_line_key", "point-lines")
+        return self._lines(self.points_src, "blue_line_key", "point-lines", self.LINE_COLS)
 
     @cached_property
     def listed_lines(self) -> DataFrame:
-        """The segments that occur in the output, with geometry."""
-        return self._lines(self.stream_list_all, "linear_feature_id", "listed-lines")
+        """The geometry of the segments that occur in the output."""
+        return self._lines(self.stream_list_all, "linear_feature_id", "listed-lines", ["linear_feature_id"])
 
     # ---- main path ----------------------------------------------------------------------
     WORK_COLS = ["linear_feature_id", "blue_line_key", "watershed_key", "downstream_route_measure",

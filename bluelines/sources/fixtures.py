@@ -49,7 +49,9 @@ def network(t: Tables) -> DataFrame:
                .join(first, F.col("c_custkey") == F.col("_ck")).drop("_ck", "c_nationkey"))
     o = (t.orders.select(F.col("o_orderkey").alias("ok"), "o_custkey", F.col("o_orderpriority").alias("priority"))
          .join(streams, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey"))
-    customer_labels = F.regexp_replace(F.col("c_custkey").cast("string"), r"([0-9])", r".$1$1$1$1$1$1")
+    customer_labels = F.col("c_custkey").cast("string")
+    for digit in "0123456789":  # a label of six equal digits per digit
+        customer_labels = F.replace(customer_labels, F.lit(digit), F.lit("." + 6 * digit))
     code = F.concat("region_code", F.lit("."), "nation_label", customer_labels)
 
     dm_label = F.lpad((F.col("dm") * 200).cast("int").cast("string"), 6, "0")
@@ -65,7 +67,7 @@ def network(t: Tables) -> DataFrame:
                     F.when(F.col("ok") % 17 == 0, F.lit(None).cast("string"))
                      .when(F.col("dm") == 0, F.col("wscode"))
                      .otherwise(F.concat_ws(".", "wscode", dm_label)).alias("localcode"),
-                    F.regexp_replace("wscode", r"\.", "-").alias("fwa_watershed_code"),
+                    F.translate("wscode", ".", "-").alias("fwa_watershed_code"),
                     F.concat(F.lit("W"), F.lpad(F.col("n_nationkey").cast("string"), 3, "0")).alias("watershed_group_code"),
                     "priority"))
 
@@ -174,16 +176,14 @@ def line_geometry(vert: DataFrame) -> DataFrame:
 
     Groups are single segments (a handful of vertices), so the collect is bounded.
     """
-    if "part" in vert.columns:
-        one = line_geometry(vert.withColumn("linear_feature_id", F.struct("linear_feature_id", "part")).drop("part"))
-        return (one.select("linear_feature_id.*", "geom").groupBy("linear_feature_id")
-                .agg(F.array_sort(F.collect_list(F.struct("part", "geom"))).alias("p"))
-                .select("linear_feature_id", F.transform("p", lambda p: p["geom"]).alias("parts")))
-    return (vert.groupBy("linear_feature_id")
-            .agg(F.array_sort(F.collect_list(F.struct("seq", "x", "y", "m"))).alias("v"))
-            .select("linear_feature_id",
-                    F.transform("v", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"),
-                                                        p["m"].alias("m"))).alias("geom")))
+    keys = [c for c in ("linear_feature_id", "part") if c in vert.columns]
+    one = (vert.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("seq", "x", "y", "m"))).alias("v"))
+           .select(*keys, F.transform("v", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), p["m"].alias("m"))).alias("geom")))
+    if "part" not in keys:
+        return one
+    # parts met by segment: vertices that lie together by segment stay where they are
+    return (one.groupBy("linear_feature_id").agg(F.array_sort(F.collect_list(F.struct("part", "geom"))).alias("p"))
+            .select("linear_feature_id", F.transform("p", lambda p: p["geom"]).alias("parts")))
 
 
 def aquifers(t: Tables) -> DataFrame:

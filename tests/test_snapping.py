@@ -129,3 +129,21 @@ def test_vertices_with_parts_become_lines_of_parts(spark):
                                  "linear_feature_id long, part int, seq int, m double").withColumns({"x": F.col("m"), "y": F.lit(0.0)})
     got = {r.linear_feature_id: [[v.m for v in p] for p in r.parts] for r in fixtures.line_geometry(vert).collect()}
     assert got == {1: [[0.0, 1.0], [5.0, 6.0]], 2: [[0.0, 3.0]]}
+
+
+def test_a_line_is_cut_once(spark):
+    """The cut of a piece is in the plan once: not again in a test of its size, nor again in each use of its ends."""
+    lines = spark.createDataFrame([(1, [[(0.0, 0.0, 0.0), (4.0, 0.0, 4.0)]])], "linear_feature_id bigint, parts array<array<struct<x:double,y:double,m:double>>>")
+    pieces = spark.createDataFrame([("s", 1, 1.0, 2.0)], "segmented_stream_id string, linear_feature_id bigint, downstream_route_measure double, upstream_route_measure double")
+    cut = snapping.clip_pieces(pieces, lines)
+    assert cut._jdf.queryExecution().executedPlan().toString().count("sequence(0") == 2  # one for each end
+    assert [(r.part, r.vertex_index, r.x) for r in cut.orderBy("vertex_index").collect()] == [(0, 0, 1.0), (0, 1, 2.0)]
+
+
+def test_vertices_by_segment_are_shuffled_once(spark):
+    """Vertices that lie together by segment become lines of parts where they are."""
+    vert = spark.createDataFrame([(1, 1, 0, 5.0, 0.0, 5.0), (1, 0, 1, 2.0, 0.0, 2.0), (1, 0, 0, 0.0, 0.0, 0.0)],
+                                 "linear_feature_id bigint, part int, seq int, x double, y double, m double").repartition(3, "linear_feature_id")
+    lines = fixtures.line_geometry(vert)
+    assert lines._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert [[[v.m for v in p] for p in r.parts] for r in lines.collect()] == [[[0.0, 2.0], [5.0]]]
