@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bluelines.operators import upstream
-from bluelines.operators.changes import snapshot_diff
+from bluelines.operators.changes import row_hash
 from bluelines.session import materialize
 
 GROUP = "watershed_group_code"
@@ -29,10 +29,20 @@ TIES = ["linear_feature_id", "blue_line_key", "watershed_key", "downstream_route
         "wscode", "localcode", GROUP]
 
 
-def both_versions(before: DataFrame, after: DataFrame, key: str, cols: list[str], compare: list[str] | None = None) -> DataFrame:
-    """The rows, as they were and as they are (``cols``), whose key is new, gone or has another row in ``compare``."""
+def both_versions(before: DataFrame, after: DataFrame, key: str, cols: list[str], compare: list[str] | None = None,
+                  written: list[str] | None = None) -> DataFrame:
+    """The rows, as they were and as they are (``cols``), whose key is new, gone or has another row in ``compare``.
+
+    The keys come from one aggregation of key and digest, and are written, so that Spark knows how few they are when it
+    joins the rows with them."""
     compared = [c for c in (compare or before.columns) if c != key]
-    keys = snapshot_diff(before.select(key, *compared), after.select(key, *compared), [key]).select(key)
+    half = lambda n: F.conv(F.substring("_h", 1 + 16 * n, 16), 16, -10).cast("long").alias(f"_h{n}")  # noqa: E731 (all 64 bits)
+    version = lambda df, now: df.where(F.col(key).isNotNull()).select(
+        key, row_hash(df, compared).alias("_h"), F.lit(now).alias("_now")).select(key, half(0), half(1), "_now")
+    ends = version(before, 0).unionByName(version(after, 1)).groupBy(key).agg(
+        *[f(c).alias(n + c) for c in ("_h0", "_h1", "_now") for n, f in (("_low", F.min), ("_high", F.max))])
+    keys = ends.where("_low_h0 <> _high_h0 or _low_h1 <> _high_h1 or _low_now = _high_now").select(key)
+    keys = materialize(keys, "edited-keys", written)
     return before.select(cols).unionByName(after.select(cols)).join(keys, key, "left_semi")
 
 
@@ -44,8 +54,9 @@ def touched_groups(segments_before: DataFrame, segments_after: DataFrame, points
     Segments by ``linear_feature_id``, compared in ``segment_compare`` (all columns of ``segments_before``); placed points by
     ``notation_id`` (``schemas.PLACED_POINTS``)."""
     point_cols = [c for c in points_before.columns if c in points_after.columns]
-    points = materialize(both_versions(points_before, points_after, "notation_id", point_cols), "edited-points", written)
-    edited = materialize(both_versions(segments_before, segments_after, "linear_feature_id", TIES, segment_compare), "edited-segments", written)
+    points = materialize(both_versions(points_before, points_after, "notation_id", point_cols, written=written), "edited-points", written)
+    edited = materialize(both_versions(segments_before, segments_after, "linear_feature_id", TIES, segment_compare, written),
+                         "edited-segments", written)
     every = segments_after.select(TIES).unionByName(edited)
     lines = points.select("blue_line_key").unionByName(edited.select("blue_line_key")).unionByName(
         every.join(points.select("linear_feature_id"), "linear_feature_id", "left_semi").select("blue_line_key")).distinct()

@@ -535,8 +535,10 @@ def q_incremental_run(spark, d):
     sinks.write_all_groups(n.stream_list_all.select(cols), path)
     segments, points = edited_network(n)
     touched = incremental.touched_groups(n.segments, segments, n.points.drop("prank"), points, written=n.written)
+    touched = materialize(touched, "touched-groups", n.written)  # read twice
     groups = sorted(r[0] for r in touched.collect())  # work groups, not rows
-    part = Network(spark, segments=incremental.needed_segments(segments, touched), points=points)
+    needed = materialize(incremental.needed_segments(segments, touched), "needed-segments", n.written, bucket="blue_line_key")
+    part = Network(spark, segments=needed, points=points)
     sinks.refresh_groups(part.stream_list_all.select(cols), path, groups)
     return _out(sinks.read_output(spark, path))
 

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from bluelines.operators import incremental
+from bluelines.operators import changes, incremental
 from bluelines.plans import catalogue, sinks
 from bluelines.plans.pipeline import OUTPUT_COLS, Network
 from bluelines.session import work_path
@@ -103,3 +103,21 @@ def test_touched_groups_join_by_keys(spark, tables, capsys):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     plan = capsys.readouterr().out
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_versions_of_edited_keys(spark):
+    """New, gone, other, moved and repeated keys, null keys and lines: all rows of the keys that differ, as a join on the key gives
+    them, met by the written keys."""
+    def rows(data):
+        ties = [(i, line, line, 0.0, float(m), "1", "1", f"G{line}") for i, line, m in data]
+        return spark.createDataFrame(ties, "linear_feature_id long, blue_line_key long, watershed_key long, downstream_route_measure double, "
+                                           "upstream_route_measure double, wscode string, localcode string, watershed_group_code string")
+
+    key = "linear_feature_id"
+    before = rows([(1, 10, 1), (2, 10, 1), (3, 10, 1), (4, 10, 1), (5, 10, 1), (5, 11, 1), (6, 12, 1), (6, 12, 1), (None, 10, 1), (7, None, 1), (8, None, 1), (9, 10, 1)])
+    after = rows([(1, 10, 1), (2, 10, 2), (4, 11, 1), (5, 10, 1), (5, 11, 3), (6, 12, 1), (None, 10, 2), (7, None, 2), (8, None, 1), (9, 10, 1), (9, None, 1), (10, 13, 1)])
+    got = incremental.both_versions(before, after, key, incremental.TIES)
+    joined = before.unionByName(after).join(changes.snapshot_diff(before, after, [key]), key, "left_semi").select(incremental.TIES)
+    assert sorted(map(str, got.collect())) == sorted(map(str, joined.collect()))
+    assert {r[0] for r in got.collect()} == {2, 3, 4, 5, 7, 9, 10}
+    assert any("bluelines-edited-keys" in f for f in got.inputFiles())
