@@ -34,13 +34,14 @@ further lines; extra columns are not read.
 from __future__ import annotations
 
 from functools import lru_cache
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bluelines.llm.bitparallel import banded_distance
+from bluelines.llm.bitparallel import Texts
 from bluelines.llm.common import components, in_chunks, text_batches
 from bluelines.llm.shingles import mix
 from bluelines.session import materialize
@@ -50,16 +51,19 @@ RATE = 40
 SHORT = 20
 WINDOW = 16
 LONG = (EDITS + 1) * RATE  # from this length on a line may differ in more than EDITS
-STEP = 5 / 4
-RATES = (3, 2, 1, 0)  # of the windows that start with a space one in so many counts; 0: all windows do
-_CLASSES = np.array([LONG * STEP ** k for k in range(200)])
 BLOCK = 1024
 BINS = 32  # of hashed pairs of neighbouring characters
 KEY_BROADCAST_ROWS = 500_000  # open keys or lines (8 bytes each) sent to all executors; more are joined by shuffle
 CHUNK = 1 << 20
+STRETCH = 1 << 14  # characters summed in one go, so that they stay in the processor's cache
+KEY_PARTS = 4  # parts that keys are dealt to, per shuffle partition
+KEYS_HELD = 250_000  # keys that a task holds before it deals them
+EARLY = 4  # keys of a line that are compared for all pairs at once
+PAIRS_HELD = 20_000  # pairs of lines verified at once, about
 NULL_ID = -(2**63)  # stands for a null document id
 _U = np.uint64
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_FEW = _U(2**64 // 3)
 _BLANK = " \t\r\x0b\x0c"
 
 
@@ -105,9 +109,14 @@ class Lines:
         """Prefix sums of the points' codes times powers, made when first asked for."""
         if which not in self.sums:
             n, total = len(self.points), np.zeros(len(self.points) + 1, np.uint64)
-            codes = _codes(which)
-            spread = codes[self.points] if not n or self.points.max() < len(codes) else _code(self.points.astype(np.uint64), which)
-            np.cumsum(spread * _powers(which, 1 << max(20, n.bit_length()))[0][:n], out=total[1:])
+            codes, powers = _codes(which), _powers(which, 1 << max(20, n.bit_length()))[0]
+            basic = not n or self.points.max() < len(codes)
+            for a in range(0, n, STRETCH):
+                b = min(a + STRETCH, n)
+                spread = codes.take(self.points[a:b]) if basic else _code(self.points[a:b].astype(np.uint64), which)
+                spread *= powers[a:b]
+                spread[:1] += total[a:a + 1]
+                np.cumsum(spread, out=total[a + 1:b + 1])
             self.sums[which] = total
         return self.sums[which]
 
@@ -120,8 +129,17 @@ class Lines:
         """Hashes of the lines, even, so that ``_keys`` can put a flag into the last bit."""
         return (self.hash(self.start, self.length) & ~_U(1)).view(np.int64)
 
+    def checks(self) -> np.ndarray:
+        """Other hashes, as two lines may have the same id."""
+        return np.array([crc32(x.encode("utf-8", "surrogatepass")) for x in self.text], np.int64)
+
     def keys(self):
-        """(line, key, whether it is a segment of the line itself) of all lines that take part."""
+        """(line, key, whether the line is to be found by it) of all lines that take part."""
+        for line, key, own, _ in self.places():
+            yield line, key, own
+
+    def places(self):
+        """The same with the places in the lines."""
         n = EDITS + 1
         for less in range(n):
             size = self.length - less  # of the lines looked up
@@ -134,58 +152,199 @@ class Lines:
                     line = np.flatnonzero((size >= max(SHORT, n)) & (self.length < LONG) & (at >= 0) & (at + width <= self.length))
                     found = self.hash(self.start[line] + at[line], width[line])
                     key = mix(found + (size[line] * n + i).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
-                    yield line, key.view(np.int64), less == 0 and shift == 0
-        yield from self._window_keys()
+                    yield line, key.view(np.int64), less == 0 and shift == 0, at[line]
+        yield from self._window_places()
 
-    def _window_keys(self):
+    def _window_places(self):
         """The same for lines of ``LONG`` characters and those that may be close to one."""
         most = self.length // (RATE - 1)  # edits to the longest line that can be close
         left = most > EDITS
-        owner = np.repeat(np.arange(len(self.length)), self.length)  # the line of each point
-        for kind, rate in enumerate(RATES):
+        for kind, ordinary in enumerate((True, False)):
             if not left.any():
                 return
-            at = np.flatnonzero(self.points == 32) if rate else np.arange(len(self.points))
-            line = owner[at]
+            at = np.flatnonzero(self.points == 32) if ordinary else np.flatnonzero(np.repeat(left, self.length))
+            line = np.searchsorted(self.start, at, "right") - 1  # the last of the lines that begin there; those before it are empty
             fits = left[line] & (at - self.start[line] + WINDOW <= self.length[line])
             line, at = line[fits], at[fits]
-            if rate > 1:
-                counts = self.hash(at, np.full(len(at), 4)) % _U(rate) == 0
-                line, at = line[counts], at[counts]
-            apart, free = np.zeros(len(at), bool), 0
-            for k, place in enumerate(at.tolist()):
-                if place >= free:
-                    apart[k], free = True, place + WINDOW
-            before = np.cumsum(apart) - apart
-            rank = before - before[np.searchsorted(line, line)]  # of the line's windows that do not overlap
-            enough = np.bincount(line[apart], minlength=len(most)) > most
-            own = apart & enough[line] & (rank <= most[line])
-            found = self.hash(at, np.full(len(at), WINDOW)) + _U((kind + 1) * 0x9E3779B97F4A7C15 % 2**64)
-            low, here, high = (np.searchsorted(_CLASSES, size, "right")[line] for size in (self.length - most, self.length, self.length + most))
-            for size, pick, mine in ((here, own, True), (here, ~own, False), (low, own & (low < here), True), (high, own & (high > here), True)):
-                yield line[pick], mix(found[pick] + size[pick].astype(np.uint64) * _U(0xD6E8FEB86659FD93)).view(np.int64), mine
+            found = self.hash(at, np.full(len(at), WINDOW))
+            chosen, enough = np.zeros(len(at), bool), np.zeros(len(left), bool)
+            for share in (_FEW, _U(2**64 - 1)):  # for most lines the first windows by hash are enough
+                few = np.flatnonzero((found <= share) & ~enough[line])
+                picked, fine = _first_windows(line[few], at[few], found[few], most + 1)
+                chosen[few[picked]] = True
+                enough |= fine
+            pick = np.flatnonzero(chosen | ~enough[line])
+            key = mix(found[pick] + _U((kind + 1) * 0x9E3779B97F4A7C15 % 2**64)).view(np.int64)
+            yield line[pick], key, True, at[pick] - self.start[line[pick]]
             left = left & ~enough
 
 
-def _occurrences(batches):
-    for batch in batches:
-        for a, b in in_chunks(batch.column(1), CHUNK):
-            lines = Lines(batch.column(1)[a:b].to_pylist())
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0)[a:b].take(pa.array(lines.owner)), "line_no": lines.number, "id": lines.ids(),
-                "check": lines.hash(lines.start, lines.length, 1).view(np.int64), "size": lines.length})
+def _apart(line, at, most):
+    """How many windows that do not overlap each line has, of windows in order of place; not all if more than ``most[line]``."""
+    nth = np.arange(1, len(at) + 1)  # the next window that does not overlap
+    todo = np.arange(len(at) - 1)
+    while len(todo := todo[at[np.minimum(nth[todo], len(at) - 1)] - at[todo] < WINDOW]):
+        nth[todo] += 1
+        todo = todo[nth[todo] < len(at)]
+    count = np.zeros(len(most), np.int64)
+    now = np.flatnonzero(np.insert(line[1:] != line[:-1], 0, True)) if len(at) else todo
+    while len(now) > 8:
+        here = line[now]
+        count[here] += 1
+        now = nth[now]
+        stays = (now < len(at)) & (count[here] < most[here])
+        now, here = now[stays], here[stays]
+        now = now[line[now] == here]
+    for k in now.tolist():  # few lines, mostly long ones
+        free = 0
+        for place in at[k:np.searchsorted(line, line[k], "right")].tolist():
+            if place >= free:
+                count[line[k]] += 1
+                free = place + WINDOW
+    return count
+
+
+def _first_windows(line, at, rank, need):
+    """Of windows in order of place: which are in the smallest group of a line's first by rank (about) that holds
+    ``need[line]`` windows that do not overlap; and which lines have so many."""
+    size = np.bincount(line, minlength=len(need))
+    begin, bits = np.cumsum(size) - size, len(need).bit_length()
+    order = np.argsort(line.astype(np.uint64) << _U(64 - bits) | rank >> _U(bits))
+    take, chosen, enough = np.minimum(size, need + need // 3 + 1), np.zeros(len(at), bool), np.zeros(len(need), bool)
+    todo = (size >= need) & (size > 0)
+    while todo.any():
+        top = np.zeros(len(need), np.uint64)
+        top[todo] = rank[order[begin[todo] + take[todo] - 1]]
+        pick = np.flatnonzero(todo[line] & (rank <= top[line]))  # with all of the same rank
+        got = todo & (_apart(line[pick], at[pick], need) >= need)
+        chosen[pick[got[line[pick]]]] = True
+        enough |= got
+        todo &= ~got & (take < size)
+        take = np.minimum(size, take + take // 6 + 1)
+    return chosen, enough
+
+
+KEY_TYPES = [("key", np.uint32), ("id", np.uint64), ("size", np.uint32), ("place", np.uint32)]
+KEY_BYTES = sum(np.dtype(t).itemsize for _, t in KEY_TYPES)
+OCCURRENCES = pa.schema([*((c, pa.int64()) for c in ("doc_id", "line_no", "id", "check", "size")), ("part", pa.int32()), ("keys", pa.binary())])
+
+
+def _dealt(held: list[tuple], parts: int) -> pa.RecordBatch:
+    """One row per part of the keys: its keys as the bytes of one array per column."""
+    key, *columns = (np.concatenate(c) for c in zip(*held))
+    part = (key >> _U(32)) % _U(parts)
+    order = np.argsort(part.astype(np.uint16 if parts <= 1 << 16 else np.uint32), kind="stable")
+    columns = [c[order].astype(t) for c, (_, t) in zip([key & _U(2**32 - 1), *columns], KEY_TYPES)]
+    cuts = np.flatnonzero(np.bincount(part.astype(np.int64), minlength=parts))
+    ends = np.cumsum(np.bincount(part.astype(np.int64), minlength=parts))[cuts].tolist()
+    blobs = [b"".join(c[a:b].tobytes() for c in columns) for a, b in zip([0, *ends], ends)]
+    own = {"part": pa.array(cuts, pa.int32()), "keys": pa.array(blobs, pa.binary())}
+    return pa.RecordBatch.from_arrays([own.get(f.name, pa.nulls(len(blobs), f.type)) for f in OCCURRENCES], schema=OCCURRENCES)
+
+
+def _occurrences(parts: int):
+    """All lines, and the keys of those that a chunk holds, dealt to ``parts`` by key."""
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            for a, b in in_chunks(batch.column(1), CHUNK):
+                lines = Lines(batch.column(1)[a:b].to_pylist())
+                ids = lines.ids()
+                own = {"doc_id": batch.column(0)[a:b].take(pa.array(lines.owner)), "line_no": lines.number, "id": ids,
+                       "check": lines.checks(), "size": lines.length}
+                yield pa.RecordBatch.from_arrays([pa.array(own[f.name]) if f.name in own else pa.nulls(len(ids), f.type) for f in OCCURRENCES], schema=OCCURRENCES)
+                first = np.zeros(len(ids), bool)
+                first[np.unique(ids, return_index=True)[1]] = True  # equal lines of a chunk give their keys once
+                for line, key, mine, at in lines.places():
+                    pick = first[line]
+                    line, at = line[pick], at[pick]
+                    held.append((key[pick].view(np.uint64), ids[line].view(np.uint64) | _U(mine), lines.length[line], at))
+                    n += len(at)
+                if n >= KEYS_HELD:
+                    yield _dealt(held, parts)
+                    held, n = [], 0
+        if n:
+            yield _dealt(held, parts)
+    return run
 
 
-def _keys(batches):
-    for batch in batches:
-        for a, b in in_chunks(batch.column(1), CHUNK):
-            lines = Lines(batch.column(1)[a:b].to_pylist())
-            ids = lines.ids()
-            first = np.zeros(len(ids), bool)
-            first[np.unique(ids, return_index=True)[1]] = True  # equal lines of a chunk give their keys once
-            parts = [(key[first[line]], ids[line[first[line]]] | int(own)) for line, key, own in lines.keys()]
-            key, ids = (np.concatenate([p[k] for p in parts]) for k in range(2))
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids)], ["key", "id"])
+def _open_lines(part: int, blobs: list[bytes], block: int):
+    """Of the keys of a part those that different lines have, one to be found by it: the lines that have a partner of
+    near length and place, or all in pairs of blocks of near lengths if there are many."""
+    columns, before = [], 0
+    for _, t in KEY_TYPES:
+        wide = np.dtype(t).itemsize
+        columns.append(np.concatenate([np.frombuffer(b, t, len(b) // KEY_BYTES, len(b) // KEY_BYTES * before) for b in blobs]))
+        before += wide
+    spread = np.sort(columns[0].astype(np.uint64) << _U(32) | np.arange(len(columns[0]), dtype=np.uint64))
+    same = spread[1:] >> _U(32) == spread[:-1] >> _U(32)
+    pick = (spread[np.append(same, False) | np.insert(same, 0, False)] & _U(2**32 - 1)).astype(np.int64)
+    key, ids, size, low = (c[pick] for c in columns)
+    key, size, low = key.astype(np.int64), size.astype(np.int64), low.astype(np.int64)
+    own, ids = (ids & _U(1)).astype(np.int64), (ids & ~_U(1)).view(np.int64)
+    order = np.lexsort((ids, size, key))
+    key, ids, size, low, own = (c[order] for c in (key, ids, size, low, own))
+    first = np.flatnonzero(np.insert((key[1:] != key[:-1]) | (ids[1:] != ids[:-1]), 0, True)) if len(key) else order
+    if len(first) < 2:
+        return
+    key, ids, size = key[first], ids[first], size[first]  # a line once per key
+    low, high, own = np.minimum.reduceat(low, first), np.maximum.reduceat(low, first), np.maximum.reduceat(own, first)  # it may have it at several places
+    new = np.insert(key[1:] != key[:-1], 0, True)
+    run = np.cumsum(new) - 1
+    count, last = np.bincount(run), np.searchsorted(run, run, "right")
+    stays, rest, step = np.zeros(len(key), bool), size - high, 1
+    i = np.flatnonzero(count[run] <= 2 * block)
+    while len(i):
+        i = i[i + step < last[i]]
+        j = i + step
+        limit = np.maximum(EDITS, size[j] // RATE)
+        near = size[j] - size[i] <= limit  # lengths rise in a key
+        i, j, limit = i[near], j[near], limit[near]
+        left = np.maximum(0, np.maximum(low[i] - high[j], low[j] - high[i]))  # edits before the place at least, and after it
+        right = np.maximum(0, np.maximum(rest[i] - size[j] + low[j], rest[j] - size[i] + low[i]))
+        fits = (left + right <= limit) & (own[i] | own[j] > 0)
+        stays[i[fits]] = stays[j[fits]] = True
+        step += 1
+    if stays.any():
+        begins = np.flatnonzero(np.insert(np.diff(run[stays]) > 0, 0, True))
+        yield _cells(part, key[stays][begins], 0, 0, 0, ids[stays], begins, ids[stays], begins)
+    for r in np.flatnonzero((count > 2 * block) & (np.bincount(run, own) > 0)):
+        begin = int(np.searchsorted(run, r))
+        starts, of_key = range(begin, begin + int(count[r]), block), ids[begin:begin + int(count[r])]
+        ends = [min(a + block, starts.stop) for a in starts]
+        for i, (a, b) in enumerate(zip(starts, ends)):
+            for j in range(i, len(ends)):
+                c, d = starts[j], ends[j]
+                if size[c] - max(EDITS, size[c] // RATE) > size[b - 1]:
+                    break
+                for side, block_ids in enumerate((ids[a:b], ids[c:d])[:1 + (i < j)]):
+                    yield _cells(part, key[a:a + 1], i, j, side, block_ids, [0], of_key, [0])
+
+
+def _cells(part, key, i, j, side, ids, begins, of_key, key_begins) -> pa.RecordBatch:
+    """Rows of lines of open keys, with the number and two sums of all lines of the key."""
+    code = of_key.view(np.uint64)
+    ends = np.append(begins, len(ids)).astype(np.int32)
+    alike = {"n": np.diff(np.append(key_begins, len(of_key))), "x": np.bitwise_xor.reduceat(mix(code), key_begins).view(np.int64),
+             "y": np.add.reduceat(mix(code + _U(_BASES[1])), key_begins).view(np.int64)}
+    where = {c: np.full(len(key), v, np.int32) for c, v in (("i", i), ("j", j), ("side", side))}
+    return pa.RecordBatch.from_pydict({"key": (part << 32) + key, **where, **alike, "ids": pa.ListArray.from_arrays(ends, ids)})
+
+
+def _open(block: int):
+    """``_open_lines`` of each part; rows come in order of parts."""
+    def run(batches):
+        now, blobs = None, []
+        for batch in batches:
+            for part, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if part != now and blobs:
+                    yield from _open_lines(now, blobs, block)
+                    blobs = []
+                now = part
+                blobs.append(blob.as_buffer())
+        if blobs:
+            yield from _open_lines(now, blobs, block)
+    return run
 
 
 def _pair_counts(texts: list[str]) -> np.ndarray:
@@ -207,13 +366,14 @@ def _texts(batches):
     """Batches of text and the numbers of the lines asked for: those lines with their hashes."""
     for batch in batches:
         for a, b in in_chunks(batch.column(0), CHUNK):
-            lines = Lines(batch.column(0)[a:b].to_pylist())
-            wanted = [set(w) for w in batch.column(1)[a:b].to_pylist()]
-            pick = np.array([k for k, (o, n) in enumerate(zip(lines.owner.tolist(), lines.number.tolist())) if n in wanted[o]], np.int64)
-            text = [lines.text[k] for k in pick]
-            yield pa.RecordBatch.from_pydict({"id": lines.ids()[pick], "check": lines.hash(lines.start, lines.length, 1)[pick].view(np.int64),
-                                              "size": lines.length[pick], "bins": pa.array([b.tobytes() for b in _pair_counts(text)], pa.binary()),
-                                              "line": pa.array(text, pa.string())})
+            asked = []
+            for text, numbers in zip(batch.column(0)[a:b].to_pylist(), batch.column(1)[a:b].to_pylist()):
+                own = [] if text is None else text.split("\n")
+                asked += [own[n] for n in numbers if n < len(own)]
+            lines = Lines(asked)
+            yield pa.RecordBatch.from_pydict({"id": lines.ids(), "check": lines.checks(),
+                                              "size": lines.length, "bins": pa.array([b.tobytes() for b in _pair_counts(lines.text)], pa.binary()),
+                                              "line": pa.array(lines.text, pa.string())})
 
 
 CELL_COLS = ["key", "i", "j", "side", "id", "check"]
@@ -252,11 +412,16 @@ def _pairs(rows: pa.Table):
     cell = np.cumsum(_begins(rows)) - 1
     place, last = np.arange(len(cell)), np.searchsorted(cell, cell, "right")
     two = np.bincount(cell, side)[cell] > 0
-    for step in range(1, int(np.bincount(cell).max())):
-        i = np.flatnonzero(place + step < last)
-        j = i + step
+    more = last - place - 1  # partners that follow a line
+    ends = np.cumsum(more)
+    a = done = 0
+    while a < len(place):
+        b = max(a + 1, int(np.searchsorted(ends, done + PAIRS_HELD, "right")))
+        i = np.repeat(place[a:b], more[a:b])
+        j = np.arange(1, len(i) + 1) + i - np.repeat(ends[a:b] - more[a:b] - done, more[a:b])
         asked = (~two[i] | (side[i] != side[j])) & ((ids[i] != ids[j]) | (check[i] != check[j]))
         yield i[asked], j[asked]
+        a, done = b, int(ends[b - 1])
 
 
 def _near(rows: pa.Table):
@@ -283,8 +448,11 @@ def _verify(rows: pa.Table) -> pa.RecordBatch:
     """Pairs of blocks of lines with one open key: a row per line with links (how many; b is null), and a row per link
     that joins two components."""
     here, ids, check = (rows[c].to_numpy() for c in ("key", "id", "check"))
-    text, keys = rows["line"].to_pylist(), [set(k) for k in rows["keys"].to_pylist()]
-    comp, count, out = list(range(len(text))), np.zeros(len(text), np.int64), []
+    text, keys = Texts(rows["line"].to_pylist()), rows["keys"].to_pylist()
+    early = [{x for x in k if x < h} for k, h in zip(keys, here.tolist())]  # a pair is verified in the first key that it shares
+    some = np.array([(sorted(e)[:EARLY] + [-1 - k] * EARLY)[:EARLY] for k, e in enumerate(early)], np.int64)
+    marks = np.array([sum({1 << (x * 0x9E3779B97F4A7C15 >> 58 & 63) for x in e}) for e in early], np.uint64)
+    comp, count, out = list(range(len(ids))), np.zeros(len(ids), np.int64), []
 
     def root(k):
         while comp[k] != k:
@@ -292,16 +460,29 @@ def _verify(rows: pa.Table) -> pa.RecordBatch:
             k = comp[k]
         return k
 
+    def link(i, j, limit):
+        near = text.within(i, j, limit)
+        for k in (i[near], j[near]):
+            count[:] += np.bincount(k, minlength=len(count))
+        for a, b in zip(i[near].tolist(), j[near].tolist()):
+            if (a := root(a)) != (b := root(b)):
+                comp[b] = a
+                out.append((ids[a], check[a], ids[b], check[b], 0))
+
+    held, n = [], 0
     for i, j, limit in _near(rows):
-        for a, b, most in zip(i.tolist(), j.tolist(), limit.tolist()):
-            if len(keys[a]) > 1 and len(keys[b]) > 1 and min(keys[a] & keys[b]) != here[a]:
-                continue
-            if banded_distance(text[a], text[b], most) <= most:
-                count[a] += 1
-                count[b] += 1
-                if root(a) != root(b):
-                    comp[root(b)] = root(a)
-                    out.append((ids[a], check[a], ids[b], check[b], 0))
+        apart = marks[i] & marks[j] == 0
+        doubt = np.flatnonzero(~apart)
+        doubt = doubt[(some[i[doubt], :, None] != some[j[doubt], None, :]).all((1, 2))]
+        for k in doubt.tolist():
+            apart[k] = early[i[k]].isdisjoint(early[j[k]])
+        held.append((i[apart], j[apart], limit[apart]))
+        n += len(held[-1][0])
+        if n >= PAIRS_HELD:
+            link(*(np.concatenate(c) for c in zip(*held)))
+            held, n = [], 0
+    if n:
+        link(*(np.concatenate(c) for c in zip(*held)))
     out += [(ids[k], check[k], None, None, count[k]) for k in np.flatnonzero(count)]
     names = [c.split()[0] for c in LINKS.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array([None if r[k] is None else int(r[k]) for r in out], pa.int64()) for k in range(len(names))], names)
@@ -318,50 +499,44 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lines (each text once) close to it; kept marks the first line of each class."""
     text_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    lines = materialize(src.mapInArrow(_occurrences, "doc_id long, line_no long, id long, check long, size long"), "lines", written)
-    # shuffled once: a key's rows stay where they are found to be open
-    spread = src.select("doc_id", "text").mapInArrow(_keys, "key long, id long")
-    of_key, line = Window.partitionBy("key"), F.col("id").bitwiseAND(-2)
-    opened = spread.select("key", "id", F.min(line).over(of_key).alias("low"), F.max(line).over(of_key).alias("high"),
-                           F.max(F.col("id").bitwiseAND(1)).over(of_key).alias("own"))
-    rows = opened.where("own = 1 and low < high").select("key", line.alias("id")).distinct()
-    rows = materialize(rows, "open-lines", written)
+    parts = KEY_PARTS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lines = materialize(src.mapInArrow(_occurrences(parts), "doc_id long, line_no long, id long, check long, size long, part int, keys binary"), "lines", written)
+    spread = lines.where("part is not null").select("part", "keys").repartition("part").sortWithinPartitions("part")
+    rows = spread.mapInArrow(_open(BLOCK), "key long, i int, j int, side int, n long, x long, y long, ids array<long>")
     # of keys with the same lines one is enough
-    same = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
-    kept = materialize(same.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"), "kept-keys", written)
-    rows = materialize(rows.join(kept, "key"), "kept-lines", written)
+    rows = rows.groupBy("i", "j", "side", "n", "x", "y").agg(F.min("key").alias("key"), F.first("ids").alias("ids"))
+    many = (F.col("n") > 2 * BLOCK).alias("many")
+    rows = materialize(rows.select("key", "i", "j", "side", many, F.explode("ids").alias("id")), "open-lines", written)
+    lines = lines.where("part is null").drop("part", "keys")
     firsts = lines.where("size > 0").groupBy("id", "check").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("d"), "line_no")).alias("first"))
     firsts = materialize(firsts, "first-lines", written)
-    wanted = _only(firsts, materialize(rows.select("id").distinct(), "line-ids", written), "id")
-    wanted = wanted.groupBy(F.col("first.d").alias("d")).agg(F.collect_set("first.line_no").alias("numbers"))  # of one document
+    asked = materialize(_only(firsts, materialize(rows.select("id").distinct(), "line-ids", written), "id"), "asked-lines", written)
+    wanted = asked.groupBy(F.col("first.d").alias("d")).agg(F.collect_set("first.line_no").alias("numbers"))  # of one document
     wanted = materialize(wanted, "wanted-lines", written)
     few = wanted.count() <= KEY_BROADCAST_ROWS
-    asked = src.join(F.broadcast(wanted) if few else wanted, F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("d")).select("text", "numbers")
-    texts = asked.mapInArrow(_texts, "id long, check long, size long, bins binary, line string").dropDuplicates(["id", "check"])
+    read = src.join(F.broadcast(wanted) if few else wanted, F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("d")).select("text", "numbers")
+    texts = read.mapInArrow(_texts, "id long, check long, size long, bins binary, line string").dropDuplicates(["id", "check"])
     texts = materialize(texts, "line-texts", written)
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    cells = rows.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = cells.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-                         (F.col("mine") > F.col("other")).cast("int").alias("side"), "id")
     dealt = lambda df: df.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    cells = dealt(cells.join(texts.select("id", "check", "size", "bins"), "id"))
-    cells = cells.mapInArrow(_per_cell(_candidates), "key long, i int, j int, side int, id long, check long")
-    cells = materialize(cells, "line-cells", written)  # few: most lines share a key by chance
-    ids = materialize(cells.select("id").distinct(), "cell-ids", written)
-    keys = _only(rows.select("id", "key"), ids, "id").groupBy("id").agg(F.collect_set("key").alias("keys"))  # of a line
-    texts = _only(texts, ids, "id").join(keys, "id")
-    cells = dealt(cells.join(texts, ["id", "check"]).select(*CELL_COLS, "size", "bins", "line", "keys"))
+    keys = rows.groupBy("id").agg(F.collect_set("key").alias("keys"))  # of a line
+    full = texts.join(keys, "id")
+    cells = rows.where("not many").drop("many").join(full, "id")
+    if not rows.where("many").isEmpty():  # of keys of many lines only those go on that have a partner
+        large = dealt(rows.where("many").join(texts.select("id", "check", "size", "bins"), "id"))
+        large = large.mapInArrow(_per_cell(_candidates), "key long, i int, j int, side int, id long, check long")
+        cells = cells.unionByName(materialize(large, "line-cells", written).join(full, ["id", "check"]))
+    cells = dealt(cells.select(*CELL_COLS, "size", "bins", "line", "keys"))
     found = cells.mapInArrow(_per_cell(_verify), LINKS)
     found = materialize(found, "line-links", written)
 
-    name = lambda side: firsts.select(F.col("id").alias(f"{side}_id"), F.col("check").alias(f"{side}_check"), F.col("first").alias(side))
+    name = lambda side: asked.select(F.col("id").alias(f"{side}_id"), F.col("check").alias(f"{side}_check"), F.col("first").alias(side))
     linked = found.where("b_id is not null").join(name("a"), ["a_id", "a_check"]).join(name("b"), ["b_id", "b_check"]).select("a", "b")
     comp = materialize(components(linked, "lines", written), "line-components", written)
     counts = found.where("b_id is null").groupBy(F.col("a_id").alias("id"), F.col("a_check").alias("check")).agg(F.sum("links").alias("links"))
-    classes = firsts.join(comp, firsts["first"] == comp["id"], "left").select(firsts["id"], "check", F.coalesce("component", "first").alias("class"))
-    classes = classes.join(counts, ["id", "check"], "left")
-    out = lines.join(classes, ["id", "check"], "left")
+    counts = counts.join(asked, ["id", "check"])
+    linked = counts.join(comp, counts["first"] == comp["id"]).select(counts["id"], "check", "links", "component")
+    out = lines.join(firsts, ["id", "check"], "left").join(linked, ["id", "check"], "left")
+    out = out.withColumn("class", F.coalesce("component", "first"))
     class_doc = F.when(F.col("class.d") > NULL_ID, F.col("class.d"))
     first = F.col("class").isNull() | ((F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("class.d")) & (F.col("line_no") == F.col("class.line_no")))
     return out.select("doc_id", "line_no", class_doc.alias("class_doc_id"), F.col("class.line_no").alias("class_line_no"),
