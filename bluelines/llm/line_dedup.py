@@ -53,6 +53,7 @@ WINDOW = 16
 LONG = (EDITS + 1) * RATE  # from this length on a line may differ in more than EDITS
 BLOCK = 1024
 BINS = 32  # of hashed pairs of neighbouring characters
+MORE_BINS = 256  # of pairs of lines that are verified
 KEY_BROADCAST_ROWS = 500_000  # open keys or lines (8 bytes each) sent to all executors; more are joined by shuffle
 CHUNK = 1 << 20
 STRETCH = 1 << 14  # characters summed in one go, so that they stay in the processor's cache
@@ -347,18 +348,18 @@ def _open(block: int):
     return run
 
 
-def _pair_counts(texts: list[str]) -> np.ndarray:
-    """How often pairs of neighbouring characters occur in each text, by hash into ``BINS`` bins of up to 255. An edit
+def _pair_counts(texts: list[str], bins: int = BINS) -> np.ndarray:
+    """How often pairs of neighbouring characters occur in each text, by hash into ``bins`` bins of up to 255. An edit
     changes the bins by four at most, so lines whose bins differ in more than four per edit are not close."""
     size = np.array([len(t) for t in texts], np.int64)
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     if len(points) < 2:
-        return np.zeros((len(texts), BINS), np.uint8)
+        return np.zeros((len(texts), bins), np.uint8)
     owner = np.repeat(np.arange(len(size)), size)
     inside = owner[1:] == owner[:-1]
     spot = (points[1:] * np.uint32(40503) + points[:-1] * np.uint32(2654435761 % 2**32)) >> np.uint32(16)
-    cell = owner[1:][inside] * BINS + (spot[inside] % BINS).astype(np.int64)
-    counts = np.bincount(cell, minlength=len(texts) * BINS).reshape(-1, BINS)
+    cell = owner[1:][inside] * bins + (spot[inside] % bins).astype(np.int64)
+    counts = np.bincount(cell, minlength=len(texts) * bins).reshape(-1, bins)
     return np.minimum(counts, 255).astype(np.uint8)
 
 
@@ -444,14 +445,29 @@ def _candidates(rows: pa.Table) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(rows[c].to_numpy()[stays]) for c in CELL_COLS], CELL_COLS)
 
 
+def _early(here: np.ndarray, keys: pa.ListArray):
+    """The keys of each row's line before the row's own, sorted, where they begin and end, the first ones as a matrix, and
+    bits that tell rows apart that share none. A pair is verified in the first key that it shares."""
+    nth = np.arange(len(here))
+    flat, owner = keys.flatten().to_numpy(), np.repeat(nth, keys.value_lengths().to_numpy())
+    flat, owner = flat[flat < here[owner]], owner[flat < here[owner]]
+    order = np.lexsort((flat, owner))
+    flat, owner = flat[order], owner[order]
+    begin, end = np.searchsorted(owner, nth), np.searchsorted(owner, nth, "right")
+    rank = np.arange(len(flat)) - begin[owner]
+    some = np.repeat(-1 - nth[:, None], EARLY, 1)
+    some[owner[rank < EARLY], rank[rank < EARLY]] = flat[rank < EARLY]
+    marks = np.zeros(len(here), np.uint64)
+    np.bitwise_or.at(marks, owner, _U(1) << (mix(flat.view(np.uint64)) >> _U(58)))
+    return flat, begin, end, some, marks
+
+
 def _verify(rows: pa.Table) -> pa.RecordBatch:
     """Pairs of blocks of lines with one open key: a row per line with links (how many; b is null), and a row per link
     that joins two components."""
     here, ids, check = (rows[c].to_numpy() for c in ("key", "id", "check"))
-    text, keys = Texts(rows["line"].to_pylist()), rows["keys"].to_pylist()
-    early = [{x for x in k if x < h} for k, h in zip(keys, here.tolist())]  # a pair is verified in the first key that it shares
-    some = np.array([(sorted(e)[:EARLY] + [-1 - k] * EARLY)[:EARLY] for k, e in enumerate(early)], np.int64)
-    marks = np.array([sum({1 << (x * 0x9E3779B97F4A7C15 >> 58 & 63) for x in e}) for e in early], np.uint64)
+    line = rows["line"]
+    early, begin, end, some, marks = _early(here, rows["keys"].combine_chunks())
     comp, count, out = list(range(len(ids))), np.zeros(len(ids), np.int64), []
 
     def root(k):
@@ -461,10 +477,15 @@ def _verify(rows: pa.Table) -> pa.RecordBatch:
         return k
 
     def link(i, j, limit):
-        near = text.within(i, j, limit)
-        for k in (i[near], j[near]):
-            count[:] += np.bincount(k, minlength=len(count))
-        for a, b in zip(i[near].tolist(), j[near].tolist()):
+        used, of = np.unique(np.concatenate([i, j]), return_inverse=True)
+        own = line.take(pa.array(used)).to_pylist()
+        text, bins, x, y = Texts(own), _pair_counts(own, MORE_BINS).astype(np.int16), of[:len(i)], of[len(i):]
+        most = 4 * limit - np.abs(text.size[x] - text.size[y])  # a character inserted or deleted changes three bins
+        few = np.concatenate([np.abs(bins[x[a:a + 2048]] - bins[y[a:a + 2048]]).sum(1, dtype=np.int64) for a in range(0, len(x), 2048)]) <= most
+        near = np.flatnonzero(few)[text.within(x[few], y[few], limit[few])]
+        i, j = i[near], j[near]
+        count[:] += np.bincount(i, minlength=len(count)) + np.bincount(j, minlength=len(count))
+        for a, b in zip(i.tolist(), j.tolist()):
             if (a := root(a)) != (b := root(b)):
                 comp[b] = a
                 out.append((ids[a], check[a], ids[b], check[b], 0))
@@ -475,7 +496,7 @@ def _verify(rows: pa.Table) -> pa.RecordBatch:
         doubt = np.flatnonzero(~apart)
         doubt = doubt[(some[i[doubt], :, None] != some[j[doubt], None, :]).all((1, 2))]
         for k in doubt.tolist():
-            apart[k] = early[i[k]].isdisjoint(early[j[k]])
+            apart[k] = not np.isin(early[begin[i[k]]:end[i[k]]], early[begin[j[k]]:end[j[k]]]).any()
         held.append((i[apart], j[apart], limit[apart]))
         n += len(held[-1][0])
         if n >= PAIRS_HELD:

@@ -160,3 +160,66 @@ def test_few_edits_in_long_lines_are_found_by_steps_not_length():
     begin = time.perf_counter()
     assert [banded_distance(a, b, k) for k in (0, 2, 3, 5)] == [1, 3, 3, 3]
     assert banded_distance(b, a, 2) == 3 and time.perf_counter() - begin < 2
+
+
+def test_pairs_of_texts_at_once_as_one_by_one():
+    from bluelines.llm.bitparallel import Texts, banded_distance
+
+    for seed, letters in enumerate(("ab", "abcé ", "abcdefgh €", "ab\U0001f600c")):
+        r, texts = random.Random(seed), ["", "a"]
+        for _ in range(40):
+            base = "".join(r.choice(letters) for _ in range(r.randrange(15, 200)))
+            texts += [base, *(edit(base, r.randrange(12), r) for _ in range(3))]
+        pairs = [(a, max(0, min(len(texts) - 1, a + r.randrange(-3, 4))), r.randrange(16)) for a in range(len(texts)) for _ in range(12)]
+        got = Texts(texts).within(*(np.array(c) for c in zip(*pairs)))
+        assert got.tolist() == [banded_distance(texts[a], texts[b], k) <= k for a, b, k in pairs] and 100 < got.sum() < len(pairs) - 100
+
+
+def test_few_keys_per_long_line():
+    """About as many as a partner can have edits, not all windows at some words."""
+    for seed in range(3):
+        texts = [words(80, 50 * seed + k) for k in range(20)]
+        lines = line_dedup.Lines(texts)
+        found = np.concatenate([line for line, *_ in lines.keys()])
+        most = lines.length // (line_dedup.RATE - 1)
+        assert (np.bincount(found) > most).all() and len(found) < 2 * (most + 1).sum()
+
+
+def open_lines(texts, block, size=10_000):
+    """Cells of all keys of some texts, dealt to one part."""
+    rows = pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts}).to_batches(max_chunksize=size)
+    dealt = [b for b in line_dedup._occurrences(1)(iter(rows)) if b.column("part").null_count == 0]
+    assert sum(b.num_rows for b in dealt) == 1
+    return [r for b in line_dedup._open(block)(iter(b.select(["part", "keys"]) for b in dealt)) for r in b.to_pylist()]
+
+
+def test_open_keys_bring_all_close_lines_together():
+    texts = sorted(set(long_lines(3)))
+    ids = line_dedup.Lines(texts).ids().tolist()
+    want = {frozenset((ids[a], ids[b])) for a, x in enumerate(texts) for b, y in enumerate(texts) if a < b and close(x, y)}
+    for block, size in ((1000, 10_000), (1000, 7), (2, 10_000)):
+        cells, met = {}, set()
+        for r in open_lines(texts, block, size):
+            cells.setdefault((r["key"], r["i"], r["j"]), [[], []])[r["side"]] += r["ids"]
+            assert len(r["ids"]) <= 2 * block
+        for (_, i, j), (left, right) in cells.items():
+            met |= {frozenset((a, b)) for a in left for b in (left if i == j else right) if a != b}
+        assert len(want) > 20 and want <= met
+
+
+def test_equal_passages_at_other_places_do_not_meet():
+    passage = " the same passage of words in all of these lines"
+    texts = [words(30, k) + passage + " " + words(2 + 9 * k, 90 + k) for k in range(8)]
+    assert open_lines(texts, 1000) == []
+    assert len(open_lines([*texts, texts[3][:-2]], 1000)) > 0
+
+
+def test_keys_in_doubt_are_compared_whole():
+    """Lines that share a key only beyond the first ones, and lines that share none before."""
+    texts = sorted(set(long_lines(4)))
+    rows = cells(texts, 500)
+    alone = rows.set_column(9, "keys", pa.array([[*range(9 * k, 9 * k + 8), 10_000] for k in range(len(texts))], pa.list_(pa.int64())))
+    alone = alone.set_column(0, "key", pa.array([10_000] * len(texts), pa.int64()))
+    assert line_dedup._verify(alone).num_rows == line_dedup._verify(rows).num_rows > 20
+    shared = rows.set_column(9, "keys", pa.array([[499, 500, *range(-1 - 9 * k, -9 - 9 * k, -1)] for k in range(len(texts))], pa.list_(pa.int64())))
+    assert line_dedup._verify(shared).num_rows == 0
