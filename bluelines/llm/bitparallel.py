@@ -1,5 +1,5 @@
 """Edit distances of strings: the best place of a pattern, bit-parallel on Python integers (one machine-independent bit vector
-per pattern), and the distance of two strings up to a limit, by diagonals."""
+per pattern), and the distance of two strings up to a limit, by diagonals, one pair or many at once."""
 
 from __future__ import annotations
 

@@ -10,21 +10,22 @@ only if equal. Linked and equal lines form classes.
    place, so every line also looks up the substrings that may be a segment of a line of its length, one
    less, and so on; which places need looking up follows from how many edits can lie left and right of
    the segment. Segments and substrings become 64-bit keys of (length, segment number, content).
-   Longer lines: the segments are windows of ``WINDOW`` characters that do not overlap, one more than a
-   partner can have edits, and a line looks up all its windows. Which windows count is told by their own
-   content, so that an unchanged one counts in both lines: those that start with a space and, by a hash, one in
-   three; for a line with too few of them apart, also one in two, then all that start with a space; and if
-   these are too few, all. Keys hold the length class (ratio ``STEP``) of the line, those of segments also the
-   classes of its shortest and longest partner.
-2. A key is open if different lines have it, one of them as a segment; of keys with the same lines one stays. Of
-   lines with open keys the first occurrence is read again, from the documents that hold it.
-3. The lines of an open key are cut into blocks of ``BLOCK``; each pair of blocks is one task's work, where
-   pairs that lengths and counts of neighbouring characters do not rule out are verified with banded
-   edit distance, in the first key that they share. A task returns how many links each line has, and only as many
-   links as join its components.
-
-No pairs are shuffled, no group of lines meets in one task, nothing is capped. Keys of equal lines of a chunk
-are combined before the shuffle.
+   Longer lines: the keys are windows of ``WINDOW`` characters that start with a space, the first of a line in the
+   order of their hashes, so many that one more of them do not overlap than a partner can have edits. Close lines
+   share one: of the line that stops earlier in that order one window is unchanged in the other line, which goes on
+   at least as far. A line with too few such windows gives them all, and the first of the windows at all places.
+2. Keys travel as arrays, one row per part of the keys and task. A key is open if different lines have it, one of them
+   as a segment or window. Of a key of up to 2 * ``BLOCK`` lines those stay that have a partner whose length and place
+   of the key differ by no more than the limit of edits; larger ones are cut into blocks of ``BLOCK`` by length, and
+   pairs of blocks of near lengths stay. Of keys with the same lines one stays. Of the lines that stay the first
+   occurrence is read again, from the documents that hold it.
+3. Each pair of blocks is one task's work, where pairs that lengths and counts of neighbouring characters do not rule
+   out are verified by their edit distance, many at once, in the first key that they share; lines of large keys that
+   are left no partner go before their texts are sent. A task returns how many links each line has, and only as
+   many links as join its components.
+
+No pairs are shuffled and nothing is capped; the texts of a large key's lines do not meet in one task, their hashes, lengths
+and places do (20 bytes a line). Keys of equal lines of a chunk are combined before the shuffle.
 
 Edge cases: blank lines belong to no class (null) and are kept; null and empty texts and null ids
 have lines of their own like any other (a null text has none); rows that repeat an id count as
@@ -53,7 +54,7 @@ WINDOW = 16
 LONG = (EDITS + 1) * RATE  # from this length on a line may differ in more than EDITS
 BLOCK = 1024
 BINS = 32  # of hashed pairs of neighbouring characters
-MORE_BINS = 256  # of pairs of lines that are verified
+MORE_BINS = 256  # the same for lines that are verified
 KEY_BROADCAST_ROWS = 500_000  # open keys or lines (8 bytes each) sent to all executors; more are joined by shuffle
 CHUNK = 1 << 20
 STRETCH = 1 << 14  # characters summed in one go, so that they stay in the processor's cache
@@ -64,7 +65,7 @@ PAIRS_HELD = 20_000  # pairs of lines verified at once, about
 NULL_ID = -(2**63)  # stands for a null document id
 _U = np.uint64
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_FEW = _U(2**64 // 3)
+_FEW = _U(2**64 // 3)  # the first third of the windows by hash
 _BLANK = " \t\r\x0b\x0c"
 
 
@@ -127,7 +128,7 @@ class Lines:
         return mix((total[start + length] - total[start]) * inverse[start] + length.astype(np.uint64))
 
     def ids(self) -> np.ndarray:
-        """Hashes of the lines, even, so that ``_keys`` can put a flag into the last bit."""
+        """Hashes of the lines, even, so that ``_occurrences`` can put a flag into the last bit."""
         return (self.hash(self.start, self.length) & ~_U(1)).view(np.int64)
 
     def checks(self) -> np.ndarray:
